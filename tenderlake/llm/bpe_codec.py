@@ -4,13 +4,15 @@
    distinct words and writes every text as positions in that list.
 2. The lists are shuffled by a hash of the word, so equal words of all blocks
    meet and each is encoded once.
-3. The ids go back to their blocks, where they are joined to the texts by position.
+3. The ids go back to their blocks: a table with a folder for each block. The
+   task that reads a block's texts joins them to its ids by position.
 4. Decoding joins ids to the vocabulary's pieces.
 
 A word is a run without ASCII white space. That is exact for vocabularies whose
-pre-tokens never hold white space. Lists and positions travel compressed, a row
-for each block and hash bucket, so what is shuffled stays below the input's size
-and no row, group or task grows with the corpus.
+pre-tokens never hold white space. Texts themselves are never shuffled; lists
+and positions are written compressed, a row for each block and hash bucket, so
+what is written and shuffled stays near the input's size, and no row, group or
+task grows with the corpus.
 """
 
 from __future__ import annotations
@@ -22,70 +24,99 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import new_folder, store_of, written
 
 BLOCK_CHARS = 32_000_000
-ENCODE_AT_ONCE = 20_000
+ENCODE_AT_ONCE = 10_000
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Whole numbers below 2**32 by byte planes: the upper planes are mostly zero."""
-    raw = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(np.ascontiguousarray(raw).tobytes(), 1)
+def _squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(raw.T).view("<u4").reshape(-1).astype(np.int64)
+def _expand(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed) if packed else b""
 
 
-def _blocks(kept: list[str], schema: pa.Schema, buckets: int, limit: int):
-    """Texts to rows: for each block one for each bucket with words, then one for each text."""
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers below 2**32 by byte planes: the upper planes are mostly zero."""
+    return _squeeze(np.ascontiguousarray(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
-    def flush(partition: int, number: int, rows: list[dict], texts: list[str]) -> pa.RecordBatch:
-        index: dict[str, int] = {}
-        found = []
-        for t in texts:
-            words = t.encode("utf-8", "surrogatepass").split()
-            for w in words:
-                if w not in index:
-                    index[w] = len(index)
-            found.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-        words = list(index)
-        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        out: list[dict] = []
-        block = (partition << 24) + number
+
+def _unpack(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(_expand(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(raw.T).view("<u4").reshape(-1)
+
+
+class _Block:
+    """The texts of a block as positions in its list of distinct words."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.size = buckets, 0
+        self.index: dict[bytes, int] = {}
+        self.rows: list[dict] = []
+        self.found: list[np.ndarray] = []
+
+    def add(self, row: dict, text: str) -> None:
+        words, index = text.encode("utf-8", "surrogatepass").split(), self.index
+        for w in words:
+            if w not in index:
+                index[w] = len(index)
+        self.found.append(np.fromiter(map(index.__getitem__, words), np.uint32, len(words)))
+        self.rows.append(row)
+        self.size += len(text)
+
+    def out(self, block: int) -> Iterator[dict]:
+        """A row for each bucket that has words, then one for each text.
+
+        A word's place is its rank among its bucket's words, most frequent
+        first, times the number of buckets, plus the bucket: frequent words have
+        small places, which pack well.
+        """
+        words = list(self.index)
+        count = np.zeros(len(words), np.int64)
+        for at in self.found:
+            np.add.at(count, at, 1)
+        bucket = np.fromiter((zlib.crc32(w) % self.buckets for w in words), np.int64, len(words))
+        order = np.lexsort((-count, bucket))
+        edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        place = np.empty(len(words), np.uint32)
+        place[order] = (np.arange(len(words)) - edges[bucket[order]]) * self.buckets + bucket[order]
         for b in np.flatnonzero(edges[1:] > edges[:-1]):
-            mine = b" ".join(words[i] for i in order[edges[b] : edges[b + 1]])
-            out.append({"__block": block, "__bucket": int(b), "__words": zlib.compress(mine, 1)})
-        for row, at in zip(rows, found):
-            out.append(row | {"__block": block, "__places": _pack(place[at] if len(at) else at)})
-        return pa.RecordBatch.from_pylist(out, schema=schema)
+            yield {"__block": block, "__bucket": int(b), "__words": _squeeze(b" ".join([words[i] for i in order[edges[b] : edges[b + 1]]]))}
+        for row, at in zip(self.rows, self.found):
+            yield row | {"__block": block, "__bucket": self.buckets, "__places": _pack(place[at])}
+
+
+def _blocks(schema: pa.Schema, buckets: int, limit: int):
+    def batches_of(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for row in rows:
+            held.append(row)
+            if len(held) == 500:
+                yield pa.RecordBatch.from_pylist(held, schema=schema)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, number, size = TaskContext.get().partitionId(), 0, 0
-        rows: list[dict] = []
-        texts: list[str] = []
+        partition, number, block = TaskContext.get().partitionId(), 0, _Block(buckets)
         for batch in batches:
-            for row in batch.to_pylist():
-                text = row.pop("__text") or ""
-                if rows and size + len(text) > limit:
-                    yield flush(partition, number, rows, texts)
-                    number, size, rows, texts = number + 1, 0, [], []
-                rows.append(row)
-                texts.append(text)
-                size += len(text)
-        if rows:
-            yield flush(partition, number, rows, texts)
+            for at in range(0, batch.num_rows, 200):
+                for row in batch.slice(at, 200).to_pylist():
+                    text = row.pop("__text") or ""
+                    if block.rows and block.size + len(text) > limit:
+                        yield from batches_of(block.out((partition << 24) + number))
+                        number, block = number + 1, _Block(buckets)
+                    block.add(row, text)
+        if block.rows:
+            yield from batches_of(block.out((partition << 24) + number))
 
     return run
 
@@ -105,55 +136,75 @@ def _encoder(made):
 
     def run(table: pa.Table) -> pa.Table:
         tokenizer = _load(made.value)
-        lists = [zlib.decompress(x).split(b" ") for x in table.column("__words").to_pylist()]
+        lists = table.column("__words").to_pylist()
         index: dict[bytes, int] = {}
-        for words in lists:
-            for w in words:
+        for packed in lists:
+            for w in _expand(packed).split(b" "):
                 if w not in index:
                     index[w] = len(index)
-        distinct = list(index)
-        ids: list[np.ndarray] = []
+        distinct, count, flat = list(index), [], []
         for at in range(0, len(distinct), ENCODE_AT_ONCE):
             texts = [w.decode("utf-8", "surrogatepass") for w in distinct[at : at + ENCODE_AT_ONCE]]
-            ids += [np.array(e.ids, np.int64) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-        counts, packed = [], []
-        for words in lists:
-            mine = [ids[index[w]] for w in words]
-            counts.append(_pack(np.fromiter(map(len, mine), np.int64, len(mine))))
-            packed.append(_pack(np.concatenate(mine) if mine else np.zeros(0, np.int64)))
-        return pa.table({"__block": table.column("__block"), "__bucket": table.column("__bucket"), "__counts": pa.array(counts, pa.binary()), "__ids": pa.array(packed, pa.binary())})
+            ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            count.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(count[-1].sum())))
+        count, flat = np.concatenate(count), np.concatenate(flat)
+        start = np.cumsum(count) - count
+        counts, packed_ids = [], []
+        for packed in lists:
+            words = _expand(packed).split(b" ")
+            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+            counts.append(_pack(count[at]))
+            packed_ids.append(_pack(flat[_runs(start[at], count[at])]))
+        return pa.table({"__block": table.column("__block"), "__bucket": table.column("__bucket"), "__counts": pa.array(counts, pa.binary()), "__ids": pa.array(packed_ids, pa.binary())})
 
     return run
 
 
-def _assembler(kept: list[str], schema: pa.Schema):
-    def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
-        lists = lists.sort_by("__bucket")
-        counts = [_unpack(x) for x in lists.column("__counts").to_pylist()]
-        ids = [_unpack(x) for x in lists.column("__ids").to_pylist()]
-        none = np.zeros(0, np.int64)
-        count, flat = np.concatenate([none, *counts]), np.concatenate([none, *ids])
-        start = np.cumsum(count) - count
-        made = []
-        for packed in texts.column("__places").to_pylist():
-            place = _unpack(packed)
-            n = count[place]
-            # the running index within each word's ids, shifted to where the word's ids start
-            at = np.arange(int(n.sum())) + np.repeat(start[place] - (np.cumsum(n) - n), n)
-            made.append(flat[at].astype(np.int32))
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in made])]).astype(np.int64)
-        values = pa.array(np.concatenate([np.zeros(0, np.int32), *made]), pa.int32())
-        arrays = [texts.column(c) for c in kept]
-        # cut into slices: offsets of Arrow lists have 32 bits
-        out = []
-        at = 0
-        while at < len(made):
-            to = int(np.searchsorted(offsets, offsets[at] + 2**28, "right")) - 1
-            to = max(at + 1, min(to, len(made)))
-            part = pa.ListArray.from_arrays(pa.array((offsets[at : to + 1] - offsets[at]).astype(np.int32)), values.slice(int(offsets[at]), int(offsets[to] - offsets[at])))
-            out.append(part)
-            at = to
-        return pa.Table.from_arrays([*arrays, pa.chunked_array(out, pa.list_(pa.int32()))], schema=schema)
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... count[0] of them, and so on for all runs."""
+    ends = np.cumsum(count)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - count), count)
+
+
+class _Ids:
+    """The ids of a block's words by place."""
+
+    def __init__(self, folder: str, block: int, buckets: int):
+        from pyarrow import dataset, fs
+
+        store, path = store_of(f"{folder}/__block={block}")
+        self.start = self.count = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        if store.get_file_info(path).type == fs.FileType.NotFound:
+            return  # no text of the block has a word
+        rows = dataset.dataset(path, filesystem=store, format="parquet").to_table(columns=["__bucket", "__counts", "__ids"])
+        bucket = rows.column("__bucket").to_pylist()
+        counts = [_unpack(x).astype(np.int64) for x in rows.column("__counts").to_pylist()]
+        self.flat = np.concatenate([_unpack(x) for x in rows.column("__ids").to_pylist()])
+        size = max(map(len, counts)) * buckets
+        self.start, self.count, at = np.zeros(size, np.int64), np.zeros(size, np.int64), 0
+        for b, c in zip(bucket, counts):
+            place = np.arange(len(c)) * buckets + b
+            self.count[place], self.start[place] = c, at + np.cumsum(c) - c
+            at += int(c.sum())
+
+    def of(self, places: np.ndarray) -> np.ndarray:
+        return self.flat[_runs(self.start[places], self.count[places])]
+
+
+def _assembler(kept: list[str], schema: pa.Schema, folder: str, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids = None, None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                made = []
+                for b, packed in zip(part.column("__block").to_pylist(), part.column("__places").to_pylist()):
+                    if b != block:
+                        block, ids = b, _Ids(folder, b, buckets)
+                    made.append(ids.of(_unpack(packed)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*(part.column(c).cast(schema.field(c).type) for c in kept), pa.array(made, pa.list_(pa.int32()))], schema=schema)
 
     return run
 
@@ -176,12 +227,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     own = [T.StructField("__block", T.LongType()), T.StructField("__bucket", T.IntegerType()), T.StructField("__words", T.BinaryType()), T.StructField("__places", T.BinaryType())]
     schema = T.StructType(plain + own)
     source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
-    blocks = written(source.mapInArrow(_blocks(kept, to_arrow_schema(schema), buckets, block_chars), schema), "word-blocks")
+    blocks = written(source.mapInArrow(_blocks(to_arrow_schema(schema), buckets, block_chars), schema), "word-blocks")
     words = blocks.where("__words IS NOT NULL").select("__block", "__bucket", "__words")
     encoded = words.groupBy("__bucket").applyInArrow(_encoder(made), "__block long, __bucket int, __counts binary, __ids binary")
-    texts = blocks.where("__places IS NOT NULL").select("__block", *(F.col(f"`{c}`") for c in kept), "__places")
+    folder = new_folder(spark, "block-ids")
+    encoded.repartition("__block").write.partitionBy("__block").parquet(folder)
+    texts = blocks.where("__places IS NOT NULL").select(*(F.col(f"`{c}`") for c in kept), "__block", "__places")
     out = T.StructType(plain + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return texts.groupBy("__block").cogroup(encoded.groupBy("__block")).applyInArrow(_assembler(kept, to_arrow_schema(out)), out)
+    return texts.mapInArrow(_assembler(kept, to_arrow_schema(out), folder, buckets), out)
 
 
 def pieces(path: str) -> list[str]:

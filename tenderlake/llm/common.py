@@ -48,6 +48,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_of(path: str):
+    """The file system and the path in it of a folder below shared_dir(), for use in tasks."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(f"file://{path[5:]}" if path.startswith("file:/") and not path.startswith("file://") else path)
+
+
 def with_columns(df: DataFrame, source: str, out: str, row: Callable[[], Callable[[str | None], Sequence]], keep: Sequence[str] | None = None) -> DataFrame:
     """df's columns (or those in keep) and the columns of the DDL string out, made from the text column source.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_folder, written
+from .common import new_folder, store_of, written
 
 BLOCK_LINES = 3000
 #: The longest directory that a single reader holds; 10**6 entries stand for 3 * 10**9 captures.
@@ -43,12 +43,6 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + port + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
-def _store(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:/") else "file://" + path[5:])
-
-
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One WARC 1.1 record: a response, or a revisit of the page refers_to without the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -98,7 +92,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write what with_roles() returns; a row a record: url_key, page_id, file, offset, length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = _store(folder)
+        store, path = store_of(folder)
         store.create_dir(path)
         name, at, out = f"{uuid.uuid4().hex}.warc.gz", 0, None
         try:
@@ -124,7 +118,7 @@ def write_index(captures: DataFrame, folder: str, lines: int = BLOCK_LINES) -> D
     """Write the captures sorted by key as compressed blocks; the directory: first_key, shard, offset, length, lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = _store(folder)
+        store, path = store_of(folder)
         store.create_dir(path)
         shard, at, out, block, made = f"{uuid.uuid4().hex}.cdx.gz", 0, None, [], []
 
@@ -169,7 +163,7 @@ def captures_of(directory: DataFrame, folder: str) -> DataFrame:
     """All captures, read block by block through the directory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = _store(folder)
+        store, path = store_of(folder)
         for batch in batches:
             for d in batch.to_pylist():
                 with store.open_input_file(f"{path}/{d['shard']}") as f:
@@ -188,7 +182,7 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = _store(folder)
+        store, path = store_of(folder)
         name, f, start, held = None, None, 0, b""
         for batch in batches:
             out = []
@@ -234,7 +228,7 @@ class Archive:
             if (n := self.directory.count()) > DIRECTORY_ROWS:
                 raise ValueError(f"a directory of {n} blocks is too large for one reader; join keys with the directory instead")
             self._sparse = sorted(map(tuple, self.directory.collect()))
-        key, store_path = _plain(url_key(url)), _store(f"{self.folder}/index")
+        key, store_path = _plain(url_key(url)), store_of(f"{self.folder}/index")
         keys = [d[0] for d in self._sparse]
         at, found = max(0, bisect_right(keys, key) - 1), []
         while at and keys[at] == key:
@@ -245,7 +239,7 @@ class Archive:
                 f.seek(offset)
                 found += [v for k, v in _lines(f.read(length)) if k == key]
             at += 1
-        store, path = _store(f"{self.folder}/archive")
+        store, path = store_of(f"{self.folder}/archive")
         out = []
         for _, name, offset, length in found:
             with store.open_input_file(f"{path}/{name}") as f:

@@ -8,7 +8,6 @@ columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tenderlake.llm import queries, quality_rules, secret_scan, simhash_dedup, source_mix
 from tenderlake.llm.common import written
@@ -34,9 +33,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    taken = source_mix.mix(docs).where("copies > 0").select("doc_id", F.col("copies").cast("int").alias("__copies"))
-    repeated = docs.join(taken, "doc_id").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return repeated.select(*docs.columns)
+    return source_mix.repeated(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,42 +66,73 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return levels.select("source", "source_size", "rows", F.when(stops | F.col("level").isNull(), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words, repeats counted) for every row of docs.
+def _keyed(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> list[Column]:
+    """A row's id, source, size and key."""
+    key = sampling_key(F.col(doc_id), quality_weight(F.col(text)), seed)
+    return [F.col(doc_id).alias("__id"), F.col(source).alias("__source"), n_words(F.col(text)).alias("__size"), key.alias("__key")]
+
+
+def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
+    """What decides for each source of rows (__id, __source, __size, __key), a row a source.
 
-    Null texts have size 0; null is a source of its own. Rows that are alike
-    count one by one. The document at the target's edge is taken if that
-    brings the source nearer to its target.
+    source, source_size, target, epochs (whole ones), buckets, edge (the bucket
+    with the target's edge; null if all of another epoch fits) and last, the
+    last row taken in that bucket (null if none is).
     """
-    rows = written(
-        docs.select(
-            F.col(doc_id).alias("id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-            sampling_key(F.col(doc_id), quality_weight(F.col(text)), seed).alias("key"),
-        ),
-        "mix-rows",
-    )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    sizes = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     plan = targets(sizes, weights, most)
-    epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0)
-    plan = plan.withColumn("epochs", epochs.cast("long"))
-    plan = written(
-        plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS)), "mix-plan"
-    )
-    dealt = rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    dealt = dealt.withColumn("bucket", F.floor(F.col("key") * F.col("buckets")))
-    totals = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    ordered = Window.partitionBy("source").orderBy("bucket")
-    totals = totals.withColumn("upto", F.sum("words").over(ordered)).withColumn("before", F.col("upto") - F.col("words"))
+    epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long")
+    plan = plan.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    plan = written(plan.withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS)), "mix-plan")
+    dealt = rows.join(plan, F.col("__source").eqNullSafe(F.col("source"))).withColumn("bucket", _bucket())
+    totals = dealt.groupBy("source", "bucket").agg(F.sum("__size").alias("words"), F.first("rest").alias("rest"))
+    totals = totals.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("bucket")))
     # the bucket with the edge: the first that does not fit whole
-    edge = totals.where(F.col("upto") > F.col("rest")).groupBy("source").agg(F.min_by(F.struct("bucket", "before"), "bucket").alias("edge"))
-    edge = written(edge.select(F.col("source").alias("s"), "edge.*").withColumnsRenamed({"bucket": "edge", "before": "edge_before"}), "mix-edges")
-    dealt = dealt.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    inside = dealt.where("bucket = edge")
-    ranked = Window.partitionBy("source").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("reach", F.col("edge_before") + F.sum("size").over(ranked))
-    # nearer with the row than without it
-    inside = inside.withColumn("once", (F.col("reach") - F.col("size") / 2 <= F.col("rest")).cast("long")).drop("reach")
-    outside = dealt.where("edge IS NULL OR bucket <> edge").withColumn("once", (F.col("edge").isNull() | (F.col("bucket") < F.col("edge"))).cast("long"))
-    taken = (F.col("size") * (F.col("epochs") + F.col("once"))).alias("taken")
-    both = inside.unionByName(outside)
-    return both.select(F.col("id").alias(doc_id), "size", "source_size", "target", taken, (F.col("epochs") + F.col("once")).alias("copies"))
+    edge = totals.where("upto > rest").groupBy("source").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before")), "bucket").alias("edge"))
+    edge = written(edge.select(F.col("source").alias("s"), F.col("edge.bucket").alias("edge"), F.col("edge.before").alias("before")), "mix-edges")
+    inside = dealt.join(edge, F.col("source").eqNullSafe(F.col("s"))).where("bucket = edge")
+    ranked = Window.partitionBy("source").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, 0)
+    # a row is taken if the target is nearer with it than without it
+    taken = inside.withColumn("reach", F.col("before") + F.sum("__size").over(ranked)).where("reach - __size / 2 <= rest")
+    last = taken.groupBy("source").agg(F.max(_place()).alias("last")).select(F.col("source").alias("t"), "last")
+    found = plan.join(edge.drop("before"), F.col("source").eqNullSafe(F.col("s")), "left").join(last, F.col("source").eqNullSafe(F.col("t")), "left")
+    return written(found.select("source", "source_size", "target", "epochs", "buckets", "edge", "last"), "mix-cuts")
+
+
+def _bucket() -> Column:
+    return F.floor(F.col("__key") * F.col("buckets"))
+
+
+def _place() -> Column:
+    """A row's place in the order of its source; rows that are alike share one."""
+    return F.struct(F.col("__key"), F.col("__id"), F.col("__size"))
+
+
+def _joined(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """rows with the cuts of their source and __copies."""
+    both = rows.join(chosen.withColumnRenamed("source", "__s"), F.col("__source").eqNullSafe(F.col("__s")))
+    once = F.col("edge").isNull() | (_bucket() < F.col("edge")) | ((_bucket() == F.col("edge")) & F.coalesce(_place() <= F.col("last"), F.lit(False)))
+    return both.withColumn("__copies", F.col("epochs") + once.cast("long"))
+
+
+def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
+    """docs' rows as often as the mix takes them.
+
+    Only the sources' cuts are joined to docs, so texts are not shuffled for it.
+    """
+    keyed = _keyed(docs, doc_id, text, source, seed)
+    chosen = cuts(written(docs.select(*keyed), "mix-rows"), weights, most)
+    taken = _joined(docs.select("*", *keyed), chosen).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
+    """doc_id, size, source_size, target, taken (words, repeats counted) and copies for every row of docs.
+
+    Null texts have size 0; null is a source of its own. The document at a
+    target's edge is taken if that brings its source nearer to the target. Rows
+    that are alike up to their size are taken alike.
+    """
+    rows = written(docs.select(*_keyed(docs, doc_id, text, source, seed)), "mix-rows")
+    mixed = _joined(rows, cuts(rows, weights, most))
+    return mixed.select(F.col("__id").alias(doc_id), F.col("__size").alias("size"), "source_size", "target", (F.col("__size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))

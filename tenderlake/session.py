@@ -17,6 +17,7 @@ def session(app: str = "tenderlake", cores: str | int = "*", partitions: int = 8
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TENDERLAKE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 

@@ -429,14 +429,14 @@ def overlapping_entities(spark, sf):
     return windows.partners(windows.overlaps(b.stays(spark, sf), "person", "stay_id", "start", "end", "entity"), "person")
 
 
-THOUSAND = "(SELECT 2 * contract_id AS contract_id, entity_id, supplier_number, value FROM c WHERE value > 0 AND contract_id % 50 = 1 UNION ALL SELECT 2 * contract_id + 1, entity_id, supplier_number, value * 1000 FROM c WHERE value > 0 AND contract_id % 100 = 1)"
+THOUSAND = "(SELECT 2 * contract_id AS contract_id, entity_id, supplier_number, value::DECIMAL(28,2) AS value FROM c WHERE value > 0 AND contract_id % 50 = 1 UNION ALL SELECT 2 * contract_id + 1, entity_id, supplier_number, value::DECIMAL(28,2) * 1000 FROM c WHERE value > 0 AND contract_id % 100 = 1)"
 
 
 @query(f"SELECT a.entity_id, a.contract_id, b.contract_id AS other_id, a.value::DOUBLE AS value FROM {THOUSAND} a JOIN {THOUSAND} b ON a.entity_id = b.entity_id AND b.value = a.value * 1000 AND a.supplier_number IS NOT DISTINCT FROM b.supplier_number AND a.contract_id <> b.contract_id")
 def x1000_pairs(spark, sf):
     c = b.contracts(spark, sf).where("value > 0")
     one = c.where("contract_id % 50 = 1").withColumn("contract_id", 2 * F.col("contract_id"))
-    thousand = c.where("contract_id % 100 = 1").withColumn("value", (F.col("value") * 1000).cast("decimal(18,2)")).withColumn("contract_id", 2 * F.col("contract_id") + 1)
+    thousand = c.where("contract_id % 100 = 1").withColumn("value", (F.col("value") * 1000).cast("decimal(28,2)")).withColumn("contract_id", 2 * F.col("contract_id") + 1)
     return quality.thousand_times(one.unionByName(thousand)).withColumn("value", F.col("value").cast("double"))
 
 
@@ -576,7 +576,7 @@ def money_formats(spark, sf):
 # --- rules
 
 GROUPS = """(SELECT entity_id, supplier_number, CAST(date_trunc('month', signed_on) AS DATE) AS month, count(*) AS contracts, sum(value) AS total, any_value(ceiling) AS ceiling, any_value(p95) AS p95, any_value(n) AS entity_contracts FROM small JOIN
-  (SELECT entity_id, max(value) AS ceiling, round(quantile_cont(value::DOUBLE, 0.95), 2) AS p95, count(*) AS n FROM small GROUP BY 1) USING (entity_id) GROUP BY ALL)"""
+  (SELECT entity_id, max(value) AS ceiling, quantile_cont(value::DOUBLE, 0.95) AS p95, count(*) AS n FROM small GROUP BY 1) USING (entity_id) GROUP BY ALL)"""
 VERDICT = f"(SELECT *, total::DOUBLE / ceiling::DOUBLE AS times, CASE WHEN ceiling <= 0 OR p95 <= 0 OR ceiling / p95 >= 20 OR entity_contracts < 5 THEN 'blind' WHEN contracts >= 2 AND total::DOUBLE / ceiling::DOUBLE > CASE WHEN ceiling < 15000 THEN 2.91 WHEN ceiling < 20000 THEN 1.95 ELSE 1.42 END THEN 'fires' ELSE 'quiet' END AS verdict FROM {GROUPS})"
 
 
@@ -584,10 +584,10 @@ def _verdicts(spark, sf):
     return rules.splitting_verdict(rules.splitting_groups(b.small(spark, sf)), tiers=((15_000, 2.91), (20_000, 1.95)))
 
 
-@query(f"SELECT entity_id, supplier_number, month, contracts, total::DOUBLE AS total, ceiling::DOUBLE AS ceiling, p95, entity_contracts FROM {GROUPS} WHERE contracts > 1")
+@query(f"SELECT entity_id, supplier_number, month, contracts, total::DOUBLE AS total, ceiling::DOUBLE AS ceiling, round(p95, 4) AS p95, entity_contracts FROM {GROUPS} WHERE contracts > 1")
 def splitting_groups(spark, sf):
     rows = rules.splitting_groups(b.small(spark, sf)).where("contracts > 1")
-    return rows.select("entity_id", "supplier_number", "month", "contracts", F.col("total").cast("double").alias("total"), F.col("ceiling").cast("double").alias("ceiling"), "p95", "entity_contracts")
+    return rows.select("entity_id", "supplier_number", "month", "contracts", F.col("total").cast("double").alias("total"), F.col("ceiling").cast("double").alias("ceiling"), F.round("p95", 4).alias("p95"), "entity_contracts")
 
 
 @query(f"SELECT entity_id, supplier_number, month, verdict, round(times, 4) AS times FROM {VERDICT}")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 SPACE = " \t\n\x0b\x0c\r"
 
 _own_folder: list[str] = []
+_folders: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +39,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}-{name}"
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}-{name}"
+    _folders.append(path)
+    return path
+
+
+def release() -> None:
+    """Remove what this process has written to the shared folder. DataFrames that read it end with it."""
+    from pyarrow import fs
+
+    while _folders:
+        store, path = store_of(_folders.pop())
+        if store.get_file_info(path).type == fs.FileType.Directory:
+            store.delete_dir(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

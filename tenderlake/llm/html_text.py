@@ -30,6 +30,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
+NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -40,8 +42,8 @@ RAW = frozenset("script style title textarea xmp noembed noframes iframe".split(
 DROPPED = frozenset("nav footer aside form script style title textarea noscript template select button iframe svg canvas object dialog menu head xmp noembed noframes audio video map".split())
 #: Parts of class and id names, and roles, of what is not main text.
 SIGNS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar menu nav navbar navigation topbar breadcrumb breadcrumbs"
-    " footer masthead cookie cookies consent notice notices gdpr alert popup modal overlay newsletter subscribe subscription signup share sharing social related"
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner banners sidebar sidebars menu menus submenu nav navs navbar navigation topbar breadcrumb breadcrumbs"
+    " footer footers masthead cookie cookies consent notice notices gdpr alert popup modal overlay newsletter subscribe subscription signup share sharing social related"
     " recommended recommendations comment comments commentlist respond disqus login search searchbox widget toolbar copyright pagination pager skip hidden".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -58,8 +60,11 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
         return True
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and not SIGNS.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
+        if key in ("class", "id"):
+            # parts of names, written with dashes or in camel case
+            parts = {x.lower() for x in NAME_PART.findall(m[2] or m[3] or m[4] or "")} | set(re.split(r"[\s_-]+", value))
+            if not SIGNS.isdisjoint(parts) or "header" in parts and not in_article:
+                return True
         if key == "role" and value in ROLES or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     return False
@@ -142,7 +147,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if name in RAW:
             end = re.compile(rf"</{name}", re.I).search(page, at)
             at = end.start() if end else size
-        within = in_article or name in ("article", "main")
+        within = in_article or name in ("article", "main") or "main" in attributes and re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I) is not None
         aside = aside or _is_aside(name, attributes, in_article)
         in_article = within
         stack.append((name, aside, in_article))

@@ -33,6 +33,8 @@ LONG = "This is a sentence of the main text that has a fair length. " * 3
         ("<article><p title='a > b'>x</p><form><p>name</p></form><!-- <p>no</p> --><p>y</article>", "x\n\ny"),
         (f"<div><a href=/>Home</a></div><div><a href=/>News</a></div><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p><div class=footer>(c)</div>", f"Title\n\n{LONG.strip()}\n\nShort.\n\n{LONG.strip()}"),
         ("<article><p>" + "<b>" * 5000 + "deep</article>", "deep"), ('<article><p class="x>open</p> quote</article>', "open\n\nquote"),
+        ("<div class=siteHeader>Site</div><div role='main'><p class=lead>One</p><div id=cookieNotice>Accept</div><p>Two</p></div><div class='reader-comments'><p>Me too</p></div>", "One\n\nTwo"),
+        ("<article><header><h1>T</h1></header><div class='article-header'>By A</div><p>x<img src=a><p>y</article><article><p>z</article>", "T\n\nBy A\n\nx\n\ny\n\nz"),
         ("<ARTICLE><P>&#233;&#x41;&eacute;&bogus;</P></ARTICLE>", "éAé&bogus;"),
     ],
 )

@@ -182,3 +182,36 @@ def quintile_breaks(df: DataFrame, value: str, parts: int = 5) -> DataFrame:
     sorted_values = df.agg(F.array_sort(F.collect_list(value)).alias("v"))
     places = F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda i: F.bround(i * F.size("v") / parts, 0).cast("int"))
     return sorted_values.select(F.array_distinct(F.transform(places, lambda p: F.element_at("v", F.least(p + 1, F.size("v"))))).alias("breaks"))
+
+
+def against_last_week(days: DataFrame) -> DataFrame:
+    """daily() with the contracts of the same weekday a week before, 0 where there were none, and the change in per cent."""
+    before = days.select(F.date_add("signed_on", 7).alias("signed_on"), F.col("contracts").alias("before"))
+    out = days.join(before, "signed_on", "left").withColumn("before", F.coalesce("before", F.lit(0)))
+    return out.withColumn("change", V.variation(F.col("contracts"), F.col("before")))
+
+
+def against_previous(periods: DataFrame) -> DataFrame:
+    """calendar_rollup() of weeks or months with the previous period that has contracts, the change and its trend. Windows run over periods."""
+    before = F.lag("contracts").over(Window.orderBy("start"))
+    out = periods.withColumn("before", before).withColumn("change", V.variation(F.col("contracts"), F.col("before")))
+    return out.withColumn("trend", V.trend(F.col("change"), 0.05))
+
+
+def missing_days(periods: DataFrame, unit: str) -> DataFrame:
+    """Calendar days of each period before its first and after its last day with data."""
+    end = F.last_day("start") if unit == "month" else F.date_add("start", 6)
+    return periods.select("start", F.date_diff("first_day", "start").alias("at_start"), F.date_diff(end, "last_day").alias("at_end"))
+
+
+def same_kind_of_day(days: DataFrame, calendar: DataFrame) -> DataFrame:
+    """daily() with comparable: whether the day and the one a week before are equally business days or not."""
+    kind = F.broadcast(calendar.select(F.col("day"), F.col("business")))
+    now = days.join(kind.withColumnRenamed("day", "signed_on"), "signed_on")
+    then = kind.select(F.date_add("day", 7).alias("signed_on"), F.col("business").alias("__then"))
+    return now.join(then, "signed_on", "left").withColumn("comparable", F.col("business").eqNullSafe(F.col("__then"))).drop("__then")
+
+
+def skewed_mean(figures: DataFrame, times: float = 3.0) -> DataFrame:
+    """figures() with note: whether the mean is so many times the median that it says little."""
+    return figures.withColumn("note", F.coalesce(F.col("mean") >= times * F.col("median"), F.lit(False)))

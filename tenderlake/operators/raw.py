@@ -78,3 +78,33 @@ def rekey_matches(origin: DataFrame, made: DataFrame, key: str) -> DataFrame:
     a = origin.agg(F.count(F.lit(1)).alias("origin_rows"), F.countDistinct(key).alias("origin_keys"))
     b = made.agg(F.count(F.lit(1)).alias("made_rows"), F.countDistinct(key).alias("made_keys"))
     return a.crossJoin(b).withColumn("matches", F.col("made_keys") >= F.col("origin_keys"))
+
+
+def numeric_changes(df: DataFrame, keys: list[str], order: list[Column], content: str, fields: list[str]) -> DataFrame:
+    """Each numeric field that differs between a key's newest version and the one before, with after by before.
+
+    Text that is no number counts as none; so does a former 0 for the ratio.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    both = df.withColumn("__n", F.row_number().over(w)).withColumn("__old", F.lead(content).over(w)).where("__n = 1 AND __old IS NOT NULL")
+    number = lambda c, f: F.get_json_object(c, f"$.{f}").try_cast("double")
+    rows = F.array(*(F.struct(F.lit(f).alias("field"), number(F.col("__old"), f).alias("before"), number(F.col(content), f).alias("after")) for f in fields))
+    out = both.select(*keys, F.inline(rows)).where("before IS NOT NULL AND after IS NOT NULL AND before <> after")
+    return out.withColumn("ratio", F.when(F.col("before") != 0, F.col("after") / F.col("before")))
+
+
+def format_verdicts(df: DataFrame, keys: list[str], order: list[Column], content: str, field: str) -> DataFrame:
+    """How a field's text changed from the version before to the newest: same, only format (equal as a number), value, appeared or vanished."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    both = df.withColumn("__n", F.row_number().over(w)).withColumn("__has", F.lead(F.lit(1)).over(w)).withColumn("__old", F.lead(content).over(w)).where("__n = 1 AND __has = 1")
+    now, old = F.get_json_object(content, f"$.{field}"), F.get_json_object("__old", f"$.{field}")
+    verdict = (
+        F.when(now.eqNullSafe(old), "same").when(old.isNull(), "appeared").when(now.isNull(), "vanished")
+        .when(now.try_cast("decimal(38,6)") == old.try_cast("decimal(38,6)"), "format").otherwise("value")
+    )
+    return both.select(*keys, verdict.alias("verdict"))
+
+
+def repeated_keys(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The first n keys, in order, that have several rows, and how many."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").orderBy(key).limit(n)

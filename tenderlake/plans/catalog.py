@@ -746,3 +746,145 @@ def typed_values(spark, sf):
 def archive_size(spark, sf):
     tops = blocks.top_of_buckets(b.published(spark, sf), 10**9)
     return tops.agg(F.countDistinct("key").alias("keys"), blocks.rows().alias("rows"))
+
+
+# --- comparisons over the calendar
+
+
+@query("""SELECT p.signed_on, p.n AS contracts, coalesce(q.n, 0) AS before, CASE WHEN q.n > 0 THEN round(100 * (p.n - q.n) / q.n, 4) END AS change
+  FROM (SELECT signed_on, count(*) AS n FROM pub GROUP BY 1) p LEFT JOIN (SELECT signed_on + 7 AS signed_on, count(*) AS n FROM pub GROUP BY 1) q ON p.signed_on = q.signed_on""")
+def days_against_last_week(spark, sf):
+    rows = blocks.against_last_week(blocks.daily(b.published(spark, sf)))
+    return r4(rows.select("signed_on", "contracts", "before", "change"), "change")
+
+
+@query("""SELECT start, contracts, before, round(100 * (contracts - before) / before, 4) AS change, CASE WHEN before IS NULL THEN 'unknown' WHEN abs(100 * (contracts - before) / before) < 0.05 THEN 'flat' WHEN contracts > before THEN 'up' ELSE 'down' END AS trend
+  FROM (SELECT *, lag(contracts) OVER (ORDER BY start) AS before FROM (SELECT CAST(date_trunc('month', signed_on) AS DATE) AS start, count(*) AS contracts FROM pub GROUP BY 1))""")
+def months_against_previous(spark, sf):
+    rows = blocks.against_previous(blocks.calendar_rollup(b.published(spark, sf), "month"))
+    return r4(rows.select("start", "contracts", "before", "change", "trend"), "change")
+
+
+@query("SELECT CAST(date_trunc('month', signed_on) AS DATE) AS start, CAST(min(signed_on) - CAST(date_trunc('month', min(signed_on)) AS DATE) AS INTEGER) AS at_start, CAST(last_day(max(signed_on)) - max(signed_on) AS INTEGER) AS at_end FROM pub GROUP BY 1")
+def missing_days(spark, sf):
+    return blocks.missing_days(blocks.calendar_rollup(b.published(spark, sf), "month"), "month")
+
+
+BUSINESS = f"isodow({{0}}) <= 5 AND {{0}} NOT IN ({HOLIDAYS})"
+
+
+@query(f"SELECT signed_on, count(*) AS contracts, any_value({BUSINESS.format('signed_on')}) AS business, any_value(({BUSINESS.format('signed_on')}) = ({BUSINESS.format('(signed_on - 7)')})) AS comparable FROM pub GROUP BY 1")
+def comparable_days(spark, sf):
+    days = cal.calendar(spark, date(1994, 12, 1), date(2001, 12, 31))
+    return blocks.same_kind_of_day(blocks.daily(b.published(spark, sf)), days).select("signed_on", "contracts", "business", "comparable")
+
+
+@query(f"SELECT CAST(date_trunc('week', signed_on) AS DATE) AS week, signed_on >= DATE '{CUT}' AS after, count(*) AS contracts, round(count(*) / count(DISTINCT signed_on), 4) AS per_day FROM pub GROUP BY ALL")
+def weeks_by_regime(spark, sf):
+    rows = b.published(spark, sf).groupBy(F.trunc("signed_on", "week").alias("week"), (F.col("signed_on") >= F.lit(CUT)).alias("after"))
+    return r4(rows.agg(blocks.rows().alias("contracts"), (blocks.rows() / F.countDistinct("signed_on")).alias("per_day")), "per_day")
+
+
+@query("SELECT count(*) AS contracts, round(quantile_cont(value::DOUBLE, 0.5), 4) AS median, round(avg(value::DOUBLE), 2) AS mean, coalesce(avg(value::DOUBLE) >= 3 * quantile_cont(value::DOUBLE, 0.5), false) AS note FROM c")
+def mean_note(spark, sf):
+    rows = blocks.skewed_mean(blocks.figures(b.contracts(spark, sf))).select("contracts", "median", "mean", "note")
+    return rows.withColumns({"median": F.round("median", 4), "mean": F.round("mean", 2)})
+
+
+# --- identity gaps, fields and versions
+
+
+@query(f"SELECT coalesce(supplier_type, 'SIN IDENTIDAD') AS kind, {FIGURES}, round(100 * count(*) / sum(count(*)) OVER (), 4) AS share FROM c GROUP BY 1")
+def identity_split(spark, sf):
+    from pyspark.sql import Window
+
+    rows = b.contracts(spark, sf).groupBy(F.coalesce("supplier_type", F.lit("SIN IDENTIDAD")).alias("kind")).agg(blocks.rows().alias("contracts"), blocks.money("value").alias("value"))
+    return r4(rows.withColumn("share", 100 * F.col("contracts") / F.sum("contracts").over(Window.partitionBy())), "share")
+
+
+@query("SELECT state, count(*) FILTER (WHERE upper(supplier_name) = 'NO DEFINIDO') AS undefined, count(*) FILTER (WHERE supplier_number IS NULL) AS without_document, count(*) AS contracts FROM c GROUP BY 1")
+def undefined_by_state(spark, sf):
+    return b.contracts(spark, sf).groupBy("state").agg(F.count_if(F.upper("supplier_name") == "NO DEFINIDO").alias("undefined"), F.count_if(F.col("supplier_number").isNull()).alias("without_document"), blocks.rows().alias("contracts"))
+
+
+@query("SELECT p_name AS name, count(DISTINCT p_brand) AS brands, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS listed FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1", prelude=False)
+def shared_names(spark, sf):
+    rows = table(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.countDistinct("p_brand").alias("brands"), F.array_join(F.array_sort(F.collect_set("p_brand")), "|").alias("listed"))
+    return rows.where("brands > 1")
+
+
+@query("SELECT dataset, row_id, 'k' AS field, CAST(old ->> 'k' AS DOUBLE) AS before, CAST(content ->> 'k' AS DOUBLE) AS after, round(CASE WHEN CAST(old ->> 'k' AS DOUBLE) <> 0 THEN CAST(content ->> 'k' AS DOUBLE) / CAST(old ->> 'k' AS DOUBLE) END, 4) AS ratio FROM (SELECT *, row_number() OVER w AS n, lead(content) OVER w AS old FROM version WINDOW w AS (PARTITION BY dataset, row_id ORDER BY seen_at DESC, event_id)) WHERE n = 1 AND old IS NOT NULL AND (old ->> 'k') <> (content ->> 'k')")
+def numeric_changes(spark, sf):
+    return r4(raw.numeric_changes(b.versions(spark, sf), ["dataset", "row_id"], [F.desc("seen_at"), F.col("event_id")], "content", ["k"]), "ratio")
+
+
+@query("""SELECT verdict, count(*) AS keys FROM (SELECT CASE WHEN new = old THEN 'same' WHEN CAST(new AS DOUBLE) = CAST(old AS DOUBLE) THEN 'format' ELSE 'value' END AS verdict FROM (SELECT row_number() OVER w AS n, v AS new, lead(v) OVER w AS old FROM
+  (SELECT *, (content ->> 'k') || CASE WHEN event_id % 2 = 0 THEN '.0' ELSE '' END AS v FROM version) WINDOW w AS (PARTITION BY dataset, row_id % 20 ORDER BY seen_at DESC, event_id)) WHERE n = 1 AND old IS NOT NULL) GROUP BY 1""")
+def format_verdicts(spark, sf):
+    k = F.concat(F.get_json_object("content", "$.k"), F.when(F.col("event_id") % 2 == 0, ".0").otherwise(""))
+    rows = b.versions(spark, sf).withColumn("row_id", F.col("row_id") % 20).withColumn("content", F.to_json(F.struct(k.alias("k"))))
+    return raw.format_verdicts(rows, ["dataset", "row_id"], [F.desc("seen_at"), F.col("event_id")], "content", "k").groupBy("verdict").agg(blocks.rows().alias("keys"))
+
+
+@query("SELECT CAST(seen_at AS DATE) AS day, length(content) AS size, count(*) AS rows FROM version GROUP BY ALL")
+def rows_by_day_and_length(spark, sf):
+    return b.versions(spark, sf).groupBy(F.to_date("seen_at").alias("day"), F.length("content").cast("long").alias("size")).agg(blocks.rows().alias("rows"))
+
+
+@query("SELECT process_id, count(*) AS rows FROM snapshot GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 300")
+def repeated_keys(spark, sf):
+    return raw.repeated_keys(b.snapshots(spark, sf), "process_id", 300)
+
+
+@query("SELECT count(*) AS rows, count(DISTINCT process_id) AS processes, count(DISTINCT process_id || '|' || coalesce(line::VARCHAR, '')) AS awards FROM snapshot")
+def award_counts(spark, sf):
+    key = F.concat_ws("|", F.col("process_id"), F.coalesce(F.col("line").cast("string"), F.lit("")))
+    return b.snapshots(spark, sf).agg(blocks.rows().alias("rows"), F.countDistinct("process_id").alias("processes"), F.countDistinct(key).alias("awards"))
+
+
+# --- more of the rules' measurements
+
+
+@query("SELECT entity_id, max(value)::DOUBLE AS ceiling, round(quantile_cont(value::DOUBLE, 0.95), 4) AS p95, count(*) AS contracts, max(value)::DOUBLE / quantile_cont(value::DOUBLE, 0.95) >= 20 OR count(*) < 5 AS blind FROM small GROUP BY 1")
+def entity_ceilings(spark, sf):
+    v = F.col("value").cast("double")
+    rows = b.small(spark, sf).groupBy("entity_id").agg(F.max(v).alias("ceiling"), F.percentile(v, 0.95).alias("p95"), blocks.rows().alias("contracts"))
+    return r4(rows.withColumn("blind", (F.col("ceiling") / F.col("p95") >= 20) | (F.col("contracts") < 5)), "p95")
+
+
+@query(f"SELECT entity_id, supplier_number, month, round(times, 4) AS times FROM {VERDICT} WHERE verdict = 'fires' ORDER BY month, entity_id, supplier_number LIMIT 50")
+def flag_page(spark, sf):
+    """By month and entity, never by size."""
+    rows = r4(_verdicts(spark, sf).where("verdict = 'fires'").select("entity_id", "supplier_number", "month", "times"), "times")
+    return rows.orderBy("month", "entity_id", "supplier_number").limit(50)
+
+
+@query("SELECT modality, count(*) FILTER (WHERE bidders <= 1) AS single, count(*) AS awarded, round(100 * count(*) FILTER (WHERE bidders <= 1) / count(*), 4) AS share FROM process WHERE awarded GROUP BY 1")
+def single_bidder_share(spark, sf):
+    rows = b.processes(spark, sf).where("awarded").groupBy("modality").agg(F.count_if(F.col("bidders") <= 1).alias("single"), blocks.rows().alias("awarded"))
+    return r4(rows.withColumn("share", 100 * F.col("single") / F.col("awarded")), "share")
+
+
+@query("SELECT bidders, round(quantile_cont(views, 0.25), 4) AS p25, round(quantile_cont(views, 0.5), 4) AS p50, round(quantile_cont(views, 0.75), 4) AS p75, count(*) AS processes FROM process WHERE awarded GROUP BY 1")
+def funnel_quartiles(spark, sf):
+    rows = b.processes(spark, sf).where("awarded").groupBy("bidders")
+    return rows.agg(*(F.round(F.percentile("views", p / 100), 4).alias(f"p{p}") for p in (25, 50, 75)), blocks.rows().alias("processes"))
+
+
+@query(f"SELECT others, count(*) AS people FROM (SELECT person, count(DISTINCT o) AS others FROM (SELECT person, a_other AS o FROM {OVERLAP} UNION SELECT person, b_other FROM {OVERLAP}) GROUP BY 1) GROUP BY 1")
+def people_by_entities(spark, sf):
+    pairs = windows.overlaps(b.stays(spark, sf), "person", "stay_id", "start", "end", "entity")
+    return windows.partners(pairs, "person").groupBy("others").agg(blocks.rows().alias("people"))
+
+
+@query("""SELECT conv_id, count(*) AS posts, count(*) FILTER (WHERE length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g')) > 280) AS too_long, CAST(max(length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g'))) AS BIGINT) AS longest FROM conversations GROUP BY 1""", prelude=False)
+def post_lengths(spark, sf):
+    size = publish.post_length(F.col("text"))
+    rows = table(spark, sf, "conversations").groupBy("conv_id")
+    return rows.agg(blocks.rows().alias("posts"), F.count_if(size > publish.POST_LIMIT).alias("too_long"), F.max(size).cast("long").alias("longest"))
+
+
+@query("SELECT dataset, count(*) FILTER (WHERE k BETWEEN 20 AND 40) AS within, count(*) AS rows FROM (SELECT dataset, CAST(content ->> 'k' AS INTEGER) AS k FROM version) GROUP BY 1")
+def lenient_counters(spark, sf):
+    k = F.trim(F.get_json_object("content", "$.k")).try_cast("int")
+    return b.versions(spark, sf).groupBy("dataset").agg(F.count_if(k.between(20, 40)).alias("within"), blocks.rows().alias("rows"))

@@ -113,8 +113,9 @@ class LabelModel:
     """Shares of the classes and the chances of each vote by class.
 
     The first class is that of good texts; the others are kinds of bad ones, in
-    the order of names. chances[class][rule] holds the chances that the rule
-    votes -1, abstains and votes 1.
+    the order of names. chances[class][rule] holds the chances that the rule,
+    where it votes, votes -1 or 1; between them stands 1 for abstaining, which
+    says nothing about a text.
     """
 
     names: tuple[str, ...]
@@ -155,18 +156,19 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, names: list[str], rounds:
     any_against = against.sum(1, keepdims=True)
     good = np.where(any_against > 0, 0.1, 0.97)
     member = np.hstack([good, (1 - good) * np.where(any_against > 0, against / np.maximum(any_against, 1), 1 / n)])
-    prior = np.array([ERROR, ERROR, 1 - 2 * ERROR])
+    shown[:, :, 1] = 0  # abstentions count for no class
+    prior = np.array([ERROR, 0, 1 - ERROR])
     for _ in range(rounds):
         mass = counts[:, None] * member
         shares = (mass.sum(0) + 1) / (total + n + 1)
         seen = np.einsum("pc,pjv->cjv", mass, shown)
         seen[0] += 0.2 * total * prior
-        seen[1:] += np.array([1.0, 1.0, 1.0])
+        seen[1:] += np.array([1.0, 0.0, 1.0])
         chance = seen / seen.sum(2, keepdims=True)
         for j in range(n):
             if chance[j + 1, j, 0] < HEAD:
-                rest = chance[j + 1, j, 1:].sum()
-                chance[j + 1, j] = [HEAD, *(chance[j + 1, j, 1:] / rest * (1 - HEAD))]
+                chance[j + 1, j] = [HEAD, 0, 1 - HEAD]
+        chance[:, :, 1] = 1
         weight = np.log(shares) + np.einsum("pjv,cjv->pc", shown, np.log(chance))
         new = np.exp(weight - weight.max(1, keepdims=True, initial=-np.inf)) if len(weight) else weight
         new = new / new.sum(1, keepdims=True)

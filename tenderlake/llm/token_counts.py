@@ -20,6 +20,8 @@ from .common import with_columns
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Pre-tokens whose counts a task keeps, and the longest of them.
 KEPT, KEPT_LENGTH = 500_000, 64
+#: Up to this length a scan beats a heap.
+SHORT = 60
 
 
 def byte_letters() -> list[str]:
@@ -31,6 +33,26 @@ def byte_letters() -> list[str]:
 
 def merged_length(letters: str, ranks: dict[tuple[str, str], int]) -> int:
     """The number of tokens after merging, lowest rank first and leftmost among equals."""
+    return _merged_short(letters, ranks) if len(letters) <= SHORT else _merged_long(letters, ranks)
+
+
+def _merged_short(letters: str, ranks: dict[tuple[str, str], int]) -> int:
+    """By scanning the ranks of all neighbours for the lowest."""
+    parts, rank, never = list(letters), ranks.get, len(ranks)
+    found = [rank(p, never) for p in zip(parts, parts[1:])]
+    while found and (least := min(found)) < never:
+        i = found.index(least)
+        parts[i] += parts.pop(i + 1)
+        found.pop(i)
+        if i < len(found):
+            found[i] = rank((parts[i], parts[i + 1]), never)
+        if i:
+            found[i - 1] = rank((parts[i - 1], parts[i]), never)
+    return len(parts)
+
+
+def _merged_long(letters: str, ranks: dict[tuple[str, str], int]) -> int:
+    """By a heap of neighbours, in time near the length."""
     parts: list[str | None] = list(letters)
     n = len(parts)
     if n < 2:
@@ -66,10 +88,6 @@ class Counter:
         self.letters = byte_letters()
         byte = {c: b for b, c in enumerate(self.letters)}
         self.whole = frozenset(self._proved(made["model"]["vocab"], byte))
-        self._count: Callable[[str], int] | None = None
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_count": None}
 
     def _proved(self, vocab: Iterable[str], byte: dict[str, int]) -> Iterable[str]:
         """Vocabulary strings that are one pre-token and that merge into one token."""
@@ -82,9 +100,7 @@ class Counter:
                 yield text
 
     def counter(self) -> Callable[[str], int]:
-        """A function from a text to its number of tokens; made once a process."""
-        if self._count:
-            return self._count
+        """A function from a text to its number of tokens."""
         letters, ranks = self.letters, self.ranks
 
         class Table(dict):
@@ -125,7 +141,6 @@ class Counter:
                 return len(special.findall(text)) + sum(map(plain, special.split(text)))
             return plain(text)
 
-        self._count = count
         return count
 
 
@@ -135,10 +150,15 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 51
     path is the vocabulary file, read once by the driver; tasks get its tables.
     Columns of those names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Counter(path))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(Counter(path)))
 
     def row() -> Callable[[str | None], tuple]:
-        count = shared.value.counter()
+        tables = shared.value  # one object for all tasks of a worker, which so share what they have counted
+        if "count" not in tables:
+            made = object.__new__(Counter)
+            vars(made).update(tables)
+            tables["count"] = made.counter()
+        count = tables["count"]
 
         def one(x: str | None) -> tuple:
             x = x or ""

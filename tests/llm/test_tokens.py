@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import duckdb
 import pytest
@@ -70,3 +71,11 @@ def test_words_meet_at_any_white_space():
         for text in (f"a {c}b", f"E{c} \t{c}a", f"{c}\n{c} {c}"):
             parts = [i for w in text.encode().split() for i in made.encode(w.decode(), add_special_tokens=False).ids]
             assert parts == made.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_both_ways_of_merging_agree():
+    rng = random.Random(8)
+    made = token_counts.Counter(queries.vocabulary("byte_bpe_50k.json"))
+    for _ in range(2000):
+        piece = "".join(rng.choice("etaoinshrdlu\u0120ing") for _ in range(rng.randint(0, 70)))
+        assert token_counts._merged_short(piece, made.ranks) == token_counts._merged_long(piece, made.ranks)

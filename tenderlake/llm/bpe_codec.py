@@ -260,11 +260,17 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, piece = to_arrow_schema(schema), shared.value
+        import pyarrow.compute as pc
+
+        arrow, piece = to_arrow_schema(schema), pa.array(shared.value, pa.string())
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                texts = [None if x is None else " ".join(map(piece.__getitem__, x)) for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in kept), pa.array(texts, pa.string())], schema=arrow)
+                column = part.column(ids)
+                lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                texts = pc.binary_join(pa.ListArray.from_arrays(offsets, piece.take(column.flatten())), " ")
+                texts = pc.if_else(column.is_null(), pa.scalar(None, pa.string()), texts)
+                yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in kept), texts], schema=arrow)
 
     return encoded.select(*kept).mapInArrow(run, schema)

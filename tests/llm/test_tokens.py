@@ -79,3 +79,10 @@ def test_both_ways_of_merging_agree():
     for _ in range(2000):
         piece = "".join(rng.choice("etaoinshrdlu\u0120ing") for _ in range(rng.randint(0, 70)))
         assert token_counts._merged_short(piece, made.ranks) == token_counts._merged_long(piece, made.ranks)
+
+
+def test_decoding_nulls_and_nothing(spark):
+    path = queries.vocabulary("word_bpe_49k.json")
+    df = spark.createDataFrame([(1, None), (2, []), (3, [320, 49407, 0])], "doc_id long, ids array<int>").coalesce(1)
+    piece = bpe_codec.pieces(path)
+    assert {r.doc_id: r.decoded for r in bpe_codec.decode(df, path).collect()} == {1: None, 2: "", 3: f"{piece[320]} <|endoftext|> !"}

@@ -188,6 +188,13 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """The rows of docs with the smallest doc_id of each group; of rows with that doc_id, one. Rows without doc_id go."""
     from pyspark.sql import Window
 
-    stay = groups(docs, text, doc_id).where(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
+    found = groups(docs, text, doc_id).where(F.col(doc_id) == F.col("component_id"))
+    stay = written(found.groupBy(doc_id).agg(F.count(F.lit(1)).alias("__n")), "kept-ids")
+    # the ids are the side that is hashed: the texts stream past them and are never sorted
+    among = lambda ids: docs.join(ids.select(doc_id).hint("shuffle_hash"), doc_id, "left_semi").select(*docs.columns)
+    repeated = stay.where("__n > 1")
+    if repeated.isEmpty():
+        return among(stay)
     number = F.row_number().over(Window.partitionBy(doc_id).orderBy(doc_id))
-    return docs.join(stay, doc_id, "left_semi").withColumn("__n", number).where("__n = 1").select(*docs.columns)
+    one = among(repeated).withColumn("__n", number).where("__n = 1").drop("__n")
+    return among(stay.where("__n = 1")).unionByName(one)

@@ -35,7 +35,7 @@ WITH snapshot AS (
   SELECT o_custkey % 200 AS entity_id, l_suppkey % 10 AS supplier_number, CAST(o_orderdate AS DATE) AS signed_on, CAST(l_extendedprice AS DECIMAL(18,2)) AS value
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity <= 10
 ), stay AS (
-  SELECT o_custkey % 300 AS person, o_custkey % 7 AS entity, o_orderkey AS stay_id, CAST(o_orderdate AS DATE) AS start, published_on AS end_
-  FROM orders JOIN process ON o_orderkey = process_id WHERE published_on >= CAST(o_orderdate AS DATE) AND published_on <= CAST(o_orderdate AS DATE) + 90
+  SELECT o_custkey AS person, o_orderkey % 7 AS entity, o_orderkey AS stay_id, CAST(o_orderdate AS DATE) AS start, published_on AS end_
+  FROM orders JOIN process ON o_orderkey = process_id WHERE published_on >= CAST(o_orderdate AS DATE)
 ), version AS (SELECT event_type AS dataset, user_id AS row_id, ts AS seen_at, props AS content, event_id, value FROM events)
 """

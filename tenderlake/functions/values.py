@@ -17,6 +17,8 @@ SENTINELS = ("NO DEFINIDO", "SIN DESCRIPCION", "NO DEFINIDA", "NO APLICA", "")
 JOINT_VENTURE = "UNION TEMPORAL O CONSORCIO SIN DOCUMENTO"
 # Fixed pattern: document types of natural persons.
 PERSON = r"(?iu)c[eé]dula|pasaporte|nuip|tarjeta de identidad|registro civil|permiso (especial|por)"
+# Words inside a name that stay in lower case.
+LINKING = ("de", "del", "la", "las", "los", "y", "e")
 # Fixed value: contracts from here on have impossible values.
 SCALE_CEILING = Decimal("1e14")
 
@@ -61,6 +63,11 @@ def check_digit(number: Column) -> Column:
     return F.when(number.rlike(r"^[0-9]{1,15}$"), F.when(rest < 2, rest).otherwise(11 - rest))
 
 
+def one_character(c: Column) -> Column:
+    """Whether the text is one character, repeated or not."""
+    return c.rlike(r"^(.)\1*$")
+
+
 def supplier_number(kind: Column, number: Column) -> Column:
     """The canonical document number; null where it identifies nobody.
 
@@ -68,7 +75,7 @@ def supplier_number(kind: Column, number: Column) -> Column:
     repeated. A tax id of ten digits from 8 or 9 loses a check digit that is right.
     """
     bare = F.regexp_replace(number, "[^0-9A-Za-z]", "")
-    real = F.when(bare.rlike("[0-9]") & ~bare.rlike(r"^(.)\1*$"), bare)
+    real = F.when(bare.rlike("[0-9]") & ~one_character(bare), bare)
     body = F.substring(real, 1, 9)
     checked = normalized(kind).startswith("NIT") & real.rlike("^[89][0-9]{9}$") & (check_digit(body) == F.substring(real, 10, 1).try_cast("int"))
     return F.when(F.coalesce(checked, F.lit(False)), body).otherwise(real)
@@ -140,3 +147,9 @@ def compact_money(value: Column) -> Column:
     said = lambda scale, name: F.concat(F.lit("$"), colombian(value / scale, 1), F.lit(f" {name}"))
     size = F.abs(value)
     return F.when(size >= 1e12, said(1e12, "billones")).when(size >= 1e9, said(1e9, "mil millones")).when(size >= 1e6, said(1e6, "millones")).otherwise(F.concat(F.lit("$"), colombian(value)))
+
+
+def title(c: Column) -> Column:
+    """A name in title case: linking words but the first stay small, words with a point stay as they are."""
+    word = lambda w, i: F.when(w.contains("."), w).when((i > 0) & F.lower(w).isin(*LINKING), F.lower(w)).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30))))
+    return F.array_join(F.transform(F.split(F.trim(F.regexp_replace(c, r"\s+", " ")), " "), word), " ")

@@ -51,6 +51,17 @@ def coverage(df: DataFrame) -> DataFrame:
     )
 
 
+def part(name: str, condition: Column) -> list[Column]:
+    """The contracts that meet a condition, and their value."""
+    return [F.count_if(condition).alias(name), money(F.when(condition, F.col("value"))).alias(f"{name}_value")]
+
+
+def identities(df: DataFrame) -> DataFrame:
+    """One row: contracts and value by what is known of the supplier. Those of identified suppliers without a name count as identified too."""
+    kinds = {"identified": real(), "ventures": F.col("provisional"), "unidentified": F.col("provisional").isNull(), "nameless": real() & V.is_sentinel(F.col("supplier_name"))}
+    return df.agg(*(c for name, condition in kinds.items() for c in part(name, condition)))
+
+
 def ranking(df: DataFrame, by: list[str], k: int, order: str = "value", ties: list[str] | None = None) -> DataFrame:
     """The k groups with most value (or contracts); ties by the group's columns."""
     out = df.groupBy(*by).agg(rows().alias("contracts"), money("value").alias("value"))

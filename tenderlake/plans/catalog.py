@@ -888,3 +888,301 @@ def post_lengths(spark, sf):
 def lenient_counters(spark, sf):
     k = F.trim(F.get_json_object("content", "$.k")).try_cast("int")
     return b.versions(spark, sf).groupBy("dataset").agg(F.count_if(k.between(20, 40)).alias("within"), blocks.rows().alias("rows"))
+
+
+# --- profiles, coverage and review lists
+
+ENDS = ["seen_at", "line", "part_id", "bidder", "award", "quantity"]
+
+
+@query(f"""SELECT contract_id, c.value::DOUBLE AS value, base::DOUBLE AS base, link FROM c JOIN (SELECT process_id, base FROM errata) USING (process_id)
+  JOIN (SELECT process_id, arg_max('https://procesos.example/' || process_id || '/' || line, {ORDER}) AS link FROM snapshot GROUP BY 1) USING (process_id) ORDER BY c.value DESC NULLS LAST, contract_id LIMIT 50""")
+def errata_with_links(spark, sf):
+    """Errata with the newest link of their process, which is made once for each process."""
+    link = F.concat(F.lit("https://procesos.example/"), "process_id", F.lit("/"), "line")
+    links = raw.first_and_last(b.snapshots(spark, sf).withColumn("link", link), ["process_id"], ENDS, "link").select("process_id", F.col("last").alias("link"))
+    rows = b.contracts(spark, sf).join(b.errata(spark, sf).select("process_id", "base"), "process_id").join(links, "process_id")
+    return blocks.largest(rows, 50).select("contract_id", F.col("value").cast("double").alias("value"), F.col("base").cast("double").alias("base"), "link")
+
+
+NAMELESS = "provisional IS FALSE AND upper(coalesce(supplier_name, '')) IN ('NO DEFINIDO', 'SIN DESCRIPCION', 'NO DEFINIDA', 'NO APLICA', '')"
+
+
+def _split(name: str, condition: str) -> str:
+    return f"count(*) FILTER (WHERE {condition}) AS {name}, coalesce(sum(value) FILTER (WHERE {condition}), 0)::DOUBLE AS {name}_value"
+
+
+@query(f"SELECT {_split('identified', 'provisional IS FALSE')}, {_split('ventures', 'provisional')}, {_split('unidentified', 'provisional IS NULL')}, {_split('nameless', NAMELESS)} FROM pub WHERE signed_on = DATE '{DAY}'")
+def day_identities(spark, sf):
+    return blocks.identities(b.published(spark, sf).where(F.col("signed_on") == F.lit(DAY)))
+
+
+@query(f"""SELECT count(*) FILTER (WHERE is_errata AND signed_on = DATE '{DAY}') AS errata_today, count(*) FILTER (WHERE is_errata) AS errata, count(*) FILTER (WHERE out_of_scale) AS impossible,
+  count(*) FILTER (WHERE link_key IS NOT NULL AND process_id IS NULL) AS orphans FROM c""")
+def day_quality(spark, sf):
+    rows = quality.flagged(b.contracts(spark, sf), b.errata(spark, sf))
+    return rows.agg(F.count_if(F.col("is_errata") & (F.col("signed_on") == F.lit(DAY))).alias("errata_today"), F.count_if("is_errata").alias("errata"), F.count_if("out_of_scale").alias("impossible"),
+                    F.count_if(F.col("link_key").isNotNull() & F.col("process_id").isNull()).alias("orphans"))
+
+
+@query(ORACLES["coverage_counters"] + f" WHERE signed_on BETWEEN DATE '{CUT}' AND DATE '{CUT}' + 89", prelude=False)
+def window_coverage(spark, sf):
+    rows = b.contracts(spark, sf).where(incremental.in_range("signed_on", CUT, CUT + timedelta(89)))
+    return blocks.coverage(quality.flagged(rows, b.errata(spark, sf)))
+
+
+@query("SELECT max(signed_on) AS day FROM c WHERE out_of_scale IS NOT TRUE")
+def last_day_with_contracts(spark, sf):
+    return quality.in_scale(b.contracts(spark, sf)).agg(F.max("signed_on").alias("day"))
+
+
+@query("SELECT signed_on, isodow(signed_on) AS weekday, count(*) AS contracts FROM pub GROUP BY 1")
+def days_with_weekday(spark, sf):
+    return blocks.daily(b.published(spark, sf)).select("signed_on", (F.weekday("signed_on") + 1).cast("long").alias("weekday"), "contracts")
+
+
+@query(f"""SELECT name, count(*) AS contracts FROM pub JOIN (SELECT unnest([{", ".join(f"DATE '{d}'" for y in range(1995, 2002) for d in sorted(cal.holidays(y)))}]) AS day,
+  unnest([{", ".join(f"'{n}'" for y in range(1995, 2002) for _, n in sorted(cal.holidays(y).items()))}]) AS name) ON day = signed_on GROUP BY 1""")
+def contracts_on_holidays(spark, sf):
+    days = cal.calendar(spark, date(1995, 1, 1), date(2001, 12, 31)).where("holiday IS NOT NULL").select(F.col("day").alias("signed_on"), F.col("holiday").alias("name"))
+    return b.published(spark, sf).join(F.broadcast(days), "signed_on").groupBy("name").agg(blocks.rows().alias("contracts"))
+
+
+@query("""SELECT start, coalesce(start - INTERVAL 1 MONTH >= (SELECT min(signed_on) FROM c), false) AS comparable FROM (SELECT DISTINCT CAST(date_trunc('month', signed_on) AS DATE) AS start FROM pub)""")
+def comparable_months(spark, sf):
+    """Whether the month before was read from its first day on."""
+    first = b.contracts(spark, sf).agg(F.min("signed_on").alias("first"))
+    months = b.published(spark, sf).select(F.trunc("signed_on", "month").alias("start")).distinct().crossJoin(F.broadcast(first))  # first is one row
+    return months.select("start", F.coalesce(blocks.comparable(F.col("first"), F.add_months("start", -1)), F.lit(False)).alias("comparable"))
+
+
+@query(f"SELECT min(signed_on) AS first_day, max(signed_on) AS last_day, {FIGURES}, count(DISTINCT entity_id) AS entities, {SUPPLIERS} FROM c WHERE entity_id = {ENTITY}")
+def entity_profile(spark, sf):
+    return blocks.totals(b.contracts(spark, sf).where(F.col("entity_id") == ENTITY))
+
+
+@query(f"SELECT coalesce(supplier_type, 'SIN TIPO') AS kind, supplier_number IS NOT NULL AS has_document, {FIGURES} FROM c WHERE entity_id = {ENTITY} GROUP BY 1, 2")
+def entity_documents(spark, sf):
+    rows = b.contracts(spark, sf).where(F.col("entity_id") == ENTITY)
+    by = F.coalesce("supplier_type", F.lit("SIN TIPO")).alias("kind"), F.col("supplier_number").isNotNull().alias("has_document")
+    return rows.groupBy(*by).agg(blocks.rows().alias("contracts"), blocks.money("value").alias("value"))
+
+
+@query(f"SELECT contract_id, value::DOUBLE AS value, process_id IS NOT NULL AS linked FROM c WHERE entity_id = {ENTITY} ORDER BY c.value DESC NULLS LAST, contract_id LIMIT 25")
+def entity_largest(spark, sf):
+    rows = blocks.largest(b.contracts(spark, sf).where(F.col("entity_id") == ENTITY), 25)
+    return rows.select("contract_id", F.col("value").cast("double").alias("value"), F.col("process_id").isNotNull().alias("linked"))
+
+
+@query(f"SELECT coalesce(modality, 'Sin proceso enlazado') AS modality, {FIGURES} FROM c LEFT JOIN (SELECT process_id, modality FROM process) USING (process_id) WHERE entity_id = {ENTITY} GROUP BY 1")
+def entity_modalities(spark, sf):
+    return blocks.by_modality(b.contracts(spark, sf).where(F.col("entity_id") == ENTITY), b.processes(spark, sf), 100, "Sin proceso enlazado")
+
+
+@query(f"SELECT coalesce(admin_level, 'SIN DECLARAR') AS level, count(*) FILTER (WHERE signed_on < DATE '{CUT}') AS before, count(*) FILTER (WHERE signed_on >= DATE '{CUT}') AS after FROM c GROUP BY 1")
+def origins_by_regime(spark, sf):
+    return blocks.before_after(b.contracts(spark, sf).withColumn("level", F.coalesce("admin_level", F.lit("SIN DECLARAR"))), "level", CUT)
+
+
+@query(f"SELECT count(*) AS contracts, count(DISTINCT entity_id) AS entities, {SUPPLIERS} FROM pub WHERE provisional IS FALSE")
+def concentration_population(spark, sf):
+    return blocks.totals(b.published(spark, sf).where(blocks.real())).select("contracts", "entities", "suppliers")
+
+
+@query("SELECT suppliers, count(*) AS brands FROM (SELECT brand, count(DISTINCT bidder) AS suppliers FROM snapshot GROUP BY 1) GROUP BY 1")
+def suppliers_per_representative(spark, sf):
+    return raw.histogram(b.snapshots(spark, sf), ["brand"], "bidder").select(F.col("rows").alias("suppliers"), F.col("keys").alias("brands"))
+
+
+@query(f"SELECT upper(coalesce(supplier_name, '')) AS name, {FIGURES} FROM c WHERE upper(coalesce(supplier_name, '')) IN ('NO DEFINIDO', 'SIN DESCRIPCION', 'NO DEFINIDA', 'NO APLICA', '') GROUP BY 1")
+def sentinel_totals(spark, sf):
+    rows = b.contracts(spark, sf).where(V.is_sentinel(F.col("supplier_name")))
+    return rows.groupBy(F.upper(F.coalesce("supplier_name", F.lit(""))).alias("name")).agg(blocks.rows().alias("contracts"), blocks.money("value").alias("value"))
+
+
+@query("SELECT bidder, count(DISTINCT brand) AS variants, count(*) AS contracts FROM snapshot GROUP BY 1 HAVING count(DISTINCT brand) > 1 ORDER BY variants DESC, contracts DESC, bidder LIMIT 10")
+def suppliers_with_several_names(spark, sf):
+    rows = b.snapshots(spark, sf).select(F.lit("NIT").alias("supplier_type"), F.col("bidder").alias("supplier_number"), F.col("brand").alias("supplier_name"))
+    several = normalize.suppliers(normalize.supplier_variants(rows)).where("variants > 1")
+    return several.select(F.col("supplier_number").alias("bidder"), "variants", "contracts").orderBy(F.desc("variants"), F.desc("contracts"), "bidder").limit(10)
+
+
+SAID = "CASE WHEN s_suppkey % 3 = 0 THEN repeat(CAST(s_suppkey % 10 AS VARCHAR), 7) ELSE CAST(1000000 + s_suppkey AS VARCHAR) END"
+
+
+@query(f"SELECT s_suppkey, document FROM (SELECT s_suppkey, {SAID} AS document FROM supplier) WHERE document = repeat(left(document, 1), length(document))", prelude=False)
+def one_character_documents(spark, sf):
+    key = F.col("s_suppkey")
+    said = F.when(key % 3 == 0, F.repeat((key % 10).cast("string"), F.lit(7))).otherwise((1_000_000 + key).cast("string"))
+    return table(spark, sf, "supplier").select("s_suppkey", said.alias("document")).where(V.one_character(F.col("document")))
+
+
+@query(f"""SELECT s_suppkey, CASE WHEN kind = 'Nit' AND shown = digit THEN n ELSE n || shown END AS number FROM (SELECT *, CASE WHEN s_suppkey % 3 = 0 THEN (digit + 1) % 10 ELSE digit END AS shown, CASE WHEN s_suppkey % 4 = 1 THEN 'Cédula' ELSE 'Nit' END AS kind
+  FROM ({ORACLES["check_digits"]}))""", prelude=False)
+def supplier_numbers(spark, sf):
+    """Tax numbers lose a check digit that is right; other documents and wrong digits stay."""
+    key, n = F.col("s_suppkey"), F.col("n")
+    rows = table(spark, sf, "supplier").select("s_suppkey", (800_000_000 + key * 7919).cast("string").alias("n")).withColumn("digit", V.check_digit(n))
+    shown, kind = F.when(key % 3 == 0, (F.col("digit") + 1) % 10).otherwise(F.col("digit")), F.when(key % 4 == 1, "Cédula").otherwise("Nit")
+    said = F.concat(F.substring(n, 1, 3), F.lit("."), F.substring(n, 4, 6), F.lit("-"), shown.cast("string"))
+    return rows.select("s_suppkey", V.supplier_number(kind, said).alias("number"))
+
+
+@query("""SELECT p_partkey, array_to_string(list_transform(string_split('MUNICIPIO DE LA ' || upper(p_name) || ' Y D.C.', ' '), lambda w: CASE WHEN contains(w, '.') THEN w WHEN lower(w) IN ('de', 'del', 'la', 'las', 'los', 'y', 'e') THEN lower(w) ELSE upper(w[1]) || lower(w[2:]) END), ' ') AS title FROM part""", prelude=False)
+def titles(spark, sf):
+    said = F.concat(F.lit("MUNICIPIO DE  LA "), F.upper("p_name"), F.lit(" Y D.C. "))
+    return table(spark, sf, "part").select("p_partkey", V.title(said).alias("title"))
+
+
+@query("SELECT contract_id, lpad(n_nationkey::VARCHAR, 2, '0') AS department_code, coalesce(n_name, department) AS department_name FROM c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) ON n_name = department")
+def department_codes(spark, sf):
+    """A code where the name is an official one, else the name as the source has it."""
+    official = table(spark, sf, "nation").where("n_regionkey <> 0").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code"), F.col("n_name").alias("name"))
+    rows = b.contracts(spark, sf).select("contract_id", F.lower("department").alias("department_name"))
+    return normalize.with_department(rows, official).select("contract_id", "department_code", "department_name")
+
+
+# --- errata, budgets and ceilings in more detail
+
+
+@query("""SELECT CASE WHEN times < 2 THEN 1 WHEN times < 3 THEN 2 WHEN times < 10 THEN 3 WHEN times < 1000 THEN 4 ELSE 5 END AS band, count(*) AS rows, round(100 * count(*) / sum(count(*)) OVER (), 4) AS share
+  FROM (SELECT max(value)::DOUBLE / quantile_cont(value::DOUBLE, 0.5) AS times FROM c WHERE value > 0 GROUP BY entity_id HAVING count(*) >= 3) GROUP BY 1""")
+def largest_by_median(spark, sf):
+    v = F.col("value").cast("double")
+    groups = b.contracts(spark, sf).where("value > 0").groupBy("entity_id").agg(blocks.rows().alias("n"), (F.max(v) / F.percentile(v, 0.5)).alias("times"))
+    return r4(quality.bands(groups.where("n >= 3"), "times", (2, 3, 10, 1000)), "share")
+
+
+@query(f"SELECT {FIGURES}, {_split('without_errata', 'NOT is_errata')}, {_split('publishable', 'NOT is_errata AND out_of_scale IS NOT TRUE')} FROM c")
+def totals_with_and_without(spark, sf):
+    rows = quality.flagged(b.contracts(spark, sf), b.errata(spark, sf))
+    right = ~F.col("is_errata")
+    kinds = {"without_errata": right, "publishable": right & ~F.coalesce("out_of_scale", F.lit(False))}
+    return rows.agg(blocks.rows().alias("contracts"), blocks.money("value").alias("value"), *(x for n, c in kinds.items() for x in blocks.part(n, c)))
+
+
+@query(f"SELECT process_id, first::DOUBLE AS first, last::DOUBLE AS last, versions FROM (SELECT process_id, count(*) AS versions, arg_min(base, {ORDER}) AS first, arg_max(base, {ORDER}) AS last FROM snapshot GROUP BY 1) WHERE first <> last ORDER BY abs(last - first) DESC, process_id LIMIT 40")
+def budget_changes(spark, sf):
+    rows = raw.first_and_last(b.snapshots(spark, sf), ["process_id"], ENDS, "base").where("first <> last")
+    top = rows.orderBy(F.desc(F.abs(F.col("last") - F.col("first"))), "process_id").limit(40)
+    return top.select("process_id", F.col("first").cast("double").alias("first"), F.col("last").cast("double").alias("last"), "versions")
+
+
+@query("SELECT CASE WHEN ratio < 10 THEN 1 WHEN ratio < 20 THEN 2 WHEN ratio < 40 THEN 3 WHEN ratio < 100 THEN 4 ELSE 5 END AS band, count(*) AS rows, round(100 * count(*) / sum(count(*)) OVER (), 4) AS share FROM ratio WHERE ratio > 1 GROUP BY 1")
+def above_budget_bands(spark, sf):
+    rows = quality.budget_ratios(b.snapshots(spark, sf), b.newest()).where("ratio > 1")
+    return r4(quality.bands(rows, "ratio", (10, 20, 40, 100)), "share")
+
+
+@query("SELECT process_id, (award - base)::DOUBLE AS above FROM ratio WHERE award > base ORDER BY award - base DESC, process_id LIMIT 20")
+def above_budget_largest(spark, sf):
+    rows = quality.budget_ratios(b.snapshots(spark, sf), b.newest()).where("award > base").withColumn("above", F.col("award") - F.col("base"))
+    return rows.orderBy(F.desc("above"), "process_id").limit(20).select("process_id", F.col("above").cast("double").alias("above"))
+
+
+@query("SELECT min(signed_on) AS first_day, max(signed_on) AS last_day, count(*) AS contracts, count(DISTINCT entity_id) AS entities, count(DISTINCT supplier_number) AS suppliers FROM small")
+def splitting_extent(spark, sf):
+    return b.small(spark, sf).agg(F.min("signed_on").alias("first_day"), F.max("signed_on").alias("last_day"), blocks.rows().alias("contracts"), F.countDistinct("entity_id").alias("entities"), F.countDistinct("supplier_number").alias("suppliers"))
+
+
+@query("""SELECT reason, count(DISTINCT entity_id) AS entities, count(*) AS groups FROM (SELECT entity_id, CASE WHEN ceiling::DOUBLE / p95 >= 1.1 THEN 'ceiling not credible' WHEN entity_contracts < 40 THEN 'too few contracts' END AS reason FROM """ + GROUPS + """) WHERE reason IS NOT NULL GROUP BY 1""")
+def blind_reasons(spark, sf):
+    rows = rules.splitting_verdict(rules.splitting_groups(b.small(spark, sf)), least=40, credible=1.1).where("verdict = 'blind'")
+    return rows.groupBy("reason").agg(F.countDistinct("entity_id").alias("entities"), blocks.rows().alias("groups"))
+
+
+@query("""SELECT entity_id, ceiling::DOUBLE AS ceiling, count(*) AS at_ceiling, min(signed_on) AS first_day FROM small JOIN (SELECT entity_id, max(value) AS ceiling FROM small GROUP BY 1 HAVING max(value)::DOUBLE / quantile_cont(value::DOUBLE, 0.95) >= 1.05) USING (entity_id)
+  WHERE value = ceiling GROUP BY ALL""")
+def suspicious_ceilings(spark, sf):
+    """The contracts that a ceiling far above the rest comes from."""
+    rows, v = b.small(spark, sf), F.col("value")
+    tops = rows.groupBy("entity_id").agg(F.max(v).alias("value"), F.percentile(v.cast("double"), 0.95).alias("p95")).where(v.cast("double") / F.col("p95") >= 1.05)
+    at = rows.join(tops.select("entity_id", "value"), ["entity_id", "value"]).groupBy("entity_id", "value").agg(blocks.rows().alias("at_ceiling"), F.min("signed_on").alias("first_day"))
+    return at.select("entity_id", v.cast("double").alias("ceiling"), "at_ceiling", "first_day")
+
+
+@query(f"SELECT entity_id, supplier_number, month, contracts, round(times, 4) AS times FROM {VERDICT} t WHERE verdict = 'fires' ORDER BY t.times DESC, entity_id, supplier_number, month LIMIT 20")
+def splitting_top(spark, sf):
+    rows = _verdicts(spark, sf).where("verdict = 'fires'").orderBy(F.desc("times"), "entity_id", "supplier_number", "month").limit(20)
+    return r4(rows.select("entity_id", "supplier_number", "month", "contracts", "times"), "times")
+
+
+@query("""SELECT entity_id, supplier_number, CAST(date_trunc('month', signed_on) AS DATE) AS month, to_json(list({'value': value::VARCHAR, 'day': strftime(signed_on, '%Y-%m-%d')} ORDER BY value DESC, signed_on)) AS detail FROM small GROUP BY ALL HAVING count(*) > 1""")
+def splitting_detail(spark, sf):
+    """Each group's contracts as JSON, the largest first."""
+    one = F.struct((-F.col("value")).alias("v"), F.col("signed_on").alias("d"))
+    groups = b.small(spark, sf).groupBy("entity_id", "supplier_number", F.trunc("signed_on", "month").alias("month")).agg(F.array_sort(F.collect_list(one)).alias("x")).where(F.size("x") > 1)
+    said = F.transform("x", lambda x: F.struct((-x["v"]).cast("string").alias("value"), x["d"].cast("string").alias("day")))
+    return groups.select("entity_id", "supplier_number", "month", F.to_json(said).alias("detail"))
+
+
+ALERTS = f"""(SELECT entity_id, sha256('{{"dataset":"contracts","disparadores":{{"contracts":' || contracts || ',"total":"' || total || '"}},"registro":"' || entity_id || '|NIT|' || supplier_number || '|' || strftime(month, '%Y-%m') || '","regla":"splitting","version":1}}') AS alert_id
+  FROM {VERDICT} WHERE verdict = 'fires')"""
+
+
+def _alerts(spark, sf):
+    record = F.concat_ws("|", "entity_id", "supplier_type", "supplier_number", F.date_format("month", "yyyy-MM"))
+    triggers = F.struct(F.col("contracts").alias("contracts"), F.col("total").cast("string").alias("total"))
+    return _verdicts(spark, sf).where("verdict = 'fires'").select("entity_id", rules.alert_id(record, "contracts", "splitting", 1, triggers).alias("alert_id"))
+
+
+@query(f"SELECT entity_id, alert_id FROM {ALERTS} ORDER BY alert_id LIMIT 25")
+def calibration_sample(spark, sf):
+    return rules.calibration_sample(_alerts(spark, sf))
+
+
+@query(f"SELECT arg_max(entity_id, (n, entity_id)) AS entity_id, max(n) AS alerts, 2 * max(n) > sum(n) AS dominates FROM (SELECT entity_id, count(*) AS n FROM {ALERTS} GROUP BY 1)")
+def dominant_entity(spark, sf):
+    return rules.dominant(_alerts(spark, sf), "entity_id")
+
+
+# --- cycles, keys and gates
+
+CYCLES = "(SELECT dataset, day, CASE WHEN day(day) % 5 = 0 THEN n ELSE n * 50 END AS seen, day(day) % 7 <> 0 AS done, day(day) % 3 = 0 AS fresh FROM (SELECT event_type AS dataset, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL))"
+
+
+@query(f"""SELECT dataset, day, seen, previous, done AND seen >= 1000 AND fresh AS changed_everything, coalesce(done AND previous >= 1000 AND seen < 0.1 * previous, false) AS almost_nothing FROM
+  (SELECT *, last_value(CASE WHEN done THEN seen END IGNORE NULLS) OVER (PARTITION BY dataset ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM {CYCLES})""", prelude=False)
+def cycle_alarms(spark, sf):
+    """A cycle for each day of events; some bring next to nothing, some only news, some fail."""
+    days = table(spark, sf, "events").groupBy(F.col("event_type").alias("dataset"), F.to_date("ts").alias("finished_at")).agg(blocks.rows().alias("n"))
+    of = lambda k: F.day("finished_at") % k == 0
+    seen = F.when(of(5), F.col("n")).otherwise(F.col("n") * 50)
+    cycles = days.select("dataset", "finished_at", F.when(of(7), "failed").otherwise("complete").alias("state"), F.lit(True).alias("derived"), seen.alias("seen"), F.when(of(3), F.lit(0)).otherwise(seen).alias("duplicates"))
+    return incremental.with_alarms(cycles).select("dataset", F.col("finished_at").alias("day"), "seen", "previous", "changed_everything", "almost_nothing")
+
+
+@query("SELECT dataset, 'k' AS field, min(CAST(seen_at AS DATE)) AS first_seen, max(CAST(seen_at AS DATE)) AS last_seen FROM version GROUP BY 1")
+def field_novelties(spark, sf):
+    keys = b.versions(spark, sf).select("dataset", F.to_date("seen_at").alias("day"), F.explode(F.map_keys(F.from_json("content", "map<string,string>"))).alias("field"))
+    seen = lambda df: df.groupBy("dataset", "field").agg(F.min("day").alias("first_seen"), F.max("day").alias("last_seen"))
+    return incremental.novelties(seen(keys.where("day < '2024-01-15'")), seen(keys.where("day >= '2024-01-15'")))
+
+
+@query("SELECT count(*) AS origin_rows, count(DISTINCT dataset || '|' || row_id) AS origin_keys, count(DISTINCT (dataset, row_id, content ->> 'k')) AS made_rows, count(DISTINCT dataset || '|' || row_id) AS made_keys, true AS matches FROM version")
+def rekey_check(spark, sf):
+    key = raw.identity(F.col("dataset"), F.col("row_id").cast("string"))
+    origin = b.versions(spark, sf).withColumn("key", key).withColumn("hash", raw.content_hash(F.col("content")))
+    return raw.rekey_matches(origin, raw.rekeyed(origin, key, "key", [F.desc("seen_at"), F.col("event_id")]), "key")
+
+
+@query("SELECT 'k' AS field, count(*) FILTER (WHERE first <> last) AS changed, count(*) AS keys FROM (SELECT arg_min(content ->> 'k', (seen_at, event_id)) AS first, arg_max(content ->> 'k', (seen_at, event_id)) AS last FROM version GROUP BY dataset, row_id HAVING count(*) > 1)")
+def oldest_against_newest(spark, sf):
+    """How many keys' fields differ between their oldest and newest versions."""
+    ends = raw.first_and_last(b.versions(spark, sf), ["dataset", "row_id"], ["seen_at", "event_id"], "content").where("versions > 1")
+    both = ends.select(F.from_json("first", "map<string,string>").alias("a"), F.from_json("last", "map<string,string>").alias("z"))
+    fields = both.select("a", "z", F.explode(F.array_union(F.map_keys("a"), F.map_keys("z"))).alias("field"))
+    return fields.groupBy("field").agg(F.count_if(~F.col("a")[F.col("field")].eqNullSafe(F.col("z")[F.col("field")])).alias("changed"), blocks.rows().alias("keys"))
+
+
+@query("""SELECT n, name, green, figure FROM (
+  SELECT 1 AS n, 'ingest' AS name, count(*) > 0 AS green, CAST(count(*) > 0 AS BIGINT) AS figure FROM c UNION ALL SELECT 2, 'impossible values', count(*) = 0, count(*) FROM c WHERE out_of_scale AND NOT is_errata
+  UNION ALL SELECT 3, 'unreviewed errata', count(*) = 0, count(*) FROM errata WHERE zeros <> 3 UNION ALL SELECT 4, 'comparability', true, 1
+  UNION ALL SELECT 5, 'posts', count(*) = 0, count(*) FROM documents WHERE trim(coalesce(text, '')) = '' OR length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g')) > 280 OR regexp_matches(upper(strip_accents(text)), '\\b(CORRUPTO|CORRUPTA|CORRUPCION|FRAUDE|ROBO|DELITO|CULPABLE|ILEGAL|CRIMINAL)\\b')
+  UNION ALL SELECT 6, 'documents', count(*) = 0, count(*) FROM documents WHERE regexp_matches(regexp_replace(text, 'https?://\\S+', '', 'g'), '(^|[^0-9])[0-9]{6,12}([^0-9]|$)'))""")
+def gates(spark, sf):
+    """The six checks before publication; errata of three zeros count as reviewed."""
+    errata = b.errata(spark, sf)
+    contracts = quality.flagged(b.contracts(spark, sf), errata).withColumn("published", ~F.col("is_errata"))
+    ingested = contracts.agg((blocks.rows() > 0).alias("ok"))
+    return publish.gates(ingested, contracts, errata, errata.where("zeros = 3"), spark.range(1).select(F.lit(True).alias("ok")), table(spark, sf, "documents"))

@@ -79,3 +79,8 @@ def test_calendar(spark):
     got = {(r.s, r.e): r.business_days for r in cal.business_days(spans, table, "s", "e").collect()}
     assert list(got.values()).count(0) == 2 and got[(date(2026, 8, 3), date(2026, 8, 9))] == 4
     assert one(spark, cal.per_business_day(F.col(A), F.col(B)), 10.0, 0) is None
+
+
+@pytest.mark.parametrize("said, want", [("VALLE DEL CAUCA", "Valle del Cauca"), ("la  unión y D.C.", "La Unión y D.C."), ("É", "É"), ("", ""), (None, None)])
+def test_title(spark, said, want):
+    assert spark.createDataFrame([(said,)], "x string").select(V.title(F.col("x"))).first()[0] == want

@@ -4,9 +4,10 @@ Markup is stripped into lines, one for each block-level element. The lengths
 of the lines are summed over a sliding window; text begins where the sums surge
 over a threshold and ends where they fall to zero, and what lies between is
 kept. Lines of menus, headers, footers, side bars, adverts, notices, forms and
-comments count nothing, so they neither cause a surge nor outlast a dive. In a
-page that marks its article up, only the article's lines count, and any text
-there is a surge.
+comments count nothing, so they neither cause a surge nor outlast a dive. Where
+a page marks its article up, the mark is extra weight, enough to make any text
+in it a surge. Text outside the mark is summed apart and kept where it surges
+by itself, so a mark on a teaser does not hide the article.
 """
 
 from __future__ import annotations
@@ -159,12 +160,17 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text, its blocks joined by a blank line; empty for null, empty and text-free pages."""
     lines = lines_of(page or "")
-    marked = any(x[2] and not x[3] for x in lines)
-    weight = [0 if x[3] or marked and not x[2] else len(x[0]) if marked else max(0, len(x[0]) - x[1]) for x in lines]
-    if marked:
-        surge = 0
+    # an article mark is weight enough for a surge; lines outside have to surge by their own text
+    weight = [0 if x[3] else len(x[0]) + surge if x[2] else max(0, len(x[0]) - x[1]) for x in lines]
     n = len(lines)
-    sums = [sum(weight[i : i + window]) for i in range(n)]
+    sums = [0] * n
+    first, end = list(range(n)), [n] * n  # of the run of lines that are all in an article, or all outside
+    for i in range(1, n):
+        first[i] = first[i - 1] if lines[i][2] == lines[i - 1][2] else i
+    for i in range(n - 2, -1, -1):
+        end[i] = end[i + 1] if first[i + 1] == first[i] else i + 1
+    for i in range(n):
+        sums[i] = sum(weight[i : min(i + window, end[i])])  # no window reaches over an article's edge
     while surge and n and max(sums) <= surge:  # short pages: what stands out among little text
         surge //= 2
     kept, i = [], 0
@@ -172,10 +178,10 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         if not weight[i] or sums[i] <= surge:
             i += 1
             continue
-        start = i
-        while not marked and start and lines[start - 1][4] and weight[start - 1] and (not kept or kept[-1] < start - 1):
+        start, stop = i, end[i]
+        while start > first[i] and lines[start - 1][4] and weight[start - 1] and (not kept or kept[-1] < start - 1):
             start -= 1  # a heading just before its text
-        while i < n and sums[i] > 0:
+        while i < stop and sums[i] > 0:
             i += 1
         kept += [k for k in range(start, i) if weight[k]]
     return "\n\n".join(lines[k][0] for k in kept)

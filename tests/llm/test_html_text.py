@@ -42,6 +42,18 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><p>Teaser.</p></article><div><p>{LONG}</p><p>{LONG}</p></div>", f"Teaser.\n\n{LONG.strip()}\n\n{LONG.strip()}"),
+        (f"<div>{LONG}</div><main><p>Short.</p></main><div>Terms</div>", f"{LONG.strip()}\n\nShort."),
+        (f"<div>Posted today</div><article><h1>T</h1><p>{LONG}</p><p><a href=/>Source</a></p></article><div><p>You may like</p></div>", f"T\n\n{LONG.strip()}\n\nSource"),
+    ],
+)
+def test_text_outside_an_article_mark_surges_by_itself(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_odd_rows(spark, tables):
     pages = spark.createDataFrame([(1, None, None, "own"), (None, "u", "", "own"), (2, "u", "<p>" + "word " * 50_000, "own"), (2, "u", "<p>x", "own"), (2, "u", "<p>x", "own")], "page_id long, url string, html string, text string")
     rows = queries.op3_html_text(spark, tables(pages=pages)).collect()

@@ -4,10 +4,11 @@ Markup is stripped into lines, one for each block-level element. The lengths
 of the lines are summed over a sliding window; text begins where the sums surge
 over a threshold and ends where they fall to zero, and what lies between is
 kept. Lines of menus, headers, footers, side bars, adverts, notices, forms and
-comments count nothing, so they neither cause a surge nor outlast a dive. Where
-a page marks its article up, the mark is extra weight, enough to make any text
-in it a surge. Text outside the mark is summed apart and kept where it surges
-by itself, so a mark on a teaser does not hide the article.
+comments are taken out first, so they neither cause a surge nor a dive amid the
+text. Lines that are all link weigh nothing but stay between a surge and its
+dive. Where a page marks its article up, the mark is extra weight, enough to
+make any text in it a surge. Text outside the mark is summed apart and kept
+where it surges by itself, so a mark on a teaser does not hide the article.
 """
 
 from __future__ import annotations
@@ -159,9 +160,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text, its blocks joined by a blank line; empty for null, empty and text-free pages."""
-    lines = lines_of(page or "")
+    lines = [x for x in lines_of(page or "") if not x[3]]
     # an article mark is weight enough for a surge; lines outside have to surge by their own text
-    weight = [0 if x[3] else len(x[0]) + surge if x[2] else max(0, len(x[0]) - x[1]) for x in lines]
+    weight = [len(x[0]) + surge if x[2] else max(0, len(x[0]) - x[1]) for x in lines]
     n = len(lines)
     sums = [0] * n
     first, end = list(range(n)), [n] * n  # of the run of lines that are all in an article, or all outside
@@ -183,7 +184,7 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
             start -= 1  # a heading just before its text
         while i < stop and sums[i] > 0:
             i += 1
-        kept += [k for k in range(start, i) if weight[k]]
+        kept += range(start, i)
     return "\n\n".join(lines[k][0] for k in kept)
 
 

@@ -54,6 +54,21 @@ def test_text_outside_an_article_mark_surges_by_itself(page, text):
     assert html_text.main_text(page) == text
 
 
+AD = "<div class=ad><p>Buy</p><p>now</p><p>here</p><p>or there</p></div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div><p>{LONG}</p><p>{LONG}</p>{AD}<p>Short closing.</p></div>", f"{LONG.strip()}\n\n{LONG.strip()}\n\nShort closing."),
+        (f"<div><p>{LONG}</p><form><p>Mail</p><p>Name</p><p>Go</p></form><ul><li>One</li><li>Two</li></ul>{AD}<p>Signed</p></div>", f"{LONG.strip()}\n\nOne\n\nTwo\n\nSigned"),
+        (f"<ul><li><a href=/>Home</a></ul><p>{LONG}</p><p><a href=/x>All of it is link</a></p><p>Short.</p><ul><li><a>A</a><li><a>B</a><li><a>C</a></ul>", f"{LONG.strip()}\n\nAll of it is link\n\nShort."),
+    ],
+)
+def test_asides_and_links_amid_unmarked_text_cut_nothing(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_odd_rows(spark, tables):
     pages = spark.createDataFrame([(1, None, None, "own"), (None, "u", "", "own"), (2, "u", "<p>" + "word " * 50_000, "own"), (2, "u", "<p>x", "own"), (2, "u", "<p>x", "own")], "page_id long, url string, html string, text string")
     rows = queries.op3_html_text(spark, tables(pages=pages)).collect()

@@ -169,6 +169,13 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, blocks: int = 4, tile:
     return found.union(pairs.select("tiles").mapInArrow(_compare_tiles(radius), "u long, v long"))
 
 
+def _rooted(prints: DataFrame, first: Column, radius: int, blocks: int) -> DataFrame:
+    """The distinct bits of prints, first (an aggregate of their rows) and root, alike for all bits of one group."""
+    distinct = written(prints.groupBy("bits").agg(first.alias("first")), "distinct-fingerprints")
+    roots = components(links(distinct.select("bits"), radius, blocks))
+    return distinct.join(roots.withColumnRenamed("u", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+
+
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, blocks: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id of the texts it reaches.
 
@@ -176,25 +183,40 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius:
     doc_id never names a component that has others.
     """
     prints = written(with_fingerprints(docs.select(doc_id, text), text, [doc_id]), "fingerprints")
-    distinct = written(prints.groupBy("bits").agg(F.min(doc_id).alias("first")), "distinct-fingerprints")
-    roots = components(links(distinct.select("bits"), radius, blocks))
-    rooted = distinct.join(roots.withColumnRenamed("u", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+    rooted = _rooted(prints, F.min(doc_id), radius, blocks)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(smallest, "root").select("bits", "component_id")
     return prints.join(named, "bits").select(doc_id, F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs with the smallest doc_id of each group; of rows with that doc_id, one. Rows without doc_id go."""
+def _row_key(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
+    """A row's 128 bits: alike for rows that are alike. Maps have no hash and do not count."""
+    columns = [F.col(f"`{c}`") for c in (text, doc_id, *(c for c, t in docs.dtypes if c not in (text, doc_id) and "map<" not in t))]
+    return [F.xxhash64(F.lit(i), *columns).alias(f"__key{i}") for i in range(2)]
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", without_id: bool = False) -> DataFrame:
+    """One row of docs for each group: that of the smallest doc_id, and of several with that doc_id the smallest by a hash of the row.
+
+    Groups that have no doc_id at all go, or with without_id also keep one row.
+    Groups are told apart by their texts alone: a doc_id that several groups
+    have as their smallest stays in each.
+    """
     from pyspark.sql import Window
 
-    found = groups(docs, text, doc_id).where(F.col(doc_id) == F.col("component_id"))
-    stay = written(found.groupBy(doc_id).agg(F.count(F.lit(1)).alias("__n")), "kept-ids")
-    # the ids are the side that is hashed: the texts stream past them and are never sorted
-    among = lambda ids: docs.join(ids.select(doc_id).hint("shuffle_hash"), doc_id, "left_semi").select(*docs.columns)
-    repeated = stay.where("__n > 1")
+    key = ["__key0", "__key1"]
+    prints = written(with_fingerprints(docs.select(doc_id, text, *_row_key(docs, doc_id, text)), text, [doc_id, *key]), "fingerprints")
+    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), *key)
+    chosen = _rooted(prints, F.min(order), RADIUS, 4).groupBy("root").agg(F.min("first").alias("first"))
+    if not without_id:
+        chosen = chosen.where("NOT first.none")
+    stay = written(chosen.select("first.__key0", "first.__key1"), "kept-rows")
+    # the keys are the side that is hashed: the texts stream past them and are never sorted
+    rows = docs.select("*", *_row_key(docs, doc_id, text))
+    among = lambda keys: rows.join(keys.select(*key).hint("shuffle_hash"), key, "left_semi").select(*docs.columns, *key)
+    repeated = written(prints.join(stay, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "repeated-rows")
     if repeated.isEmpty():
-        return among(stay)
-    number = F.row_number().over(Window.partitionBy(doc_id).orderBy(doc_id))
+        return among(stay).drop(*key)
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
     one = among(repeated).withColumn("__n", number).where("__n = 1").drop("__n")
-    return among(stay.where("__n = 1")).unionByName(one)
+    return among(stay.join(repeated, key, "left_anti")).unionByName(one).drop(*key)

@@ -1,5 +1,6 @@
 import hashlib
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -39,6 +40,18 @@ def test_stages(spark, tmp_path):
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, tokens.collect()))
 
 
+def test_near_duplicates_keep_a_row_of_each_group(spark):
+    """Ids may be missing or shared by different texts; what stays depends on neither partitions nor order."""
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(40)) for w in ("ant", "bee", "cat", "dog", "elk"))
+    rows = [(None, a), (3, b), (5, b), (5, c), (None, c), (7, d), (7, e), (7, e), (None, e), (None, "x"), (None, "x"), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs.repartition(n), SF).collect()), key=str) for n in (1, 3)]
+    assert kept[0] == kept[1]
+    assert sorted((r[:2] for r in kept[0]), key=str) == sorted([(None, a), (3, b), (5, c), (7, d), (7, e), (None, "x"), (9, None)], key=str)
+    alike = docs.drop("n_chars").withColumn("n_chars", F.lit(1).cast("long"))
+    assert sorted((tuple(r)[:2] for r in corpus_pipeline.near_duplicates(spark, alike, SF).collect()), key=str) == sorted((r[:2] for r in kept[0]), key=str)
+
+
 def test_odd_rows(spark, odd, tables, tmp_path):
     docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
     kept = stage_by_stage(spark, docs, tables(documents=docs), tmp_path)

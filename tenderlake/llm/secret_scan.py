@@ -5,7 +5,8 @@ strings (runs of the characters that keys are written with), slides a window
 over each and keeps the Shannon entropy of the window up to date by adding one
 character's count and removing another's. A candidate is a secret when a window
 exceeds the threshold of its character class. Allow-listed candidates (plain
-words, numbers, paths, addresses of the web, repeated filler) are passed over.
+words, numbers, paths, addresses of the web, repeated filler) are passed over;
+letters that change case more often than words do are no plain words.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Bits a character that a window of 20 must reach, by character class.
 THRESHOLDS = {"hex": 2.8, "alnum": 3.6, "base64": 3.8}
-ALLOW = re.compile(
-    r"(?:[0-9]+|[A-Za-z]+|(?:[A-Za-z]+[-_/=+])+[A-Za-z]*|(?:[A-Za-z]+|[0-9]+)(?:[-_/](?:[A-Za-z]+|[0-9]+))+|"
-    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.{1,4})\1{4,}.{0,4}|[-_=+/]+)",
-    re.S,
-)
+ALLOW = re.compile(r"(?:[0-9]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(.{1,4})\1{4,}.{0,4}|[-_=+/]+)", re.S)
+#: Runs of letters, or of letters and numbers apart: allowed where their case is that of words.
+WORDS = re.compile(r"(?:[A-Za-z]+|(?:[A-Za-z]+[-_/=+])+[A-Za-z]*|(?:[A-Za-z]+|[0-9]+)(?:[-_/](?:[A-Za-z]+|[0-9]+))+)")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Letters that words in camel case have on average, at least.
+WORD_LETTERS = 4
 
 
 def window_entropy(s: str, width: int = WINDOW) -> float:
@@ -67,14 +69,19 @@ def char_class(s: str) -> str:
     return "alnum" if s.isalnum() else "base64"
 
 
+def word_case(s: str) -> bool:
+    """Whether the letters of s are of one case, or change case as seldom as words do."""
+    if s.islower() or s.isupper():
+        return True
+    sizes = [len(w) for w in WORD.findall(s)]
+    return sum(sizes) >= WORD_LETTERS * len(sizes)
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
         s = m.group().strip("-_=/+")
-        if len(s) < WINDOW or ALLOW.fullmatch(s):
-            continue
-        digits = sum(c.isdigit() for c in s)
-        if digits < 2 or digits == len(s):
+        if len(s) < WINDOW or ALLOW.fullmatch(s) or WORDS.fullmatch(s) and word_case(s):
             continue
         if window_entropy(s) >= THRESHOLDS[char_class(s)]:
             at = m.start() + m.group().index(s)

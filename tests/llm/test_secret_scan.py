@@ -55,6 +55,16 @@ def test_entropy_spans():
         assert secret_scan.find(clean) == [], clean
 
 
+def test_keys_with_few_digits_are_found():
+    for key in ("xKbmPqvQznRwtLgwZycYjbNa", "xKbmPqvQznRwtLgwZ7cYjbNa", "xKbm/PqvQznRw+tLgwZycYjb"):
+        assert secret_scan.find(f"é {key}.") == [("entropy", 2, 26)], key
+    for clean in ("InternationalOrganisationForStandards", "getElementsByTagName", "ANTIDISESTABLISHMENTARIANISM", "docs/UserGuide/GettingStarted/Index"):
+        assert secret_scan.find(clean) == [], clean
+    rng = random.Random(1)
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=20)) for _ in range(5000)]
+    assert sum(not secret_scan.entropy_spans(k) for k in keys) < 0.01 * len(keys)
+
+
 def test_redaction(spark, odd):
     docs = spark.createDataFrame([(1, 'x token = "abcdef123" y', 23), (2, None, None), (3, "plain", 5)], "doc_id long, text string, n_chars long")
     assert [tuple(r) for r in secret_scan.redact(docs).orderBy("doc_id").collect()] == [(1, 'x [secret]" y', 13), (2, None, None), (3, "plain", 5)]

@@ -86,14 +86,15 @@ def _forest(bits: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
 
 
 def _compare_groups(radius: int):
-    """Links within the groups of a partition sorted by key. Groups fit into a tile, so all pairs of a group are few."""
+    """Links within the groups of a partition sorted by key and population count. Groups fit into a tile."""
 
     def compare(key: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        root = np.arange(len(key))
+        root, ones = np.arange(len(key)), np.bitwise_count(bits).astype(np.int16)
         at, k = root[:-1], 1
         while True:
             at = at[at + k < len(key)]
-            at = at[key[at] == key[at + k]]
+            # counts ascend within a key: a row beyond the radius has none nearer after it
+            at = at[(key[at] == key[at + k]) & (ones[at + k] - ones[at] <= radius)]
             if not len(at):
                 return _forest(bits, root)
             hit = at[_near(bits[at], bits[at + k], radius)]

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -74,6 +75,26 @@ def test_links_join_the_same_components_as_brute_force(spark, tile, blocks):
     assert parts((r.u, r.v) for r in got) == parts(near)
 
 
+def test_groups_skip_pairs_beyond_the_radius_in_population_count(monkeypatch):
+    bits = sorted(((1 << n) - 1) << s for n in range(1, 40) for s in range(4))
+    bits.sort(key=int.bit_count)
+    x = np.array(bits, np.uint64)
+    compared, near = [], simhash_dedup._near
+    monkeypatch.setattr(simhash_dedup, "_near", lambda a, b, radius: (compared.append(len(a)), near(a, b, radius))[1])
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * len(x), pa.int64()), pa.array(x.view(np.int64))], names=["key", "bits"])
+    (found,) = simhash_dedup._compare_groups(3)(iter([batch]))
+    within = sum(b.bit_count() - a.bit_count() <= 3 for i, a in enumerate(bits) for b in bits[i + 1 :])
+    assert sum(compared) == within < len(bits) * (len(bits) - 1) // 2
+    root, want = np.arange(len(x)), np.arange(len(x))
+    place = {b: i for i, b in enumerate(bits)}
+    for u, v in zip(*(found.column(c).to_pylist() for c in "uv")):
+        simhash_dedup.unite(root, np.array([place[u]]), np.array([place[v]]))
+    for i in range(len(x)):
+        hit = np.flatnonzero(np.bitwise_count(x ^ x[i]) <= 3)
+        simhash_dedup.unite(want, np.full(len(hit), i), hit)
+    assert root.tolist() == want.tolist()
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(5, 7), (1, 1), (-3, -9)]
     random.Random(1).shuffle(edges)

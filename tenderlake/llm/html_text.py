@@ -1,14 +1,28 @@
 """The main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one for each block-level element. The lengths
-of the lines are summed over a sliding window; text begins where the sums surge
-over a threshold and ends where they fall to zero, and what lies between is
-kept. Lines of menus, headers, footers, side bars, adverts, notices, forms and
-comments are taken out first, so they neither cause a surge nor a dive amid the
-text. Lines that are all link weigh nothing but stay between a surge and its
-dive. Where a page marks its article up, the mark is extra weight, enough to
-make any text in it a surge. Text outside the mark is summed apart and kept
-where it surges by itself, so a mark on a teaser does not hide the article.
+Markup is stripped into lines, one for each block-level element. The weights of
+the lines, which are the lengths of their text outside links, are summed over a
+sliding window. Text begins where the sums surge to a threshold, ends where
+they dive to zero, and what lies between is kept.
+
+Tags never keep or drop a line by themselves; they weigh:
+
+* A line in an article or main element weighs MARK more, so nearly any article
+  surges, but not a lone number or mark beside a long text.
+* A line in a menu, header, footer, side bar, advert, notice, form or comment
+  weighs a hundredth (FAINT). Such lines are a run of their own, so they neither
+  cause a surge nor a dive amid the text around them.
+
+Windows do not reach over the edge of an article or of a faint run. The
+threshold is SURGE, or half of the page's highest sum where that is less, so
+that little text on a page without more stands out as well. In an article the
+text also reaches back from its surge to where the sums were zero, as it reaches
+forth to the dive; elsewhere only headings just before a surge join it.
+
+Scripts, styles, form controls, hidden elements and the like show no text and
+are stripped with the markup. Null, empty and text-free pages give an empty
+text. Rows that are alike give alike texts; no page is dropped or cut, however
+long. Columns named text or n_chars are replaced, others left alone.
 """
 
 from __future__ import annotations
@@ -16,6 +30,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
@@ -23,6 +38,8 @@ from .common import with_columns
 
 WINDOW = 3
 SURGE = 86
+#: What a line in an article weighs more, the share of its length that a line of a menu, advert and the like weighs, and the least sum of a run of those that surges.
+MARK, FAINT, FAINT_SURGE = 80, 0.01, 2.0
 
 TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -38,44 +55,76 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup: it ends at the first end tag of the name.
 RAW = frozenset("script style title textarea xmp noembed noframes iframe".split())
-DROPPED = frozenset("nav footer aside form script style title textarea noscript template select button iframe svg canvas object dialog menu head xmp noembed noframes audio video map".split())
-#: Parts of class and id names, and roles, of what is not main text.
+#: Elements that show no running text.
+UNSEEN = frozenset("script style title textarea noscript template select button iframe svg canvas object head xmp noembed noframes audio video map".split())
+#: Elements of what is not main text.
+MARGINS = frozenset("nav footer aside form dialog menu".split())
+#: Names of classes and ids of what is not main text, and words that go with them in a name.
 SIGNS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner banners sidebar sidebars menu menus submenu nav navs navbar navigation topbar breadcrumb breadcrumbs"
     " footer footers masthead cookie cookies consent notice notices gdpr alert popup modal overlay newsletter subscribe subscription signup share sharing social related"
     " recommended recommendations comment comments commentlist respond disqus login search searchbox widget toolbar copyright pagination pager skip hidden".split()
 )
+FILLERS = frozenset(
+    "box block container wrapper wrap inner outer section area bar list item items group unit slot panel column col row rail left right top bottom main global page site post posts article articles story blog reader user"
+    " link links button buttons icon icons form content body text title widget widgets module footer header js fixed sticky mobile desktop small large primary secondary id the and of in to my".split()
+)
+#: Elements that hold a piece of text rather than a part of the page. On these, only a name that is a sign as a whole counts.
+PIECES = frozenset("p span a b i em strong small big sub sup u s q cite code pre blockquote h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead caption figcaption figure img mark label time abbr font center br hr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 #: Containers that an unclosed paragraph or list item does not reach out of.
 HOLDERS = frozenset("article aside blockquote body dd details div dl fieldset figure footer form header html li main nav ol section table td th tr ul".split())
 
 
-def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
-    if name in DROPPED or (name == "header" and not in_article):
+def _is_sign(name: str, within_piece: bool, in_article: bool) -> bool:
+    """Whether a class or an id names what is not main text: menu, siteMenu and ad-box do, share-price does not."""
+    if name.lower() in SIGNS:
         return True
-    if not attributes or name in ("html", "body", "main", "article") or "=" not in attributes and "hidden" not in attributes:
+    if within_piece:
         return False
+    parts = {x.lower() for x in NAME_PART.findall(name)}
+    headed = "header" in parts and not in_article
+    return (headed or not SIGNS.isdisjoint(parts)) and parts <= SIGNS | FILLERS
+
+
+def _standing(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is unseen, and whether it is a part of the page that is not main text."""
+    if name in UNSEEN:
+        return True, False
+    faint = name in MARGINS or name == "header" and not in_article
+    if not attributes or name in ("html", "body", "main", "article") or "=" not in attributes and "hidden" not in attributes:
+        return False, faint
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes):
-        return True
+        return True, faint
     for m in ATTRIBUTE.finditer(attributes):
-        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id"):
-            # parts of names, written with dashes or in camel case
-            parts = {x.lower() for x in NAME_PART.findall(m[2] or m[3] or m[4] or "")} | set(re.split(r"[\s_-]+", value))
-            if not SIGNS.isdisjoint(parts) or "header" in parts and not in_article:
-                return True
-        if key == "role" and value in ROLES or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
-
-
-def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """The page's lines: text, characters in links, in an article, aside (not main text), heading."""
-    lines: list[tuple[str, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, aside, in an article
+            faint = faint or any(_is_sign(x, name in PIECES, in_article) for x in value.split())
+        elif key == "role":
+            faint = faint or value.lower() in ROLES
+        elif key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return True, faint
+    return False, faint
+
+
+class Line(NamedTuple):
+    """A line of a page: its text, the characters of it in links, and where it stands."""
+
+    text: str
+    links: int
+    in_article: bool
+    faint: bool
+    heading: bool
+
+
+def lines_of(page: str) -> list[Line]:
+    """The page's lines in their order, without what is unseen."""
+    lines: list[Line] = []
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, unseen, faint, in an article
     opened: dict[str, int] = {}
     text: list[str] = []
     links = 0
@@ -84,13 +133,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         nonlocal links
         if text:
             if joined := " ".join("".join(text).split()):
-                lines.append((joined, links, in_article, aside, heading))
+                lines.append(Line(joined, links, in_article, faint, heading))
             text.clear()
         links = 0
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
-
     def close(name: str) -> None:
         while stack:
             top = stack.pop()[0]
@@ -98,13 +144,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             if top == name:
                 break
 
-    aside = in_article = False
+    unseen = faint = in_article = False
     at, size = 0, len(page)
     while at < size:
         start = page.find("<", at)
         if start < 0:
             start = size
-        if start > at:
+        if start > at and not unseen:
             piece = html.unescape(page[at:start])
             text.append(piece)
             if opened.get("a"):
@@ -113,7 +159,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             break
         m = TOKEN.match(page, start)
         if not m:
-            text.append("<")
+            if not unseen:
+                text.append("<")
             at = start + 1
             continue
         at = m.end()
@@ -123,10 +170,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
         if closing:
             if name in BLOCKS:
-                end_line(name in ("h1", "h2", "h3", "h4", "h5", "h6"))
+                end_line(name in HEADINGS)
             if opened.get(name):
                 close(name)
-                aside, in_article = state()
+                unseen, faint, in_article = stack[-1][1:] if stack else (False, False, False)
             continue
         if name == "br":
             text.append(" ")
@@ -143,49 +190,74 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                         break
                     if top in HOLDERS:
                         break
-                aside, in_article = state()
+                unseen, faint, in_article = stack[-1][1:] if stack else (False, False, False)
         if name in VOID:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}", re.I).search(page, at)
             at = end.start() if end else size
-        within = in_article or name in ("article", "main") or "main" in attributes and re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I) is not None
-        aside = aside or _is_aside(name, attributes, in_article)
-        in_article = within
-        stack.append((name, aside, in_article))
+        marked = name in ("article", "main") or "main" in attributes and re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I) is not None
+        hides, margin = _standing(name, attributes, in_article)
+        if marked and opened.get("form") and not any(s[2] and s[0] != "form" for s in stack):
+            faint = False  # pages that are one form as a whole
+        unseen, faint, in_article = unseen or hides, faint or margin, in_article or marked
+        stack.append((name, unseen, faint, in_article))
         opened[name] = opened.get(name, 0) + 1
     end_line()
     return lines
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
+def weight_of(line: Line) -> float:
+    if line.faint:
+        return FAINT * max(0, len(line.text) - line.links)
+    return MARK + len(line.text) if line.in_article else max(0, len(line.text) - line.links)
+
+
+def _runs(lines: list[Line]) -> list[list[int]]:
+    """The places of lines that follow each other with nothing of another kind between; text reads on past faint lines."""
+    runs: list[list[int]] = []
+    plain: list[int] = []
+    for k, line in enumerate(lines):
+        if line.faint:
+            if k and lines[k - 1].faint:
+                runs[-1].append(k)
+            else:
+                runs.append([k])
+        else:
+            if plain and lines[plain[-1]].in_article != line.in_article:
+                runs.insert(0, plain)
+                plain = []
+            plain.append(k)
+    return [*runs, plain] if plain else runs
+
+
+def kept_lines(lines: list[Line], window: int = WINDOW, surge: float = SURGE) -> list[int]:
+    """The places of the lines between each surge and its dive."""
+    runs = [(run, [weight_of(lines[k]) for k in run]) for run in _runs(lines)]
+    summed = [(run, weights, [sum(weights[i : i + window]) for i in range(len(run))]) for run, weights in runs]
+    surge = min(surge, max((max(sums) for _, _, sums in summed), default=0.0) / 2)
+    kept: list[int] = []
+    for run, weights, sums in summed:
+        first, i, done = lines[run[0]], 0, 0  # up to done, lines are decided on
+        least = max(surge, FAINT_SURGE) if first.faint else surge
+        while i < len(run):
+            if not weights[i] or sums[i] < least:
+                i += 1
+                continue
+            start = i
+            while start > done and weights[start - 1] and (first.in_article or lines[run[start - 1]].heading):
+                start -= 1
+            while i < len(run) and sums[i] > 0:
+                i += 1
+            kept += run[start:i]
+            done = i
+    return sorted(kept)
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: float = SURGE) -> str:
     """The main text, its blocks joined by a blank line; empty for null, empty and text-free pages."""
-    lines = [x for x in lines_of(page or "") if not x[3]]
-    # an article mark is weight enough for a surge; lines outside have to surge by their own text
-    weight = [len(x[0]) + surge if x[2] else max(0, len(x[0]) - x[1]) for x in lines]
-    n = len(lines)
-    sums = [0] * n
-    first, end = list(range(n)), [n] * n  # of the run of lines that are all in an article, or all outside
-    for i in range(1, n):
-        first[i] = first[i - 1] if lines[i][2] == lines[i - 1][2] else i
-    for i in range(n - 2, -1, -1):
-        end[i] = end[i + 1] if first[i + 1] == first[i] else i + 1
-    for i in range(n):
-        sums[i] = sum(weight[i : min(i + window, end[i])])  # no window reaches over an article's edge
-    while surge and n and max(sums) <= surge:  # short pages: what stands out among little text
-        surge //= 2
-    kept, i = [], 0
-    while i < n:
-        if not weight[i] or sums[i] <= surge:
-            i += 1
-            continue
-        start, stop = i, end[i]
-        while start > first[i] and lines[start - 1][4] and weight[start - 1] and (not kept or kept[-1] < start - 1):
-            start -= 1  # a heading just before its text
-        while i < stop and sums[i] > 0:
-            i += 1
-        kept += range(start, i)
-    return "\n\n".join(lines[k][0] for k in kept)
+    lines = lines_of(page or "")
+    return "\n\n".join(lines[k].text for k in kept_lines(lines, window, surge))
 
 
 def _row() -> Callable[[str | None], tuple]:

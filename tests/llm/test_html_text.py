@@ -74,3 +74,67 @@ def test_odd_rows(spark, tables):
     rows = queries.op3_html_text(spark, tables(pages=pages)).collect()
     assert sorted(r.n_chars for r in rows) == [0, 0, 1, 1, 249_999]
     assert queries.op3_html_text(spark, tables(pages=pages.limit(0))).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><h1>T</h1><p class='share-price'>Up 3</p><p class=hidden-gem>{LONG}</p><div class='related-work'><p>Smith</p></div><p class='price-alert'>b</p></article>", f"T\n\nUp 3\n\n{LONG.strip()}\n\nSmith\n\nb"),
+        (f"<article><p>{LONG}</p><div class='share-buttons'>Share</div><div class='relatedPosts'><p>{LONG[:60]}</p></div><p>b</p><p class=ad>Buy</p></article>", f"{LONG.strip()}\n\nb"),
+        (f"<form id=aspnetForm><div class=menu>Home</div><article><p>{LONG}</p></article><input></form>", LONG.strip()),
+        (f"<aside><article><p>{LONG[:60]}</p></article></aside><p>{LONG}</p>", LONG.strip()),
+    ],
+)
+def test_names_that_only_hold_a_sign_weigh_nothing(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_a_page_whose_names_mislead_is_kept_by_its_windows():
+    assert html_text.main_text(f"<div id=sidebar-layout>{f'<p>{LONG}</p>' * 4}<nav><a href=/>Home</a></nav></div>") == "\n\n".join([LONG.strip()] * 4)
+    assert html_text.main_text("<nav><a href=/>Home</a> now</nav><footer>(c) us</footer>") == ""
+
+
+def brute_blocks(blocks, window=3, surge=86):
+    """The lines kept, from a page's blocks (kind, text): every window anew, by the definition."""
+    def weight(kind, text):
+        return {"menu": 0, "ad": 0.01 * len(text), "article": 80 + len(text), "link": 0}.get(kind, len(text))
+
+    faint = lambda kind: kind in ("menu", "ad")
+    runs = []
+    for kinds in (lambda k: not faint(k), faint):
+        run = []
+        for i, (kind, _) in enumerate(blocks):
+            if kinds(kind):
+                if run and not faint(kind) and (blocks[run[-1]][0] == "article") != (kind == "article") or run and faint(kind) and run[-1] != i - 1:
+                    runs.append(run)
+                    run = []
+                run.append(i)
+        runs += [run] if run else []
+    sums = {i: sum(weight(*blocks[j]) for j in run[at : at + window]) for run in runs for at, i in enumerate(run)}
+    level = min(surge, max(sums.values(), default=0) / 2)
+    kept = set()
+    for run in runs:
+        least = max(level, 2.0) if faint(blocks[run[0]][0]) else level
+        text = [i for at, i in enumerate(run) if any(weight(*blocks[run[s]]) > 0 and sums[run[s]] >= least and all(sums[run[k]] > 0 for k in range(s, at + 1)) for s in range(at + 1))]
+        for i in reversed(run):  # what stands just before a surge and joins it
+            after = run[run.index(i) + 1 :][:1]
+            if i not in text and after and after[0] in text and weight(*blocks[i]) > 0 and blocks[i][0] in ("article", "heading"):
+                text.append(i)
+        kept |= set(text)
+    return "\n\n".join(blocks[i][1] for i in sorted(kept))
+
+
+def test_random_pages_match_windows_by_definition():
+    import random
+
+    rng = random.Random(3)
+    shapes = {"menu": "<nav><ul><li><a href=/>{}</a></li></ul></nav>", "ad": "<div class='ad-box'>{}</div>", "article": "<article><p>{}</p></article>", "link": "<p><a href=/>{}</a></p>", "heading": "<h2>{}</h2>", "plain": "<div>{}</div>"}
+    decided = 0
+    for _ in range(1500):
+        kinds = rng.choice((list(shapes), ["plain", "link", "heading"], ["menu", "plain", "ad", "heading"]))
+        blocks = [(kind, "x" * rng.choice((1, 5, 20, 60, 150, 900))) for kind in rng.choices(kinds, k=rng.randint(0, 14))]
+        page = "".join(shapes[kind].format(text) for kind, text in blocks)
+        want = brute_blocks(blocks)
+        assert html_text.main_text(page) == want, blocks
+        decided += want != "\n\n".join(text for kind, text in blocks if kind not in ("menu", "ad"))
+    assert decided > 500

@@ -3,16 +3,25 @@
 1. Each task cuts its texts into blocks of bounded size, lists a block's
    distinct words and writes every text as positions in that list.
 2. The lists are shuffled by a hash of the word, so equal words of all blocks
-   meet and each is encoded once.
-3. The ids go back to their blocks: a table with a folder for each block. The
-   task that reads a block's texts joins them to its ids by position.
-4. Decoding joins ids to the vocabulary's pieces.
-
-A word is a run without ASCII white space. That is exact for vocabularies whose
-pre-tokens never hold white space. Texts themselves are never shuffled; lists
+   meet. Lists stream past a table of the words met so far: a word is encoded
+   when it is first met. The table is bounded (WORDS); where a bucket has more
+   distinct words than that, it begins anew, and a word may be encoded again.
+3. The ids go back to their blocks, a folder for each of the input's partitions.
+   The task that reads a block's texts joins them to its ids by position.
+4. Decoding joins ids to the vocabulary's pieces: a map-side join with a table
+   of the vocabulary's size, done by Arrow's take.
+
+Words are split in the tasks that read the texts, on Spark's partitions. A word
+is a run without ASCII white space; that is exact for vocabularies whose
+pre-tokens never hold white space. Texts themselves are never shuffled. Lists
 and positions are written compressed, a row for each block and hash bucket, so
-what is written and shuffled stays near the input's size, and no row, group or
-task grows with the corpus.
+what is written and shuffled stays near the input's size. No row, table or block
+grows with the corpus; tasks hold one block or one bounded table.
+
+Null, empty and blank texts have no ids and decode to an empty text. Rows that
+are alike are encoded alike, each for itself. Very long texts are blocks of
+their own. Other columns, whatever their names, are left alone, but one named
+like the output is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import new_folder, store_of, written
+from .common import aside, new_folder, placed, store_of, without, written
 
-BLOCK_CHARS = 32_000_000
-ENCODE_AT_ONCE = 10_000
+#: Characters of a block's texts, distinct words that a task holds with their ids, and words that are encoded at once.
+BLOCK_CHARS, WORDS, ENCODE_AT_ONCE = 16_000_000, 300_000, 10_000
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -131,36 +140,81 @@ def _load(made: str):
     return tokenizer
 
 
-def _encoder(made):
-    """The words of one bucket from all blocks: each distinct word is encoded once."""
-
-    def run(table: pa.Table) -> pa.Table:
-        tokenizer = _load(made.value)
-        lists = table.column("__words").to_pylist()
-        index: dict[bytes, int] = {}
-        for packed in lists:
-            for w in _expand(packed).split(b" "):
-                if w not in index:
-                    index[w] = len(index)
-        distinct, count, flat = list(index), [], []
-        for at in range(0, len(distinct), ENCODE_AT_ONCE):
-            texts = [w.decode("utf-8", "surrogatepass") for w in distinct[at : at + ENCODE_AT_ONCE]]
-            ids = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-            count.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(count[-1].sum())))
-        count, flat = np.concatenate(count), np.concatenate(flat)
-        start = np.cumsum(count) - count
-        counts, packed_ids = [], []
-        for packed in lists:
-            words = _expand(packed).split(b" ")
-            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            counts.append(_pack(count[at]))
-            packed_ids.append(_pack(flat[_runs(start[at], count[at])]))
-        return pa.table({"__block": table.column("__block"), "__bucket": table.column("__bucket"), "__counts": pa.array(counts, pa.binary()), "__ids": pa.array(packed_ids, pa.binary())})
+class _Table:
+    """The ids of the words met so far, one after another, and where each word's stand."""
+
+    def __init__(self, tokenizer, limit: int):
+        self.tokenizer, self.limit = tokenizer, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.start, self.count, self.flat = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint32)]
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Where the words stand; those that are new are encoded and added."""
+        if len(self.index) + len(words) > self.limit:
+            self.clear()
+        index = self.index
+        new = [w for w in dict.fromkeys(words) if w not in index]
+        index.update(zip(new, range(len(index), len(index) + len(new))))
+        for at in range(0, len(new), ENCODE_AT_ONCE):
+            texts = [w.decode("utf-8", "surrogatepass") for w in new[at : at + ENCODE_AT_ONCE]]
+            ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            count = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))])
+        return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each place has, and the ids."""
+        return self.count[places], self.flat[_runs(self.start[places], self.count[places])]
+
+
+def _encoder(made, limit: int):
+    """Lists of a partition, sorted by bucket: each comes back as its words' numbers of ids and ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bucket = None, None
+        for batch in batches:
+            at = 0
+            for upto in _slices(batch.column("__words"), 4 << 20):
+                part, rows = batch.slice(at, upto - at), []
+                at = upto
+                table = table or _Table(_load(made.value), limit)
+                buckets = part.column("__bucket").to_pylist()
+                lists = [_expand(x).split(b" ") for x in part.column("__words").to_pylist()]
+                k = 0
+                while k < len(lists):  # lists of one bucket are looked up together, as far as the table goes
+                    if buckets[k] != bucket:
+                        bucket = buckets[k]
+                        table.clear()
+                    end, held = k + 1, len(lists[k])
+                    while end < len(lists) and buckets[end] == bucket and held + len(lists[end]) <= limit // 2:
+                        held += len(lists[end])
+                        end += 1
+                    places = table.places([w for words in lists[k:end] for w in words])
+                    edges = np.cumsum([len(words) for words in lists[k:end]])[:-1]
+                    for mine in np.split(places, edges):
+                        counts, ids = table.of(mine)
+                        rows.append((_pack(counts), _pack(ids)))
+                    k = end
+                yield pa.RecordBatch.from_arrays([part.column("__block"), part.column("__bucket"), *(pa.array(x, pa.binary()) for x in zip(*rows))], names=["__block", "__bucket", "__counts", "__ids"])
 
     return run
 
 
+def _slices(column: pa.Array, size: int) -> Iterator[int]:
+    """Ends of runs of rows with about size bytes."""
+    total, n = 0, len(column)
+    for i in range(n):
+        total += len(column[i].as_buffer() or b"") if column[i].is_valid else 0
+        if total >= size or i == n - 1:
+            yield i + 1
+            total = 0
+
+
 def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... count[0] of them, and so on for all runs."""
     ends = np.cumsum(count)
@@ -173,12 +227,14 @@ class _Ids:
     def __init__(self, folder: str, block: int, buckets: int):
         from pyarrow import dataset, fs
 
-        store, path = store_of(f"{folder}/__block={block}")
+        store, path = store_of(f"{folder}/__part={block >> 24}")
         self.start = self.count = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         if store.get_file_info(path).type == fs.FileType.NotFound:
             return  # no text of the block has a word
-        rows = dataset.dataset(path, filesystem=store, format="parquet").to_table(columns=["__bucket", "__counts", "__ids"])
+        rows = dataset.dataset(path, filesystem=store, format="parquet").to_table(columns=["__bucket", "__counts", "__ids"], filter=dataset.field("__block") == block)
+        if not rows.num_rows:
+            return
         bucket = rows.column("__bucket").to_pylist()
         counts = [_unpack(x).astype(np.int64) for x in rows.column("__counts").to_pylist()]
         self.flat = np.concatenate([_unpack(x) for x in rows.column("__ids").to_pylist()])
@@ -193,18 +249,24 @@ class _Ids:
         return self.flat[_runs(self.start[places], self.count[places])]
 
 
-def _assembler(kept: list[str], schema: pa.Schema, folder: str, buckets: int):
+def _assembler(kept: int, schema: pa.Schema, folder: str, buckets: int):
+    """Texts of a partition, block after block, with the ids of their words; the first `kept` columns go along."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids = None, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                made = []
-                for b, packed in zip(part.column("__block").to_pylist(), part.column("__places").to_pylist()):
-                    if b != block:
-                        block, ids = b, _Ids(folder, b, buckets)
-                    made.append(ids.of(_unpack(packed)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*(part.column(c).cast(schema.field(c).type) for c in kept), pa.array(made, pa.list_(pa.int32()))], schema=schema)
+            at = 0
+            for upto in _slices(batch.column("__places"), 1 << 20):
+                part, made = batch.slice(at, min(upto, at + 200) - at), []
+                while at < upto:
+                    for b, packed in zip(part.column("__block").to_pylist(), part.column("__places").to_pylist()):
+                        if b != block:
+                            block, ids = b, None  # the last block's ids go before the next ones come
+                            ids = _Ids(folder, b, buckets)
+                        made.append(ids.of(_unpack(packed)).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([*(part.column(i).cast(schema.field(i).type) for i in range(kept)), pa.array(made, pa.list_(pa.int32()))], schema=schema)
+                    at += part.num_rows
+                    part, made = batch.slice(at, min(upto, at + 200) - at), []
 
     return run
 
@@ -219,22 +281,25 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids" and (keep is not None or c != text)]
+    kept = without(docs.columns if keep is None else keep, ["ids"] if keep is not None else ["ids", text])
+    moved, _ = aside(docs)
+    fields = [T.StructField(f"c{i}", moved.schema[placed(docs, c)].dataType, True) for i, c in enumerate(kept)]
     with open(path, encoding="utf-8") as f:
         made = spark.sparkContext.broadcast(f.read())
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plain = [T.StructField(c, docs.schema[c].dataType, True) for c in kept]
     own = [T.StructField("__block", T.LongType()), T.StructField("__bucket", T.IntegerType()), T.StructField("__words", T.BinaryType()), T.StructField("__places", T.BinaryType())]
-    schema = T.StructType(plain + own)
-    source = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("__text"))
+    schema = T.StructType(fields + own)
+    source = moved.select(*(F.col(placed(docs, c)).alias(f"c{i}") for i, c in enumerate(kept)), F.col(placed(docs, text)).alias("__text"))
     blocks = written(source.mapInArrow(_blocks(to_arrow_schema(schema), buckets, block_chars), schema), "word-blocks")
     words = blocks.where("__words IS NOT NULL").select("__block", "__bucket", "__words")
-    encoded = words.groupBy("__bucket").applyInArrow(_encoder(made), "__block long, __bucket int, __counts binary, __ids binary")
+    encoded = words.repartition("__bucket").sortWithinPartitions("__bucket").mapInArrow(_encoder(made, WORDS), "__block long, __bucket int, __counts binary, __ids binary")
     folder = new_folder(spark, "block-ids")
-    encoded.repartition("__block").write.partitionBy("__block").parquet(folder)
-    texts = blocks.where("__places IS NOT NULL").select(*(F.col(f"`{c}`") for c in kept), "__block", "__places")
-    out = T.StructType(plain + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return texts.mapInArrow(_assembler(kept, to_arrow_schema(out), folder, buckets), out)
+    part = F.shiftright("__block", 24).alias("__part")
+    # sorted by block in row groups of some MB: who reads a block's ids skips the others of its folder
+    encoded.select("*", part).repartition("__part").sortWithinPartitions("__part", "__block").write.option("parquet.block.size", 4 << 20).partitionBy("__part").parquet(folder)
+    texts = blocks.where("__places IS NOT NULL").select(*(f.name for f in fields), "__block", "__places")
+    out = T.StructType([T.StructField(c, f.dataType) for c, f in zip(kept, fields)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return texts.mapInArrow(_assembler(len(kept), to_arrow_schema(out), folder, buckets), out)
 
 
 def pieces(path: str) -> list[str]:
@@ -256,7 +321,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
         if json.load(f).get("decoder"):
             raise ValueError("only vocabularies without a decoder join their pieces by spaces")
     shared = encoded.sparkSession.sparkContext.broadcast(pieces(path))
-    kept = [c for c in encoded.columns if c != out]
+    kept = without(encoded.columns, [out])
+    place = kept.index(ids)
     schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,11 +332,11 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                column = part.column(ids)
+                column = part.column(place)
                 lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
                 texts = pc.binary_join(pa.ListArray.from_arrays(offsets, piece.take(column.flatten())), " ")
                 texts = pc.if_else(column.is_null(), pa.scalar(None, pa.string()), texts)
-                yield pa.RecordBatch.from_arrays([*(part.column(c).cast(arrow.field(c).type) for c in kept), texts], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).cast(arrow.field(i).type) for i in range(len(kept))), texts], schema=arrow)
 
-    return encoded.select(*kept).mapInArrow(run, schema)
+    return encoded.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)

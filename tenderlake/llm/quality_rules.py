@@ -1,32 +1,48 @@
 """Weak supervision for text quality.
 
-Rules vote that a text is good (1) or bad (-1), or abstain (0).
+Rules vote that a text is good (1) or bad (-1), or abstain (0). Each rule
+belongs to a family that looks at one kind of bad text by several signs.
 Expectation-maximisation over the counts of vote patterns estimates each rule's
-accuracy by class and the share of good texts without labels. A text's posterior
-probability of being good then decides, instead of demanding that all rules pass.
-
-The patterns are at most 3 ** len(RULES) rows whatever the input's size; only
-they reach the driver. The posterior is a logistic of the votes' weights and
-stays a column expression.
+accuracy by class and the share of each class without labels: good texts, and
+the bad ones of each family. A text's posterior probability of being good then
+decides, instead of demanding that all rules pass: a bad vote that the other
+signs of its family contradict is outvoted, and how much it takes to outvote a
+rule is estimated from the corpus.
+
+The patterns are at most 3 ** (number of rules) rows whatever the input's size,
+and in practice some hundred; only they reach the driver. The posterior is a
+logistic of the votes' weights and stays a column expression.
+
+Null, empty and blank texts have figures of zero, fail the base rule and get a
+bad vote from every rule. Rows that are alike are judged alike, each for itself.
+Columns of the input that have names of FEATURES are replaced by with_features()
+and left alone by only_kept(). An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_columns
+from .common import aside, placed, with_columns, written
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-#: The least chance that a rule votes bad in the class of bad texts that it heads, and how often rules are thought to wrong good texts.
-HEAD, ERROR = 0.8, 0.01
+LOUD = (b"!!", b"?!", b"!?", b"??")
+#: What is thought of a rule before any text is seen (the chance that its vote is right) and how many texts that thought is worth.
+THOUGHT, WORTH = 0.9, 10.0
+#: The end of a word that ends a sentence, and the last bytes of words in running text besides letters and digits.
+SENTENCE_ENDS = (b".", b"?", b"!", "…".encode(), "。".encode(), "！".encode(), "？".encode(), "।".encode())
+PLAIN_ENDS = frozenset(b".,;:?!'\")]}-/") | frozenset(range(48, 58)) | frozenset(range(65, 91)) | frozenset(range(97, 123)) | frozenset(range(128, 256))
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-    " n_lines long, n_upper long, n_lower long, n_marks long, n_ends long"
+    " n_lines long, n_upper long, n_lower long, n_marks long, n_ends long,"
+    " n_symbol_words long, n_odd_ends long, n_distinct long, n_loud_words long, n_upper_words long"
 )
 
 
@@ -57,6 +73,18 @@ def repeated_window_words(words: list[bytes], width: int = WINDOW) -> int:
     return int((np.cumsum(edge[:n]) > 0).sum())
 
 
+def _cased(text: str) -> tuple[int, int]:
+    """How many characters of the text, of any script, are changed by lower-casing and by upper-casing."""
+    own = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    counts = []
+    for changed in (text.lower(), text.upper()):
+        if len(changed) == len(text):
+            counts.append(int((own != np.frombuffer(changed.encode("utf-32-le", "surrogatepass"), "<u4")).sum()))
+        else:  # some characters become several
+            counts.append(sum(c != (c.lower() if not counts else c.upper()) for c in text))
+    return counts[0], counts[1]
+
+
 def features_of(text: str | None) -> tuple[int, ...]:
     """The figures that the rules look at; all zero for null and for empty texts."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -66,7 +94,20 @@ def features_of(text: str | None) -> tuple[int, ...]:
         seen += np.bincount(np.frombuffer(raw, np.uint8, min(1 << 20, len(raw) - at), at), minlength=256)
     continued = int(seen[0x80:0xC0].sum())
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    ends = sum(w.endswith((b".", b"?", b"!")) for w in words)
+    often = Counter(words)  # each distinct word is looked at once
+    ends = symbols = odd = loud = upper = 0
+    for w, n in often.items():
+        if w.endswith(SENTENCE_ENDS):
+            ends += n
+        if w[-1] not in PLAIN_ENDS:
+            odd += n
+        if len(w.translate(None, SYMBOLS)) < len(w):
+            symbols += n
+        if w.endswith(LOUD):
+            loud += n
+        if w.isupper() and len(w) > 1:
+            upper += n
+    big, small = (int(seen[65:91].sum()), int(seen[97:123].sum())) if not seen[128:].any() else _cased(text or "")
     return (
         len(words),
         len(raw) - continued - int(seen[9:14].sum() + seen[32]),
@@ -74,10 +115,15 @@ def features_of(text: str | None) -> tuple[int, ...]:
         len(lines) - len(set(lines)),
         repeated_window_words(words),
         len(lines),
-        int(seen[65:91].sum()),
-        int(seen[97:123].sum()),
+        big,
+        small,
         int(seen[[33, 63]].sum()),
         ends,
+        symbols,
+        odd,
+        len(often),
+        loud,
+        upper,
     )
 
 
@@ -91,43 +137,67 @@ def _vote(good: Column, bad: Column) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """The rules' votes over the columns of FEATURES. No rule yields null."""
+    """The rules' votes over the columns of FEATURES. No rule yields null.
+
+    The rules are strict and wrong many good texts each; that is what their votes
+    are weighed for.
+    """
     words, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
     share = lambda c: F.col(c) / words
-    letters = F.greatest(F.col("n_upper") + F.col("n_lower"), F.lit(1))
-    mean = F.col("word_chars") / words
+    upper = F.col("n_upper") / F.greatest(F.col("n_upper") + F.col("n_lower"), F.lit(1))
+    mean, copied = F.col("word_chars") / words, F.col("n_dup_lines") / lines
+    variety = F.log(F.col("n_distinct") + 1) / F.log(words + 1)  # hardly depends on a text's length
     return {
-        "few_symbols": _vote(share("n_symbols") < 0.05, share("n_symbols") > 0.2),
-        "few_repeats": _vote(share("n_repeat_words") < 0.1, share("n_repeat_words") > 0.3),
-        "few_copied_lines": _vote(F.col("n_dup_lines") == 0, (F.col("n_dup_lines") > 2) & (F.col("n_dup_lines") / lines > 0.3)),
-        "lower_case": _vote(F.col("n_upper") / letters < 0.15, F.col("n_upper") / letters > 0.4),
-        "few_marks": _vote(share("n_marks") < 0.05, share("n_marks") > 0.25),
-        "word_length": _vote(mean.between(3.0, 9.0), (mean < 2.0) | (mean > 14.0)),
-        "sentences": _vote(share("n_ends").between(0.01, 0.4), share("n_ends") > 0.6),
-        "long_enough": _vote(F.col("n_words") >= 30, F.col("n_words") < 10),
+        "few_symbols": _vote(share("n_symbols") < 0.02, share("n_symbols") > 0.1),
+        "clean_words": _vote(share("n_symbol_words") < 0.02, share("n_symbol_words") > 0.05),
+        "plain_ends": _vote(share("n_odd_ends") < 0.01, share("n_odd_ends") > 0.05),
+        "few_repeats": _vote(share("n_repeat_words") < 0.08, share("n_repeat_words") > 0.16),
+        "varied_words": _vote(variety > 0.9, variety < 0.85),
+        "few_copied_lines": _vote(copied == 0, copied > 0.05),
+        "lower_case": _vote(upper < 0.05, upper > 0.15),
+        "few_marks": _vote(share("n_marks") < 0.03, share("n_marks") > 0.1),
+        "calm_words": _vote(share("n_loud_words") < 0.01, share("n_loud_words") > 0.05),
+        "few_capitals": _vote(share("n_upper_words") < 0.02, share("n_upper_words") > 0.08),
+        "sentences": _vote(share("n_ends").between(0.03, 0.2), ~share("n_ends").between(0.015, 0.3)),
+        "word_length": _vote(mean.between(3.5, 8.0), ~mean.between(3.0, 10.0)),
+        "long_enough": _vote(F.col("n_words") >= 80, F.col("n_words") < 50),
     }
 
 
+#: The rules that look at one kind of bad text by different signs.
+FAMILIES = (
+    ("few_symbols", "clean_words", "plain_ends"),
+    ("few_repeats", "varied_words", "few_copied_lines"),
+    ("lower_case", "few_marks", "calm_words", "few_capitals", "sentences"),
+    ("word_length", "long_enough"),
+)
+
+
 @dataclass(frozen=True)
 class LabelModel:
     """Shares of the classes and the chances of each vote by class.
 
-    The first class is that of good texts; the others are kinds of bad ones, in
-    the order of names. chances[class][rule] holds the chances that the rule,
-    where it votes, votes -1 or 1; between them stands 1 for abstaining, which
-    says nothing about a text.
+    The first class is that of good texts; the others are kinds of bad ones, one
+    a family. chances[class][rule] holds the chances that the rule, where it
+    votes, votes -1 or 1; between them stands 1 for abstaining, which says
+    nothing about a text.
     """
 
     names: tuple[str, ...]
     shares: tuple[float, ...]
     chances: tuple[tuple[tuple[float, float, float], ...], ...]
+    families: tuple[tuple[str, ...], ...]
 
     def accuracy(self) -> dict[str, float]:
-        """The chance that a rule is right when it votes."""
+        """The chance that a rule is right when it votes on a good text or on a bad one of its own family."""
         share, chance = np.array(self.shares), np.array(self.chances)
-        by_vote = np.einsum("c,cjv->cjv", share, chance)
-        right = by_vote[0, :, 2] + by_vote[1:, :, 0].sum(0)
-        return dict(zip(self.names, (right / (right + by_vote[0, :, 0] + by_vote[1:, :, 2].sum(0))).tolist()))
+        own = {name: 1 + k for k, family in enumerate(self.families) for name in family}
+        out = {}
+        for j, name in enumerate(self.names):
+            at = [0, own[name]]
+            right = share[0] * chance[0, j, 2] + share[at[1]] * chance[at[1], j, 0]
+            out[name] = float(right / share[at].sum())
+        return out
 
     def posterior(self, votes: dict[str, Column]) -> Column:
         """P(good | votes)."""
@@ -140,34 +210,35 @@ class LabelModel:
         return 1 / both[0]
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, names: list[str], rounds: int = 300, tol: float = 1e-8) -> LabelModel:
+def estimate(patterns: np.ndarray, counts: np.ndarray, names: list[str], families: Sequence[Sequence[str]] | None = None, rounds: int = 500, tol: float = 1e-9) -> LabelModel:
     """Expectation-maximisation over vote patterns (rows of -1, 0, 1) and their counts.
 
     Bad texts are bad in different ways that seldom fail the same rules, so each
-    rule heads a class of bad texts of its own, in which it votes bad at least
-    HEAD of the time; the good texts are one class. Pseudo-counts say that a rule
-    wrongs some good texts (ERROR of them): one rule's vote alone rejects a text
-    only where that kind of bad text is found to be common enough, and votes
-    that support each other reject it anyway.
+    family of rules begins a class of bad texts of its own; the good texts are
+    one class. Before any text is seen, votes are thought right THOUGHT of the
+    time among good texts and in the family's own class, and either way
+    elsewhere; that is worth WORTH texts, whatever the corpus holds. All else
+    comes from which votes agree: a sign whose bad votes the rest of its family
+    contradicts becomes one that is often wrong.
     """
-    n, total = len(names), float(max(counts.sum(), 1.0))
+    families = families or [(name,) for name in names]  # by default each rule is a family of its own
+    n, total = len(names), float(counts.sum())
     shown = (patterns[:, :, None] == np.array([-1, 0, 1])).astype(float)  # pattern, rule, vote
-    against = (patterns == -1).astype(float)
-    any_against = against.sum(1, keepdims=True)
-    good = np.where(any_against > 0, 0.1, 0.97)
-    member = np.hstack([good, (1 - good) * np.where(any_against > 0, against / np.maximum(any_against, 1), 1 / n)])
     shown[:, :, 1] = 0  # abstentions count for no class
-    prior = np.array([ERROR, 0, 1 - ERROR])
+    own = np.array([[name in family for name in names] for family in families], float)  # family, rule
+    prior = np.zeros((len(families) + 1, n, 3))
+    prior[:, :, 0] = prior[:, :, 2] = WORTH / 10  # elsewhere
+    prior[0] = WORTH * np.array([1 - THOUGHT, 0, THOUGHT])
+    prior[1:] = np.where(own[:, :, None] > 0, WORTH * np.array([THOUGHT, 0, 1 - THOUGHT]), prior[1:])
+    against = (patterns == -1).astype(float)
+    part = against @ own.T / own.sum(1)  # how much of each family votes bad
+    bad = part.max(1, keepdims=True, initial=0)
+    member = np.hstack([1 - bad, bad * part / np.maximum(part.sum(1, keepdims=True), 1e-9)])
     for _ in range(rounds):
         mass = counts[:, None] * member
-        shares = (mass.sum(0) + 1) / (total + n + 1)
-        seen = np.einsum("pc,pjv->cjv", mass, shown)
-        seen[0] += 0.2 * total * prior
-        seen[1:] += np.array([1.0, 0.0, 1.0])
-        chance = seen / seen.sum(2, keepdims=True)
-        for j in range(n):
-            if chance[j + 1, j, 0] < HEAD:
-                chance[j + 1, j] = [HEAD, 0, 1 - HEAD]
+        shares = (mass.sum(0) + 1) / (total + len(families) + 1)
+        chance = np.einsum("pc,pjv->cjv", mass, shown) + prior
+        chance = chance / chance.sum(2, keepdims=True)
         chance[:, :, 1] = 1
         weight = np.log(shares) + np.einsum("pjv,cjv->pc", shown, np.log(chance))
         new = np.exp(weight - weight.max(1, keepdims=True, initial=-np.inf)) if len(weight) else weight
@@ -176,7 +247,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, names: list[str], rounds:
         member = new
         if moved < tol:
             break
-    return LabelModel(tuple(names), tuple(map(float, shares)), tuple(tuple(tuple(map(float, v)) for v in c) for c in chance))
+    return LabelModel(tuple(names), tuple(map(float, shares)), tuple(tuple(tuple(map(float, v)) for v in c) for c in chance), tuple(map(tuple, families)))
 
 
 def fit(features: DataFrame) -> LabelModel:
@@ -185,7 +256,7 @@ def fit(features: DataFrame) -> LabelModel:
     names = list(votes)
     rows = features.groupBy(*(votes[n].alias(n) for n in names)).agg(F.count(F.lit(1)).alias("n")).collect()
     rows.sort(key=lambda r: [r[n] for n in names])
-    return estimate(np.array([[r[n] for n in names] for r in rows], float).reshape(-1, len(names)), np.array([r["n"] for r in rows], float), names)
+    return estimate(np.array([[r[n] for n in names] for r in rows], float).reshape(-1, len(names)), np.array([r["n"] for r in rows], float), names, FAMILIES)
 
 
 def base_failed() -> Column:
@@ -200,3 +271,25 @@ def judged(features: DataFrame, model: LabelModel, threshold: float = 0.5) -> Da
         .withColumn("quality", model.posterior(rules()))
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
     )
+
+
+def only_kept(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs that the posterior keeps, with docs' columns as they are, whatever their names.
+
+    Every row is judged by its text alone: a null doc_id, a repeated one or a
+    null in any other column changes nothing, repeated rows all stay or all go.
+    The figures are made again beside the texts for the verdict, so that no join
+    has to shuffle texts.
+    """
+    model = fit(written(with_features(docs, text, keep=[]), "quality-features"))
+    moved, back = aside(docs)  # so that no column of docs is taken for a figure or verdict
+    return judged(with_features(moved, placed(docs, text)), model, threshold).where("kept").select(*back)
+
+
+def posteriors(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFrame:
+    """docs with the posterior probability that each text is good in the column out, which is replaced."""
+    model = fit(written(with_features(docs, text, keep=[]), "quality-features"))
+    moved, back = aside(docs)
+    keep = [c for c, name in zip(back, docs.columns) if name.lower() != out.lower()]
+    weighed = with_features(moved, placed(docs, text)).withColumn("__posterior", model.posterior(rules()))
+    return weighed.select(*keep, F.col("__posterior").alias(out))

@@ -47,7 +47,8 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mix.mix(_read(spark, sf_dir, "documents")).drop("copies")
+    docs = quality_rules.posteriors(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return source_mix.mix(docs, quality="quality").drop("copies")
 
 
 def codec_digest(docs: DataFrame) -> DataFrame:

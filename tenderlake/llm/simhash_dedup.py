@@ -1,17 +1,22 @@
 """Near-duplicates by 64-bit SimHash and exact tiled comparison.
 
-Fingerprints within 3 bits link. Four blocks of 16 bits cannot all differ then,
-so fingerprints are gathered by each block's value and compared inside these
-groups only, which loses no link. Within a group, tiles of fingerprints of one
-population count are compared by numpy exclusive-or and bit counts; tile pairs
-whose population counts differ beyond the radius are skipped. Groups larger
-than a tile are cut into tiles by population count and hash, and each pair of
-tiles is a unit of work of its own. A unit of work returns a spanning forest of
-its links, never all pairs.
+Fingerprints within 3 bits link. They are cut into blocks of bits; those that
+agree in enough blocks share a key, and within the radius they must share one,
+so comparing within keys loses no link. How many blocks there are follows from
+the number of distinct fingerprints, so that keys stay selective.
+
+The fingerprints of a key are put in the order of their population counts and
+cut into tiles of TILE or so. Pairs of tiles whose population counts differ
+beyond the radius are skipped; the others, and each tile with itself, are units
+of work of bounded size that Spark deals out. In a unit, numpy compares by
+exclusive-or and bit counts, passing over rows whose counts differ too much. A
+unit returns a spanning forest of its links, never all pairs. Every key goes
+this way, whatever its size.
 
 Equal fingerprints meet once only: what follows the fingerprints runs on
-distinct ones. At over 10**8 of them, more and shorter blocks than 4 (see
-blocks) keep the groups small.
+distinct ones. Null and empty texts, and those without words, have fingerprint
+zero and link like any other; rows that are alike are linked; an empty table
+gives an empty result; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -24,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_columns, written
+from .common import aside, placed, with_columns, written
 from .components import components
 
 RADIUS = 3
 SHINGLE = 3
-TILE = 4096
+TILE = 1024
+#: Distinct fingerprints up to which keys of one block of four are selective (2 ** 11 a key on average), and two of five.
+FOUR, FIVE = 1 << 27, 1 << 36
 
 
 def fingerprint_of(text: str | None, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -85,55 +92,44 @@ def _forest(bits: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def _compare_groups(radius: int):
-    """Links within the groups of a partition sorted by key and population count. Groups fit into a tile."""
+def _compare_units(radius: int):
+    """Links within the units of a partition, which is sorted by unit and population count.
 
-    def compare(key: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        root, ones = np.arange(len(key)), np.bitwise_count(bits).astype(np.int16)
+    Rows are key, a, b (the unit: two tiles of a key, or one twice), tile and bits.
+    """
+
+    def compare(unit: np.ndarray, cross: np.ndarray, tile: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+        root, ones = np.arange(len(unit)), np.bitwise_count(bits).astype(np.int16)
         at, k = root[:-1], 1
         while True:
-            at = at[at + k < len(key)]
-            # counts ascend within a key: a row beyond the radius has none nearer after it
-            at = at[(key[at] == key[at + k]) & (ones[at + k] - ones[at] <= radius)]
+            at = at[at + k < len(unit)]
+            # counts ascend within a unit: a row beyond the radius has none nearer after it
+            at = at[(unit[at] == unit[at + k]) & (ones[at + k] - ones[at] <= radius)]
             if not len(at):
                 return _forest(bits, root)
-            hit = at[_near(bits[at], bits[at + k], radius)]
+            # what stands in one tile has met in that tile's own unit
+            pair = at[~cross[at] | (tile[at] != tile[at + k])]
+            hit = pair[_near(bits[pair], bits[pair + k], radius)]
             if len(hit):
                 unite(root, hit, hit + k)
             k += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        rest = tuple(np.zeros(0, np.int64) for _ in range(5))
         for batch in batches:
-            key = np.concatenate([rest[0], batch.column("key").to_numpy(zero_copy_only=False)])
-            bits = np.concatenate([rest[1], batch.column("bits").to_numpy(zero_copy_only=False).view(np.uint64)])
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "a", "b", "tile", "bits")]
+            rows = tuple(np.concatenate(x) for x in zip(rest, new))
+            key, a, b, tile, bits = rows
             if not len(key):
                 continue
-            cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
+            starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            unit = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(key))))
+            cut = starts[-1]  # the last unit may go on in the next batch
             if cut:
-                yield compare(key[:cut], bits[:cut])
-            rest = key[cut:], bits[cut:]
+                yield compare(unit[:cut], (a != b)[:cut], tile[:cut], bits[:cut].view(np.uint64))
+            rest = tuple(x[cut:] for x in rows)
         if len(rest[0]):
-            yield compare(*rest)
-
-    return run
-
-
-def _compare_tiles(radius: int):
-    """Links between the two tiles of each row, or within one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                tiles = [np.array(t, np.int64).view(np.uint64) for t in row["tiles"]]
-                left, bits = len(tiles[0]), np.concatenate(tiles)
-                root = np.arange(len(bits))
-                for i in range(left):
-                    others = np.arange(left, len(bits)) if len(tiles) > 1 else np.arange(i + 1, left)
-                    hit = others[_near(bits[others], bits[i], radius)]
-                    if len(hit):
-                        unite(root, np.full(len(hit), i), hit)
-                yield _forest(bits, root)
+            yield compare(np.zeros(len(rest[0]), np.int64), rest[1] != rest[2], rest[3], rest[4].view(np.uint64))
 
     return run
 
@@ -149,35 +145,58 @@ def block_keys(bits: Column, radius: int, blocks: int) -> Column:
     return F.array(*(F.xxhash64(F.lit(i), bits.bitwiseAND(F.lit(signed(mask(c))))) for i, c in enumerate(choices)))
 
 
-def links(fingerprints: DataFrame, radius: int = RADIUS, blocks: int = 4, tile: int = TILE) -> DataFrame:
-    """Links u, v among the distinct values of fingerprints' column bits: a spanning forest of each unit of work."""
+def blocks_for(distinct: int) -> int:
+    """How many blocks keep the keys of so many fingerprints selective."""
+    return 4 if distinct <= FOUR else 5 if distinct <= FIVE else 6
+
+
+def tiled(keyed: DataFrame, radius: int, tile: int) -> DataFrame:
+    """Units of work: key, a and b (two tiles, or one twice), tile and bits, from rows of key and bits.
+
+    Where a row stands in its key's order follows from the key's counts by
+    population count (65 at most), with the rows of one count in the order of a
+    hash. So no key is sorted, or counted by one task.
+    """
+    ones = F.bit_count("bits").cast("int")
+    counts = keyed.groupBy("key", ones.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    many = counts.groupBy("key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("p", "n")))).alias("ns"), F.sum("n").alias("rows")).where(F.col("rows") > tile)
+    below = lambda ns, p: F.aggregate(F.map_entries(ns), F.lit(0).cast("long"), lambda acc, e: acc + F.when(e["key"] < p, e["value"]).otherwise(0))
+    # the tiles of a key: from the first place of each count to its last, in steps of a tile
+    spans = F.transform(F.map_entries("ns"), lambda e: F.struct(e["key"].alias("p"), e["value"].alias("n"), below(F.col("ns"), e["key"]).alias("at")))
+    many = written(many.select(F.col("key").alias("k"), spans.alias("spans")), "tiled-keys")
+    placed = keyed.join(many, F.col("key") == F.col("k"), "left").withColumn("p", ones)
+    own = F.element_at(F.filter("spans", lambda s: s["p"] == F.col("p")), 1)
+    number = lambda place: F.floor(place / tile).cast("long")
+    placed = placed.withColumn("own", own).withColumn("tile", F.coalesce(number(F.col("own.at") + F.pmod(F.xxhash64("bits"), F.col("own.n"))), F.lit(0).cast("long")))
+    # tiles that hold a count within the radius of a row's own tile's; the others are skipped
+    mine = F.filter("spans", lambda s: (number(s["at"]) <= F.col("tile")) & (number(s["at"] + s["n"] - 1) >= F.col("tile")))
+    reach = F.transform(F.array(F.struct(F.array_min(F.transform(mine, lambda s: s["p"])).alias("low"), F.array_max(F.transform(mine, lambda s: s["p"])).alias("high"))), lambda r: F.filter("spans", lambda s: s["p"].between(r["low"] - radius, r["high"] + radius)))[0]
+    others = F.sequence(number(F.array_min(F.transform(reach, lambda s: s["at"]))), number(F.array_max(F.transform(reach, lambda s: s["at"] + s["n"] - 1))))
+    dealt = placed.select("key", "bits", "tile", F.explode(F.coalesce(others, F.array(F.lit(0).cast("long")))).alias("with"))
+    return dealt.select("key", F.least("tile", "with").alias("a"), F.greatest("tile", "with").alias("b"), "tile", "bits")
+
+
+def links(fingerprints: DataFrame, radius: int = RADIUS, blocks: int | None = None, tile: int | None = None) -> DataFrame:
+    """Links u, v among the distinct values of fingerprints' column bits: a spanning forest of each unit of work.
+
+    blocks is how many blocks the 64 bits are cut into, by default what suits
+    the number of fingerprints.
+    """
+    if blocks is None:
+        blocks = max(radius + 1, blocks_for(fingerprints.count()))
     keyed = fingerprints.select(F.explode(block_keys(F.col("bits"), radius, blocks)).alias("key"), "bits")
-    heavy = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select("key")
-    heavy = written(heavy, "heavy-keys")
-    light = keyed.join(heavy, "key", "left_anti").repartition("key").sortWithinPartitions("key", F.bit_count("bits"))
-    found = light.mapInArrow(_compare_groups(radius), "u long, v long")
-    if heavy.isEmpty():
-        return found
-    ones = keyed.join(heavy, "key", "left_semi").withColumn("p", F.bit_count("bits"))
-    sizes = ones.groupBy("key", "p").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts"))
-    by_key = sizes.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("p", "parts"))).alias("parts"))  # 65 entries at most
-    cut = ones.join(by_key, "key").withColumn("part", F.pmod(F.xxhash64("bits"), F.col("parts")[F.col("p")].cast("long")).cast("int"))
-    tiles = cut.groupBy("key", "p", "part").agg(F.collect_list("bits").alias("tile"), F.first("parts").alias("parts"))
-    near = F.expr(f"flatten(transform(sequence(greatest(p - {radius}, 0), least(p + {radius}, 64)), q -> IF(map_contains_key(parts, q), transform(sequence(0, parts[q] - 1), s -> struct(q AS q, s AS s)), array())))")
-    dealt = tiles.select("key", "p", "part", "tile", F.explode(near).alias("with"))
-    mine, other = F.struct(F.col("p").alias("q"), F.col("part").alias("s")), F.col("with")
-    pairs = dealt.groupBy("key", F.least(mine, other).alias("a"), F.greatest(mine, other).alias("b")).agg(F.collect_list("tile").alias("tiles"))
-    return found.union(pairs.select("tiles").mapInArrow(_compare_tiles(radius), "u long, v long"))
-
-
-def _rooted(prints: DataFrame, first: Column, radius: int, blocks: int) -> DataFrame:
+    units = tiled(keyed, radius, tile or TILE).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", F.bit_count("bits"))
+    return units.mapInArrow(_compare_units(radius), "u long, v long")
+
+
+def _rooted(prints: DataFrame, first: Column, radius: int, blocks: int | None) -> DataFrame:
     """The distinct bits of prints, first (an aggregate of their rows) and root, alike for all bits of one group."""
     distinct = written(prints.groupBy("bits").agg(first.alias("first")), "distinct-fingerprints")
     roots = components(links(distinct.select("bits"), radius, blocks))
     return distinct.join(roots.withColumnRenamed("u", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
 
 
-def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, blocks: int = 4) -> DataFrame:
+def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id of the texts it reaches.
 
     Null and empty texts have fingerprint zero and link like any other. A null
@@ -190,9 +209,9 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius:
     return prints.join(named, "bits").select(doc_id, F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _row_key(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
-    """A row's 128 bits: alike for rows that are alike. Maps have no hash and do not count."""
-    columns = [F.col(f"`{c}`") for c in (text, doc_id, *(c for c, t in docs.dtypes if c not in (text, doc_id) and "map<" not in t))]
+def _row_key(docs: DataFrame, first: list[str]) -> list[Column]:
+    """A row's 128 bits, from the columns in first and then all others: alike for rows that are alike. Maps have no hash and do not count."""
+    columns = [F.col(c) for c in (*first, *(c for c, t in docs.dtypes if c not in first and "map<" not in t))]
     return [F.xxhash64(F.lit(i), *columns).alias(f"__key{i}") for i in range(2)]
 
 
@@ -201,23 +220,25 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wit
 
     Groups that have no doc_id at all go, or with without_id also keep one row.
     Groups are told apart by their texts alone: a doc_id that several groups
-    have as their smallest stays in each.
+    have as their smallest stays in each. Of rows that are wholly alike one
+    stays. docs' columns stay as they are, whatever their names.
     """
     from pyspark.sql import Window
 
-    key = ["__key0", "__key1"]
-    prints = written(with_fingerprints(docs.select(doc_id, text, *_row_key(docs, doc_id, text)), text, [doc_id, *key]), "fingerprints")
-    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), *key)
-    chosen = _rooted(prints, F.min(order), RADIUS, 4).groupBy("root").agg(F.min("first").alias("first"))
+    moved, back = aside(docs)
+    words, ident, key = placed(docs, text), placed(docs, doc_id), ["__key0", "__key1"]
+    rows = moved.select("*", *_row_key(moved, [words, ident]))
+    prints = written(with_fingerprints(rows.select(F.col(ident).alias("id"), F.col(words).alias("words"), *key), "words", ["id", *key]), "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), *key)
+    chosen = _rooted(prints, F.min(order), RADIUS, None).groupBy("root").agg(F.min("first").alias("first"))
     if not without_id:
         chosen = chosen.where("NOT first.none")
     stay = written(chosen.select("first.__key0", "first.__key1"), "kept-rows")
     # the keys are the side that is hashed: the texts stream past them and are never sorted
-    rows = docs.select("*", *_row_key(docs, doc_id, text))
-    among = lambda keys: rows.join(keys.select(*key).hint("shuffle_hash"), key, "left_semi").select(*docs.columns, *key)
+    among = lambda keys: rows.join(keys.select(*key).hint("shuffle_hash"), key, "left_semi")
     repeated = written(prints.join(stay, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "repeated-rows")
     if repeated.isEmpty():
-        return among(stay).drop(*key)
+        return among(stay).select(*back)
     number = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
     one = among(repeated).withColumn("__n", number).where("__n = 1").drop("__n")
-    return among(stay.join(repeated, key, "left_anti")).unionByName(one).drop(*key)
+    return among(stay.join(repeated, key, "left_anti")).unionByName(one).select(*back)

@@ -5,10 +5,17 @@ size. A source's whole epochs come first; for what remains, its documents are
 ordered by exponential keys scaled by their quality weight and taken until the
 sum of their sizes reaches the rest of the target.
 
-The order's prefix sums need no sort of a whole source: keys are cut into
-buckets, bucket totals are summed in order, and only the one bucket that holds
-the target's edge is ordered row by row. All randomness is a hash of doc_id, so
-reruns agree.
+The order's prefix sums need no sort of a whole source. The range of a source's
+keys is cut into PARTS, whose sums are added up in order; only the part that
+holds the target's edge is cut again, and so on until that part has few rows
+or but one key. Then it is ordered row by row. Each cut leaves a small fraction
+of the rows, however the keys lie and however many rows a source has.
+
+All randomness is a hash of the id and the text, so reruns agree, and rows
+without an id or with a repeated one have keys of their own. Rows that are alike
+in id, text and source have one key and are taken alike. Null is a source of its
+own; null and empty texts have size 0. Other columns, whatever their names, are
+left alone. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,12 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import aside, placed, written
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-#: Rows of a bucket on average; there are as many buckets as that takes, by source.
-BUCKET_ROWS = 2000
+#: Parts that a source's range of keys is cut into, and rows that are few enough to be ordered.
+PARTS, FEW = 4096, 50_000
 
 
 def n_words(text: Column) -> Column:
@@ -35,10 +42,10 @@ def quality_weight(text: Column) -> Column:
     return F.coalesce(F.greatest(F.lit(0.2), 1 - 5.0 * marks / F.greatest(F.length(text), F.lit(1))), F.lit(1.0))
 
 
-def sampling_key(doc_id: Column, weight: Column, seed: int) -> Column:
-    """1 - u ** (1 / weight) for u uniform in (0, 1): ascending, it is the order of the exponential keys -ln(u) / weight."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id), 11).cast("double") + 0.5) / float(2**53)
-    return 1 - F.pow(u, 1 / weight)
+def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
+    """The exponential key -ln(u) / weight for u uniform in (0, 1): the smallest come first."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, F.xxhash64(text)), 11).cast("double") + 0.5) / float(2**53)
+    return -F.log(u) / weight
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -66,73 +73,84 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return levels.select("source", "source_size", "rows", F.when(stops | F.col("level").isNull(), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> list[Column]:
-    """A row's id, source, size and key."""
-    key = sampling_key(F.col(doc_id), quality_weight(F.col(text)), seed)
-    return [F.col(doc_id).alias("__id"), F.col(source).alias("__source"), n_words(F.col(text)).alias("__size"), key.alias("__key")]
+def _keyed(doc_id: Column, text: Column, source: Column, quality: Column, seed: int) -> list[Column]:
+    """A row's source, size and key."""
+    key = sampling_key(doc_id, text, F.greatest(F.coalesce(quality, F.lit(1.0)), F.lit(0.01)), seed)
+    return [source.alias("__source"), n_words(text).alias("__size"), key.alias("__key")]
 
 
-def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """What decides for each source of rows (__id, __source, __size, __key), a row a source.
+def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, parts: int | None = None, few: int | None = None) -> DataFrame:
+    """What decides for each source of rows (__source, __size, __key), a row a source.
 
-    source, source_size, target, epochs (whole ones), buckets, edge (the bucket
-    with the target's edge; null if all of another epoch fits) and last, the
-    last row taken in that bucket (null if none is).
+    source, source_size, target, epochs (whole ones), below and last: taken once
+    more are the keys below the one and up to the other, where they are not null.
     """
-    sizes = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    plan = targets(sizes, weights, most)
+    parts, few = parts or PARTS, few or FEW
+    found = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count(F.lit(1)).alias("rows"), F.min("__key").alias("low"), F.max("__key").alias("high"))
+    plan = targets(found.select("source", "source_size", "rows"), weights, most).join(found.select(F.col("source").alias("s"), "low", "high"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long")
     plan = plan.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    plan = written(plan.withColumn("buckets", F.ceil(F.col("rows") / BUCKET_ROWS)), "mix-plan")
-    dealt = rows.join(plan, F.col("__source").eqNullSafe(F.col("source"))).withColumn("bucket", _bucket())
-    totals = dealt.groupBy("source", "bucket").agg(F.sum("__size").alias("words"), F.first("rest").alias("rest"))
-    totals = totals.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("bucket")))
-    # the bucket with the edge: the first that does not fit whole
-    edge = totals.where("upto > rest").groupBy("source").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before")), "bucket").alias("edge"))
-    edge = written(edge.select(F.col("source").alias("s"), F.col("edge.bucket").alias("edge"), F.col("edge.before").alias("before")), "mix-edges")
-    inside = dealt.join(edge, F.col("source").eqNullSafe(F.col("s"))).where("bucket = edge")
-    ranked = Window.partitionBy("source").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, 0)
-    # a row is taken if the target is nearer with it than without it
-    taken = inside.withColumn("reach", F.col("before") + F.sum("__size").over(ranked)).where("reach - __size / 2 <= rest")
-    last = taken.groupBy("source").agg(F.max(_place()).alias("last")).select(F.col("source").alias("t"), "last")
-    found = plan.join(edge.drop("before"), F.col("source").eqNullSafe(F.col("s")), "left").join(last, F.col("source").eqNullSafe(F.col("t")), "left")
-    return written(found.select("source", "source_size", "target", "epochs", "buckets", "edge", "last"), "mix-cuts")
-
-
-def _bucket() -> Column:
-    return F.floor(F.col("__key") * F.col("buckets"))
-
-
-def _place() -> Column:
-    """A row's place in the order of its source; rows that are alike share one."""
-    return F.struct(F.col("__key"), F.col("__id"), F.col("__size"))
+    plan = written(plan, "mix-plan")
+    # sources with a rest that is less than their size: one range of keys each, with what comes before it
+    ranges = plan.where("rest > 0 AND rest < source_size").select("source", "rest", "low", "high", "rows", F.lit(0).cast("long").alias("before"))
+    inside = rows
+    while True:
+        ranges = written(ranges, "mix-ranges")
+        inside = inside.join(ranges.withColumnRenamed("source", "s"), F.col("__source").eqNullSafe(F.col("s"))).where("__key BETWEEN low AND high")
+        if ranges.where((F.col("rows") > few) & (F.col("low") < F.col("high"))).isEmpty():
+            break
+        part = F.least(F.floor((F.col("__key") - F.col("low")) / (F.col("high") - F.col("low")) * parts), F.lit(parts - 1)).cast("long")
+        sums = inside.withColumn("part", F.when(F.col("low") < F.col("high"), part).otherwise(0)).groupBy("__source", "rest", "before", "part")
+        sums = sums.agg(F.sum("__size").alias("words"), F.count(F.lit(1)).alias("rows"), F.min("__key").alias("low"), F.max("__key").alias("high"))
+        # at most `parts` rows a source
+        upto = F.col("before") + F.sum("words").over(Window.partitionBy("__source").orderBy("part"))
+        first = sums.withColumn("upto", upto).where("upto > rest").groupBy("__source").agg(F.min_by(F.struct("rest", "low", "high", "rows", (F.col("upto") - F.col("words")).alias("before")), "part").alias("x"))
+        ranges = first.select(F.col("__source").alias("source"), "x.rest", "x.low", "x.high", "x.rows", "x.before")
+        inside = written(inside.select("__source", "__size", "__key"), "mix-inside")
+    # rows of one key are one place; the few left are ordered
+    places = inside.groupBy("__source", "rest", "before", "low", "__key").agg(F.sum("__size").alias("words"))
+    ranked = Window.partitionBy("__source").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+    # a place is taken if the target is nearer with it than without it
+    taken = places.withColumn("reach", F.col("before") + F.sum("words").over(ranked)).where("reach - words / 2 <= rest")
+    last = taken.groupBy("__source").agg(F.max("__key").alias("last"))
+    # where the edge lies, all keys below the range are taken, and in it those up to the last one
+    ends = ranges.select(F.col("source").alias("s"), "low").join(last, F.col("s").eqNullSafe(F.col("__source")), "left").drop("__source")
+    chosen = plan.drop("low").join(ends, F.col("source").eqNullSafe(F.col("s")), "left")
+    below = F.when(F.col("rest") >= F.col("source_size"), float("inf")).otherwise(F.col("low"))
+    return written(chosen.select("source", "source_size", "target", "epochs", below.cast("double").alias("below"), "last"), "mix-cuts")
 
 
 def _joined(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """rows with the cuts of their source and __copies."""
-    both = rows.join(chosen.withColumnRenamed("source", "__s"), F.col("__source").eqNullSafe(F.col("__s")))
-    once = F.col("edge").isNull() | (_bucket() < F.col("edge")) | ((_bucket() == F.col("edge")) & F.coalesce(_place() <= F.col("last"), F.lit(False)))
-    return both.withColumn("__copies", F.col("epochs") + once.cast("long"))
+    """rows with the cuts of their source, a row a source, and __copies."""
+    names = {c: f"__cut_{c}" for c in chosen.columns}
+    both = rows.join(chosen.withColumnsRenamed(names), F.col("__source").eqNullSafe(F.col("__cut_source")))
+    once = F.coalesce(F.col("__key") < F.col("__cut_below"), F.lit(False)) | F.coalesce(F.col("__key") <= F.col("__cut_last"), F.lit(False))
+    return both.withColumn("__copies", F.col("__cut_epochs") + once.cast("long"))
 
 
-def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
-    """docs' rows as often as the mix takes them.
+def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
+    """docs' rows as often as the mix takes them, with docs' columns but for the one that quality names.
 
-    Only the sources' cuts are joined to docs, so texts are not shuffled for it.
+    quality is a column of weights, none below 0.01; without it the texts' marks
+    make them. Only the sources' cuts are joined to docs, so texts are not
+    shuffled for it.
     """
-    keyed = _keyed(docs, doc_id, text, source, seed)
-    chosen = cuts(written(docs.select(*keyed), "mix-rows"), weights, most)
-    taken = _joined(docs.select("*", *keyed), chosen).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    moved, back = aside(docs)
+    own = lambda c: F.col(placed(docs, c))
+    keyed = _keyed(own(doc_id), own(text), own(source), own(quality) if quality else quality_weight(own(text)), seed)
+    chosen = cuts(written(moved.select(*keyed), "mix-rows"), weights, most)
+    taken = _joined(moved.select("*", *keyed), chosen).where("__copies > 0")
+    kept = [c for c, name in zip(back, docs.columns) if name != quality]
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*kept)
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
     """doc_id, size, source_size, target, taken (words, repeats counted) and copies for every row of docs.
 
-    Null texts have size 0; null is a source of its own. The document at a
-    target's edge is taken if that brings its source nearer to the target. Rows
-    that are alike up to their size are taken alike.
+    The document at a target's edge is taken if that brings its source nearer to
+    the target. quality is as in repeated().
     """
-    rows = written(docs.select(*_keyed(docs, doc_id, text, source, seed)), "mix-rows")
-    mixed = _joined(rows, cuts(rows, weights, most))
-    return mixed.select(F.col("__id").alias(doc_id), F.col("__size").alias("size"), "source_size", "target", (F.col("__size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))
+    weight = F.col(f"`{quality}`") if quality else quality_weight(F.col(f"`{text}`"))
+    rows = written(docs.select(F.col(f"`{doc_id}`").alias("__id"), *_keyed(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.col(f"`{source}`"), weight, seed)), "mix-rows")
+    mixed = _joined(rows, cuts(rows.drop("__id"), weights, most))
+    return mixed.select(F.col("__id").alias(doc_id), F.col("__size").alias("size"), F.col("__cut_source_size").alias("source_size"), F.col("__cut_target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))

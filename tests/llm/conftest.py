@@ -1,5 +1,10 @@
+import itertools
+
 import pytest
 
+#: A text that nothing is wrong with: 120 different words in sentences of ten.
+PROSE = " ".join(("".join(w).capitalize() if i % 10 == 0 else "".join(w)) + ("." if i % 10 == 9 else "") for i, w in enumerate(itertools.islice(itertools.product("bdgklm", ("ara", "eno", "ili"), "nrst", "aeo"), 120)))
+
 #: Rows that every text operator has to stand: nulls, no text, no words, ties, repeats, a very long text, odd characters.
 ODD = [
     (1, None, "a"), (2, "", "a"), (3, " \t\n\x0b\x0c\r ", None), (4, "word", "b"), (5, "two words", "b"),
@@ -27,3 +32,8 @@ def tables(spark, tmp_path_factory):
         return str(folder)
 
     return write
+
+
+@pytest.fixture(scope="session")
+def prose():
+    return PROSE

@@ -52,14 +52,30 @@ def test_near_duplicates_keep_a_row_of_each_group(spark):
     assert sorted((tuple(r)[:2] for r in corpus_pipeline.near_duplicates(spark, alike, SF).collect()), key=str) == sorted((r[:2] for r in kept[0]), key=str)
 
 
+CLASHING = "target edge last epochs source_size n_words kept quality base_failed root first key bits ids spans bucket words __text __block __bucket __words __places __copy __copies __key0 __id __0 __1 text_1".split()
+
+
 def test_odd_rows(spark, odd, tables, tmp_path):
-    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    """Nulls, repeats, very long texts and extra columns of any name go through all stages unharmed."""
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars", *(F.concat(F.lit(f"own {c} "), F.coalesce(F.col("source"), F.lit("-"))).alias(c) for c in CLASHING))
     kept = stage_by_stage(spark, docs, tables(documents=docs), tmp_path)
     assert all(df.columns == docs.columns for df in kept[:-1])
+    rows = {tuple(r) for r in docs.drop("text", "n_chars").collect()}
+    assert all({tuple(r) for r in df.drop("text", "n_chars").collect()} <= rows for df in kept[:-1])
     empty = stage_by_stage(spark, docs.limit(0), tables(documents=docs.limit(0)), tmp_path / "empty")
     assert all(df.count() == 0 for df in empty)
 
 
+def test_each_stage_keeps_clashing_columns(spark, prose):
+    good = prose
+    names = [c for c in CLASHING if c != "text_1"]
+    docs = spark.createDataFrame([(1, good, "en", "a", len(good), *names), (2, "wholly other words " + " ".join(w[::-1] for w in good.split()), "en", None, 1, *names)], ["doc_id", "text", "lang", "source", "n_chars", *names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert all(list(r)[5:] == names for r in out.collect()) and not out.isEmpty(), name
+
+
 def test_registered():
     found = entry.queries()
     assert "pipeline" in found and sum(n.startswith("op") for n in found) >= 10

@@ -75,3 +75,60 @@ def test_estimate_tells_kinds_of_bad_texts():
     assert np.mean(good == (kind == 0)) > 0.97
     assert model.shares[0] == pytest.approx(0.85, abs=0.03)
     assert min(list(model.accuracy().values())[:2]) > 0.8
+
+
+def posterior(model, patterns):
+    weight = np.log(model.shares) + sum(np.log(np.array(model.chances)[:, j, :])[:, patterns[:, j].astype(int) + 1].T for j in range(patterns.shape[1]))
+    return np.exp(weight)[:, 0] / np.exp(weight).sum(1)
+
+
+def simulated(error, n=20_000, seed=1):
+    """Votes of a family of three signs of one kind of bad text; the third is wrong on error of the good ones."""
+    rng = np.random.default_rng(seed)
+    bad = rng.random(n) < 0.1
+    chance = np.where(bad[:, None], [0.95, 0.95, 0.6], [0.003, 0.003, error])
+    votes = np.where(rng.random((n, 3)) < chance, -1, 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    return patterns.astype(float), counts.astype(float)
+
+
+def test_a_weak_bad_vote_is_outvoted_and_the_corpus_tells_which_is_weak():
+    model = q.estimate(*simulated(0.15), list("abc"), ["abc"])
+    assert model.accuracy()["c"] < 0.9 < 0.98 < model.accuracy()["a"]
+    assert model.chances[0][2][0] == pytest.approx(0.15, abs=0.02) and model.chances[1][2][0] == pytest.approx(0.6, abs=0.05)
+    lone, pair, none = posterior(model, np.array([[1, 1, -1], [-1, -1, 1], [1, 1, 1]], float))
+    assert lone > 0.9 and pair < 0.1 and none > 0.99
+    better = q.estimate(*simulated(0.002), list("abc"), ["abc"])
+    assert better.accuracy()["c"] > model.accuracy()["c"]
+    assert posterior(better, np.array([[1, 1, -1]], float))[0] < lone
+
+
+def test_verdicts_differ_from_all_must_pass(spark):
+    """On sf0.1 votes are outvoted, and labelled good texts are kept that all-must-pass rejects."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    features = q.written(q.with_features(docs, keep=["doc_id"]), "features")
+    judged = q.judged(features, q.fit(features))
+    passes = F.forall(F.array(*q.rules().values()), lambda v: v >= 0)
+    got = judged.where("NOT base_failed").select("doc_id", "kept", passes.alias("passes")).toPandas()
+    labels = duckdb.execute("select doc_id, quality from '/root/testdata/sf0.1/labels.parquet'").df()
+    both = got.merge(labels, on="doc_id")
+    assert (got.kept != got.passes).sum() > 300
+    good, bad = both[both.quality == 1], both[both.quality == 0]
+    assert good.kept.mean() > 0.99 > 0.96 > good.passes.mean()
+    assert bad.kept.mean() < 0.01
+
+
+def test_letters_of_any_script_count():
+    assert q.features_of("ÀÉ à Ж ж ß İ 中")[6:8] == (4, 3)
+    assert q.features_of("Ab cD")[6:8] == (2, 2)
+
+
+def test_only_kept_leaves_clashing_columns_alone(spark, prose):
+    good = prose
+    rows = [(1, good, 5, "x", True, "t"), (1, good, 5, "x", True, "t"), (None, good + " More.", None, None, None, None), (3, "bad", 1, "y", False, "u"), (4, None, 1, "y", False, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words long, quality string, kept boolean, __text string")
+    kept = q.only_kept(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(rows[:3], key=str)

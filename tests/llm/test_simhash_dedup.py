@@ -54,7 +54,7 @@ def test_empty_table(spark, odd, tables):
 
 @pytest.mark.parametrize(("tile", "blocks"), [(4096, 4), (8, 4), (4096, 6), (8, 5)])
 def test_links_join_the_same_components_as_brute_force(spark, tile, blocks):
-    """Clusters within few bits, many with equal blocks, through both the grouped and the tiled way."""
+    """Clusters within few bits, many with equal blocks, through one tile a key and through many."""
     rng = random.Random(6)
     base = [rng.getrandbits(64) & 0xFFFFFFFF0000FFFF for _ in range(12)]
     bits = {rng.choice(base) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for _ in range(500)}
@@ -75,14 +75,15 @@ def test_links_join_the_same_components_as_brute_force(spark, tile, blocks):
     assert parts((r.u, r.v) for r in got) == parts(near)
 
 
-def test_groups_skip_pairs_beyond_the_radius_in_population_count(monkeypatch):
+def test_units_skip_pairs_beyond_the_radius_in_population_count(monkeypatch):
     bits = sorted(((1 << n) - 1) << s for n in range(1, 40) for s in range(4))
     bits.sort(key=int.bit_count)
     x = np.array(bits, np.uint64)
     compared, near = [], simhash_dedup._near
     monkeypatch.setattr(simhash_dedup, "_near", lambda a, b, radius: (compared.append(len(a)), near(a, b, radius))[1])
-    batch = pa.RecordBatch.from_arrays([pa.array([7] * len(x), pa.int64()), pa.array(x.view(np.int64))], names=["key", "bits"])
-    (found,) = simhash_dedup._compare_groups(3)(iter([batch]))
+    zero = pa.array([0] * len(x), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * len(x), pa.int64()), zero, zero, zero, pa.array(x.view(np.int64))], names=["key", "a", "b", "tile", "bits"])
+    (found,) = simhash_dedup._compare_units(3)(iter([batch.slice(0, 50), batch.slice(50)]))
     within = sum(b.bit_count() - a.bit_count() <= 3 for i, a in enumerate(bits) for b in bits[i + 1 :])
     assert sum(compared) == within < len(bits) * (len(bits) - 1) // 2
     root, want = np.arange(len(x)), np.arange(len(x))
@@ -95,6 +96,31 @@ def test_groups_skip_pairs_beyond_the_radius_in_population_count(monkeypatch):
     assert root.tolist() == want.tolist()
 
 
+def test_tiles_are_bounded_and_pairs_beyond_the_radius_are_skipped(spark):
+    """One key with 3000 fingerprints: units hold two tiles at most, and tiles far apart in population count do not meet."""
+    rng = random.Random(4)
+    bits = {sum(1 << b for b in rng.sample(range(63), rng.randint(2, 60))) for _ in range(3000)}
+    keyed = spark.createDataFrame([(1, b) for b in bits] + [(2, b) for b in sorted(bits)[:40]], "key long, bits long")
+    rows = simhash_dedup.tiled(keyed, 3, 100).collect()
+    units, tiles = {}, {}
+    for r in rows:
+        units.setdefault((r.key, r.a, r.b), []).append(r)
+        tiles.setdefault((r.key, r.tile), set()).add(r.bits)
+    assert {k for k in units if k[0] == 2} == {(2, 0, 0)} and len(units[2, 0, 0]) == 40
+    assert sum(len(t) for (k, _), t in tiles.items() if k == 1) == len(bits) and max(map(len, tiles.values())) < 200
+    spread = {k: (min(map(int.bit_count, t)), max(map(int.bit_count, t))) for k, t in tiles.items()}
+    n = len([k for k in tiles if k[0] == 1])
+    assert len(units) - 1 < n * (n + 1) // 2 / 2
+    for (k, a), (low, high) in spread.items():
+        for (m, b), (least, most) in spread.items():
+            if k == m and a < b and least - high <= 3:  # these must meet, each with all its rows
+                assert {r.bits for r in units[k, a, b]} == tiles[k, a] | tiles[k, b]
+
+
+def test_more_fingerprints_make_more_blocks():
+    assert [simhash_dedup.blocks_for(n) for n in (0, 10**6, 10**9, 10**12)] == [4, 4, 5, 6]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(5, 7), (1, 1), (-3, -9)]
     random.Random(1).shuffle(edges)

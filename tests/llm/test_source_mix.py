@@ -56,7 +56,8 @@ def test_better_texts_are_taken_more_often(spark):
 
 
 def test_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(source_mix, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(source_mix, "FEW", 3)
+    monkeypatch.setattr(source_mix, "PARTS", 4)
     docs = spark.createDataFrame([(i % 150, f"{'w ' * (i % 7)}", "a" if i % 3 else None) for i in range(300)], "doc_id long, text string, source string")
     rows = source_mix.mix(docs).collect()
     by = {}
@@ -71,3 +72,39 @@ def test_empty_tables(spark, odd, tables):
     assert queries.op5_source_mix(spark, tables(documents=odd.limit(0))).collect() == []
     nothing = odd.where("doc_id IN (1, 2, 3)")
     assert {r.taken for r in queries.op5_source_mix(spark, tables(documents=nothing)).collect()} == {0}
+
+
+@pytest.mark.parametrize("parts", [2, 7, 4096])
+def test_taken_rows_match_a_walk_along_the_keys(spark, monkeypatch, parts):
+    """Whole epochs, then rows in the order of their keys while the target is nearer with them than without."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(source_mix, "FEW", 5)
+    monkeypatch.setattr(source_mix, "PARTS", parts)
+    rows = [(i if i % 11 else None, "w " * (i * i % 23) + "#" * (i % 5), (None, "a", "b", "b", "b", "c")[i % 6], 0.01 + (i % 10) / 10) for i in range(900)] + [(5, "w w", "b", 0.2)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight double").repartition(5)
+    keyed = docs.select("doc_id", "source", source_mix.n_words(F.col("text")).alias("size"), source_mix.sampling_key(F.col("doc_id"), F.col("text"), F.col("weight"), 7).alias("key"), F.concat(F.sha1("text"), F.col("weight").cast("string")).alias("t"))
+    by = {}
+    for r in keyed.collect():
+        by.setdefault(r.source, []).append(r)
+    want = {}
+    target = brute_targets({s: sum(r["size"] for r in group) for s, group in by.items()})
+    for s, group in by.items():
+        total = sum(r["size"] for r in group)
+        epochs = min(int(target[s] // total), 3)
+        rest, at, places = target[s] - epochs * total, 0, {}
+        for r in group:
+            places.setdefault(r.key, []).append(r)
+        going = rest > 0 and epochs < 3
+        for key in sorted(places):
+            words = sum(r["size"] for r in places[key])
+            going = going and at + words / 2 <= rest
+            at += words
+            for r in places[key]:
+                want[(r.doc_id, s, r["size"], r.t)] = epochs + going
+    got = docs.select("*", F.concat(F.sha1("text"), F.col("weight").cast("string")).alias("t"), F.col("weight").alias("w"))
+    chosen = source_mix.repeated(got, quality="w").groupBy("doc_id", "source", "t").count().collect()
+    counts = {}
+    for (d, s, _, t), n in want.items():
+        counts[(d, s, t)] = n * sum(1 for r in by[s] if r.doc_id == d and r.t == t)
+    assert {(r.doc_id, r.source, r.t): r["count"] for r in chosen} == {k: n for k, n in counts.items() if n}

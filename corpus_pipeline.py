@@ -14,11 +14,12 @@ from tenderlake.llm.common import written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules' posterior keeps."""
-    features = written(quality_rules.with_features(docs.select("doc_id", "text"), keep=["doc_id"]), "quality-features")
-    model = quality_rules.fit(features)
-    # the figures of a text depend on it alone: made again beside the text, they need no join that shuffles texts
-    return quality_rules.judged(quality_rules.with_features(docs), model).where("kept").select(*docs.columns)
+    """Documents that the rules' posterior keeps.
+
+    Each row is judged by its text alone. Null and empty texts and those of fewer
+    than 10 words go; nulls elsewhere, repeated rows and ties change no verdict.
+    """
+    return quality_rules.only_kept(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +33,16 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return source_mix.repeated(docs)
+    """Documents as often as the mix takes them, better ones first by the rules' posterior.
+
+    Null is a source of its own. Documents without words have size 0 and go with
+    the epochs and keys like others. Rows alike in id, text and source are taken
+    alike. Columns stay as they are.
+    """
+    weight = "quality"
+    while weight in docs.columns:  # a name of its own for the weight
+        weight += "_"
+    return source_mix.repeated(quality_rules.posteriors(docs, out=weight), quality=weight)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,8 +63,10 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = warc_store.store(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return archive.records().select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = _read(spark, sf_dir, "pages")
+    archive = warc_store.store(pages.select("page_id", "url", "html"))
+    # every page's URL is looked up: what comes back went through the directory, the blocks and the archives
+    return archive.records(pages.select("url"), html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,27 @@ def test_look_up(spark, pages, monkeypatch, tmp_path):
     assert whole.count(b"WARC/1.1\r\n") == pages.count()
 
 
+@pytest.mark.parametrize("rows", [500_000, 3, 1])
+def test_many_blocks_and_levels(spark, pages, monkeypatch, rows):
+    """Blocks of two lines, directories of one level and of several, and a key with more captures than a block has."""
+    monkeypatch.setattr(warc_store, "BLOCK_LINES", 2)
+    monkeypatch.setattr(warc_store, "DIRECTORY_ROWS", rows)
+    hot = spark.createDataFrame([(100 + i, "http://hot.org/" if i % 3 else f"http://hot.org/{i}", f"page {i}") for i in range(60)], "page_id long, url string, html string")
+    both = pages.select("page_id", "url", "html").union(hot)
+    archive = warc_store.store(both)
+    assert (len(archive.directories) > 2) == (rows < 500_000) and len(archive.sparse) <= max(rows, 3)
+    want = sorted((r.page_id, r.url) for r in both.collect() if r.page_id is not None and r.page_id >= 100)
+    assert sorted((r.page_id, r.url) for r in archive.records(hot.select("url").union(hot.select("url"))).collect()) == want
+    assert archive.records(both.select("url"), html=False).count() == both.count()
+    assert archive.look_up("http://nowhere.org/") == []
+
+
+def test_roles_are_alike_beyond_the_size_of_a_broadcast(spark, pages, monkeypatch):
+    rows = sorted(map(tuple, warc_store.with_roles(pages).collect()), key=str)
+    monkeypatch.setattr(warc_store, "REPEATED_ROWS", 0)
+    assert sorted(map(tuple, warc_store.with_roles(pages).collect()), key=str) == rows
+
+
 def test_keys():
     assert warc_store.url_key("http://News.Example.com/a?b=1#c") == "com,example,news)/a?b=1"
     assert warc_store.url_key(None) == ")/"
@@ -62,4 +83,4 @@ def test_damage_is_an_error(spark, pages, tmp_path):
     packed = gzip.compress(raw)
     (tmp_path / "w/archive" / name).write_bytes(packed + b"\0" * 1000)
     with pytest.raises(Exception, match="damaged|Error"):
-        archive.records().collect()
+        archive.records(pages.select("url")).collect()

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from .common import aside, new_folder, placed, store_of, without, written
 
 #: Characters of a block's texts, distinct words that a task holds with their ids, and words that are encoded at once.
-BLOCK_CHARS, WORDS, ENCODE_AT_ONCE = 16_000_000, 300_000, 10_000
+BLOCK_CHARS, WORDS, ENCODE_AT_ONCE = 32_000_000, 300_000, 10_000
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -249,31 +249,45 @@ class _Ids:
         return self.flat[_runs(self.start[places], self.count[places])]
 
 
-def _assembler(kept: int, schema: pa.Schema, folder: str, buckets: int):
+def _texts_of(ids: pa.Array, piece: pa.Array) -> pa.Array:
+    """The ids of each row joined to their pieces: a text; null for null."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    texts = pc.binary_join(pa.ListArray.from_arrays(offsets, piece.take(ids.flatten())), " ")
+    return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts)
+
+
+def _assembler(kept: int, schema: pa.Schema, folder: str, buckets: int, shared):
     """Texts of a partition, block after block, with the ids of their words; the first `kept` columns go along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids = None, None
+        piece = shared and pa.array(shared.value, pa.string())
         for batch in batches:
             at = 0
             for upto in _slices(batch.column("__places"), 1 << 20):
-                part, made = batch.slice(at, min(upto, at + 200) - at), []
                 while at < upto:
+                    part, made = batch.slice(at, min(upto, at + 200) - at), []
                     for b, packed in zip(part.column("__block").to_pylist(), part.column("__places").to_pylist()):
                         if b != block:
                             block, ids = b, None  # the last block's ids go before the next ones come
                             ids = _Ids(folder, b, buckets)
                         made.append(ids.of(_unpack(packed)).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([*(part.column(i).cast(schema.field(i).type) for i in range(kept)), pa.array(made, pa.list_(pa.int32()))], schema=schema)
+                    out = [part.column(i).cast(schema.field(i).type) for i in range(kept)] + [pa.array(made, pa.list_(pa.int32()))]
+                    yield pa.RecordBatch.from_arrays(out + ([_texts_of(out[-1], piece)] if piece else []), schema=schema)
                     at += part.num_rows
-                    part, made = batch.slice(at, min(upto, at + 200) - at), []
 
     return run
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, block_chars: int = BLOCK_CHARS, decoded: str | None = None) -> DataFrame:
     """docs' columns (or those in keep) and ids, an array of the text's token ids.
 
+    With decoded, a column of that name has what decode() makes of the ids,
+    joined in the task that has them.
+
     path is a tokenizers JSON file that the driver reads. Null texts count as
     empty and have an empty array. The text column itself is not carried along
     unless keep names it; a column ids is replaced.
@@ -281,7 +295,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    kept = without(docs.columns if keep is None else keep, ["ids"] if keep is not None else ["ids", text])
+    kept = without(docs.columns if keep is None else keep, [*(["ids"] if keep is not None else ["ids", text]), *([decoded] if decoded else [])])
     moved, _ = aside(docs)
     fields = [T.StructField(f"c{i}", moved.schema[placed(docs, c)].dataType, True) for i, c in enumerate(kept)]
     with open(path, encoding="utf-8") as f:
@@ -298,8 +312,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     # sorted by block in row groups of some MB: who reads a block's ids skips the others of its folder
     encoded.select("*", part).repartition("__part").sortWithinPartitions("__part", "__block").write.option("parquet.block.size", 4 << 20).partitionBy("__part").parquet(folder)
     texts = blocks.where("__places IS NOT NULL").select(*(f.name for f in fields), "__block", "__places")
-    out = T.StructType([T.StructField(c, f.dataType) for c, f in zip(kept, fields)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return texts.mapInArrow(_assembler(len(kept), to_arrow_schema(out), folder, buckets), out)
+    out = T.StructType([T.StructField(c, f.dataType) for c, f in zip(kept, fields)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else []))
+    shared = spark.sparkContext.broadcast(_spaced_pieces(path)) if decoded else None
+    return texts.mapInArrow(_assembler(len(kept), to_arrow_schema(out), folder, buckets, shared), out)
 
 
 def pieces(path: str) -> list[str]:
@@ -310,6 +325,13 @@ def pieces(path: str) -> list[str]:
     return [by_id.get(i, "") for i in range(max(by_id) + 1)]
 
 
+def _spaced_pieces(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as f:
+        if json.load(f).get("decoder"):
+            raise ValueError("only vocabularies without a decoder join their pieces by spaces")
+    return pieces(path)
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """encoded and the column out: the pieces of its ids joined by spaces, as a vocabulary without a decoder has it.
 
@@ -317,26 +339,17 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    with open(path, encoding="utf-8") as f:
-        if json.load(f).get("decoder"):
-            raise ValueError("only vocabularies without a decoder join their pieces by spaces")
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(_spaced_pieces(path))
     kept = without(encoded.columns, [out])
     place = kept.index(ids)
     schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
         arrow, piece = to_arrow_schema(schema), pa.array(shared.value, pa.string())
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                column = part.column(place)
-                lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-                texts = pc.binary_join(pa.ListArray.from_arrays(offsets, piece.take(column.flatten())), " ")
-                texts = pc.if_else(column.is_null(), pa.scalar(None, pa.string()), texts)
+                texts = _texts_of(part.column(place), piece)
                 yield pa.RecordBatch.from_arrays([*(part.column(i).cast(arrow.field(i).type) for i in range(len(kept))), texts], schema=arrow)
 
     return encoded.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(run, schema)

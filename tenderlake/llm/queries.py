@@ -53,7 +53,7 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def codec_digest(docs: DataFrame) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
-    decoded = bpe_codec.decode(bpe_codec.encode(docs, path, keep=["doc_id"]), path)
+    decoded = bpe_codec.encode(docs, path, keep=["doc_id"], decoded="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

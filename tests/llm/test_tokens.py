@@ -86,3 +86,14 @@ def test_decoding_nulls_and_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, [320, 49407, 0])], "doc_id long, ids array<int>").coalesce(1)
     piece = bpe_codec.pieces(path)
     assert {r.doc_id: r.decoded for r in bpe_codec.decode(df, path).collect()} == {1: None, 2: "", 3: f"{piece[320]} <|endoftext|> !"}
+
+
+def test_a_table_that_is_full_begins_anew(spark, monkeypatch):
+    path = queries.vocabulary("word_bpe_49k.json")
+    monkeypatch.setattr(bpe_codec, "WORDS", 7)
+    docs = spark.createDataFrame([(i, " ".join(f"word{(i * k) % 37}" for k in range(40)), "own") for i in range(60)], "doc_id long, text string, __block string").repartition(3)
+    made = library("word_bpe_49k.json")
+    rows = bpe_codec.encode(docs, path, keep=["__block", "text"], block_chars=500, decoded="text_").collect()
+    assert len(rows) == 60 and {r["__block"] for r in rows} == {"own"}
+    for r in rows:
+        assert r.ids == made.encode(r.text, add_special_tokens=False).ids and r.text_ == made.decode(r.ids, skip_special_tokens=False)

@@ -57,9 +57,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     """query_id, rank, key and score: for each query row its k best other rows by inner product.
 
     vectors holds key and vector (an array of whole numbers as doubles); rows
-    whose vector is not usable take no part. Rows with the query's own key are
-    not its candidates; ties go to the smaller key. Vectors of different
-    lengths are compared as if filled up with zeros.
+    whose vector is not usable, or whose key is null, take no part. Rows with the
+    query's own key are not its candidates; ties go to the smaller key. Query
+    rows that are alike are one query; those of one key with different vectors
+    share the key's k places. Candidate rows count each for itself, also where
+    they are alike. Vectors of different lengths are compared as if filled up
+    with zeros. Scores beyond 63 bits are an error. Other columns do not matter.
     """
     spark = vectors.sparkSession
     data = written(vectors.where(usable(F.col(vector)) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("query")), "vectors")
@@ -68,6 +71,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     if not shape["n"]:
         return spark.createDataFrame([], out)
     width, most = max(1, shape["d"]), shape["m"]
+    if width * shape["top"] ** 2 >= 2**63:
+        raise ValueError("inner products of these vectors can exceed 63 bits")
     exact = width * shape["top"] ** 2 < 2**53  # whole numbers stay exact in doubles
     # a sample whose size is the parameter pivots; it steers the work, not the result
     chosen = data.select("v").orderBy(F.xxhash64("id"), "id").limit(pivots).toArrow()
@@ -159,7 +164,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
         return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.int64())})
 
     form = "unit long, id long, v array<double>"
-    left = cells.where("query").mapInArrow(asked, form).groupBy("unit")
+    left = cells.where("query").dropDuplicates(["id", "v"]).mapInArrow(asked, form).groupBy("unit")
     best = left.cogroup(cells.mapInArrow(sent, form).groupBy("unit")).applyInArrow(solved, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -49,3 +49,13 @@ def test_many_groups_and_chunks(spark, spread):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
     got = knn_join.top_k(df, F.col("vec_id") % 10 == 0, pivots=16, group=8, chunk=100)
     assert sorted(map(tuple, got.collect())) == brute([(i, (v / 256).tolist()) for i, v in enumerate(x)], step=10)
+
+
+def test_repeated_rows_and_scores_that_are_too_large(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [5.0, 1.0]), (1, [5.0, 1.0]), (2, [4.0, 6.0]), (3, [3.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = [tuple(r) for r in knn_join.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    # the alike rows of query 0 are one query; both its vectors share the five places
+    assert got == [(0, 1, 2, 6), (0, 2, 1, 5), (0, 3, 1, 5), (0, 4, 2, 4), (0, 5, 3, 3)]
+    with pytest.raises(ValueError, match="63 bits"):
+        knn_join.top_k(spark.createDataFrame([(0, [4e9]), (1, [4e9])], "vec_id long, vector array<double>"), F.col("vec_id") == 0)

@@ -73,3 +73,40 @@ def test_redaction(spark, odd):
 
 def test_empty_table(spark, odd, tables):
     assert queries.op9_secret_scan(spark, tables(documents=odd.limit(0))).collect() == []
+
+
+#: Characters of a class of keys, lengths, and what stands around a key.
+PLANTED = {
+    "upper hex": ("0123456789ABCDEF", (32, 40, 64), "{}"), "alnum": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", (20, 24, 32, 40), "{}"),
+    "lower alnum": ("abcdefghijklmnopqrstuvwxyz0123456789", (24, 32, 40), "key-{}"), "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (24, 40, 64), "{}=="),
+    "url-safe": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", (32, 43), "https://x.org/?k={}"),
+}
+
+
+@pytest.mark.parametrize("kind", PLANTED)
+def test_planted_keys_are_found_amid_documents(kind):
+    """Recall of keys of each class, planted where words of real documents meet."""
+    import duckdb
+
+    rng, (alphabet, sizes, shape) = random.Random(kind), PLANTED[kind]
+    texts = [t for (t,) in duckdb.execute(f"select text from '{SF}/documents.parquet' where length(text) between 200 and 3000 order by doc_id").fetchall()]
+    found = total = 0
+    for text in texts[:300]:
+        key = "".join(rng.choices(alphabet, k=rng.choice(sizes)))
+        at = rng.choice([i for i, c in enumerate(text) if c == " "])
+        planted = f"{text[:at]} {shape.format(key)}{text[at:]}"
+        start = planted.index(key)
+        total += 1
+        # a key counts as found where spans hold all of it but marks at its ends
+        found += any(a <= start + 2 and b >= start + len(key) - 2 for _, a, b in secret_scan.find(planted))
+    assert found / total >= 0.9, (found, total)
+
+
+def test_clean_texts_have_no_entropy_spans():
+    """No document of the table has a span by entropy, and neither have identifiers, paths and numbers."""
+    import duckdb
+
+    for (text,) in duckdb.execute(f"select text from '{SF}/documents.parquet' where text is not null").fetchall():
+        assert all(k != "entropy" for k, _, _ in secret_scan.find(text))
+    for text in ("https://example.org/articles/2024/05/a-long-and-winding-title.html", "com.example.project.module.ClassNameOfSomething", "________________________________", "0000-0001-5109-3700-0000-0001", "MAX_NUMBER_OF_CONNECTIONS_PER_HOST", "z" * 10_000):
+        assert secret_scan.find(text) == [], text

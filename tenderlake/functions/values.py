@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -17,13 +18,29 @@ SENTINELS = ("NO DEFINIDO", "SIN DESCRIPCION", "NO DEFINIDA", "NO APLICA", "")
 JOINT_VENTURE = "UNION TEMPORAL O CONSORCIO SIN DOCUMENTO"
 # Fixed pattern: document types of natural persons.
 PERSON = r"(?iu)c[eé]dula|pasaporte|nuip|tarjeta de identidad|registro civil|permiso (especial|por)"
+# Document types of natural persons, without accents.
+PERSON_TYPES = (
+    "CEDULA DE CIUDADANIA", "CEDULA DE EXTRANJERIA", "TARJETA DE IDENTIDAD", "PASAPORTE",
+    "NUIP", "PERMISO ESPECIAL DE PERMANENCIA", "PERMISO POR PROTECCION TEMPORAL", "REGISTRO CIVIL",
+)
 # Words inside a name that stay in lower case.
 LINKING = ("de", "del", "la", "las", "los", "y", "e")
 # Fixed value: contracts from here on have impossible values.
 SCALE_CEILING = Decimal("1e14")
 
-_ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝáàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-_PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUNCYaaaaaaeeeeiiiiooooouuuuncyy"
+
+
+def _composed() -> tuple[str, str]:
+    """All single characters that canonically decompose into one and combining marks, and what they decompose into."""
+    pairs = []
+    for c in map(chr, range(0xC0, 0x3400)):
+        bare = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+        if len(bare) == 1 and bare != c:
+            pairs.append((c, bare))
+    return "".join(c for c, _ in pairs), "".join(bare for _, bare in pairs)
+
+
+_ACCENTED, _PLAIN = _composed()
 
 
 def clean_text(c: Column) -> Column:
@@ -45,13 +62,14 @@ def to_boolean(c: Column) -> Column:
     return F.when(low.isin(*YES), True).when(low.isin(*NO), False)
 
 
-def normalized(c: Column) -> Column:
-    """Upper case without accents, white space collapsed; null where blank.
+def plain_letters(c: Column) -> Column:
+    """Letters without their marks, as canonical decomposition has them: composed and combining ones of any script."""
+    return F.translate(F.regexp_replace(c, r"\p{Mn}", ""), _ACCENTED, _PLAIN)
 
-    Combining marks are dropped; of composed letters, the Latin ones are replaced.
-    """
-    plain = F.translate(F.regexp_replace(c, r"\p{Mn}", ""), _ACCENTED, _PLAIN)
-    return F.nullif(F.trim(F.regexp_replace(F.upper(plain), r"\s+", " ")), F.lit(""))
+
+def normalized(c: Column) -> Column:
+    """Upper case without accents, white space collapsed; null where blank."""
+    return F.nullif(F.trim(F.regexp_replace(F.upper(plain_letters(c)), r"\s+", " ")), F.lit(""))
 
 
 def check_digit(number: Column) -> Column:
@@ -90,6 +108,11 @@ def is_person(kind: Column) -> Column:
     return F.coalesce(kind.rlike(PERSON), F.lit(False))
 
 
+def names_person(kind: Column) -> Column:
+    """Whether a document type, without accents, contains one of a natural person's."""
+    return F.coalesce(F.exists(F.array(*map(F.lit, PERSON_TYPES)), lambda t: F.contains(normalized(kind), t)), F.lit(False))
+
+
 def is_sentinel(name: Column) -> Column:
     return F.upper(F.coalesce(name, F.lit(""))).isin(*SENTINELS)
 
@@ -122,6 +145,12 @@ def bucket(value: Column, edges: tuple[float, ...]) -> Column:
     return out.otherwise(len(edges) + 1)
 
 
+def labelled(value: Column, edges: tuple[float, ...], labels: tuple[str, ...], none: str) -> tuple[Column, Column]:
+    """The label of a value's bucket, and its place, which is 0 for null."""
+    at = F.coalesce(bucket(value, edges), F.lit(0))
+    return F.element_at(F.array(F.lit(none), *map(F.lit, labels)), at + 1), at
+
+
 def usable(c: Column, sentinels: tuple[str, ...] = SENTINELS) -> Column:
     """Not null or blank, no stand-in and not zero."""
     t = F.upper(F.trim(F.coalesce(c, F.lit(""))))

@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 
 def canonical(content: Column) -> Column:
-    """A flat JSON document with sorted keys and without the platform's (those from a colon on)."""
-    pairs = F.from_json(content, "map<string,string>")
-    own = F.map_filter(pairs, lambda k, v: ~k.startswith(":"))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(own))))
+    """A JSON document with sorted keys on all levels and without the platform's own (those from a colon on).
+
+    Values keep their types: 1 and "1" are different contents. A text that is no
+    JSON object has no canonical form.
+    """
+    # variants keep types, and their objects' keys sorted
+    pairs = F.from_json(content, "map<string,variant>")
+    said = lambda k: F.regexp_replace(F.to_json(F.array(k)), r"^\[|\]$", "")
+    value = lambda k: F.coalesce(F.to_json(F.get(F.map_values(F.map_filter(pairs, lambda q, v: q == k)), F.lit(0))), F.lit("null"))
+    own = F.filter(F.array_sort(F.map_keys(pairs)), lambda k: ~k.startswith(":"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(own, lambda k: F.concat(said(k), F.lit(":"), value(k))), ","), F.lit("}"))
 
 
 def content_hash(content: Column) -> Column:
@@ -27,6 +34,12 @@ def identity(*fields: Column) -> Column:
     return out
 
 
+def identity_skipping(*fields: Column) -> Column:
+    """The same, but a blank field after the first is skipped instead of ending it; alike for two fields."""
+    clean = [F.nullif(F.trim(f), F.lit("")) for f in fields]
+    return F.when(clean[0].isNotNull(), F.concat_ws("|", *clean))
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], out: str = "version") -> DataFrame:
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 

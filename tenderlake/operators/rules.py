@@ -128,6 +128,42 @@ def calibration(verdicts: DataFrame, by: str | None = None) -> DataFrame:
     return rows.withColumn("rate", F.when(F.col("evaluated") > 0, F.col("fired") / F.col("evaluated")))
 
 
+# What an alert has to show.
+EVIDENCE = ("record", "dataset", "rule", "version", "threshold", "triggers", "seen_at")
+
+
+def missing_evidence(alerts: DataFrame, fields: tuple[str, ...] = EVIDENCE) -> DataFrame:
+    """alerts with missing, the sorted names of what they do not show: null or blank fields, and versions below 1."""
+    kinds = dict(alerts.dtypes)
+    lacks = lambda f: F.col(f).isNull() | ((F.trim(f) == "") if kinds[f] == "string" else F.lit(False)) | ((F.col(f) < 1) if f == "version" else F.lit(False))
+    named = F.array_compact(F.array(*(F.when(lacks(f), F.lit(f)) for f in fields)))
+    return alerts.withColumn("missing", F.array_join(F.array_sort(named), ", "))
+
+
+def sustained(alerts: DataFrame, fields: tuple[str, ...] = EVIDENCE) -> DataFrame:
+    """The alerts whose evidence is complete; the others do not exist."""
+    return missing_evidence(alerts, fields).where("missing = ''").drop("missing")
+
+
+def normative(ceilings: DataFrame) -> DataFrame:
+    """Ceilings (concept, scope, value, unit, effective_on, source) with until, the day from which the next one holds.
+
+    One without a concept, a scope or a source cannot be defended and is an error.
+    """
+    from pyspark.sql import Window
+
+    whole = F.least(*(F.length(F.trim(F.coalesce(F.col(c), F.lit("")))) for c in ("concept", "scope", "source"))) > 0
+    checked = ceilings.withColumn("value", F.when(whole, F.col("value")).otherwise(F.raise_error(F.lit("a ceiling needs a concept, a scope and a source"))))
+    return checked.withColumn("until", F.lead("effective_on").over(Window.partitionBy("concept", "scope").orderBy("effective_on")))
+
+
+def with_ceiling(df: DataFrame, ceilings: DataFrame, concept: str, scope: str, on: str) -> DataFrame:
+    """df with ceiling, the one of its scope that held on its day; null where none did. Ceilings are a few rows a scope."""
+    held = normative(ceilings.where(F.col("concept") == concept)).select(F.col("scope").alias("__scope"), F.col("value").alias("ceiling"), F.col("effective_on").alias("__from"), F.col("until").alias("__until"))
+    within = (F.col(scope) == F.col("__scope")) & (F.col(on) >= F.col("__from")) & (F.col("__until").isNull() | (F.col(on) < F.col("__until")))
+    return df.join(held, within, "left").drop("__scope", "__from", "__until")
+
+
 def calibration_sample(alerts: DataFrame, n: int = 25) -> DataFrame:
     """The first n alerts by identity: as good as random, and the same each time."""
     return alerts.orderBy("alert_id").limit(n)

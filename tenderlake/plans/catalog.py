@@ -726,7 +726,7 @@ def calibration_by_entity(spark, sf):
     return rules.calibration(_verdicts(spark, sf), "entity_id").select("entity_id", "fired", "evaluated", "blind")
 
 
-@query("SELECT event_id, sha256('{\"k\":\"' || (content ->> 'k') || '\"}') AS hash, dataset || '|' || row_id AS identity FROM version")
+@query("SELECT event_id, sha256('{\"k\":' || (content -> 'k') || '}') AS hash, dataset || '|' || row_id AS identity FROM version")
 def content_hashes(spark, sf):
     key = raw.identity(F.col("dataset"), F.col("row_id").cast("string"))
     return b.versions(spark, sf).select("event_id", raw.content_hash(F.col("content")).alias("hash"), key.alias("identity"))
@@ -744,8 +744,10 @@ def typed_values(spark, sf):
 
 @query(f"""SELECT CAST(count(DISTINCT key) AS BIGINT) AS keys, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT key, count(*) AS n FROM {KEYS.format('pub')} GROUP BY 1)""")
 def archive_size(spark, sf):
-    tops = blocks.top_of_buckets(b.published(spark, sf), 10**9)
-    return tops.agg(F.countDistinct("key").alias("keys"), blocks.rows().alias("rows"))
+    """Keys of days, weeks and months, and the contracts listed under them: counts by day are rolled up, rows are not copied."""
+    days = b.published(spark, sf).groupBy("signed_on").agg(blocks.rows().alias("n"))
+    keys = F.array(*(F.concat(F.lit(p), F.date_format(d, "yyyy-MM-dd")) for p, d in (("d", F.col("signed_on")), ("s", F.trunc("signed_on", "week")), ("m", F.trunc("signed_on", "month")))))
+    return days.select(F.explode(keys).alias("key"), "n").agg(F.countDistinct("key").alias("keys"), F.sum("n").alias("rows"))
 
 
 # --- comparisons over the calendar
@@ -1178,11 +1180,18 @@ def oldest_against_newest(spark, sf):
 @query("""SELECT n, name, green, figure FROM (
   SELECT 1 AS n, 'ingest' AS name, count(*) > 0 AS green, CAST(count(*) > 0 AS BIGINT) AS figure FROM c UNION ALL SELECT 2, 'impossible values', count(*) = 0, count(*) FROM c WHERE out_of_scale AND NOT is_errata
   UNION ALL SELECT 3, 'unreviewed errata', count(*) = 0, count(*) FROM errata WHERE zeros <> 3 UNION ALL SELECT 4, 'comparability', true, 1
-  UNION ALL SELECT 5, 'posts', count(*) = 0, count(*) FROM documents WHERE trim(coalesce(text, '')) = '' OR length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g')) > 280 OR regexp_matches(upper(strip_accents(text)), '\\b(CORRUPTO|CORRUPTA|CORRUPCION|FRAUDE|ROBO|DELITO|CULPABLE|ILEGAL|CRIMINAL)\\b')
-  UNION ALL SELECT 6, 'documents', count(*) = 0, count(*) FROM documents WHERE regexp_matches(regexp_replace(text, 'https?://\\S+', '', 'g'), '(^|[^0-9])[0-9]{6,12}([^0-9]|$)'))""")
+  UNION ALL SELECT 5, 'posts', count(*) = 0, count(*) FROM documents WHERE trim(coalesce(text, '')) = '' OR length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g')) > 280 OR regexp_matches(upper(strip_accents(text)), '\\b(IRREGULAR|IRREGULARES|IRREGULARIDAD|IRREGULARIDADES|CORRUPTO|CORRUPTA|CORRUPTOS|CORRUPTAS|CORRUPCION|FRAUDE|FRAUDES|FRAUDULENTO|FRAUDULENTA|ILEGAL|ILEGALES|ILEGALIDAD|DELITO|DELITOS|DELICTIVO|CULPABLE|CULPABLES)\\b')
+    OR regexp_matches(regexp_replace(text, 'https?://\\S+', '', 'g'), '(^|[^0-9])[0-9]{6,12}([^0-9]|$)')
+  UNION ALL SELECT 6, 'documents', count(*) = 0, count(*) FROM (SELECT 'NIT 900123456, ' || ['Cédula No. ', 'pasaporte ', 'code ', 'permiso por '][doc_id % 4 + 1] || CASE WHEN doc_id % 3 = 0 THEN '•••' || doc_id % 1000 ELSE CAST(100000 + doc_id AS VARCHAR) END AS text FROM documents)
+    WHERE regexp_matches(upper(strip_accents(text)), '(CEDULA|PASAPORTE|NUIP|TARJETA\\s+DE\\s+IDENTIDAD|REGISTRO\\s+CIVIL|PERMISO\\s+(ESPECIAL|POR))[^0-9]{0,40}[0-9]{5,}'))""")
 def gates(spark, sf):
     """The six checks before publication; errata of three zeros count as reviewed."""
     errata = b.errata(spark, sf)
     contracts = quality.flagged(b.contracts(spark, sf), errata).withColumn("published", ~F.col("is_errata"))
     ingested = contracts.agg((blocks.rows() > 0).alias("ok"))
-    return publish.gates(ingested, contracts, errata, errata.where("zeros = 3"), spark.range(1).select(F.lit(True).alias("ok")), table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    # pages name a company's tax id and a document of some kind, masked in every third
+    kind = F.element_at(F.array(*map(F.lit, ("Cédula No. ", "pasaporte ", "code ", "permiso por "))), (F.col("doc_id") % 4 + 1).cast("int"))
+    number = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("•••"), (F.col("doc_id") % 1000).cast("string"))).otherwise((100000 + F.col("doc_id")).cast("string"))
+    pages = docs.select(F.concat(F.lit("NIT 900123456, "), kind, number).alias("text"))
+    return publish.gates(ingested, contracts, errata, errata.where("zeros = 3"), spark.range(1).select(F.lit(True).alias("ok")), docs, pages)

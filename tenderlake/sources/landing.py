@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import random
+import time
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+T = TypeVar("T")
 # How many municipalities there are, and how far a table may be off.
 MUNICIPALITIES, TOLERANCE = 1122, 30
 
@@ -55,6 +59,43 @@ def range_filter(column: str, first: str, last: str) -> Column:
     return (F.col(column) >= F.lit(first)) & (F.col(column) < F.date_add(F.lit(last).cast("date"), 1))
 
 
+# Answers after which a request is worth repeating, how often, and the longest wait in seconds.
+RETRIED, ATTEMPTS, LONGEST = (202, 408, 425, 429, 500, 502, 503, 504), 5, 60.0
+
+
+class Failed(OSError):
+    """An answer that is no page: its status, and the seconds that it asks to wait, if it does."""
+
+    def __init__(self, status: int, wait: float | None = None):
+        super().__init__(f"status {status}")
+        self.status, self.wait = status, wait
+
+
+def waits(attempts: int = ATTEMPTS, longest: float = LONGEST, chance: Callable[[], float] = random.random) -> Iterator[float]:
+    """Seconds to wait after each attempt: doubled each time, up to longest, and spread to a half at least."""
+    for n in range(attempts - 1):
+        yield min(longest, 2.0**n) * (0.5 + chance() / 2)
+
+
+def with_retries(ask: Callable[[], T], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, chance: Callable[[], float] = random.random) -> T:
+    """What ask() returns. After a failed connection or an answer in RETRIED it is asked again; other answers are errors at once.
+
+    A reader runs it inside its tasks, a page a task.
+    """
+    for pause in (*waits(attempts, chance=chance), None):
+        try:
+            return ask()
+        except Failed as e:
+            if pause is None or e.status not in RETRIED:
+                raise
+            sleep(min(LONGEST, e.wait) if e.wait is not None else pause)
+        except (ConnectionError, TimeoutError):
+            if pause is None:
+                raise
+            sleep(pause)
+    raise AssertionError
+
+
 class _Page(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -70,7 +111,7 @@ class PagedReader(DataSourceReader):
     def read(self, partition: _Page) -> Iterator[tuple]:
         import json
 
-        for i, row in enumerate(json.loads(Path(partition.path).read_text(encoding="utf-8"))):
+        for i, row in enumerate(json.loads(with_retries(lambda: Path(partition.path).read_text(encoding="utf-8")))):
             yield Path(partition.path).name, i, json.dumps(row, ensure_ascii=False)
 
 

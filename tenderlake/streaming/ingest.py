@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,18 +10,24 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.raw import append_new, content_hash
 
 
-def append_stream(stream: DataFrame, target: str, checkpoint: str, key: tuple[str, ...] = ("dataset", "row_id", "hash")) -> StreamingQuery:
+def append_stream(stream: DataFrame, target: str, checkpoint: str, key: tuple[str, ...] = ("dataset", "row_id", "hash"), overlap: str | None = None) -> StreamingQuery:
     """Append a stream of raw rows (dataset, row_id, content, seen_at) to a Parquet table, each version once.
 
     A batch writes its own folder of the table, batch=N, in overwrite mode, so a
     batch that runs again after a failure replaces what it wrote. Late rows are
-    kept: there is no watermark that would drop them.
+    kept: there is no watermark that would drop them. With overlap ("45 days", as
+    long as sources repeat rows) a batch is compared only with rows seen since
+    that long before its own first row, so what it reads does not grow with the
+    table's age; a version that comes back later than that is a row again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("hash", content_hash(F.col("content")))
         seen = _earlier(spark, target, number, rows)
+        if overlap:
+            since = rows.agg((F.min("seen_at") - F.expr(f"INTERVAL {overlap}")).alias("t")).first().t
+            seen = seen.where(F.col("seen_at") >= F.lit(since)) if since else seen
         fresh = append_new(seen, rows, list(key), "row_id")
         fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
@@ -51,18 +54,7 @@ def sessions(events: DataFrame, gap: str = "6 hours", late: str = "2 days") -> D
 
 
 def latest_versions(stream: DataFrame) -> DataFrame:
-    """On a stream of (row_id, ts, content): a row whenever a row_id's newest content changes, with how many changes there were."""
-    state = "ts timestamp, content string, changes long"
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
-        ts, content, changes = held.get if held.exists else (None, None, 0)
-        before = changes
-        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
-            if ts is None or r.ts >= ts:
-                changes += r.content != content
-                ts, content = r.ts, r.content
-        held.update((ts, content, changes))
-        if changes != before:
-            yield pd.DataFrame({"row_id": [key[0]], "ts": [ts], "content": [content], "changes": [changes]})
-
-    return stream.groupBy("row_id").applyInPandasWithState(step, f"row_id long, {state}", state, "update", "NoTimeout")
+    """On a stream of (row_id, ts, content): each row_id's newest content, of several at one time the largest, with how many contents it has had."""
+    newest = F.max_by("content", F.struct("ts", "content"))
+    seen = F.size(F.collect_set(F.xxhash64("content"))).cast("long")
+    return stream.groupBy("row_id").agg(F.max("ts").alias("ts"), newest.alias("content"), seen.alias("changes"))

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tenderlake.plans import catalog
+from tenderlake.plans import catalog, reports
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()
@@ -17,6 +17,10 @@ def duck():
     return con
 
 
+def test_reports_are_registered():
+    assert len(reports.NAMES) > 50 and set(reports.NAMES) <= set(catalog.ORACLES)
+
+
 @pytest.mark.parametrize("name", catalog.QUERIES)
 def test_query_matches_oracle(spark, duck, name):
     df = catalog.QUERIES[name](spark, SF)

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tenderlake.functions import values as V
 from tenderlake.operators import incremental, normalize, publish, quality, raw, rules, windows
 
 
@@ -165,3 +166,28 @@ def test_publication(spark):
     errata, reviewed = spark.createDataFrame([("P",), ("Q",)], "process_id string"), spark.createDataFrame([("P",)], "process_id string")
     gates = publish.gates(yes, contracts, errata, reviewed, yes, posts.limit(1)).orderBy("n").collect()
     assert [(g.n, g.green) for g in gates] == [(1, True), (2, True), (3, False), (4, True), (5, True), (6, True)]
+
+
+def test_canonical_documents(spark):
+    same = ['{"b": {"y": [1, {"q": 1, "p": null}], "x": "é"}, "a": 1, ":id": 7}', '{ ":id":8,"a":1,"b":{"x":"é","y":[1,{"p":null,"q":1}]}}']
+    others = ['{"a":"1","b":{"x":"é","y":[1,{"p":null,"q":1}]}}', '{"a":1,"b":{"x":"é","y":[{"p":null,"q":1},1]}}', '{"a":true}', '{"a":null}', '{"a\\"b":"c\\nd"}', "{}"]
+    said = [r[0] for r in spark.createDataFrame([(i, c) for i, c in enumerate(same + others)], "i int, c string").orderBy("i").select(raw.canonical(F.col("c"))).collect()]
+    assert said[0] == said[1] == '{"a":1,"b":{"x":"é","y":[1,{"p":null,"q":1}]}}'
+    assert said[2:] == ['{"a":"1","b":{"x":"é","y":[1,{"p":null,"q":1}]}}', '{"a":1,"b":{"x":"é","y":[{"p":null,"q":1},1]}}', '{"a":true}', '{"a":null}', '{"a\\"b":"c\\nd"}', "{}"]
+
+
+def test_words_and_documents_before_publication(spark):
+    texts = ["Hay irregularidades", "un FRAUDULENTO", "robo y criminal", "Cédula de ciudadanía No. 12345678", "NIT 900123456", "pasaporte ••••678", "permiso  por protección: 1234", "cédulas: ver anexo 20261"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").orderBy("i")
+    assert [r[0] for r in df.select(F.size(publish.guilt_words(F.col("text")))).collect()] == [1, 1, 0, 0, 0, 0, 0, 0]
+    assert [r[0] for r in df.select(publish.person_documents(F.col("text"))).collect()] == [[], [], [], ["12345678"], [], [], [], ["20261"]]
+    assert [r[0] for r in spark.createDataFrame([("Čapek Şő Ὀδ ﬁ ǖ",)], "t string").select(V.normalized(F.col("t"))).collect()] == ["CAPEK SO ΟΔ FI U"]
+
+
+def test_ceilings_need_a_source(spark):
+    schema = "concept string, scope string, value int, unit string, effective_on date, source string"
+    good = spark.createDataFrame([("c", "s", 1, "u", date(2026, 1, 1), "law"), ("c", "s", 2, "u", date(2026, 7, 1), "law")], schema)
+    rows = spark.createDataFrame([("s", date(2025, 1, 1)), ("s", date(2026, 6, 30)), ("s", date(2026, 7, 1)), ("t", date(2026, 7, 1))], "scope string, day date")
+    assert [r.ceiling for r in rules.with_ceiling(rows, good, "c", "scope", "day").orderBy("scope", "day").collect()] == [None, 1, 2, None]
+    with pytest.raises(Exception, match="a ceiling needs"):
+        rules.normative(good.withColumn("source", F.lit(" "))).collect()

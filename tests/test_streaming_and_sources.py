@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tenderlake.sources import landing
+from tenderlake.sources import derived, landing
 from tenderlake.streaming import ingest
 
 
@@ -62,3 +62,50 @@ def test_sources(spark, tmp_path):
     assert landing.as_document(df, "rows").first()[0] == '{"rows":[{"a":1,"b":null}]}' and landing.as_document(df.limit(0), "rows").first()[0] == '{"rows":null}'
     with pytest.raises(ValueError):
         landing.range_filter("d", "2026-02-01", "2026-01-01")
+
+
+def test_append_stream_within_an_overlap(spark, tmp_path):
+    schema = "dataset string, row_id string, content string, seen_at timestamp"
+    page = lambda name, rows: spark.createDataFrame([("c", i, c, datetime(2026, m, 1)) for i, c, m in rows], schema).coalesce(1).write.json(f"{tmp_path}/{name}")
+    run = lambda: ingest.append_stream(spark.readStream.schema(schema).json(f"{tmp_path}/in/*"), f"{tmp_path}/raw", f"{tmp_path}/check", overlap="45 days").awaitTermination()
+    page("in/1", [("a", '{"v":1}', 1), ("b", '{"v":1}', 3)])
+    run()
+    page("in/2", [("a", '{"v":1}', 4), ("b", '{"v":1}', 4), ("b", '{"v":"1"}', 4)])
+    run()
+    got = sorted((r.row_id, r.content, r.seen_at.month) for r in spark.read.parquet(f"{tmp_path}/raw").collect())
+    # b's first version is within 45 days, a's is not; a number and a text are different contents
+    assert got == [("a", '{"v":1}', 1), ("a", '{"v":1}', 4), ("b", '{"v":"1"}', 4), ("b", '{"v":1}', 3)]
+
+
+def test_derived_tables(spark, tmp_path):
+    made = derived.DerivedTable(spark, f"file://{tmp_path}/t", ["k"])
+    with pytest.raises(FileNotFoundError):
+        made.read()
+    rows = lambda *x: spark.createDataFrame(list(x), "k long, v string, at long")
+    made.upsert(rows((1, "a", 1), (1, "b", 2), (2, "c", 1)), [F.desc("at")])
+    made.upsert(rows((2, None, 3), (3, "d", 3)), [F.desc("at")])
+    assert sorted(tuple(r)[:2] for r in made.read().collect()) == [(1, "b"), (2, None), (3, "d")]
+    (tmp_path / "t/v9").mkdir()  # a write that was not committed
+    assert made.versions() == [0, 1]
+    assert made.rewrite(rows((5, "e", 1))).count() == 1 and made.versions()[-1] == 2
+    dry = derived.DryRun()
+    assert dry.upsert(rows((1, "a", 1)), []) == 0 and dry.seen == 1
+
+
+def test_retries():
+    said, slept = iter([landing.Failed(503), ConnectionError(), landing.Failed(429, 7.0), landing.Failed(408, 900.0), "page"]), []
+
+    def ask():
+        x = next(said)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert landing.with_retries(ask, sleep=slept.append, chance=lambda: 0.0) == "page"
+    assert slept == [0.5, 1.0, 7.0, 60.0]
+    for answer in ([landing.Failed(404)], [landing.Failed(500)] * 5):
+        said, slept = iter(answer), []
+        with pytest.raises(landing.Failed):
+            landing.with_retries(ask, sleep=slept.append)
+        assert len(slept) == len(answer) - 1
+    assert list(landing.waits(9, chance=lambda: 1.0)) == [1, 2, 4, 8, 16, 32, 60, 60]

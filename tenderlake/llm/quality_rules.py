@@ -21,6 +21,7 @@ and left alone by only_kept(). An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -29,16 +30,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import aside, placed, with_columns, written
+from .common import SPACE, aside, placed, with_columns, written
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-LOUD = (b"!!", b"?!", b"!?", b"??")
 #: What is thought of a rule before any text is seen (the chance that its vote is right) and how many texts that thought is worth.
 THOUGHT, WORTH = 0.9, 10.0
-#: The end of a word that ends a sentence, and the last bytes of words in running text besides letters and digits.
-SENTENCE_ENDS = (b".", b"?", b"!", "…".encode(), "。".encode(), "！".encode(), "？".encode(), "।".encode())
-PLAIN_ENDS = frozenset(b".,;:?!'\")]}-/") | frozenset(range(48, 58)) | frozenset(range(65, 91)) | frozenset(range(97, 123)) | frozenset(range(128, 256))
+#: Marks that end a sentence (of several bytes: … 。 ！ ？ ।), and the last bytes of words in running text besides letters and digits.
+SENTENCE_ENDS, LONG_ENDS = b".?!", tuple(x.encode() for x in "…。！？।")
+PLAIN_ENDS = b".,;:?!'\")]}-/"
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
     " n_lines long, n_upper long, n_lower long, n_marks long, n_ends long,"
@@ -48,18 +48,22 @@ FEATURES = (
 
 def repeated_window_words(words: list[bytes], width: int = WINDOW) -> int:
     """Words covered by windows of width words that occur twice or more in the text."""
-    n = len(words)
+    index = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    return _repeated(np.fromiter(map(index.__getitem__, words), np.int64, len(words)), len(index), width)
+
+
+def _repeated(ids: np.ndarray, distinct: int, width: int = WINDOW) -> int:
+    """The same for words told by numbers below distinct."""
+    n = len(ids)
     if n <= width:
         return 0
-    index = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    ids = np.fromiter(map(index.__getitem__, words), np.int64, n)
-    code, span = ids, len(index)
+    code, span = ids, distinct
     for k in range(1, width):
-        if span * len(index) >= 2**62:
+        if span * distinct >= 2**62:
             code = np.unique(code, return_inverse=True)[1].astype(np.int64)
             span = int(code.max()) + 1
-        code = code[: n - k] * len(index) + ids[k:]
-        span *= len(index)
+        code = code[: n - k] * distinct + ids[k:]
+        span *= distinct
     ordered = np.sort(code)
     same = ordered[1:] == ordered[:-1]
     if not same.any():
@@ -73,57 +77,78 @@ def repeated_window_words(words: list[bytes], width: int = WINDOW) -> int:
     return int((np.cumsum(edge[:n]) > 0).sum())
 
 
-def _cased(text: str) -> tuple[int, int]:
-    """How many characters of the text, of any script, are changed by lower-casing and by upper-casing."""
-    own = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    counts = []
-    for changed in (text.lower(), text.upper()):
-        if len(changed) == len(text):
-            counts.append(int((own != np.frombuffer(changed.encode("utf-32-le", "surrogatepass"), "<u4")).sum()))
-        else:  # some characters become several
-            counts.append(sum(c != (c.lower() if not counts else c.upper()) for c in text))
-    return counts[0], counts[1]
+def _table(*members: bytes) -> np.ndarray:
+    """For each byte whether it is among the members."""
+    out = np.zeros(256, bool)
+    out[list(b"".join(members))] = True
+    return out
+
+
+_SPACE = _table(SPACE.encode())
+_SYMBOL, _UPPER, _MARK, _END = _table(SYMBOLS), _table(bytes(range(65, 91))), _table(b"!?"), _table(SENTENCE_ENDS)
+_PLAIN = _table(PLAIN_ENDS, bytes(range(48, 58)), bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(128, 256)))
+_OTHERS = re.compile("[^\x00-\x7f]+")
+
+
+def _by_word(raw: np.ndarray, seen: np.ndarray) -> tuple[int, int, int, int, int]:
+    """Words that end a sentence, hold a symbol, end oddly, end loudly, and are in capitals. seen counts the bytes."""
+    word = np.zeros(len(raw) + 2, np.int8)
+    np.logical_not(_SPACE[raw], out=word[1:-1].view(bool))
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    starts, ends = edges[::2], edges[1::2]  # ends are one past a word's last byte
+    if not len(starts):
+        return 0, 0, 0, 0, 0
+    last = raw[ends - 1]
+    ended, loud = _END[last], 0
+    if seen[[x[2] for x in LONG_ENDS]].any():
+        two, three = (np.where(ends - starts >= n, raw[np.maximum(ends - n, 0)], 0) for n in (2, 3))
+        for x in LONG_ENDS:
+            ended = ended | (last == x[2]) & (two == x[1]) & (three == x[0])
+    if seen[[33, 63]].any():
+        loud = int((_MARK[last] & _MARK[raw[np.maximum(ends - 2, 0)]] & (ends - starts > 1)).sum())
+    holding = lambda table: np.unique(np.searchsorted(ends, np.flatnonzero(table[raw]), "right"))  # noqa: E731  the words with such a byte
+    symbols = len(holding(_SYMBOL)) if seen[_SYMBOL].any() else 0
+    # few words have a capital
+    capitals = 0
+    if seen[_UPPER].any():
+        held = holding(_UPPER)
+        text = raw.tobytes()
+        capitals = sum(1 for s, e in zip(starts[held].tolist(), ends[held].tolist()) if e - s > 1 and text[s:e].isupper())
+    return int(np.count_nonzero(ended)), symbols, len(last) - int(np.count_nonzero(_PLAIN[last])), loud, capitals
 
 
 def features_of(text: str | None) -> tuple[int, ...]:
     """The figures that the rules look at; all zero for null and for empty texts."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
+    text = text or ""
+    raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()  # bytes.split() separates at exactly the six white-space bytes
     seen = np.zeros(256, np.int64)
+    whole = np.frombuffer(raw, np.uint8)
     for at in range(0, len(raw), 1 << 20):
-        seen += np.bincount(np.frombuffer(raw, np.uint8, min(1 << 20, len(raw) - at), at), minlength=256)
+        seen += np.bincount(whole[at : at + (1 << 20)], minlength=256)
     continued = int(seen[0x80:0xC0].sum())
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    often = Counter(words)  # each distinct word is looked at once
-    ends = symbols = odd = loud = upper = 0
-    for w, n in often.items():
-        if w.endswith(SENTENCE_ENDS):
-            ends += n
-        if w[-1] not in PLAIN_ENDS:
-            odd += n
-        if len(w.translate(None, SYMBOLS)) < len(w):
-            symbols += n
-        if w.endswith(LOUD):
-            loud += n
-        if w.isupper() and len(w) > 1:
-            upper += n
-    big, small = (int(seen[65:91].sum()), int(seen[97:123].sum())) if not seen[128:].any() else _cased(text or "")
+    index = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+    # letters of all scripts: the few that are not ASCII are counted by kind
+    others = Counter("".join(_OTHERS.findall(text))) if continued else {}
+    ends, symbols, odd, loud, capitals = _by_word(whole, seen)
     return (
         len(words),
         len(raw) - continued - int(seen[9:14].sum() + seen[32]),
         int(seen[list(SYMBOLS)].sum()),
         len(lines) - len(set(lines)),
-        repeated_window_words(words),
+        _repeated(ids, len(index)),
         len(lines),
-        big,
-        small,
+        int(seen[65:91].sum()) + sum(n for c, n in others.items() if c != c.lower()),
+        int(seen[97:123].sum()) + sum(n for c, n in others.items() if c != c.upper()),
         int(seen[[33, 63]].sum()),
         ends,
         symbols,
         odd,
-        len(often),
+        len(index),
         loud,
-        upper,
+        capitals,
     )
 
 

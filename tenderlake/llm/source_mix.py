@@ -28,7 +28,7 @@ from .common import aside, placed, written
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 #: Parts that a source's range of keys is cut into, and rows that are few enough to be ordered.
-PARTS, FEW = 4096, 50_000
+PARTS, FEW = 4096, 4096
 
 
 def n_words(text: Column) -> Column:

@@ -318,3 +318,13 @@ def posteriors(docs: DataFrame, text: str = "text", out: str = "quality") -> Dat
     keep = [c for c, name in zip(back, docs.columns) if name.lower() != out.lower()]
     weighed = with_features(moved, placed(docs, text)).withColumn("__posterior", model.posterior(rules()))
     return weighed.select(*keep, F.col("__posterior").alias(out))
+
+
+def figures_with_posterior(docs: DataFrame, text: str = "text", keep: Sequence[str] = (), out: str = "quality") -> DataFrame:
+    """The columns in keep, the text's xxhash64 in place of the text itself, the figures, and the posterior in the column out.
+
+    The texts are read once: the figures are written, and verdicts made from them.
+    """
+    marked = docs.select(*(F.col(f"`{c}`") for c in keep), F.xxhash64(f"`{text}`").alias(f"{text}_hash"), F.col(f"`{text}`"))
+    features = written(with_features(marked, text, keep=[*keep, f"{text}_hash"]), "quality-features")
+    return features.withColumn(out, fit(features).posterior(rules()))

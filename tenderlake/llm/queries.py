@@ -47,8 +47,9 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = quality_rules.posteriors(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return source_mix.mix(docs, quality="quality").drop("copies")
+    # the figures of quality hold the texts' sizes as well
+    docs = quality_rules.figures_with_posterior(_read(spark, sf_dir, "documents"), keep=["doc_id", "source"])
+    return source_mix.mix(docs, text="text_hash", size="n_words", quality="quality").drop("copies")
 
 
 def codec_digest(docs: DataFrame) -> DataFrame:

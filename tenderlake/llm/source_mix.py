@@ -42,9 +42,9 @@ def quality_weight(text: Column) -> Column:
     return F.coalesce(F.greatest(F.lit(0.2), 1 - 5.0 * marks / F.greatest(F.length(text), F.lit(1))), F.lit(1.0))
 
 
-def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
-    """The exponential key -ln(u) / weight for u uniform in (0, 1): the smallest come first."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, F.xxhash64(text)), 11).cast("double") + 0.5) / float(2**53)
+def sampling_key(doc_id: Column, text: Column, weight: Column, seed: int, hashed: bool = False) -> Column:
+    """The exponential key -ln(u) / weight for u uniform in (0, 1): the smallest come first. With hashed, text is its xxhash64."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, text if hashed else F.xxhash64(text)), 11).cast("double") + 0.5) / float(2**53)
     return -F.log(u) / weight
 
 
@@ -73,10 +73,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return levels.select("source", "source_size", "rows", F.when(stops | F.col("level").isNull(), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def _keyed(doc_id: Column, text: Column, source: Column, quality: Column, seed: int) -> list[Column]:
-    """A row's source, size and key."""
-    key = sampling_key(doc_id, text, F.greatest(F.coalesce(quality, F.lit(1.0)), F.lit(0.01)), seed)
-    return [source.alias("__source"), n_words(text).alias("__size"), key.alias("__key")]
+def _keyed(doc_id: Column, text: Column, source: Column, quality: Column, seed: int, size: Column | None = None) -> list[Column]:
+    """A row's source, size and key; with size, text is a text's hash."""
+    key = sampling_key(doc_id, text, F.greatest(F.coalesce(quality, F.lit(1.0)), F.lit(0.01)), seed, size is not None)
+    return [source.alias("__source"), (n_words(text) if size is None else size).alias("__size"), key.alias("__key")]
 
 
 def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, parts: int | None = None, few: int | None = None) -> DataFrame:
@@ -144,13 +144,16 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*kept)
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, size: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
     """doc_id, size, source_size, target, taken (words, repeats counted) and copies for every row of docs.
 
     The document at a target's edge is taken if that brings its source nearer to
-    the target. quality is as in repeated().
+    the target. quality is as in repeated(). Where the numbers of words are known,
+    size names their column, text names one of the texts' xxhash64, and texts
+    need not be read again; quality has to be given then.
     """
-    weight = F.col(f"`{quality}`") if quality else quality_weight(F.col(f"`{text}`"))
-    rows = written(docs.select(F.col(f"`{doc_id}`").alias("__id"), *_keyed(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.col(f"`{source}`"), weight, seed)), "mix-rows")
+    ident, words, own = F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.col(f"`{source}`")
+    keyed = _keyed(ident, words, own, F.col(f"`{quality}`") if quality else quality_weight(words), seed, F.col(f"`{size}`") if size else None)
+    rows = written(docs.select(ident.alias("__id"), *keyed), "mix-rows")
     mixed = _joined(rows, cuts(rows.drop("__id"), weights, most))
     return mixed.select(F.col("__id").alias(doc_id), F.col("__size").alias("size"), F.col("__cut_source_size").alias("source_size"), F.col("__cut_target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"), F.col("__copies").alias("copies"))

@@ -298,26 +298,37 @@ def judged(features: DataFrame, model: LabelModel, threshold: float = 0.5) -> Da
     )
 
 
+def _figured(docs: DataFrame, text: str) -> tuple[DataFrame, LabelModel, list[Column]]:
+    """docs as written with the figures beside aside()'s columns, the model fitted on them, and what selects docs' columns back.
+
+    Figures cost far more than a write of the texts they are made from, so they
+    are made once; the fit reads their columns alone.
+    """
+    moved, back = aside(docs)  # so that no column of docs is taken for a figure or verdict
+    rows = written(with_features(moved, placed(docs, text)), "quality-rows")
+    return rows, fit(rows), back
+
+
 def only_kept(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of docs that the posterior keeps, with docs' columns as they are, whatever their names.
 
     Every row is judged by its text alone: a null doc_id, a repeated one or a
     null in any other column changes nothing, repeated rows all stay or all go.
-    The figures are made again beside the texts for the verdict, so that no join
-    has to shuffle texts.
+    No join or shuffle moves texts.
     """
-    model = fit(written(with_features(docs, text, keep=[]), "quality-features"))
-    moved, back = aside(docs)  # so that no column of docs is taken for a figure or verdict
-    return judged(with_features(moved, placed(docs, text)), model, threshold).where("kept").select(*back)
+    rows, model, back = _figured(docs, text)
+    return judged(rows, model, threshold).where("kept").select(*back)
 
 
-def posteriors(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFrame:
-    """docs with the posterior probability that each text is good in the column out, which is replaced."""
-    model = fit(written(with_features(docs, text, keep=[]), "quality-features"))
-    moved, back = aside(docs)
-    keep = [c for c, name in zip(back, docs.columns) if name.lower() != out.lower()]
-    weighed = with_features(moved, placed(docs, text)).withColumn("__posterior", model.posterior(rules()))
-    return weighed.select(*keep, F.col("__posterior").alias(out))
+def posteriors(docs: DataFrame, text: str = "text", out: str = "quality", words: str | None = None) -> DataFrame:
+    """docs with the posterior probability that each text is good in the column out and, if words names a column, the number of words in that.
+
+    Columns of docs with these names are replaced.
+    """
+    rows, model, back = _figured(docs, text)
+    keep = [c for c, name in zip(back, docs.columns) if name.lower() not in {out.lower(), (words or out).lower()}]
+    weighed = rows.withColumn("__posterior", model.posterior(rules())).withColumn("__size", F.col("n_words"))
+    return weighed.select(*keep, F.col("__posterior").alias(out), *([F.col("__size").alias(words)] if words else []))
 
 
 def figures_with_posterior(docs: DataFrame, text: str = "text", keep: Sequence[str] = (), out: str = "quality") -> DataFrame:

@@ -128,19 +128,21 @@ def _joined(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     return both.withColumn("__copies", F.col("__cut_epochs") + once.cast("long"))
 
 
-def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
-    """docs' rows as often as the mix takes them, with docs' columns but for the one that quality names.
+def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, size: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:
+    """docs' rows as often as the mix takes them, with docs' columns but for those that quality and size name.
 
     quality is a column of weights, none below 0.01; without it the texts' marks
-    make them. Only the sources' cuts are joined to docs, so texts are not
-    shuffled for it.
+    make them. size is a column of the texts' numbers of words, where they are
+    known. Only the sources' cuts are joined to docs, so texts are not shuffled
+    for it.
     """
     moved, back = aside(docs)
     own = lambda c: F.col(placed(docs, c))
-    keyed = _keyed(own(doc_id), own(text), own(source), own(quality) if quality else quality_weight(own(text)), seed)
+    weight = own(quality) if quality else quality_weight(own(text))
+    keyed = _keyed(own(doc_id), F.xxhash64(own(text)) if size else own(text), own(source), weight, seed, own(size) if size else None)
     chosen = cuts(written(moved.select(*keyed), "mix-rows"), weights, most)
     taken = _joined(moved.select("*", *keyed), chosen).where("__copies > 0")
-    kept = [c for c, name in zip(back, docs.columns) if name != quality]
+    kept = [c for c, name in zip(back, docs.columns) if name not in (quality, size)]
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*kept)
 
 

@@ -39,10 +39,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the epochs and keys like others. Rows alike in id, text and source are taken
     alike. Columns stay as they are.
     """
-    weight = "quality"
-    while weight in docs.columns:  # a name of its own for the weight
-        weight += "_"
-    return source_mix.repeated(quality_rules.posteriors(docs, out=weight), quality=weight)
+    tag = ""
+    while {f"quality{tag}", f"words{tag}"} & {c.lower() for c in docs.columns}:  # names of their own for the weight and the size
+        tag += "_"
+    weight, size = f"quality{tag}", f"words{tag}"
+    return source_mix.repeated(quality_rules.posteriors(docs, out=weight, words=size), quality=weight, size=size)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

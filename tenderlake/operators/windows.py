@@ -45,7 +45,29 @@ def overlaps(df: DataFrame, key: str, row_id: str, start: str, end: str, other:
     return pairs.select(F.col(f"a.{key}").alias(key), F.col(f"a.{row_id}").alias("a_id"), F.col(f"b.{row_id}").alias("b_id"), F.col("a.o").alias("a_other"), F.col("b.o").alias("b_other"), days.alias("days"))
 
 
-def partners(pairs: DataFrame, key: str) -> DataFrame:
-    """How many different others each key has in overlapping pairs."""
-    both = pairs.select(key, F.col("a_other").alias("o")).union(pairs.select(key, F.col("b_other").alias("o")))
-    return both.groupBy(key).agg(F.countDistinct("o").alias("others"))
+def stretches(df: DataFrame, key: str, start: str, end: str, other: str) -> DataFrame:
+    """key, o, s, e: the stretches of days that intervals of one key and other cover without a gap.
+
+    Intervals that begin on one day are one before the window, so it has no more
+    rows of a key and other than there are days.
+    """
+    valid = df.where(F.col(key).isNotNull() & (F.col(end) >= F.col(start)))
+    rows = valid.groupBy(key, F.col(other).alias("o"), F.col(start).alias("s")).agg(F.max(end).alias("e"))
+    w = Window.partitionBy(key, "o").orderBy("s")
+    reach = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(reach.isNull() | (F.col("s") > reach), 1).otherwise(0)
+    numbered = rows.withColumn("opens", opens).withColumn("n", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(key, "o", "n").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("n")
+
+
+def partners(df: DataFrame, key: str, start: str, end: str, other: str) -> DataFrame:
+    """How many different others each key has among its intervals that overlap one of another other.
+
+    No pairs are made: one other's stretches never meet, so a stretch overlaps
+    another other's if one that begins earlier ends after its start or if the
+    next one begins before its end. Null is an other, but is not counted.
+    """
+    w = Window.partitionBy(key).orderBy("s", "o")
+    before, after = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lead("s").over(w)
+    met = F.coalesce(before >= F.col("s"), F.lit(False)) | F.coalesce(after <= F.col("e"), F.lit(False))
+    return stretches(df, key, start, end, other).withColumn("met", met).where("met").groupBy(key).agg(F.countDistinct("o").alias("others"))

@@ -426,7 +426,7 @@ def interval_overlap_pairs(spark, sf):
 
 @query(f"SELECT person, count(DISTINCT o) AS others FROM (SELECT person, a_other AS o FROM {OVERLAP} UNION SELECT person, b_other FROM {OVERLAP}) GROUP BY 1")
 def overlapping_entities(spark, sf):
-    return windows.partners(windows.overlaps(b.stays(spark, sf), "person", "stay_id", "start", "end", "entity"), "person")
+    return windows.partners(b.stays(spark, sf), "person", "start", "end", "entity")
 
 
 THOUSAND = "(SELECT 2 * contract_id AS contract_id, entity_id, supplier_number, value::DECIMAL(28,2) AS value FROM c WHERE value > 0 UNION ALL SELECT 2 * contract_id + 1, entity_id, supplier_number, value::DECIMAL(28,2) * 1000 FROM c WHERE value > 0)"
@@ -682,12 +682,13 @@ def arrivals_per_hour(spark, sf):
 @query("""SELECT age, count(*) FILTER (WHERE first) AS new, count(*) FILTER (WHERE NOT first) AS changed FROM (SELECT DATE '2024-01-30' - CAST(seen_at - INTERVAL 5 HOUR AS DATE) AS age, seen_at = min(seen_at) OVER (PARTITION BY dataset, row_id) AS first FROM version) GROUP BY 1""")
 def delay_of_news(spark, sf):
     """New and changed rows by age in days of Bogotá."""
-    from pyspark.sql import Window
-
     day = F.to_date(F.from_utc_timestamp("seen_at", "America/Bogota"))
-    first = F.col("seen_at") == F.min("seen_at").over(Window.partitionBy("dataset", "row_id"))
-    rows = b.versions(spark, sf).select(F.date_diff(F.lit("2024-01-30").cast("date"), day).cast("long").alias("age"), first.alias("first"))
-    return rows.groupBy("age").agg(F.count_if("first").alias("new"), F.count_if(~F.col("first")).alias("changed"))
+    age = F.date_diff(F.lit("2024-01-30").cast("date"), day).cast("long").alias("age")
+    # rows are counted by moment before a row's first moment is looked for
+    moments = b.versions(spark, sf).groupBy("dataset", "row_id", "seen_at").agg(F.count("seen_at").alias("n"))
+    firsts = moments.groupBy("dataset", "row_id").agg(F.min_by(F.struct("seen_at", "n"), "seen_at").alias("x")).where("x IS NOT NULL").select(F.col("x.seen_at").alias("seen_at"), F.col("x.n").alias("new"), (-F.col("x.n")).alias("changed"))
+    rows = moments.select("seen_at", F.lit(0).cast("long").alias("new"), F.col("n").alias("changed")).unionByName(firsts)
+    return rows.groupBy(age).agg(F.sum("new").alias("new"), F.sum("changed").alias("changed"))
 
 
 @query("SELECT n AS contracts, count(*) AS people FROM (SELECT person, count(*) AS n FROM stay GROUP BY 1) GROUP BY 1")
@@ -875,8 +876,7 @@ def funnel_quartiles(spark, sf):
 
 @query(f"SELECT others, count(*) AS people FROM (SELECT person, count(DISTINCT o) AS others FROM (SELECT person, a_other AS o FROM {OVERLAP} UNION SELECT person, b_other FROM {OVERLAP}) GROUP BY 1) GROUP BY 1")
 def people_by_entities(spark, sf):
-    pairs = windows.overlaps(b.stays(spark, sf), "person", "stay_id", "start", "end", "entity")
-    return windows.partners(pairs, "person").groupBy("others").agg(blocks.rows().alias("people"))
+    return windows.partners(b.stays(spark, sf), "person", "start", "end", "entity").groupBy("others").agg(blocks.rows().alias("people"))
 
 
 @query("""SELECT conv_id, count(*) AS posts, count(*) FILTER (WHERE length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g')) > 280) AS too_long, CAST(max(length(regexp_replace(text, 'https?://\\S+', repeat('x', 23), 'g'))) AS BIGINT) AS longest FROM conversations GROUP BY 1""", prelude=False)

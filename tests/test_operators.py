@@ -1,5 +1,6 @@
 import json
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -91,6 +92,22 @@ def test_intervals(spark):
     pairs = windows.overlaps(df, "k", "i", "s", "e", "o")
     assert sorted((r.a_id, r.b_id, r.days) for r in pairs.collect()) == [(1, 2, 1), (2, 3, 2), (4, 5, 33)]
     assert {r.k: r.peak for r in windows.peak_concurrency(df, "k", "s", "e").collect()} == {"p": 2, "q": 1}
+    assert {r.k: r.others for r in windows.partners(df, "k", "s", "e", "o").collect()} == {"p": 2}
+
+
+def test_partners_against_all_pairs(spark):
+    rng = random.Random(5)
+    day = lambda: date(2026, 1, 1) + timedelta(rng.randrange(120))
+    rows = [(rng.choice(["p", "q", "r", None]), i, day(), day(), rng.choice(["x", "y", "z", "u", "v", None])) for i in range(80)]
+    rows += [("s", 100, date(2026, 1, 1), date(2026, 1, 5), "x"), ("s", 101, date(2026, 1, 5), date(2026, 1, 5), "x"), ("s", 102, date(2026, 1, 6), date(2026, 1, 9), "y")]
+    wanted = {}
+    for a in rows:
+        for b in rows:
+            if a[0] is not None and a[0] == b[0] and a[4] != b[4] and max(a[2], b[2]) <= min(a[3], b[3]):
+                wanted.setdefault(a[0], set()).add(a[4])
+    df = spark.createDataFrame(rows, "k string, i int, s date, e date, o string")
+    assert {r.k: r.others for r in windows.partners(df, "k", "s", "e", "o").collect()} == {k: len(v - {None}) for k, v in wanted.items()}
+    assert windows.partners(df.limit(0), "k", "s", "e", "o").count() == 0
 
 
 def groups(spark, **changes):

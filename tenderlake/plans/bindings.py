@@ -6,14 +6,53 @@ rules on keys, the same ones as in oracles.PRELUDE.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators import quality, raw
-from ..session import table
+from ..session import shared_folder, table
+from ..sources.derived import DerivedTable
 
 CEILING = 1_000_000_000
+#: The tables that processes, errata and contracts are derived from.
+BASE = ("lineitem", "part", "orders", "customer", "nation", "supplier")
+
+
+def _base_state(spark: SparkSession, sf: str) -> str:
+    """A digest of the base tables' paths, sizes and times of change."""
+    hadoop, said = spark._jvm.org.apache.hadoop.fs.Path, []
+    for name in BASE:
+        path = hadoop(f"{sf}/{name}.parquet")
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        own = store.getFileStatus(path)
+        # a table is one file or a folder of files
+        for s in store.listStatus(path) if own.isDirectory() else [own]:
+            said.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+    return hashlib.sha256("\n".join(said).encode()).hexdigest()[:32]
+
+
+def derived(name: str, keys: list[str]) -> Callable:
+    """A table of the derived layer: written once a state of its base tables and application, and read by every query.
+
+    Without a folder that all executors share it stays a plan.
+    """
+
+    def wrap(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def read(spark: SparkSession, sf: str) -> DataFrame:
+            folder = shared_folder(spark)
+            if folder is None:
+                return make(spark, sf)
+            kept = DerivedTable(spark, f"{folder}/derived/{spark.sparkContext.applicationId}/{_base_state(spark, sf)}/{name}", keys)
+            return kept.read() if kept.versions() else kept.rewrite(make(spark, sf))
+
+        read.__name__, read.__doc__ = make.__name__, make.__doc__
+        return read
+
+    return wrap
 
 
 def money(c: str) -> Column:
@@ -37,14 +76,17 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@derived("processes", ["process_id"])
 def processes(spark: SparkSession, sf: str) -> DataFrame:
     return raw.latest(snapshots(spark, sf), ["process_id"], newest())
 
 
+@derived("errata", ["process_id"])
 def errata(spark: SparkSession, sf: str) -> DataFrame:
     return quality.errata(snapshots(spark, sf), newest())
 
 
+@derived("contracts", ["contract_id"])
 def contracts(spark: SparkSession, sf: str) -> DataFrame:
     """Contracts: orders with their process, supplier, territory and flags."""
     orders, bidders = table(spark, sf, "orders"), processes(spark, sf).select("process_id", "bidder")

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -14,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder
+
 #: The white space that separates words: space and the controls from tab to carriage return.
 SPACE = " \t\n\x0b\x0c\r"
 
-_own_folder: list[str] = []
 _folders: list[str] = []
 
 
@@ -27,15 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
     It is spark.checkpoint.dir where that is set. Only a local session without
     it gets a temporary folder; elsewhere its absence is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+    folder = shared_folder(spark)
+    if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _own_folder:
-        _own_folder.append(tempfile.mkdtemp(prefix="tenderlake-"))
-        atexit.register(shutil.rmtree, _own_folder[0], True)
-    return f"file://{_own_folder[0]}"
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

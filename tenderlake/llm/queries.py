@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, html_text, knn_join, pii_spans, quality_rules, secret_scan, simhash_dedup, source_mix, token_counts, warc_store
+from . import bpe_codec, html_text, knn_join, periodic_runs, pii_spans, quality_rules, secret_scan, simhash_dedup, source_mix, spelling_variants, token_counts, token_orc, warc_store
 from .common import written
 
 
@@ -82,9 +82,21 @@ def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans.digest(_read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(_read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_read(spark, sf_dir, "documents"))
+
+
+def op13_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_orc.write(_read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2).digest()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_knn_join, op3_html_text, op4_simhash_dedup, op5_source_mix, op6_bpe_codec, op7_warc_store, op8_token_counts, op9_secret_scan, op10_pii_spans)
+    for f in (op1_quality_rules, op2_knn_join, op3_html_text, op4_simhash_dedup, op5_source_mix, op6_bpe_codec, op7_warc_store, op8_token_counts, op9_secret_scan, op10_pii_spans, op11_periodic_runs, op12_spelling_variants, op13_token_orc)
 }
 
 ORACLES: dict[str, str] = {
@@ -107,4 +119,36 @@ ORACLES: dict[str, str] = {
           CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to
         FROM f
     """,
+    # CRC-32 by its table, made by eight shifts; near words by the texts that one deletion leaves
+    "op12_spelling_variants": """
+        WITH RECURSIVE steps AS (
+          SELECT i, i AS v, 0 AS k FROM range(256) r(i)
+          UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM steps WHERE k < 8
+        ), crc AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8),
+        found AS (
+          SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+        ), runs AS (SELECT doc_id, run, count(*) AS c, hex(encode(concat(doc_id, ':', run))) AS x FROM found GROUP BY ALL),
+        hashed AS (
+          SELECT run, c, xor(list_reduce(
+            list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)),
+            lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), 4294967295), 4294967295) AS h
+          FROM runs, crc
+        ), edited AS (
+          SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, c FROM hashed
+        ), words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM edited WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+        cut AS (SELECT word, n, i, substr(word, 1, CAST(i AS INTEGER)) || substr(word, CAST(i AS INTEGER) + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+        pairs AS (
+          SELECT DISTINCT c.word, w.word AS near FROM cut c JOIN words w ON c.rest = w.word
+          UNION SELECT DISTINCT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word
+          UNION SELECT a.word, b.word FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        ), near AS (
+          SELECT p.word, count(*) AS n_near, first(w.word ORDER BY w.n DESC, w.word) AS best, max(w.n) AS best_n FROM pairs p JOIN words w ON p.near = w.word GROUP BY p.word
+        ), forms AS (
+          SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n FROM words w LEFT JOIN near ON w.word = near.word
+        ), walk AS (
+          SELECT word, word AS at, form AS further FROM forms
+          UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN forms f ON walk.further = f.word
+        )
+        SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN walk ON walk.word = f.word AND walk.further IS NULL
+    """,
 }

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from . import orderstats
+
 
 def rows() -> Column:
     """The number of rows."""
@@ -98,8 +100,8 @@ def spine(df: DataFrame, last: Column, days: int) -> DataFrame:
 
 def figures(df: DataFrame) -> DataFrame:
     """One row of a day or a period: counts, value, entities, suppliers, levels, median and mean."""
-    return df.agg(rows().alias("contracts"), money("value").alias("value"), F.countDistinct("entity_id").alias("entities"), F.count_distinct(F.when(real(), supplier())).alias("suppliers"),
-                  F.percentile(F.col("value").cast("double"), 0.5).alias("median"), F.avg(F.col("value").cast("double")).alias("mean"))
+    counts = rows().alias("contracts"), money("value").alias("value"), F.countDistinct("entity_id").alias("entities"), F.count_distinct(F.when(real(), supplier())).alias("suppliers")
+    return orderstats.with_percentiles(df, [], "value", {"median": 0.5}, *counts, F.avg(F.col("value").cast("double")).alias("mean"))
 
 
 def period_pair(df: DataFrame, first: date, last: date) -> DataFrame:
@@ -140,12 +142,8 @@ def representative_day(df: DataFrame, back: int = 60, floor: int = 300, share: f
 
 
 def top_share(df: DataFrame, by: str, counts: tuple[int, ...]) -> DataFrame:
-    """The share of value of the first n groups, for each n. Windows run over the groups."""
-    groups = df.groupBy(by).agg(F.sum("value").alias("value"))
-    ordered = groups.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("value"), by)))
-    total = F.sum("value")
-    shares = [(100 * F.sum(F.when(F.col("rank") <= n, F.col("value"))).cast("double") / total.cast("double")).alias(f"top_{n}") for n in counts]
-    return ordered.agg(*shares)
+    """The share of value of the first n groups, for each n."""
+    return orderstats.top_share(df, by, "value", counts)
 
 
 def top_percent(df: DataFrame, percent: int = 1) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import orderstats
 from .raw import latest
 
 
@@ -48,7 +49,7 @@ def bands(df: DataFrame, value: str, edges: tuple[float, ...]) -> DataFrame:
     from ..functions.values import bucket
 
     out = df.groupBy(bucket(F.col(value), edges).alias("band")).agg(F.count(F.lit(1)).alias("rows"))
-    return out.withColumn("share", 100.0 * F.col("rows") / F.sum("rows").over(Window.partitionBy()))
+    return orderstats.with_share(out, "rows")
 
 
 def thousand_times(contracts: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import normalized
+from .orderstats import with_percentiles
 
 # Fixed values of the splitting rule: tiers of ceilings with the multiple of the ceiling that fires.
 TIERS = ((Decimal(50_000_000), Decimal("2.91")), (Decimal(120_000_000), Decimal("1.95")))
@@ -87,7 +88,7 @@ def small_contracts(contracts: DataFrame, processes: DataFrame, modality: str =
 
 def splitting_groups(small: DataFrame) -> DataFrame:
     """Contracts by entity, supplier and month with the entity's ceiling (its largest), 95th percentile and count."""
-    ceilings = small.groupBy("entity_id").agg(F.max("value").alias("ceiling"), F.percentile(F.col("value").cast("double"), 0.95).alias("p95"), F.count(F.lit(1)).alias("entity_contracts"))
+    ceilings = with_percentiles(small, ["entity_id"], "value", {"p95": 0.95}, F.max("value").alias("ceiling"), F.count(F.lit(1)).alias("entity_contracts"))
     by = ["entity_id", "supplier_type", "supplier_number"]
     ids = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("v"), F.col("contract_id").alias("i")))), lambda x: x["i"])
     groups = small.groupBy(*by, F.trunc("signed_on", "month").alias("month")).agg(F.count(F.lit(1)).alias("contracts"), F.sum("value").alias("total"), ids.alias("ids"))

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import orderstats
+
 
 def attention(df: DataFrame, group: str, by: str, level: float, unusual: Column, k: int, tie: str) -> DataFrame:
     """The k unusual rows with the highest by among those whose percent rank within group is level or more.
 
     Ranks are over all rows; unusual is tested afterwards.
     """
-    rank = F.percent_rank().over(Window.partitionBy(group).orderBy(by))
-    return df.withColumn("rank", rank).where((F.col("rank") >= level) & unusual).orderBy(F.desc(by), tie).limit(k)
+    return orderstats.with_percent_rank(df, [group], by).where((F.col("rank") >= level) & unusual).orderBy(F.desc(by), tie).limit(k)
 
 
 def peak_concurrency(df: DataFrame, key: str, start: str, end: str) -> DataFrame:

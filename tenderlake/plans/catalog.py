@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import values as V
-from ..operators import blocks, incremental, normalize, publish, quality, raw, rules, windows
+from ..operators import blocks, incremental, normalize, orderstats, publish, quality, raw, rules, windows
 from ..session import table
 from ..streaming import ingest
 from . import bindings as b
@@ -24,6 +24,7 @@ EDGES = (50_000, 100_000, 200_000, 300_000, 400_000, 450_000)
 CASES = " ".join(f"WHEN value < {e} THEN {i}" for i, e in enumerate(EDGES, 1))
 DAY, CUT = date(1998, 6, 10), date(1998, 1, 1)
 ENTITY = 7
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 FIGURES = "count(*) AS contracts, coalesce(sum(value), 0)::DOUBLE AS value"
 SUPPLIERS = "count(DISTINCT (supplier_type, supplier_number)) FILTER (WHERE provisional IS FALSE) AS suppliers"
 
@@ -273,8 +274,8 @@ def entities_changed(spark, sf):
 
 @query("SELECT count(*) AS contracts, round(quantile_cont(value::DOUBLE, 0.5), 4) AS median, round(avg(value::DOUBLE), 2) AS mean FROM c")
 def median_and_mean(spark, sf):
-    v = F.col("value").cast("double")
-    return b.contracts(spark, sf).agg(blocks.rows().alias("contracts"), F.round(F.percentile(v, 0.5), 4).alias("median"), F.round(F.avg(v), 2).alias("mean"))
+    mean = F.round(F.avg(F.col("value").cast("double")), 2).alias("mean")
+    return r4(orderstats.with_percentiles(b.contracts(spark, sf), [], "value", {"median": 0.5}, blocks.rows().alias("contracts"), mean), "median")
 
 
 DELAY = "(SELECT pub.*, modality, signed_on - published_on AS days FROM pub JOIN (SELECT process_id, modality, published_on FROM process) USING (process_id))"
@@ -283,13 +284,15 @@ DELAY = "(SELECT pub.*, modality, signed_on - published_on AS days FROM pub JOIN
 @query(f"SELECT count(*) AS contracts, {', '.join(f'round(quantile_cont(days, {p / 100}), 4) AS p{p}' for p in (10, 25, 50, 75, 90, 95))} FROM {DELAY} WHERE days >= 0")
 def delay_percentiles(spark, sf):
     rows = blocks.delays(b.published(spark, sf), b.processes(spark, sf)).where("days >= 0")
-    return rows.agg(blocks.rows().alias("contracts"), *(F.round(F.percentile("days", p / 100), 4).alias(f"p{p}") for p in (10, 25, 50, 75, 90, 95)))
+    levels = {f"p{p}": p / 100 for p in (10, 25, 50, 75, 90, 95)}
+    return r4(orderstats.with_percentiles(rows, [], "days", levels, blocks.rows().alias("contracts")), *levels)
 
 
 @query(f"SELECT modality, count(*) AS contracts, round(quantile_cont(days, 0.5), 4) AS median, count(*) FILTER (WHERE days < 3) AS quick FROM {DELAY} WHERE days >= 0 GROUP BY 1 HAVING count(*) >= 30")
 def delay_by_type(spark, sf):
     rows = blocks.delays(b.published(spark, sf), b.processes(spark, sf)).where("days >= 0")
-    return rows.groupBy("modality").agg(blocks.rows().alias("contracts"), F.round(F.percentile("days", 0.5), 4).alias("median"), F.count_if(F.col("days") < 3).alias("quick")).where("contracts >= 30")
+    found = orderstats.with_percentiles(rows, ["modality"], "days", {"median": 0.5}, blocks.rows().alias("contracts"), F.count_if(F.col("days") < 3).alias("quick"))
+    return r4(found.where("contracts >= 30"), "median")
 
 
 @query(f"SELECT CAST(floor(days / 100) AS BIGINT) AS hundred, count(*) AS contracts FROM {DELAY} WHERE days >= 0 GROUP BY 1")
@@ -347,13 +350,13 @@ def ratio_bands_pct(spark, sf):
 @query("SELECT modality, round(quantile_cont(ratio, 0.25), 4) AS p25, round(quantile_cont(ratio, 0.5), 4) AS p50, round(quantile_cont(ratio, 0.75), 4) AS p75, count(*) AS processes FROM ratio GROUP BY 1")
 def budget_percentiles(spark, sf):
     rows = quality.budget_ratios(b.snapshots(spark, sf), b.newest())
-    return rows.groupBy("modality").agg(*(F.round(F.percentile("ratio", p / 100), 4).alias(f"p{p}") for p in (25, 50, 75)), blocks.rows().alias("processes"))
+    return r4(orderstats.with_percentiles(rows, ["modality"], "ratio", QUARTILES, blocks.rows().alias("processes")), *QUARTILES)
 
 
 @query("SELECT entity_id, count(*) AS contracts, max(value)::DOUBLE AS largest, round(quantile_cont(value::DOUBLE, 0.5), 4) AS median FROM pub WHERE value > 0 GROUP BY 1 HAVING count(*) >= 5 AND max(value) >= 3 * quantile_cont(value::DOUBLE, 0.5)")
 def far_above_median(spark, sf):
     v = F.col("value").cast("double")
-    rows = b.published(spark, sf).where("value > 0").groupBy("entity_id").agg(blocks.rows().alias("contracts"), F.max(v).alias("largest"), F.percentile(v, 0.5).alias("median"))
+    rows = orderstats.with_percentiles(b.published(spark, sf).where("value > 0"), ["entity_id"], v, {"median": 0.5}, blocks.rows().alias("contracts"), F.max(v).alias("largest"))
     return r4(rows.where("contracts >= 5 AND largest >= 3 * median"), "median")
 
 
@@ -368,20 +371,17 @@ def attention_percent_rank(spark, sf):
   (SELECT modality, unnest([75, 90, 95]) AS level, unnest(quantile_cont(views, [0.75, 0.9, 0.95])) AS cut FROM process GROUP BY 1) USING (modality) GROUP BY ALL""")
 def above_percentiles(spark, sf):
     rows = b.processes(spark, sf).select("modality", "views")
-    cuts = rows.groupBy("modality").agg(F.percentile("views", [0.75, 0.9, 0.95]).alias("cut"))
+    cuts = orderstats.percentiles(rows, ["modality"], "views", {f"cut{p}": p / 100 for p in (75, 90, 95)})
     both = rows.join(cuts, "modality")
-    wide = both.groupBy("modality").agg(*(F.count_if(F.col("views") > F.col("cut")[i]).alias(str(p)) for i, p in enumerate((75, 90, 95))))
+    wide = both.groupBy("modality").agg(*(F.count_if(F.col("views") > F.col(f"cut{p}")).alias(str(p)) for p in (75, 90, 95)))
     return wide.unpivot("modality", ["75", "90", "95"], "level", "above").withColumn("level", F.col("level").cast("int"))
 
 
 @query(f"""SELECT supplier_type, supplier_number, value::DOUBLE AS value, round(100 * value::DOUBLE / (sum(value) OVER ())::DOUBLE, 4) AS share FROM
   (SELECT supplier_type, supplier_number, sum(value) AS value FROM c WHERE entity_id = {ENTITY} GROUP BY ALL) t""")
 def entity_suppliers(spark, sf):
-    from pyspark.sql import Window
-
     rows = b.contracts(spark, sf).where(F.col("entity_id") == ENTITY).groupBy("supplier_type", "supplier_number").agg(F.sum("value").alias("value"))
-    share = 100 * F.col("value").cast("double") / F.sum("value").over(Window.partitionBy()).cast("double")
-    return r4(rows.withColumn("share", share).withColumn("value", F.col("value").cast("double")), "share")
+    return r4(orderstats.with_share(rows, "value").withColumn("value", F.col("value").cast("double")), "share")
 
 
 @query("""SELECT round(100 * sum(v) FILTER (WHERE n <= 1)::DOUBLE / sum(v)::DOUBLE, 4) AS top_1, round(100 * sum(v) FILTER (WHERE n <= 5)::DOUBLE / sum(v)::DOUBLE, 4) AS top_5, round(100 * sum(v) FILTER (WHERE n <= 10)::DOUBLE / sum(v)::DOUBLE, 4) AS top_10
@@ -799,10 +799,9 @@ def mean_note(spark, sf):
 
 @query(f"SELECT coalesce(supplier_type, 'SIN IDENTIDAD') AS kind, {FIGURES}, round(100 * count(*) / sum(count(*)) OVER (), 4) AS share FROM c GROUP BY 1")
 def identity_split(spark, sf):
-    from pyspark.sql import Window
-
     rows = b.contracts(spark, sf).groupBy(F.coalesce("supplier_type", F.lit("SIN IDENTIDAD")).alias("kind")).agg(blocks.rows().alias("contracts"), blocks.money("value").alias("value"))
-    return r4(rows.withColumn("share", 100 * F.col("contracts") / F.sum("contracts").over(Window.partitionBy())), "share")
+    return r4(orderstats.with_share(rows, "contracts"), "share")
+
 
 
 @query("SELECT state, count(*) FILTER (WHERE upper(supplier_name) = 'NO DEFINIDO') AS undefined, count(*) FILTER (WHERE supplier_number IS NULL) AS without_document, count(*) AS contracts FROM c GROUP BY 1")
@@ -851,7 +850,7 @@ def award_counts(spark, sf):
 @query("SELECT entity_id, max(value)::DOUBLE AS ceiling, round(quantile_cont(value::DOUBLE, 0.95), 4) AS p95, count(*) AS contracts, max(value)::DOUBLE / quantile_cont(value::DOUBLE, 0.95) >= 20 OR count(*) < 5 AS blind FROM small GROUP BY 1")
 def entity_ceilings(spark, sf):
     v = F.col("value").cast("double")
-    rows = b.small(spark, sf).groupBy("entity_id").agg(F.max(v).alias("ceiling"), F.percentile(v, 0.95).alias("p95"), blocks.rows().alias("contracts"))
+    rows = orderstats.with_percentiles(b.small(spark, sf), ["entity_id"], v, {"p95": 0.95}, F.max(v).alias("ceiling"), blocks.rows().alias("contracts"))
     return r4(rows.withColumn("blind", (F.col("ceiling") / F.col("p95") >= 20) | (F.col("contracts") < 5)), "p95")
 
 
@@ -870,8 +869,8 @@ def single_bidder_share(spark, sf):
 
 @query("SELECT bidders, round(quantile_cont(views, 0.25), 4) AS p25, round(quantile_cont(views, 0.5), 4) AS p50, round(quantile_cont(views, 0.75), 4) AS p75, count(*) AS processes FROM process WHERE awarded GROUP BY 1")
 def funnel_quartiles(spark, sf):
-    rows = b.processes(spark, sf).where("awarded").groupBy("bidders")
-    return rows.agg(*(F.round(F.percentile("views", p / 100), 4).alias(f"p{p}") for p in (25, 50, 75)), blocks.rows().alias("processes"))
+    rows = b.processes(spark, sf).where("awarded")
+    return r4(orderstats.with_percentiles(rows, ["bidders"], "views", QUARTILES, blocks.rows().alias("processes")), *QUARTILES)
 
 
 @query(f"SELECT others, count(*) AS people FROM (SELECT person, count(DISTINCT o) AS others FROM (SELECT person, a_other AS o FROM {OVERLAP} UNION SELECT person, b_other FROM {OVERLAP}) GROUP BY 1) GROUP BY 1")
@@ -1051,7 +1050,8 @@ def department_codes(spark, sf):
   FROM (SELECT max(value)::DOUBLE / quantile_cont(value::DOUBLE, 0.5) AS times FROM c WHERE value > 0 GROUP BY entity_id HAVING count(*) >= 3) GROUP BY 1""")
 def largest_by_median(spark, sf):
     v = F.col("value").cast("double")
-    groups = b.contracts(spark, sf).where("value > 0").groupBy("entity_id").agg(blocks.rows().alias("n"), (F.max(v) / F.percentile(v, 0.5)).alias("times"))
+    groups = orderstats.with_percentiles(b.contracts(spark, sf).where("value > 0"), ["entity_id"], v, {"median": 0.5}, blocks.rows().alias("n"), F.max(v).alias("largest"))
+    groups = groups.withColumn("times", F.col("largest") / F.col("median"))
     return r4(quality.bands(groups.where("n >= 3"), "times", (2, 3, 10, 1000)), "share")
 
 
@@ -1098,7 +1098,7 @@ def blind_reasons(spark, sf):
 def suspicious_ceilings(spark, sf):
     """The contracts that a ceiling far above the rest comes from."""
     rows, v = b.small(spark, sf), F.col("value")
-    tops = rows.groupBy("entity_id").agg(F.max(v).alias("value"), F.percentile(v.cast("double"), 0.95).alias("p95")).where(v.cast("double") / F.col("p95") >= 1.05)
+    tops = orderstats.with_percentiles(rows, ["entity_id"], v, {"p95": 0.95}, F.max(v).alias("value")).where(v.cast("double") / F.col("p95") >= 1.05)
     at = rows.join(tops.select("entity_id", "value"), ["entity_id", "value"]).groupBy("entity_id", "value").agg(blocks.rows().alias("at_ceiling"), F.min("signed_on").alias("first_day"))
     return at.select("entity_id", v.cast("double").alias("ceiling"), "at_ceiling", "first_day")
 

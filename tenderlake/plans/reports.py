@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import blocks, normalize, quality, raw, rules, windows
+from ..operators import blocks, normalize, orderstats, quality, raw, rules, windows
 from ..session import table
 from ..sources import derived
 from . import bindings as b
@@ -216,7 +216,8 @@ def representatives(spark, sf):
   (SELECT entity_id, max(value)::DOUBLE / quantile_cont(value::DOUBLE, 0.5) AS r FROM pub WHERE value > 0 GROUP BY 1 HAVING count(*) >= 5) GROUP BY 1""")
 def largest_by_median_bands(spark, sf):
     v = F.col("value").cast("double")
-    groups = b.published(spark, sf).where("value > 0").groupBy("entity_id").agg(blocks.rows().alias("n"), (F.max(v) / F.percentile(v, 0.5)).alias("r")).where("n >= 5")
+    groups = orderstats.with_percentiles(b.published(spark, sf).where("value > 0"), ["entity_id"], v, {"median": 0.5}, blocks.rows().alias("n"), F.max(v).alias("largest")).where("n >= 5")
+    groups = groups.withColumn("r", F.col("largest") / F.col("median"))
     return groups.groupBy(V.bucket(F.col("r"), (2, 5, 10)).alias("band")).agg(blocks.rows().alias("entities"))
 
 
@@ -261,7 +262,7 @@ def base_ended_at_award(spark, sf):
 def award_by_base_and_modality(spark, sf):
     ratio = F.col("award").cast("double") / F.col("base").cast("double")
     rows = b.processes(spark, sf).where("awarded AND base > 0")
-    return rows.groupBy("modality").agg(blocks.rows().alias("processes"), F.round(F.percentile(ratio, 0.5), 4).alias("median"), F.round(F.percentile(ratio, 0.9), 4).alias("p90"))
+    return r4(orderstats.with_percentiles(rows, ["modality"], ratio, {"median": 0.5, "p90": 0.9}, blocks.rows().alias("processes")), "median", "p90")
 
 
 @query(f"SELECT entity_id, count(*) AS contracts, round(100 * count(*) FILTER (WHERE modality = 'PROMO') / count(*), 4) AS direct_share FROM pub JOIN {KINDS} USING (process_id) WHERE entity_id = {ENTITY} GROUP BY 1")
@@ -275,9 +276,7 @@ def own_share(spark, sf):
 def entity_supplier_shares(spark, sf):
     """The entity's first suppliers and their share of all that it bought from identified ones."""
     rows = b.published(spark, sf).where(blocks.real() & (F.col("entity_id") == ENTITY)).groupBy("supplier_type", "supplier_number").agg(blocks.rows().alias("contracts"), blocks.money("value").alias("value"))
-    # a window over one entity's suppliers, not over contracts
-    shares = rows.withColumn("share", 100 * F.col("value") / F.sum("value").over(Window.partitionBy()))
-    return r4(shares, "share").orderBy(F.desc("value"), "supplier_type", "supplier_number").limit(5)
+    return r4(orderstats.with_share(rows, "value"), "share").orderBy(F.desc("value"), "supplier_type", "supplier_number").limit(5)
 
 
 @query(f"""SELECT contract_id, entity_name, supplier_type, value::DOUBLE AS value, link FROM pub LEFT JOIN {LINKS} ON link_of = process_id WHERE provisional IS FALSE AND upper(coalesce(supplier_name, '')) IN ('NO DEFINIDO', 'SIN DESCRIPCION', 'NO DEFINIDA', 'NO APLICA', '')

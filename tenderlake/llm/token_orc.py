@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from .common import aside, new_folder, place
 from .token_counts import PRE_TOKEN
 
 #: Units whose ids a task holds, and characters that are encoded at once.
-UNITS, CHARS = 1_000_000, 4_000_000
+UNITS, CHARS = 1_500_000, 4_000_000
 #: How files are laid out: bytes of a stripe, rows of an index entry, the Bloom filter's share of false finds.
 LAYOUT = {"compression": "zstd", "orc.stripe.size": str(32 << 20), "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
@@ -73,14 +74,31 @@ class Encoder:
         self.line = self._ids("\n")
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+        # the batch form leaves offsets out, which are not needed
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
-    def units(self, text: str) -> list[str]:
-        """The units' keys: a mark for what stands before the word (\0 a line end, \1 nothing, none: a space), then the word."""
+    @staticmethod
+    def marked(text: str) -> str | None:
+        """text with its units' keys parted by spaces; None where white space is not single spaces and line ends between words.
+
+        A key is a mark for what stands before the word (\\0 a line end, \\1 nothing, none: a space), and the word.
+        """
         words, gaps = text.split(), text.count(" ") + text.count("\n")
         if len(words) == gaps + 1 and sum(map(len, words)) + gaps == len(text) and "\0" not in text and "\1" not in text:
-            return ("\1" + text).replace("\n", " \0").split(" ")
-        return ["\1" + p for p in PRE_TOKEN.findall(text)]
+            return ("\1" + text).replace("\n", " \0")
+        return None
+
+    def _numbered(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all texts' units and how many each has. Arrow finds a portion's distinct units before they are looked up."""
+        marked = list(map(self.marked, texts))
+        known = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        distinct = known.values.dictionary_encode()
+        places = np.fromiter(map(self.places.__getitem__, distinct.dictionary.to_pylist()), np.int64, len(distinct.dictionary))
+        at, edges = places[distinct.indices.to_numpy()], known.offsets.to_numpy()
+        if all(marked):
+            return at, np.diff(edges)
+        parts = [at[edges[i] : edges[i + 1]] if m else np.array([self.places["\1" + p] for p in PRE_TOKEN.findall(texts[i])], np.int64) for i, m in enumerate(marked)]
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, none of which has a line end, and how many each has.
@@ -95,7 +113,7 @@ class Encoder:
         return self._one_by_one(texts)
 
     def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found))
 
     def _learn(self, new: list[str]) -> None:
@@ -128,12 +146,10 @@ class Encoder:
         self.flat = self.flat[np.repeat(self.start - (ends - self.count), self.count) + np.arange(int(self.count.sum()))]
         self.start = ends - self.count
 
-    def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """The ids of each text."""
+    def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and the edges of each one's."""
         whole = {i for s in self.special for i, t in enumerate(texts) if s in t}
-        units = [[] if i in whole else self.units(t) for i, t in enumerate(texts)]
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(units)), np.int64, int(sizes.sum()))
+        at, sizes = self._numbered(["" if i in whole else t for i, t in enumerate(texts)])
         new, self.places.new = self.places.new, []
         if new:
             self._learn(new)
@@ -143,7 +159,10 @@ class Encoder:
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
         if len(self.places) > self.limit:
             self._forget(new)
-        return [self._ids(t) if i in whole else ids[edges[i] : edges[i + 1]] for i, t in enumerate(texts)]
+        if whole:
+            parts = [self._ids(t) if i in whole else ids[edges[i] : edges[i + 1]] for i, t in enumerate(texts)]
+            ids, edges = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        return ids, edges
 
 
 def _portions(texts: Iterable[str], limit: int) -> Iterator[tuple[int, list[str]]]:
@@ -189,13 +208,9 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = No
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 for start, texts in _portions((x or "" for x in part.column(1).to_pylist()), CHARS):
-                    ids = encoder(texts)
-                    n = np.array([len(x) + 1 for x in ids], np.int64)
-                    edges = np.concatenate([[0], np.cumsum(n)])
-                    flat = np.full(edges[-1], end_id, np.int32)
-                    for a, x in zip(edges, ids):
-                        flat[a : a + len(x)] = x
-                    arrays = [part.column(0).slice(start, len(ids)), pa.array(np.full(len(ids), file)), pa.array(before + edges[:-1]), pa.array(n), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))]
+                    ids, edges = encoder(texts)
+                    flat, edges = np.insert(ids, edges[1:], end_id), edges + np.arange(len(edges))
+                    arrays = [part.column(0).slice(start, len(texts)), pa.array(np.full(len(texts), file)), pa.array(before + edges[:-1]), pa.array(np.diff(edges)), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))]
                     yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, arrow)], schema=arrow)
                     before += int(edges[-1])
 
@@ -223,7 +238,8 @@ class TokenFiles:
         or Bloom filters hold none of them are not read.
         """
         rows = self.rows if doc_ids is None else self.rows.where(F.col("doc_id").isin(list(doc_ids)))
-        return rows.join(self.files().select("file", "base"), "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids")
+        # a row for each file: as many as the writing job had shuffle partitions, whatever the corpus
+        return rows.join(F.broadcast(self.files().select("file", "base")), "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids")
 
     def slice(self, start: int, stop: int) -> DataFrame:
         """The documents with ids in [start, stop) of the whole sequence."""

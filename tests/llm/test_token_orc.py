@@ -27,7 +27,8 @@ def test_encoder_is_the_library(path, library, limit):
     encoder = token_orc.Encoder(open(path, encoding="utf-8").read(), limit)
     for _ in range(60):
         texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 12))) for _ in range(50)]
-        assert [list(x) for x in encoder(texts)] == [library(t) for t in texts]
+        ids, edges = encoder(texts)
+        assert [list(ids[a:b]) for a, b in zip(edges, edges[1:])] == [library(t) for t in texts]
         assert len(encoder.places) <= limit
 
 

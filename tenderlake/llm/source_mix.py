@@ -13,7 +13,8 @@ of the rows, however the keys lie and however many rows a source has.
 
 All randomness is a hash of the id and the text, so reruns agree, and rows
 without an id or with a repeated one have keys of their own. Rows that are alike
-in id, text and source have one key and are taken alike. Null is a source of its
+in id, text and source have one key; where the edge falls among them they are
+numbered, in any order, and only so many are taken. Null is a source of its
 own; null and empty texts have size 0. Other columns, whatever their names, are
 left alone. An empty table gives an empty result.
 """
@@ -82,8 +83,10 @@ def _keyed(doc_id: Column, text: Column, source: Column, quality: Column, seed:
 def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, parts: int | None = None, few: int | None = None) -> DataFrame:
     """What decides for each source of rows (__source, __size, __key), a row a source.
 
-    source, source_size, target, epochs (whole ones), below and last: taken once
-    more are the keys below the one and up to the other, where they are not null.
+    source, source_size, target, epochs (whole ones), below, last, edge and
+    edge_rows: taken once more are the keys below the one and up to the other,
+    where they are not null. Where the target's edge falls among several rows of
+    one key, edge is that key and edge_rows the number of them that are taken.
     """
     parts, few = parts or PARTS, few or FEW
     found = rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count(F.lit(1)).alias("rows"), F.min("__key").alias("low"), F.max("__key").alias("high"))
@@ -107,17 +110,20 @@ def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_E
         first = sums.withColumn("upto", upto).where("upto > rest").groupBy("__source").agg(F.min_by(F.struct("rest", "low", "high", "rows", (F.col("upto") - F.col("words")).alias("before")), "part").alias("x"))
         ranges = first.select(F.col("__source").alias("source"), "x.rest", "x.low", "x.high", "x.rows", "x.before")
         inside = written(inside.select("__source", "__size", "__key"), "mix-inside")
-    # rows of one key are one place; the few left are ordered
-    places = inside.groupBy("__source", "rest", "before", "low", "__key").agg(F.sum("__size").alias("words"))
+    # rows of one key are one place, and alike; the few places left are ordered
+    places = inside.groupBy("__source", "rest", "before", "low", "__key").agg(F.sum("__size").alias("words"), F.count(F.lit(1)).alias("n"))
     ranked = Window.partitionBy("__source").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
-    # a place is taken if the target is nearer with it than without it
-    taken = places.withColumn("reach", F.col("before") + F.sum("words").over(ranked)).where("reach - words / 2 <= rest")
-    last = taken.groupBy("__source").agg(F.max("__key").alias("last"))
+    # a row is taken if the target is nearer with it than without it
+    places = places.withColumn("reach", F.col("before") + F.sum("words").over(ranked)).withColumn("one", F.col("words") / F.col("n"))
+    whole = F.col("reach") - F.col("one") / 2 <= F.col("rest")
+    some = F.floor((F.col("rest") - F.col("reach") + F.col("words")) / F.col("one") + 0.5)
+    cut = ~whole & (F.col("n") > 1) & (F.col("one") > 0) & (some > 0)
+    last = places.groupBy("__source").agg(F.max(F.when(whole, F.col("__key"))).alias("last"), F.min_by(F.struct(F.col("__key").alias("edge"), some.alias("edge_rows")), F.when(cut, F.col("__key"))).alias("cut"))
     # where the edge lies, all keys below the range are taken, and in it those up to the last one
     ends = ranges.select(F.col("source").alias("s"), "low").join(last, F.col("s").eqNullSafe(F.col("__source")), "left").drop("__source")
     chosen = plan.drop("low").join(ends, F.col("source").eqNullSafe(F.col("s")), "left")
     below = F.when(F.col("rest") >= F.col("source_size"), float("inf")).otherwise(F.col("low"))
-    return written(chosen.select("source", "source_size", "target", "epochs", below.cast("double").alias("below"), "last"), "mix-cuts")
+    return written(chosen.select("source", "source_size", "target", "epochs", below.cast("double").alias("below"), "last", "cut.edge", "cut.edge_rows"), "mix-cuts")
 
 
 def _joined(rows: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -125,7 +131,28 @@ def _joined(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     names = {c: f"__cut_{c}" for c in chosen.columns}
     both = rows.join(chosen.withColumnsRenamed(names), F.col("__source").eqNullSafe(F.col("__cut_source")))
     once = F.coalesce(F.col("__key") < F.col("__cut_below"), F.lit(False)) | F.coalesce(F.col("__key") <= F.col("__cut_last"), F.lit(False))
-    return both.withColumn("__copies", F.col("__cut_epochs") + once.cast("long"))
+    both = both.withColumn("__copies", F.col("__cut_epochs") + once.cast("long"))
+    if chosen.where("edge IS NOT NULL").isEmpty():
+        return both
+    at_edge = F.coalesce(F.col("__key") == F.col("__cut_edge"), F.lit(False))
+    return both.where(~at_edge).unionByName(_some(both.where(at_edge)))
+
+
+def _some(alike: DataFrame) -> DataFrame:
+    """The rows of edges, the first __cut_edge_rows of each source with a copy more.
+
+    They are written once, with the place where they were read, and numbered by
+    the counts of the partitions read before and within their own partition.
+    """
+    rows = written(alike.withColumn("__read_at", F.monotonically_increasing_id()), "mix-edge")
+    part = F.shiftright("__read_at", 33)  # the partition, in the upper bits
+    counts = rows.groupBy("__source", part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    # a row for each partition
+    counts = counts.withColumn("__before", F.sum("__n").over(Window.partitionBy("__source").orderBy("__part")) - F.col("__n")).toDF("__s", "__part", "__n", "__before")
+    numbered = rows.withColumn("__number", F.row_number().over(Window.partitionBy("__source", part).orderBy("__read_at")))
+    numbered = numbered.join(counts, F.col("__source").eqNullSafe(F.col("__s")) & (part == F.col("__part")))
+    more = (F.col("__before") + F.col("__number") <= F.col("__cut_edge_rows")).cast("long")
+    return numbered.withColumn("__copies", F.col("__copies") + more).select(*alike.columns)
 
 
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None, size: str | None = None, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 7) -> DataFrame:

@@ -76,7 +76,7 @@ def test_empty_tables(spark, odd, tables):
 
 @pytest.mark.parametrize("parts", [2, 7, 4096])
 def test_taken_rows_match_a_walk_along_the_keys(spark, monkeypatch, parts):
-    """Whole epochs, then rows in the order of their keys while the target is nearer with them than without."""
+    """Whole epochs, then row by row in the order of their keys while the target is nearer with the row than without; of alike rows any."""
     from pyspark.sql import functions as F
 
     monkeypatch.setattr(source_mix, "FEW", 5)
@@ -97,14 +97,33 @@ def test_taken_rows_match_a_walk_along_the_keys(spark, monkeypatch, parts):
             places.setdefault(r.key, []).append(r)
         going = rest > 0 and epochs < 3
         for key in sorted(places):
-            words = sum(r["size"] for r in places[key])
-            going = going and at + words / 2 <= rest
-            at += words
             for r in places[key]:
-                want[(r.doc_id, s, r["size"], r.t)] = epochs + going
+                going = going and at + r["size"] / 2 <= rest
+                at += r["size"]
+                k = (r.doc_id, s, r.t)
+                want[k] = want.get(k, 0) + epochs + going
     got = docs.select("*", F.concat(F.sha1("text"), F.col("weight").cast("string")).alias("t"), F.col("weight").alias("w"))
     chosen = source_mix.repeated(got, quality="w").groupBy("doc_id", "source", "t").count().collect()
-    counts = {}
-    for (d, s, _, t), n in want.items():
-        counts[(d, s, t)] = n * sum(1 for r in by[s] if r.doc_id == d and r.t == t)
-    assert {(r.doc_id, r.source, r.t): r["count"] for r in chosen} == {k: n for k, n in counts.items() if n}
+    assert {(r.doc_id, r.source, r.t): r["count"] for r in chosen} == {k: n for k, n in want.items() if n}
+
+
+@pytest.mark.parametrize("stage", [False, True])
+def test_the_edge_may_fall_among_alike_rows(spark, stage):
+    """A source of 1,000 equal rows comes within one row of its target, and so does a hot row amid others."""
+    from pyspark.sql import functions as F
+
+    rows = [(1, "w " * 10, "a")] * 1000 + [(i, "w " * 10, "b") for i in range(1000)] + [(5, "w " * 7, "c")] * 900 + [(i, "w " * 3, "c") for i in range(600)] + [(9, "", "c")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    found = source_mix.mix(docs)
+    assert found.count() == len(rows) and found.columns == ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    if stage:
+        sums = source_mix.repeated(docs).groupBy("source").agg(F.sum(source_mix.n_words(F.col("text"))).alias("taken"))
+        targets = {"a": None, "b": None, "c": None}
+        for r in found.select("source_size", "target").distinct().collect():
+            targets["c" if r.source_size == 8100 else "a" if r.target > 10_000 else "b"] = r.target
+        got = {r.source: r.taken for r in sums.collect()}
+        assert all(abs(got[s] - targets[s]) <= 7 for s in targets)
+        return
+    by = found.groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(by) == 3 and all(abs(r.taken - r.target) <= 5 for r in by)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, source_mix.mix(docs.repartition(3)).collect()))

@@ -23,12 +23,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, also of groups without doc_id."""
+    """One document of each group of near-duplicates, also of groups without doc_id.
+
+    The smallest doc_id stays, of rows alike in it one. Null texts and those
+    without words are one group. Columns stay, whatever their names; an empty
+    table gives an empty one.
+    """
     return simhash_dedup.one_of_each(docs, without_id=True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
+    """All documents, secrets replaced by a mark.
+
+    Null texts stay null, empty ones empty; very long ones are scanned whole and
+    repeated rows alike. Other columns, whatever their names, stay as they are.
+    An empty table gives an empty one.
+    """
     return secret_scan.redact(docs)
 
 
@@ -36,8 +46,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, better ones first by the rules' posterior.
 
     Null is a source of its own. Documents without words have size 0 and go with
-    the epochs and keys like others. Rows alike in id, text and source are taken
-    alike. Columns stay as they are.
+    the epochs and keys like others. Of rows alike in id, text and source, where
+    the target's edge falls among them, as many are taken as come nearest to it.
+    Columns stay as they are.
     """
     tag = ""
     while {f"quality{tag}", f"words{tag}"} & {c.lower() for c in docs.columns}:  # names of their own for the weight and the size
@@ -47,7 +58,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text, a row for each document taken."""
+    """Token counts and digests of the ids and of the decoded text, a row for each document taken.
+
+    Null and empty texts have no ids and an empty text; repeated rows a row each.
+    No other column is read, whatever its name. An empty table gives no rows.
+    """
     return queries.codec_digest(docs)
 
 

@@ -13,7 +13,7 @@
 
 Words are split in the tasks that read the texts, on Spark's partitions. A word
 is a run without ASCII white space; that is exact for vocabularies whose
-pre-tokens never hold white space. Texts themselves are never shuffled. Lists
+pre-tokens never hold white space, and others are refused. Texts themselves are never shuffled. Lists
 and positions are written compressed, a row for each block and hash bucket, so
 what is written and shuffled stays near the input's size. No row, table or block
 grows with the corpus; tasks hold one block or one bounded table.
@@ -43,6 +43,8 @@ from .common import aside, new_folder, placed, store_of, without, written
 
 #: Characters of a block's texts, distinct words that a task holds with their ids, and words that are encoded at once.
 BLOCK_CHARS, WORDS, ENCODE_AT_ONCE = 32_000_000, 300_000, 10_000
+#: Ids and rows that are put together and decoded at once; a longer text is alone.
+IDS_AT_ONCE, ROWS_AT_ONCE = 1_000_000, 200
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -215,6 +217,20 @@ def _slices(column: pa.Array, size: int) -> Iterator[int]:
             total = 0
 
 
+def _even(lists: pa.Array) -> Iterator[int]:
+    """Ends of runs of rows with at most IDS_AT_ONCE list items and ROWS_AT_ONCE rows, one row at least."""
+    import pyarrow.compute as pc
+
+    start, size, lengths = 0, 0, pc.fill_null(pc.list_value_length(lists), 0).to_pylist()
+    for i, n in enumerate(lengths):
+        if i > start and (size + n > IDS_AT_ONCE or i - start == ROWS_AT_ONCE):
+            yield i
+            start, size = i, 0
+        size += n
+    if lengths:
+        yield len(lengths)
+
+
 def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... count[0] of them, and so on for all runs."""
     ends = np.cumsum(count)
@@ -262,26 +278,46 @@ def _texts_of(ids: pa.Array, piece: pa.Array) -> pa.Array:
 def _assembler(kept: int, schema: pa.Schema, folder: str, buckets: int, shared):
     """Texts of a partition, block after block, with the ids of their words; the first `kept` columns go along."""
 
+    def together(part: pa.RecordBatch, made: list[np.ndarray], piece: pa.Array | None) -> pa.RecordBatch:
+        edges = np.cumsum([0, *map(len, made)])
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(made)))
+        out = [part.column(i).cast(schema.field(i).type) for i in range(kept)] + [lists.cast(schema.field(kept).type)]
+        return pa.RecordBatch.from_arrays(out + ([_texts_of(lists, piece)] if piece else []), schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, ids = None, None
         piece = shared and pa.array(shared.value, pa.string())
         for batch in batches:
-            at = 0
-            for upto in _slices(batch.column("__places"), 1 << 20):
-                while at < upto:
-                    part, made = batch.slice(at, min(upto, at + 200) - at), []
-                    for b, packed in zip(part.column("__block").to_pylist(), part.column("__places").to_pylist()):
-                        if b != block:
-                            block, ids = b, None  # the last block's ids go before the next ones come
-                            ids = _Ids(folder, b, buckets)
-                        made.append(ids.of(_unpack(packed)).astype(np.int32))
-                    out = [part.column(i).cast(schema.field(i).type) for i in range(kept)] + [pa.array(made, pa.list_(pa.int32()))]
-                    yield pa.RecordBatch.from_arrays(out + ([_texts_of(out[-1], piece)] if piece else []), schema=schema)
-                    at += part.num_rows
+            start, made, size = 0, [], 0
+            for i in range(batch.num_rows):
+                b = batch.column("__block")[i].as_py()
+                if b != block:
+                    block, ids = b, None  # the last block's ids go before the next ones come
+                    ids = _Ids(folder, b, buckets)
+                # packed places say nothing of their number: repetitive texts pack to very little
+                own = ids.of(_unpack(batch.column("__places")[i].as_py())).astype(np.int32)
+                if made and (size + len(own) > IDS_AT_ONCE or len(made) == ROWS_AT_ONCE):
+                    yield together(batch.slice(start, len(made)), made, piece)
+                    start, made, size = i, [], 0
+                made.append(own)
+                size += len(own)
+            if made:
+                yield together(batch.slice(start, len(made)), made, piece)
 
     return run
 
 
+def checked(made: str, path: str) -> str:
+    """A tokenizer's file, if it encodes words parted by ASCII white space each for itself; an error for others."""
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer, said = _load(made), ("word", "Word", "it's", "'s", "12", "--", "a1", "é", "漢", "#")
+    alone = {w: ids(w) for w in said}
+    parted = all(ids(f"{a}{s}{b}") == alone[a] + alone[b] for a in said for b in said for s in (" ", "\t", "\n", "\x0b", "\x0c", "\r", " \n "))
+    if not parted or ids(" ") or ids("\n"):
+        raise ValueError(f"{path}: its pre-tokens hold white space, so words cannot be encoded each for itself")
+    return made
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, block_chars: int = BLOCK_CHARS, decoded: str | None = None) -> DataFrame:
     """docs' columns (or those in keep) and ids, an array of the text's token ids.
 
@@ -299,7 +335,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     moved, _ = aside(docs)
     fields = [T.StructField(f"c{i}", moved.schema[placed(docs, c)].dataType, True) for i, c in enumerate(kept)]
     with open(path, encoding="utf-8") as f:
-        made = spark.sparkContext.broadcast(f.read())
+        made = spark.sparkContext.broadcast(checked(f.read(), path))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = [T.StructField("__block", T.LongType()), T.StructField("__bucket", T.IntegerType()), T.StructField("__words", T.BinaryType()), T.StructField("__places", T.BinaryType())]
     schema = T.StructType(fields + own)
@@ -347,8 +383,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow, piece = to_arrow_schema(schema), pa.array(shared.value, pa.string())
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            at = 0
+            for upto in _even(batch.column(place)):
+                part, at = batch.slice(at, upto - at), upto
                 texts = _texts_of(part.column(place), piece)
                 yield pa.RecordBatch.from_arrays([*(part.column(i).cast(arrow.field(i).type) for i in range(len(kept))), texts], schema=arrow)
 

@@ -97,3 +97,52 @@ def test_a_table_that_is_full_begins_anew(spark, monkeypatch):
     assert len(rows) == 60 and {r["__block"] for r in rows} == {"own"}
     for r in rows:
         assert r.ids == made.encode(r.text, add_special_tokens=False).ids and r.text_ == made.decode(r.ids, skip_special_tokens=False)
+
+
+def test_repetitive_texts_are_assembled_within_bounds(spark, monkeypatch):
+    """Texts that pack to almost nothing are put together and decoded by their number of ids, not by what they pack to."""
+    path, made = queries.vocabulary("word_bpe_49k.json"), library("word_bpe_49k.json")
+    monkeypatch.setattr(bpe_codec, "IDS_AT_ONCE", 5000)
+    docs = spark.createDataFrame([(i, "the cat " * n) for i, n in enumerate([2000, 2000, 2000, 20_000, 1, 0, 2600, 2])], "doc_id long, text string").coalesce(1)
+    encoded = bpe_codec.encode(docs, path, keep=["doc_id", "text"], decoded="said")
+    for r in encoded.collect():
+        want = made.encode(r.text, add_special_tokens=False).ids
+        assert r.ids == want and r.said == made.decode(want, skip_special_tokens=False)
+    assert [r.out for r in bpe_codec.decode(encoded.drop("said"), path, out="out").orderBy("doc_id").collect()] == [r.said for r in encoded.orderBy("doc_id").collect()]
+    import pyarrow as pa
+
+    assert list(bpe_codec._even(pa.array([[1] * 3000, [1] * 2000, [1], [1] * 9000, None, [1]]))) == [2, 3, 4, 6]
+
+
+def test_other_vocabularies_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="white space"):
+        bpe_codec.encode(docs, queries.vocabulary("byte_bpe_50k.json"))
+
+
+def test_memory_of_very_repetitive_texts(tmp_path):
+    """40 texts of a million equal words: the assembler holds one text's ids and pieces at a time, well below what all of them take (8 bytes a word and more)."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    schema = pa.schema([("ids", pa.list_(pa.int32()))])
+    packed = bpe_codec._pack(np.zeros(1_000_000, np.uint32))
+
+    class One:
+        def __init__(self, *_):
+            self.flat, self.start, self.count = np.array([5], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+
+        of = bpe_codec._Ids.of
+
+    keep, bpe_codec._Ids = bpe_codec._Ids, One
+    try:
+        batch = pa.RecordBatch.from_pydict({"__block": pa.array([0] * 40, pa.int64()), "__places": pa.array([packed] * 40, pa.binary())})
+        tracemalloc.start()
+        n = sum(len(out.column(0).values) for out in bpe_codec._assembler(0, schema, "", 1, None)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        bpe_codec._Ids = keep
+    assert n == 40_000_000 and peak < 120_000_000

@@ -2,26 +2,60 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _canonical(text: str) -> tuple[str | None, str | None]:
+    """The canonical form of a text, or what keeps it from having one."""
+
+    def refuse(name: str):
+        raise ValueError(name)
+
+    try:
+        # whole numbers of any length stay as they are, and 1.0 is another number than 1
+        said = json.loads(text, parse_constant=refuse)
+    except (ValueError, RecursionError) as e:
+        return None, "number is not finite" if str(e) in ("NaN", "Infinity", "-Infinity") else "not JSON"
+    if not isinstance(said, dict):
+        return None, "not an object"
+    try:
+        return json.dumps({k: v for k, v in said.items() if not k.startswith(":")}, sort_keys=True, ensure_ascii=False, allow_nan=False, separators=(",", ":")), None
+    except ValueError:  # a literal like 1e999
+        return None, "number is not finite"
+    except RecursionError:
+        return None, "not JSON"
+
+
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("problem", T.StringType())]))
+def _forms(content: pd.Series) -> pd.DataFrame:
+    made = [(None, None) if c is None else _canonical(c) for c in content]
+    return pd.DataFrame(made, columns=["text", "problem"], dtype=object)
 
 
 def canonical(content: Column) -> Column:
     """A JSON document with sorted keys on all levels and without the platform's own (those from a colon on).
 
-    Values keep their types: 1 and "1" are different contents. A text that is no
-    JSON object has no canonical form.
+    Values keep their types and whole numbers all their digits: 1, 1.0 and "1"
+    are different contents. Of a key said twice the last counts. A text that is
+    no JSON object, or holds a number that is not finite, has no canonical form.
+    A document is read once, in time near its length, by Arrow batches.
     """
-    # variants keep types, and their objects' keys sorted
-    pairs = F.from_json(content, "map<string,variant>")
-    said = lambda k: F.regexp_replace(F.to_json(F.array(k)), r"^\[|\]$", "")
-    value = lambda k: F.coalesce(F.to_json(F.get(F.map_values(F.map_filter(pairs, lambda q, v: q == k)), F.lit(0))), F.lit("null"))
-    own = F.filter(F.array_sort(F.map_keys(pairs)), lambda k: ~k.startswith(":"))
-    return F.concat(F.lit("{"), F.array_join(F.transform(own, lambda k: F.concat(said(k), F.lit(":"), value(k))), ","), F.lit("}"))
+    return _forms(content)["text"]
+
+
+def content_problem(content: Column) -> Column:
+    """Why a content has no canonical form: not JSON, not an object, number is not finite; null where it has one or is null."""
+    return _forms(content)["problem"]
 
 
 def content_hash(content: Column) -> Column:
-    return F.sha2(canonical(content), 256)
+    """The hash of the canonical form; of the text itself, marked as such, where there is none, so that it too is known again."""
+    return F.sha2(F.coalesce(canonical(content), F.concat(F.lit("no object: "), content)), 256)
 
 
 def identity(*fields: Column) -> Column:

@@ -502,4 +502,26 @@ def derived_states(spark, sf):
     return derived.upserted(early, late, derived.KEYS["contract"]).groupBy("state").agg(blocks.rows().alias("contracts"))
 
 
+#: Documents that a careless canonical form confuses, by o_orderkey % 9, each with its canonical form or what is wrong with it.
+SAID = (
+    ('{"a": 1, "k": #}', '{"a":1,"k":#}', None), ('{"k": #, "a": 1.0}', '{"a":1.0,"k":#}', None), ('{"a": 1234567890123456789012345678901234567890, "k": #}', '{"a":1234567890123456789012345678901234567890,"k":#}', None),
+    ('{":id": "x", "b": {"z": [1, 2.5, null], "y": "á"}, "a": true, "k": #}', '{"a":true,"b":{"y":"á","z":[1,2.5,null]},"k":#}', None), ('[1, #]', None, "not an object"), ('{"a": 1, "k": #', None, "not JSON"),
+    ('{"a": NaN, "k": #}', None, "number is not finite"), ('{"a": "1", "k": #, "k": -#}', '{"a":"1","k":-#}', None), ('"{}#"', None, "not an object"),
+)
+
+
+def _said(i: int, fallback: str = "NULL") -> str:
+    put = lambda x: fallback if x is None else "replace('" + x.replace("'", "''") + "', '#', o_orderkey::VARCHAR)"
+    return "CASE o_orderkey % 9 " + " ".join(f"WHEN {k} THEN {put(row[i])}" for k, row in enumerate(SAID)) + " END"
+
+
+@query(f"SELECT o_orderkey, sha256(coalesce({_said(1)}, 'no object: ' || {_said(0)})) AS hash, {_said(2)} AS problem FROM orders", prelude=False)
+def hostile_documents(spark, sf):
+    """Hashes of documents with long integers, 1 beside 1.0, keys in any order and twice, and texts that are no objects."""
+    n = F.col("o_orderkey")
+    content = F.element_at(F.array(*(F.lit(x[0]) for x in SAID)), (n % 9 + 1).cast("int"))
+    rows = table(spark, sf, "orders").select(n, F.replace(content, F.lit("#"), n.cast("string")).alias("content"))
+    return rows.select("o_orderkey", raw.content_hash(F.col("content")).alias("hash"), raw.content_problem(F.col("content")).alias("problem"))
+
+
 NAMES = tuple(n for n, f in QUERIES.items() if f.__module__ == __name__)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import normalized
+from .asof import as_of
 from .orderstats import with_percentiles
 
 # Fixed values of the splitting rule: tiers of ceilings with the multiple of the ceiling that fires.
@@ -159,10 +160,9 @@ def normative(ceilings: DataFrame) -> DataFrame:
 
 
 def with_ceiling(df: DataFrame, ceilings: DataFrame, concept: str, scope: str, on: str) -> DataFrame:
-    """df with ceiling, the one of its scope that held on its day; null where none did. Ceilings are a few rows a scope."""
-    held = normative(ceilings.where(F.col("concept") == concept)).select(F.col("scope").alias("__scope"), F.col("value").alias("ceiling"), F.col("effective_on").alias("__from"), F.col("until").alias("__until"))
-    within = (F.col(scope) == F.col("__scope")) & (F.col(on) >= F.col("__from")) & (F.col("__until").isNull() | (F.col(on) < F.col("__until")))
-    return df.join(held, within, "left").drop("__scope", "__from", "__until")
+    """df with ceiling, the one of its scope that held on its day; null where none did. Ceilings without a concept, scope or source are an error."""
+    held = normative(ceilings.where(F.col("concept") == concept)).select(F.col("scope").alias(scope), F.col("effective_on").alias("__from"), F.col("value").alias("ceiling"))
+    return as_of(df, held, [scope], on, "__from", ["ceiling"], slice="year")
 
 
 def calibration_sample(alerts: DataFrame, n: int = 25) -> DataFrame:

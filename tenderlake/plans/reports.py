@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import blocks, normalize, orderstats, quality, raw, rules, windows
+from ..operators import asof, blocks, normalize, orderstats, quality, raw, rules, windows
 from ..session import table
 from ..sources import derived
 from . import bindings as b
@@ -502,6 +502,18 @@ def derived_states(spark, sf):
     return derived.upserted(early, late, derived.KEYS["contract"]).groupBy("state").agg(blocks.rows().alias("contracts"))
 
 
+LINK = "award::VARCHAR || '/' || line || '/' || part_id"
+
+
+@query(f"""SELECT contract_id, link FROM (SELECT * FROM c) AS l ASOF LEFT JOIN (SELECT process_id, seen_at, max({LINK}) AS link FROM snapshot GROUP BY ALL) AS r ON l.process_id = r.process_id AND CAST(l.signed_on AS TIMESTAMP) + INTERVAL 60 DAY >= r.seen_at""")
+def link_as_of(spark, sf):
+    """Each contract with the newest link of its process up to 60 days after it was signed: later snapshots, even of a larger day, do not count."""
+    link = F.concat_ws("/", F.col("award").cast("string"), "line", "part_id").alias("link")
+    links = b.snapshots(spark, sf).select("process_id", "seen_at", link)
+    rows = b.contracts(spark, sf).select("contract_id", "process_id", F.date_add("signed_on", 60).alias("day"))
+    return asof.as_of(rows, links, ["process_id"], "day", "seen_at", ["link"], [F.col("link")]).select("contract_id", "link")
+
+
 #: Documents that a careless canonical form confuses, by o_orderkey % 9, each with its canonical form or what is wrong with it.
 SAID = (
     ('{"a": 1, "k": #}', '{"a":1,"k":#}', None), ('{"k": #, "a": 1.0}', '{"a":1.0,"k":#}', None), ('{"a": 1234567890123456789012345678901234567890, "k": #}', '{"a":1234567890123456789012345678901234567890,"k":#}', None),

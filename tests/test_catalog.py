@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tenderlake.plans import catalog, ingestion, reports
+from tenderlake.plans import catalog, ingestion, panel, reports
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()
@@ -18,7 +18,7 @@ def duck():
 
 
 def test_reports_are_registered():
-    assert len(reports.NAMES) > 50 and set(reports.NAMES) | set(ingestion.NAMES) <= set(catalog.ORACLES)
+    assert len(reports.NAMES) > 50 and {*reports.NAMES, *ingestion.NAMES, *panel.NAMES} <= set(catalog.ORACLES)
 
 
 @pytest.mark.parametrize("name", catalog.QUERIES)

@@ -16,6 +16,7 @@ from ..functions import values as V
 from ..operators import quality, raw
 from ..session import shared_folder, table
 from ..sources.derived import DerivedTable
+from ..sources.store import Conflict
 
 CEILING = 1_000_000_000
 #: The tables that processes, errata and contracts are derived from.
@@ -28,11 +29,12 @@ def _base_state(spark: SparkSession, sf: str) -> str:
     for name in BASE:
         path = hadoop(f"{sf}/{name}.parquet")
         store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        own = store.getFileStatus(path)
-        # a table is one file or a folder of files
-        for s in store.listStatus(path) if own.isDirectory() else [own]:
+        # a table is one file or a folder of files and folders
+        found = store.listFiles(path, True)
+        while found.hasNext():
+            s = found.next()
             said.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
-    return hashlib.sha256("\n".join(said).encode()).hexdigest()[:32]
+    return hashlib.sha256("\n".join(sorted(said)).encode()).hexdigest()[:32]
 
 
 def derived(name: str, keys: list[str]) -> Callable:
@@ -47,7 +49,10 @@ def derived(name: str, keys: list[str]) -> Callable:
             if folder is None:
                 return make(spark, sf)
             kept = DerivedTable(spark, f"{folder}/derived/{spark.sparkContext.applicationId}/{_base_state(spark, sf)}/{name}", keys)
-            return kept.read() if kept.versions() else kept.rewrite(make(spark, sf))
+            try:
+                return kept.read() if kept.versions() else kept.rewrite(make(spark, sf))
+            except Conflict:  # another query of the session has just written the same
+                return kept.read()
 
         read.__name__, read.__doc__ = make.__name__, make.__doc__
         return read

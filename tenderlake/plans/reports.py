@@ -18,7 +18,7 @@ from . import bindings as b
 from .catalog import CUT, DELAY, ENTITY, FIGURES, JOINT_VENTURE, QUERIES, SUPPLIERS, query, r4
 
 #: A day with contracts and errata at every scale of the tables.
-DAY, END = date(1999, 6, 14), CUT + timedelta(30)
+DAY, END = date(1995, 2, 16), CUT + timedelta(30)
 # The two official sets of value buckets with their labels.
 DAY_EDGES = (5e6, 2e7, 1e8, 1e9, 1e10)
 DAY_LABELS = ("a. menos de $5 M", "b. $5 M a $20 M", "c. $20 M a $100 M", "d. $100 M a $1.000 M", "e. $1.000 M a $10.000 M", "f. mas de $10.000 M")

@@ -1,18 +1,23 @@
 """Sinks for derived tables: full rewrites, upserts by key, and dry runs.
 
 A table is a folder of numbered versions. A version is written beside the one
-that is read and counts once its write has been committed, so readers never see
-half a table and a failed rewrite costs nothing.
+that is read and gets its number by a rename that never replaces anything, so
+readers never see half a table, a failed rewrite costs nothing, and of two
+writers the second gets Conflict. Versions before the last KEPT are removed.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators.raw import latest
+from .store import rename_new
 
+#: Versions that stay for those who still read them.
+KEPT = 2
 #: The derived tables and their keys.
 KEYS = {
     "process": ["process_id"],
@@ -54,8 +59,17 @@ class DerivedTable:
 
     def rewrite(self, rows: DataFrame) -> DataFrame:
         """Replace the whole table by rows, which must have each key once."""
-        number = max(self.versions(), default=-1) + 1
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{number}")
+        made, hadoop = self.versions(), self.spark._jvm.org.apache.hadoop.fs
+        beside, to = (hadoop.Path(f"{self.path}/{n}") for n in (f".new-{uuid.uuid4().hex}", f"v{max(made, default=-1) + 1}"))
+        store = beside.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            rows.write.parquet(beside.toString())
+            rename_new(self.spark, beside, to)
+        except BaseException:
+            store.delete(beside, True)
+            raise
+        for v in made[: -(KEPT - 1)]:
+            store.delete(hadoop.Path(f"{self.path}/v{v}"), True)
         return self.read()
 
     def upsert(self, rows: DataFrame, order: list[Column]) -> DataFrame:

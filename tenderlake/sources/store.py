@@ -39,6 +39,19 @@ class Conflict(RuntimeError):
     """Another writer has committed since this transaction began."""
 
 
+def rename_new(spark: SparkSession, old, new) -> None:
+    """Rename a file or folder (Hadoop paths); Conflict if the new name is taken."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    context = hadoop.FileContext.getFileContext(old.getFileSystem(conf).getUri(), conf)
+    nothing = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(old, new, nothing)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or "exists" in str(e).lower():
+            raise Conflict(f"{new} was made by another writer") from None
+        raise
+
+
 class Store:
     """The committed states below a folder."""
 
@@ -244,7 +257,7 @@ class Transaction:
 
     def commit(self) -> int:
         """Make the changes the store's state; Conflict if it has another by now."""
-        files, jvm = self.store._files, self.store.spark._jvm
+        files = self.store._files
         number = self.base + 1
         self.record["version"] = number
         beside = self.store._at(f"commits/.{uuid.uuid4().hex}")
@@ -252,15 +265,11 @@ class Transaction:
         stream = files.create(beside, False)
         stream.write(bytearray(json.dumps(self.record).encode()))
         stream.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(beside.toUri() if beside.toUri().getScheme() else files.getUri(), self.store.spark._jsc.hadoopConfiguration())
-        nothing = self.store.spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            context.rename(beside, self.store._at(f"commits/{number}.json"), nothing)
-        except Exception as e:
+            rename_new(self.store.spark, beside, self.store._at(f"commits/{number}.json"))
+        except BaseException:
             files.delete(beside, False)
             self.abort()
-            if "FileAlreadyExists" in str(e) or "exists" in str(e).lower():
-                raise Conflict(f"commit {number} was made by another writer") from None
             raise
         for folder in self._passing:
             files.delete(self.store._at(folder), True)

@@ -109,3 +109,19 @@ def test_retries():
             landing.with_retries(ask, sleep=slept.append)
         assert len(slept) == len(answer) - 1
     assert list(landing.waits(9, chance=lambda: 1.0)) == [1, 2, 4, 8, 16, 32, 60, 60]
+
+
+def test_two_writers_of_a_derived_table(spark, tmp_path, monkeypatch):
+    from tenderlake.sources.derived import DerivedTable
+    from tenderlake.sources.store import Conflict
+
+    one, two = (DerivedTable(spark, str(tmp_path / "t"), ["id"]) for _ in range(2))
+    one.rewrite(spark.range(3))
+    monkeypatch.setattr(two, "versions", lambda: [])  # it has looked before the other wrote
+    with pytest.raises(Conflict):
+        two.rewrite(spark.range(5))
+    assert one.read().count() == 3
+    for n in (4, 5, 6):
+        one.rewrite(spark.range(n))
+    assert one.read().count() == 6 and one.versions() == [2, 3]
+    assert not list((tmp_path / "t").glob(".new-*"))

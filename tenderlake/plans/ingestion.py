@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, table
-from ..sources import cycles
+from ..sources import cycles, pages
 from ..sources.store import Store
 
 from .catalog import QUERIES, query
@@ -101,4 +101,72 @@ def store_tables(spark, sf):
     return out.unionByName(count("supplier", F.sum("contracts"))).unionByName(count("variant", F.sum("contracts")))
 
 
+def landed_folder(spark: SparkSession, name: str) -> str:
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder}/pages/{uuid.uuid4().hex}-{name}"
+
+
+RANGE = date(1996, 2, 1), date(1996, 4, 30)
+
+
+@query(f"SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS contracts, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' GROUP BY 1", prelude=False)
+def paged_range(spark, sf):
+    """A range of days read from landed pages: only the pages whose days meet the range are opened."""
+    pages.register(spark)
+    folder = landed_folder(spark, "range")
+    n = F.col("o_orderkey")
+    pages.land(table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"), F.to_json(F.struct(n.alias("key"))).alias("content")), folder, 100)
+    rows = spark.read.format("dated_pages").load(folder).where(F.col("day").between(*map(F.lit, RANGE)))
+    return rows.groupBy("day").agg(F.count(F.lit(1)).alias("contracts"), F.sum(F.get_json_object("content", "$.key").cast("long")).alias("keys"))
+
+
+def _stream_sql() -> str:
+    out, marks, known = [SOURCE], ["NULL"], "SELECT n, v FROM said WHERE false"
+    for k, until in enumerate(UNTIL, 1):
+        first = f"mark{k - 1}.mark - 45" if k > 1 else "DATE '1900-01-01'"
+        last = f", mark{k - 1}" if k > 1 else ""
+        out.append(f"seen{k} AS (SELECT said.* FROM said{last} WHERE fact >= {first} AND appears <= DATE '{until}')")
+        out.append(f"new{k} AS (SELECT * FROM seen{k} WHERE (n, v) NOT IN ({known}))")
+        out.append(f"mark{k} AS (SELECT max(fact) AS mark FROM said WHERE appears <= DATE '{until}')")
+        known += f" UNION ALL SELECT n, v FROM new{k}"
+    rows = [f"SELECT {k - 1} AS batch, (SELECT count(*) FROM seen{k}) AS seen, count(*) AS inserted, {f'count(*) FILTER (WHERE fact < (FROM mark{k - 1}))' if k > 1 else 'CAST(0 AS BIGINT)'} AS recovered FROM new{k}" for k in range(1, len(UNTIL) + 1)]
+    return ", ".join(out) + " " + " UNION ALL ".join(rows)
+
+
+@query(_stream_sql(), prelude=False)
+def paged_stream(spark, sf):
+    """Three landings followed as a stream with an overlap of 45 days: rows read, rows kept, and those of them older than the watermark before."""
+    pages.register(spark)
+    folder, store = landed_folder(spark, "stream"), new_store(spark, "stream")
+    fact = F.to_date(F.substring(F.get_json_object("content", "$.fecha_de_firma"), 1, 10))
+    appears = F.date_add(F.to_date("seen_at"), (F.col("row_id").cast("long") % 12).cast("int"))
+    rows = raw_contracts(spark, sf).select(fact.alias("day"), appears.alias("appears"), F.to_json(F.struct("row_id", F.col("content").alias("said"))).alias("content"))
+
+    def keep(batch: DataFrame, number: int) -> None:
+        def change(tx) -> None:
+            if tx.record["values"].get("batch", {}).get("last", -1) >= number:
+                return  # this batch was committed before the stream was
+            mark = tx.record["values"].get("watermark", {}).get("day")
+            said = batch.select(F.get_json_object("content", "$.row_id").alias("row_id"), F.sha2("content", 256).alias("hash"), "day")
+            fresh = tx.insert("raw", said.observe(seen := Observation(), F.count(F.lit(1)).alias("rows"), F.max("day").alias("day")), ["row_id", "hash"], ["row_id"], BUCKETS)
+            late = F.count_if(F.col("day") < F.lit(mark).cast("date")) if mark else F.lit(0)
+            found = fresh.agg(F.count(F.lit(1)).alias("inserted"), late.cast("long").alias("recovered")).first()
+            tx.append("batches", spark.createDataFrame([(number, seen.get["rows"], found.inserted, found.recovered)], "batch int, seen long, inserted long, recovered long").coalesce(1))
+            day = seen.get["day"]
+            tx.put("watermark", "day", max(filter(None, (mark, day and day.isoformat())), default=None))
+            tx.put("batch", "last", number)
+
+        store.retried(change)
+
+    checkpoint = f"{folder}/checkpoint"
+    for before, until in zip((None, *UNTIL), UNTIL):
+        came = (F.col("appears") <= F.lit(until)) & (F.col("appears") > F.lit(before) if before else F.lit(True))
+        pages.land(rows.where(came), folder, 200)
+        stream = spark.readStream.format("dated_pages").option("overlap", "45").load(folder)
+        stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return store.read("batches")
+
+
 NAMES = tuple(n for n, f in QUERIES.items() if f.__module__ == __name__)

@@ -72,9 +72,9 @@ class Failed(OSError):
 
 
 def waits(attempts: int = ATTEMPTS, longest: float = LONGEST, chance: Callable[[], float] = random.random) -> Iterator[float]:
-    """Seconds to wait after each attempt: doubled each time, up to longest, and spread to a half at least."""
+    """Seconds to wait after each attempt: 2 after the first, doubled each time, up to longest, and spread to a half at least."""
     for n in range(attempts - 1):
-        yield min(longest, 2.0**n) * (0.5 + chance() / 2)
+        yield min(longest, 2.0 ** (n + 1)) * (0.5 + chance() / 2)
 
 
 def with_retries(ask: Callable[[], T], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, chance: Callable[[], float] = random.random) -> T:

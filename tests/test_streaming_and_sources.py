@@ -102,13 +102,13 @@ def test_retries():
         return x
 
     assert landing.with_retries(ask, sleep=slept.append, chance=lambda: 0.0) == "page"
-    assert slept == [0.5, 1.0, 7.0, 60.0]
+    assert slept == [1.0, 2.0, 7.0, 60.0]
     for answer in ([landing.Failed(404)], [landing.Failed(500)] * 5):
         said, slept = iter(answer), []
         with pytest.raises(landing.Failed):
             landing.with_retries(ask, sleep=slept.append)
         assert len(slept) == len(answer) - 1
-    assert list(landing.waits(9, chance=lambda: 1.0)) == [1, 2, 4, 8, 16, 32, 60, 60]
+    assert list(landing.waits(9, chance=lambda: 1.0)) == [2, 4, 8, 16, 32, 60, 60, 60]
 
 
 def test_two_writers_of_a_derived_table(spark, tmp_path, monkeypatch):

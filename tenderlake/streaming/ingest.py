@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.raw import append_new, content_hash
+from ..sources.store import Store, Transaction
 
 
 def append_stream(stream: DataFrame, target: str, checkpoint: str, key: tuple[str, ...] = ("dataset", "row_id", "hash"), overlap: str | None = None) -> StreamingQuery:
@@ -53,6 +54,26 @@ def sessions(events: DataFrame, gap: str = "6 hours", late: str = "2 days") -> D
     return events.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
+def insert_stream(stream: DataFrame, store: Store, checkpoint: str, table: str = "raw", key: tuple[str, ...] = ("dataset", "row_id", "hash"), id: tuple[str, ...] = ("dataset", "row_id"), buckets: int = 64) -> StreamingQuery:
+    """Append a stream of raw rows (dataset, row_id, content, seen_at) to a store's table, each version once, whenever it comes again.
+
+    History is laid out by a hash of the id: a batch reads the keys of the
+    buckets that its rows fall into. Rows and the batch's number are one commit,
+    so a batch that runs again after a failure adds nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        def change(tx: Transaction) -> None:
+            if tx.record["values"].get("stream", {}).get(checkpoint, -1) >= number:
+                return
+            tx.insert(table, batch.withColumn("hash", content_hash(F.col("content"))), list(key), list(id), buckets)
+            tx.put("stream", checkpoint, number)
+
+        store.retried(change)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def latest_versions(stream: DataFrame) -> DataFrame:
     """On a stream of (row_id, ts, content): each row_id's newest content, of several at one time the largest, with how many contents it has had."""
     newest = F.max_by("content", F.struct("ts", "content"))

@@ -125,3 +125,25 @@ def test_two_writers_of_a_derived_table(spark, tmp_path, monkeypatch):
         one.rewrite(spark.range(n))
     assert one.read().count() == 6 and one.versions() == [2, 3]
     assert not list((tmp_path / "t").glob(".new-*"))
+
+
+def test_insert_stream_adds_each_version_once(spark, tmp_path):
+    from tenderlake.sources.store import Store
+    from tenderlake.streaming import ingest
+
+    store = Store(spark, str(tmp_path / "store"))
+    schema = "dataset string, row_id string, content string, seen_at timestamp"
+
+    def batch(*rows):
+        spark.createDataFrame(rows, "row_id string, content string").selectExpr("'d' AS dataset", "row_id", "content", "current_timestamp() AS seen_at").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        ingest.insert_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), store, f"{tmp_path}/check", buckets=2).awaitTermination()
+        return sorted((x.row_id, x.content) for x in store.read("raw").collect())
+
+    assert batch(("1", '{"a": 1}'), ("2", '{"a": 1}')) == [("1", '{"a": 1}'), ("2", '{"a": 1}')]
+    assert batch(("1", '{ "a":1 }'), ("1", '{"a": 2}')) == [("1", '{"a": 1}'), ("1", '{"a": 2}'), ("2", '{"a": 1}')]
+    # the checkpoint's last batch is lost, as if the driver had died after the store's commit: it runs again and adds nothing
+    last = max((tmp_path / "check" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    for crc in (tmp_path / "check" / "commits").glob(f".{last.name}.crc"):
+        crc.unlink()
+    assert len(batch(("3", '{"a": 1}'))) == 4

@@ -79,6 +79,8 @@ def test_empty_table(spark, odd, tables):
 PLANTED = {
     "upper hex": ("0123456789ABCDEF", (32, 40, 64), "{}"), "alnum": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", (20, 24, 32, 40), "{}"),
     "lower alnum": ("abcdefghijklmnopqrstuvwxyz0123456789", (24, 32, 40), "key-{}"), "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (24, 40, 64), "{}=="),
+    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", (20, 24, 32), "{}"), "short lower alnum": ("abcdefghijklmnopqrstuvwxyz0123456789", (20,), "id {}"), "short base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (20,), "{}"),
+    "letters after a name": ("abcdefghijklmnopqrstuvwxyz", (20, 32), "the key: {}"), "letters after a sign": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", (24, 40), 'value="{}"'),
     "url-safe": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", (32, 43), "https://x.org/?k={}"),
 }
 
@@ -108,5 +110,5 @@ def test_clean_texts_have_no_entropy_spans():
 
     for (text,) in duckdb.execute(f"select text from '{SF}/documents.parquet' where text is not null").fetchall():
         assert all(k != "entropy" for k, _, _ in secret_scan.find(text))
-    for text in ("https://example.org/articles/2024/05/a-long-and-winding-title.html", "com.example.project.module.ClassNameOfSomething", "________________________________", "0000-0001-5109-3700-0000-0001", "MAX_NUMBER_OF_CONNECTIONS_PER_HOST", "z" * 10_000):
+    for text in ("https://example.org/articles/2024/05/a-long-and-winding-title.html", "com.example.project.module.ClassNameOfSomething", "________________________________", "0000-0001-5109-3700-0000-0001", "MAX_NUMBER_OF_CONNECTIONS_PER_HOST", "internationalization and incomprehensibilities", "internationalization2024", "the keyword: antidisestablishmentarianism", "z" * 10_000):
         assert secret_scan.find(text) == [], text

@@ -7,13 +7,14 @@ on a cluster, is an error. Each is registered in the catalogue with its oracle.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, table
-from ..sources import cycles, pages
+from ..sources import cycles, days, pages
 from ..sources.store import Store
 
 from .catalog import QUERIES, query
@@ -40,12 +41,12 @@ def published_contracts(spark: SparkSession, sf: str, first: date, last: date) -
     return rows.where(F.col("fact_on").between(F.lit(first), F.lit(last)) & (appears <= F.lit(last)))
 
 
-def three_cycles(spark: SparkSession, sf: str) -> Store:
+def three_cycles(spark: SparkSession, sf: str, derive: Callable = cycles.derive_contracts) -> Store:
     store = new_store(spark, "cycles")
     for k, until in enumerate(UNTIL):
         cycles.run_cycle(
             store, "contracts", lambda first, last: published_contracts(spark, sf, first, last), until, start=None if k else START,
-            derive=cycles.derive_contracts, now=datetime(until.year, until.month, until.day) + timedelta(1), buckets=BUCKETS,
+            derive=derive, now=datetime(until.year, until.month, until.day) + timedelta(1), buckets=BUCKETS,
         )
     return store
 
@@ -169,4 +170,30 @@ def paged_stream(spark, sf):
     return store.read("batches")
 
 
+#: A window of which the last cycle changes days, and one of the first cycle.
+WINDOW, OLD = (date(1997, 11, 15), date(1998, 1, 15)), (date(1995, 3, 1), date(1995, 6, 30))
+
+
+def _window_sql(label: str, first: date, last: date) -> str:
+    return f"""SELECT '{label}' AS window_, '{{period}}' AS period, count(*) AS contracts, coalesce(sum(value), 0)::DOUBLE AS value, count(DISTINCT entity) AS entities, count(DISTINCT (kind, number)) FILTER (WHERE number IS NOT NULL AND kind <> 'G') AS suppliers FROM contract WHERE fact BETWEEN DATE '{first}' AND DATE '{last}'"""
+
+
+def _days_sql() -> str:
+    rows = []
+    for label, (first, last) in (("new", WINDOW), ("old", OLD)):
+        length = timedelta((last - first).days + 1)
+        rows += [_window_sql(label, first, last).format(period="now"), _window_sql(label, first - length, last - length).format(period="before")]
+    return f"""{SOURCE}, last AS (SELECT DISTINCT n, fact, o_custkey AS entity FROM said WHERE fact BETWEEN DATE '{START}' AND DATE '{UNTIL[-1]}' AND appears <= DATE '{UNTIL[-1]}'),
+      contract AS (SELECT last.*, CASE WHEN n % 11 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS value, CASE WHEN n % 19 = 0 THEN CASE WHEN n % 38 = 0 THEN 'G' END ELSE ['NIT', 'CC', 'NONE'][n % 3 + 1] END AS kind,
+        CASE WHEN n % 38 = 0 THEN 'C' || n WHEN n % 19 <> 0 THEN lpad(entity::VARCHAR, 6, '0') END AS number FROM last JOIN orders ON o_orderkey = n) {" UNION ALL ".join(rows)}"""
+
+
+@query(_days_sql(), prelude=False)
+def windows_from_days(spark, sf):
+    """Windows and the periods before them from states by day, after three cycles that remade the days they touched: as a full recomputation has them."""
+    store = three_cycles(spark, sf, days.derive)
+    both = [days.period_pair(store, *w).withColumn("window_", F.lit(label)) for label, w in (("new", WINDOW), ("old", OLD))]
+    return both[0].unionByName(both[1])
+
+
 NAMES = tuple(n for n, f in QUERIES.items() if f.__module__ == __name__)

@@ -98,11 +98,7 @@ def derive_contracts(tx: Transaction, fresh: DataFrame, buckets: int = 64) -> No
     touched = came.select(*who)
     if "contract" in tx.record["tables"]:
         touched = touched.unionByName(_of(tx.read("contract"), came, ["contract_id"]).select(*who))
-    touched = touched.where("supplier_number IS NOT NULL").distinct()
-    written = tx._folder("touched-suppliers")
-    tx._passing.append(written)
-    touched.write.parquet(f"{tx.store.path}/{written}")
-    touched = tx.store.spark.read.schema(touched.schema).parquet(f"{tx.store.path}/{written}")
+    touched = tx.kept(touched.where("supplier_number IS NOT NULL").distinct(), "touched-suppliers")
     tx.upsert("contract", came, KEYS["contract"], [F.desc("seen_at"), F.col("row_id").desc()], buckets)
     variants = normalize.supplier_variants(_of(tx.read("contract"), touched, who))
     # a supplier or a variant that nothing has any longer stays with 0 contracts: tables are updated, never cut

@@ -182,16 +182,17 @@ class Transaction:
             raise ValueError(f"{name} has the columns {[f['name'] for f in found['schema']['fields']]}")
         return found
 
-    def upsert(self, table: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), buckets: int = 64) -> int:
+    def upsert(self, table: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), buckets: int = 64, by: Sequence[str] = ()) -> int:
         """Replace all columns of the rows whose keys come again and add the others; the number of buckets rewritten.
 
         Of several incoming rows of a key the first in the given order counts. A
         key may hold nulls. buckets is set when the table is made: rows by
-        buckets is what one task of an upsert handles.
+        buckets is what one task of an upsert handles. by is some of the keys and
+        sets the bucket, always the same ones for a table; by default all do.
         """
         found = self._table(table, rows.schema, "keyed", keys, buckets)
         n = found["buckets"]
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+        bucket = F.pmod(F.xxhash64(*(by or keys)), F.lit(n)).cast("int")
         new = (latest(rows, list(keys), list(order)) if order else rows.dropDuplicates(list(keys))).withColumn("__bucket", bucket)
         new, touched = self._come(table, new, n)
         if not touched:
@@ -251,6 +252,13 @@ class Transaction:
         rows.write.parquet(f"{self.store.path}/{made}")
         folders.append(made)
 
+    def kept(self, rows: DataFrame, name: str) -> DataFrame:
+        """rows written for the time of the transaction, as they are before it changes what they come from."""
+        folder = self._folder(name)
+        self._passing.append(folder)
+        rows.write.parquet(f"{self.store.path}/{folder}")
+        return self.store.spark.read.schema(rows.schema).parquet(f"{self.store.path}/{folder}")
+
     def put(self, kind: str, key: str, value) -> None:
         """Set a value beside the tables; it must have a JSON form."""
         self.record["values"].setdefault(kind, {})[key] = value

@@ -150,3 +150,31 @@ def test_a_supplier_that_loses_its_contracts(spark, store):
     cycles.run_cycle(store, "c", source(spark, ("r1", document(1, "open").replace("9001", "9007"), "2020-03-01")), date(2020, 3, 9), **kw)
     assert sorted((x.supplier_number, x.contracts, x.variants) for x in store.read("supplier").collect()) == [("9001", 0, 0), ("9007", 1, 1)]
     assert sorted((x.supplier_number, x.name, x.contracts) for x in store.read("variant").collect()) == [("9001", "S1", 0), ("9007", "S1", 1)]
+
+
+def test_windows_from_days_equal_a_recomputation(spark, store):
+    """After contracts that change their day, value and supplier; days that nothing touched keep their files."""
+    from tenderlake.sources import days
+
+    def dated(n, day, value, who):
+        return f'{{"id_contrato": "C{n}", "nit_entidad": "E{n % 2}", "fecha_de_firma": "2020-03-{day:02}T00:00:00.000", "valor_del_contrato": "{value}", "documento_proveedor": "900{who}", "tipodocproveedor": "Nit", "proveedor_adjudicado": "S"}}'
+
+    def run(*said):
+        cycles.run_cycle(store, "c", source(spark, *((f"r{n}", dated(n, day, v, w), f"2020-03-{day:02}") for n, day, v, w in said)), date(2020, 3, 31), start=date(2020, 3, 1), derive=days.derive, buckets=16)
+
+    def check():
+        made = store.read("contract")
+        for first, last in ((date(2020, 3, 1), date(2020, 3, 31)), (date(2020, 3, 4), date(2020, 3, 6))):
+            rows = made.where(F.col("signed_on").between(F.lit(first), F.lit(last)))
+            want = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("value"), F.lit(0)).cast("double"), F.countDistinct("entity_id"), F.countDistinct("supplier_number")).first()
+            assert tuple(days.window(store, first, last).first()) == tuple(want)
+
+    run(*((n, 1 + n % 9, 100 + n, n % 4) for n in range(30)))
+    check()
+    before = store.record()["tables"]["day"]["folders"]
+    run((3, 5, 1000, 3), (4, 5, 104, 9))  # from the 4th to the 5th; another supplier
+    check()
+    after = store.record()["tables"]["day"]["folders"]
+    assert 1 <= sum(after[b] != before.get(b) for b in after) <= 2 < len(after)
+    pair = {x.period: x.contracts for x in days.period_pair(store, date(2020, 3, 5), date(2020, 3, 9)).collect()}
+    assert pair["now"] + pair["before"] == 30 and set(pair) == {"now", "before"}

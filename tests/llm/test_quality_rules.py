@@ -103,6 +103,18 @@ def test_a_weak_bad_vote_is_outvoted_and_the_corpus_tells_which_is_weak():
     assert posterior(better, np.array([[1, 1, -1]], float))[0] < lone
 
 
+def test_two_weak_bad_votes_stay_and_one_strong_goes():
+    """From counts of votes alone: two bad votes of signs that are often wrong keep a text, one of a sign that seldom is rejects it."""
+    rng, names = np.random.default_rng(1), ["strong", "weak1", "weak2", "weak3"]
+    bad = rng.random(40_000) < 0.2
+    votes = np.where(rng.random((40_000, 4)) < np.where(bad[:, None], [0.98, 0.6, 0.6, 0.6], [0.001, 0.15, 0.15, 0.15]), -1, 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = q.estimate(patterns.astype(float), counts.astype(float), names, [names])
+    assert model.accuracy()["strong"] > 0.99 and all(0.75 < model.accuracy()[n] < 0.85 for n in names[1:])
+    two_weak, one_strong = posterior(model, np.array([[1, -1, -1, 1], [-1, 1, 1, 1]], float))
+    assert two_weak > 0.9 and one_strong < 0.25
+
+
 def test_verdicts_differ_from_all_must_pass(spark):
     """On sf0.1 votes are outvoted, and labelled good texts are kept that all-must-pass rejects."""
     from pyspark.sql import functions as F

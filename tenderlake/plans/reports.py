@@ -502,6 +502,27 @@ def derived_states(spark, sf):
     return derived.upserted(early, late, derived.KEYS["contract"]).groupBy("state").agg(blocks.rows().alias("contracts"))
 
 
+#: Stories and the fields of contract documents that each needs.
+STORIES = {
+    "supplier": ("proveedor_adjudicado", "documento_proveedor", "tipodocproveedor", "nombre_representante_legal"), "value": ("valor_del_contrato", "fecha_de_firma", "valor_pagado"),
+    "place": ("departamento", "ciudad", "orden"), "process": ("proceso_de_compra", "estado_contrato", "es_grupo"),
+}
+FIELDS = (
+    ("supplier", "proveedor_adjudicado", "'Proveedor ' || o_custkey % 50"), ("supplier", "documento_proveedor", "CASE WHEN n % 19 <> 0 THEN '12.' || lpad(o_custkey::VARCHAR, 6, '0') END"), ("supplier", "tipodocproveedor", "CASE n % 3 WHEN 0 THEN 'Nit' WHEN 1 THEN 'Cédula de Ciudadanía' END"),
+    ("supplier", "nombre_representante_legal", "NULL"), ("value", "valor_del_contrato", "CASE WHEN n % 11 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2))::VARCHAR END"), ("value", "fecha_de_firma", "strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00.000'"), ("value", "valor_pagado", "NULL"),
+    ("place", "departamento", "n_name"), ("place", "ciudad", "'Ciudad'"), ("place", "orden", "['Nacional', ' territorial', 'otro'][n % 3 + 1]"),
+    ("process", "proceso_de_compra", "CASE WHEN n % 13 <> 0 THEN 'B' || n % 5000 END"), ("process", "estado_contrato", "CASE WHEN n % 9 = 0 THEN 'Z' ELSE o_orderstatus END"), ("process", "es_grupo", "CASE WHEN n % 38 = 0 THEN 'Sí' ELSE 'No' END"),
+)
+
+
+@query("WITH d AS (SELECT *, o_orderkey AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) "
+       + " UNION ALL ".join(f"SELECT '{story}' AS story, '{field}' AS field, count(*) AS rows, count({sql}) AS usable, round(100.0 * count({sql}) / count(*), 1)::DOUBLE AS percent, left(max({sql}), 28) AS example FROM d" for story, field, sql in FIELDS), prelude=False)
+def story_fields(spark, sf):
+    """How many of the newest contract documents have something usable in each field that a story needs, and an example."""
+    newest = raw.latest(raw_contracts(spark, sf), ["row_id"], [F.desc("seen_at"), F.desc("content")])
+    return quality.by_story(newest, "content", STORIES)
+
+
 LINK = "award::VARCHAR || '/' || line || '/' || part_id"
 
 

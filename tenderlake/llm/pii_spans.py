@@ -382,7 +382,8 @@ def find(docs: DataFrame, text: str = "text", trees: Boosted | None = None) -> D
 
     Spans are struct<start, kind, end>: code points, end exclusive, kind a place
     in KINDS. Both arrays are sorted by start and kind and empty for null and
-    empty texts. An accepted span that overlaps a fixed format's is left out.
+    empty texts. An accepted span that overlaps a fixed format's is left out; of
+    accepted spans that overlap each other the longest stays, then the first.
     Columns base and added of docs are replaced. Without trees they are fitted
     on docs.
     """
@@ -390,7 +391,16 @@ def find(docs: DataFrame, text: str = "text", trees: Boosted | None = None) -> D
     kept = [c for c in docs.columns if c not in ("base", "added")]
     found = docs.select(*(F.col(f"`{c}`") for c in kept), F.array_sort(F.concat(*base_spans(t))).alias("base"), F.array_sort(F.concat(*proposed_spans(t, trees))).alias("added"))
     apart = F.filter("added", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return found.withColumn("added", F.when(F.size("base") > 0, apart).otherwise(F.col("added")))
+    found = found.withColumn("added", F.when(F.size("base") > 0, apart).otherwise(F.col("added")))
+    return found.withColumn("added", F.when(F.size("added") > 1, _longest(F.col("added"))).otherwise(F.col("added")))
+
+
+def _longest(spans: Column) -> Column:
+    """Of spans that overlap the longest, then the first; taken one by one, so a span gives way only to one that stays."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct((s["start"] - s["end"]).alias("less"), s.alias("s"))))
+    clear = lambda kept, s: ~F.exists(kept, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]))
+    kept = F.aggregate(ordered, F.slice(spans, 1, 0), lambda kept, x: F.when(clear(kept, x["s"]), F.concat(kept, F.array(x["s"]))).otherwise(kept))
+    return F.array_sort(kept)
 
 
 def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: Boosted | None = None) -> DataFrame:

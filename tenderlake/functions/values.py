@@ -86,17 +86,18 @@ def one_character(c: Column) -> Column:
     return c.rlike(r"^(.)\1*$")
 
 
-def supplier_number(kind: Column, number: Column) -> Column:
+def supplier_number(kind: Column, number: Column, body: str = "[89][0-9]{8}") -> Column:
     """The canonical document number; null where it identifies nobody.
 
     Only letters and digits stay. It needs a digit, and more than one character
-    repeated. A tax id of ten digits from 8 or 9 loses a check digit that is right.
+    repeated. A tax id of a body (a pattern; by default nine digits from 8 or 9)
+    and one more digit loses that if it is the check digit of the body's last nine.
     """
     bare = F.regexp_replace(number, "[^0-9A-Za-z]", "")
     real = F.when(bare.rlike("[0-9]") & ~one_character(bare), bare)
-    body = F.substring(real, 1, 9)
-    checked = normalized(kind).startswith("NIT") & real.rlike("^[89][0-9]{9}$") & (check_digit(body) == F.substring(real, 10, 1).try_cast("int"))
-    return F.when(F.coalesce(checked, F.lit(False)), body).otherwise(real)
+    own = F.left(real, F.length(real) - 1)
+    checked = normalized(kind).startswith("NIT") & real.rlike(f"^{body}[0-9]$") & (check_digit(F.right(own, F.lit(9))) == F.right(real, F.lit(1)).try_cast("int"))
+    return F.when(F.coalesce(checked, F.lit(False)), own).otherwise(real)
 
 
 def out_of_scale(value: Column, ceiling: Decimal | float = SCALE_CEILING) -> Column:

@@ -26,3 +26,7 @@ def suppliers(tmp_path):
 
 def test_check_digits_of_numbers_of_ten_digits(spark, suppliers):
     assert same(spark, suppliers, "check_digits", ["supplier"])
+
+
+def test_supplier_numbers_of_ten_digits_are_whole_and_lose_their_check_digit(spark, suppliers):
+    assert same(spark, suppliers, "supplier_numbers", ["supplier"])

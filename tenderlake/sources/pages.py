@@ -28,6 +28,8 @@ from .landing import with_retries
 
 #: Rows of a page, as the service gives them.
 PAGE = 1000
+#: Tasks up to which each page has its own, and the rows that a task of several pages has at most.
+TASKS, ROWS = 64, 50_000
 SCHEMA = "page string, place int, day date, content string"
 
 
@@ -85,32 +87,42 @@ def land(rows: DataFrame, folder: str, size: int = PAGE) -> int:
     return number
 
 
-class _Page(InputPartition):
-    def __init__(self, name: str, first: str | None, last: str | None):
-        self.name, self.first, self.last = name, first, last
+class _Pages(InputPartition):
+    """Pages that a task reads one after the other."""
 
+    def __init__(self, names: list[str], first: str | None, last: str | None):
+        self.names, self.first, self.last = names, first, last
 
-def _rows(folder: str, page: _Page | None) -> Iterator[tuple]:
-    """A page's rows from first to last; without either all, also those without a day. No page, as Spark asks for where there are none, has no rows."""
-    if page is None:
+
+def _rows(folder: str, pages: _Pages | None) -> Iterator[tuple]:
+    """Pages' rows from first to last; without either all, also those without a day. No pages, as Spark asks for where there are none, have no rows."""
+    if pages is None:
         return
     store, path = _store(folder)
+    for name in pages.names:
+
+        def ask() -> list[dict]:
+            with store.open_input_stream(f"{path}/pages/{name}") as stream:
+                return json.loads(stream.read())
 
-    def ask() -> list[dict]:
-        with store.open_input_stream(f"{path}/pages/{page.name}") as stream:
-            return json.loads(stream.read())
+        for i, row in enumerate(with_retries(ask)):
+            day = row["day"]
+            if pages.first is None and pages.last is None or day is not None and (pages.first or "") <= day and (pages.last is None or day <= pages.last):
+                yield name, i, day and date.fromisoformat(day), row["content"]
 
-    for i, row in enumerate(with_retries(ask)):
-        day = row["day"]
-        if page.first is None and page.last is None or day is not None and (page.first or "") <= day and (page.last is None or day <= page.last):
-            yield page.name, i, day and date.fromisoformat(day), row["content"]
 
+def _within(pages: Iterable[dict], first: str | None, last: str | None) -> list[_Pages]:
+    """The pages that may have rows of a range of days, in tasks; days as text compare as days do.
 
-def _within(pages: Iterable[dict], first: str | None, last: str | None) -> list[_Page]:
-    """The pages that may have rows of a range of days; days as text compare as days do."""
-    if first is None and last is None:
-        return [_Page(x["page"], None, None) for x in pages]
-    return [_Page(x["page"], first, last) for x in pages if x.get("first") and (first is None or x["last"] >= first) and (last is None or x["first"] <= last)]
+    Few pages have a task each. Of many a task has several, as small pages take
+    less time than a task's start, up to a number of rows.
+    """
+    if first is not None or last is not None:
+        pages = [x for x in pages if x.get("first") and (first is None or x["last"] >= first) and (last is None or x["first"] <= last)]
+    pages = list(pages)
+    largest = max((x["rows"] for x in pages), default=1)
+    n = max(1, min(-(-len(pages) // TASKS), ROWS // largest))
+    return [_Pages([x["page"] for x in pages[i : i + n]], first, last) for i in range(0, len(pages), n)]
 
 
 class DatedReader(DataSourceReader):
@@ -132,7 +144,7 @@ class DatedReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return _within(index(self.folder), self.first, self.last)
 
-    def read(self, partition: _Page) -> Iterator[tuple]:
+    def read(self, partition: _Pages) -> Iterator[tuple]:
         return _rows(self.folder, partition)
 
 
@@ -159,7 +171,7 @@ class DatedStream(DataSourceStreamReader):
         first = (date.fromisoformat(start["day"]) - timedelta(self.overlap)).isoformat() if start["day"] else self.start
         return _within((x for x in index(self.folder) if x["landed"] <= end["landed"]), first, end["day"] if first else None)
 
-    def read(self, partition: _Page) -> Iterator[tuple]:
+    def read(self, partition: _Pages) -> Iterator[tuple]:
         return _rows(self.folder, partition)
 
     def commit(self, end: dict) -> None:

@@ -1,9 +1,13 @@
 """What only larger tables show: queries on tables made for it, against their oracles where they have one."""
 
+from datetime import date
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tenderlake.plans import catalog
+from tenderlake.sources import pages
 
 
 def same(spark, folder, name, tables):
@@ -30,3 +34,19 @@ def test_check_digits_of_numbers_of_ten_digits(spark, suppliers):
 
 def test_supplier_numbers_of_ten_digits_are_whole_and_lose_their_check_digit(spark, suppliers):
     assert same(spark, suppliers, "supplier_numbers", ["supplier"])
+
+
+def test_many_pages_share_tasks_of_bounded_rows(spark, tmp_path):
+    made = [{"page": f"p{i:06}", "first": "2020-01-01", "last": "2020-01-02", "rows": 200, "landed": 1} for i in range(100_000)]
+    for edges in ((None, None), ("2020-01-02", None)):
+        tasks = pages._within(made, *edges)
+        assert [n for t in tasks for n in t.names] == [x["page"] for x in made]
+        assert len(tasks) <= 400 and max(len(t.names) for t in tasks) * 200 <= pages.ROWS
+    assert len(pages._within(made[:5], None, None)) == 5
+    pages.register(spark)
+    folder = f"file://{tmp_path}/landed"
+    rows = spark.range(1000).select(F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 100).cast("int")).alias("day"), F.col("id").cast("string").alias("content"))
+    pages.land(rows, folder, 5)
+    every = spark.read.format("dated_pages").load(folder)
+    assert every.rdd.getNumPartitions() <= pages.TASKS < len(pages.index(folder))
+    assert sorted(int(x.content) for x in every.collect()) == list(range(1000))

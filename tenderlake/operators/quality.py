@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import orderstats
-from .raw import latest
+from .raw import latest, ranked
 
 
 def power_of_ten(ratio: Column) -> Column:
@@ -18,18 +18,44 @@ def power_of_ten(ratio: Column) -> Column:
     return F.when((ratio >= 100) & near, zeros.cast("int"))
 
 
+def comparable() -> Column:
+    """Whether a snapshot is awarded with both amounts."""
+    return F.coalesce(F.col("awarded") & F.col("award").isNotNull() & (F.col("base") > 0), F.lit(False))
+
+
+def with_ratio(snapshots: DataFrame) -> DataFrame:
+    """Snapshots with ratio, the award by the budget."""
+    return snapshots.withColumn("ratio", F.col("award").cast("double") / F.col("base").cast("double"))
+
+
 def budget_ratios(snapshots: DataFrame, order: list[Column]) -> DataFrame:
     """Each process's latest snapshot among those awarded with both amounts, and ratio, the award by the budget.
 
     The filter comes first: it is the latest that qualifies, not the latest.
     """
-    fit = snapshots.where(F.col("awarded") & F.col("award").isNotNull() & (F.col("base") > 0))
-    return latest(fit, ["process_id"], order).withColumn("ratio", F.col("award").cast("double") / F.col("base").cast("double"))
+    return with_ratio(latest(snapshots.where(comparable()), ["process_id"], order))
+
+
+def ends(snapshots: DataFrame, order: list[Column]) -> DataFrame:
+    """Each process's latest snapshot and its latest comparable() one, with is_latest and is_comparable; often they are the same row.
+
+    Rows go to their process first and are sorted there: a task sorts a
+    partition of the shuffle, whose size the session sets, and not its whole
+    split of the input, of which little would be left out.
+    """
+    rows = snapshots.withColumn("is_comparable", comparable()).repartition("process_id")
+    few = latest(rows, ["process_id", "is_comparable"], order)
+    return ranked(few, ["process_id"], order, "__n").withColumn("is_latest", F.col("__n") == 1).drop("__n").where("is_latest OR is_comparable")
+
+
+def out_of_proportion(ratios: DataFrame) -> DataFrame:
+    """The rows of budget_ratios() whose award is a power of ten above their budget, with zeros."""
+    return ratios.withColumn("zeros", power_of_ten(F.col("ratio"))).where("zeros IS NOT NULL")
 
 
 def errata(snapshots: DataFrame, order: list[Column]) -> DataFrame:
     """Processes whose award is a power of ten above their budget, with zeros."""
-    return budget_ratios(snapshots, order).withColumn("zeros", power_of_ten(F.col("ratio"))).where("zeros IS NOT NULL")
+    return out_of_proportion(budget_ratios(snapshots, order))
 
 
 def publishable(contracts: DataFrame, errata_set: DataFrame) -> DataFrame:

@@ -50,3 +50,21 @@ def test_many_pages_share_tasks_of_bounded_rows(spark, tmp_path):
     every = spark.read.format("dated_pages").load(folder)
     assert every.rdd.getNumPartitions() <= pages.TASKS < len(pages.index(folder))
     assert sorted(int(x.content) for x in every.collect()) == list(range(1000))
+
+
+def test_processes_and_errata_come_from_one_shuffle_before_any_sort(spark):
+    """No task sorts its split of the lines: what it sorts is a partition of the shuffle."""
+    from tenderlake.operators import quality
+    from tenderlake.plans import bindings as b
+
+    sf = "/root/testdata/sf0.001"
+    lines = b._lines(spark, sf)
+    plan = quality.ends(lines, b.newest())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(process_id") == 1
+    assert "Sort" not in plan[plan.index("hashpartitioning(process_id") :].replace("SortMergeJoin", "")
+    # the same rows as one pass for each has them
+    snapshots = b.snapshots(spark, sf)
+    for made, want in ((b.processes(spark, sf), b.raw.latest(snapshots, ["process_id"], b.newest())), (b.errata(spark, sf), quality.errata(snapshots, b.newest()))):
+        assert made.columns == want.columns
+        assert made.count() == want.count() > 0 and made.exceptAll(want).isEmpty()
+    assert "lineitem" not in b.errata(spark, sf)._jdf.queryExecution().executedPlan().toString()

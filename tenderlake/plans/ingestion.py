@@ -22,8 +22,15 @@ from .reports import raw_contracts
 
 #: The first day read, and the days until which the cycles read.
 START, UNTIL = date(1995, 1, 1), (date(1997, 6, 30), date(1997, 12, 31), date(1998, 12, 31))
-#: Buckets of the tables, which are small here.
-BUCKETS = 4
+#: Buckets of a store's tables at least, and bytes of the orders' files for one of them.
+BUCKETS, BUCKET_BYTES = 4, 4 << 20
+
+
+def buckets(spark: SparkSession, sf: str) -> int:
+    """As many buckets as keep a bucket's size the same however many orders there are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/orders.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(BUCKETS, -(-size // BUCKET_BYTES))
 
 
 def new_store(spark: SparkSession, name: str) -> Store:
@@ -42,11 +49,11 @@ def published_contracts(spark: SparkSession, sf: str, first: date, last: date) -
 
 
 def three_cycles(spark: SparkSession, sf: str, derive: Callable = cycles.derive_contracts) -> Store:
-    store = new_store(spark, "cycles")
+    store, n = new_store(spark, "cycles"), buckets(spark, sf)
     for k, until in enumerate(UNTIL):
         cycles.run_cycle(
             store, "contracts", lambda first, last: published_contracts(spark, sf, first, last), until, start=None if k else START,
-            derive=derive, now=datetime(until.year, until.month, until.day) + timedelta(1), buckets=BUCKETS,
+            derive=derive, now=datetime(until.year, until.month, until.day) + timedelta(1), buckets=n,
         )
     return store
 
@@ -96,7 +103,7 @@ def store_tables(spark, sf):
     n = F.col("o_orderkey")
     said = F.to_json(F.struct(F.concat(F.lit("P"), n).alias("id_del_proceso"), F.when(n % 2 == 0, "Sí").otherwise("No").alias("adjudicado")))
     rows = table(spark, sf, "orders").where("o_orderkey % 4 <> 0").select(F.lpad(n.cast("string"), 12, "0").alias("row_id"), said.alias("content"), F.col("o_orderdate").cast("timestamp").alias("seen_at"), F.to_date("o_orderdate").alias("fact_on"))
-    cycles.run_cycle(store, "processes", lambda first, last: rows.where(F.col("fact_on").between(F.lit(first), F.lit(last))), date(2100, 1, 1), start=date(1990, 1, 1), derive=cycles.derive_processes, now=datetime(2000, 1, 2), buckets=BUCKETS)
+    cycles.run_cycle(store, "processes", lambda first, last: rows.where(F.col("fact_on").between(F.lit(first), F.lit(last))), date(2100, 1, 1), start=date(1990, 1, 1), derive=cycles.derive_processes, now=datetime(2000, 1, 2), buckets=buckets(spark, sf))
     count = lambda name, said: store.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), said.alias("said"))
     out = count("contract", F.count_if(F.col("state") == "Z")).unionByName(count("process", F.count_if("awarded")))
     return out.unionByName(count("supplier", F.sum("contracts"))).unionByName(count("variant", F.sum("contracts")))
@@ -140,7 +147,7 @@ def _stream_sql() -> str:
 def paged_stream(spark, sf):
     """Three landings followed as a stream with an overlap of 45 days: rows read, rows kept, and those of them older than the watermark before."""
     pages.register(spark)
-    folder, store = landed_folder(spark, "stream"), new_store(spark, "stream")
+    folder, store, n = landed_folder(spark, "stream"), new_store(spark, "stream"), buckets(spark, sf)
     fact = F.to_date(F.substring(F.get_json_object("content", "$.fecha_de_firma"), 1, 10))
     appears = F.date_add(F.to_date("seen_at"), (F.col("row_id").cast("long") % 12).cast("int"))
     rows = raw_contracts(spark, sf).select(fact.alias("day"), appears.alias("appears"), F.to_json(F.struct("row_id", F.col("content").alias("said"))).alias("content"))
@@ -151,7 +158,7 @@ def paged_stream(spark, sf):
                 return  # this batch was committed before the stream was
             mark = tx.record["values"].get("watermark", {}).get("day")
             said = batch.select(F.get_json_object("content", "$.row_id").alias("row_id"), F.sha2("content", 256).alias("hash"), "day")
-            fresh = tx.insert("raw", said.observe(seen := Observation(), F.count(F.lit(1)).alias("rows"), F.max("day").alias("day")), ["row_id", "hash"], ["row_id"], BUCKETS)
+            fresh = tx.insert("raw", said.observe(seen := Observation(), F.count(F.lit(1)).alias("rows"), F.max("day").alias("day")), ["row_id", "hash"], ["row_id"], n)
             late = F.count_if(F.col("day") < F.lit(mark).cast("date")) if mark else F.lit(0)
             found = fresh.agg(F.count(F.lit(1)).alias("inserted"), late.cast("long").alias("recovered")).first()
             tx.append("batches", spark.createDataFrame([(number, seen.get["rows"], found.inserted, found.recovered)], "batch int, seen long, inserted long, recovered long").coalesce(1))

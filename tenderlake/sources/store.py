@@ -199,7 +199,7 @@ class Transaction:
             return 0
         old = self.store._rows(found, touched).withColumn("__bucket", bucket)
         made = self._folder(table)
-        _without(old, new, ["__bucket", *keys]).unionByName(new).repartition(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
+        _without(old, new, ["__bucket", *keys]).unionByName(new).repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
         for b in touched:
             found["folders"][b] = [f"{made}/__bucket={b}"]
         return len(touched)
@@ -219,7 +219,7 @@ class Transaction:
         fresh = _without(new, old, ["__bucket", *keys])
         known = old.select("__bucket", *id).distinct().withColumn("is_new", F.lit(False))
         fresh = _left(fresh, known, ["__bucket", *id]).withColumn("is_new", F.coalesce("is_new", F.lit(True)))
-        fresh.repartition(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
+        fresh.repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
         for b in self._buckets(made):
             folders = found["folders"].setdefault(b, [])
             folders.append(f"{made}/__bucket={b}")
@@ -234,7 +234,7 @@ class Transaction:
         """rows with __bucket, written by bucket as they are read more than once, and the buckets they have."""
         folder = self._folder(f"{table}-incoming")
         self._passing.append(folder)
-        rows.repartition(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{folder}")
+        rows.repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{folder}")
         return self.store.spark.read.schema(rows.schema).parquet(f"{self.store.path}/{folder}"), self._buckets(folder)
 
     def _buckets(self, folder: str) -> list[str]:

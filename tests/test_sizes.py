@@ -1,9 +1,11 @@
 """What only larger tables show: queries on tables made for it, against their oracles where they have one."""
 
+import os
 from datetime import date
 
 import duckdb
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tenderlake.plans import catalog
@@ -68,3 +70,25 @@ def test_processes_and_errata_come_from_one_shuffle_before_any_sort(spark):
         assert made.columns == want.columns
         assert made.count() == want.count() > 0 and made.exceptAll(want).isEmpty()
     assert "lineitem" not in b.errata(spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stores_buckets_grow_with_the_orders_and_a_task_has_one(spark, tmp_path, monkeypatch):
+    from tenderlake.plans import ingestion
+    from tenderlake.sources.store import Store
+
+    sf = "/root/testdata/sf0.001"
+    assert ingestion.buckets(spark, sf) == ingestion.BUCKETS
+    monkeypatch.setattr(ingestion, "BUCKET_BYTES", 2000)
+    n = ingestion.buckets(spark, sf)
+    assert n == -(-os.path.getsize(f"{sf}/orders.parquet") // 2000) > ingestion.BUCKETS
+    # by a hash of the bucket's number several buckets met in one task
+    store = Store(spark, str(tmp_path / "store"))
+    tx = store.begin()
+    written = []
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.parquet", lambda self, path, write=DataFrameWriter.parquet: (written.append(self._df), write(self, path))[1])
+    tx.insert("t", spark.range(5000).select("id"), ["id"], ["id"], n)
+    for df in written:
+        shares = df.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("__bucket").alias("n")).collect()
+        assert len(shares) == n and {x.n for x in shares} == {1}
+    tx.commit()
+    assert store.read("t").count() == 5000

@@ -47,3 +47,32 @@ def test_empty_sides(spark):
     assert as_of(a, b, ["k"], "t", "s", ["v"]).count() == 0
     one = spark.createDataFrame([(1,)], "k int").withColumn("t", F.current_date())
     assert [x.v for x in as_of(one, b, ["k"], "t", "s", ["v"]).collect()] == [None]
+
+
+@pytest.mark.parametrize("hot", [10, 100, 1000])
+def test_hot_keys_cut_by_time_beside_whole_ones(spark, hot):
+    r = random.Random(7)
+    left = [(i, r.choice([1, 1, 1, 2, 3, 4, None]), r.choice([None, *range(-5, 900)])) for i in range(400)]
+    right = [(r.choice([1, 1, 2, 4, None]), r.choice([None, *range(0, 850, 7)]), r.choice([None, *range(40)])) for _ in range(300)]
+    a = spark.createDataFrame([(i, k, at(d)) for i, k, d in left], "id int, k int, t timestamp").repartition(4)
+    b = spark.createDataFrame([(k, at(d), v) for k, d, v in right], "k int, s timestamp, found int").repartition(3)
+    out = as_of(a, b, ["k"], "t", "s", ["found"], [F.col("found")], hot=hot)
+
+    def newest(k, d):
+        fit = [(e, -1 if v is None else v) for kk, e, v in right if kk is not None and kk == k and d is not None and e is not None and e <= d]
+        return None if not fit or max(fit)[1] == -1 else max(fit)[1]
+
+    assert sorted((x.id, x.found) for x in out.collect()) == [(i, newest(k, d)) for i, k, d in left]
+
+
+def test_keys_of_few_rows_are_shuffled_once(spark):
+    """No rows for what slices begin with, and the right rows go with the left ones: nothing else is shuffled but counts by hash."""
+    a = spark.range(3000).select((F.col("id") % 1000).alias("k"), "id", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("t"))
+    b = a.select("k", F.col("t").alias("s"), F.col("id").alias("v"))
+    out = as_of(a, b, ["k"], "t", "s", ["v"])
+    rows = out.collect()
+    assert len(rows) == 3000 and all(x.v is not None for x in rows)
+    plan = out._jdf.queryExecution().executedPlan()
+    out._jdf.queryExecution().executedPlan().executeCollect()
+    final = plan.toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(__k0") == 1

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from . import orderstats
 
+#: Keys are counted by this many hashes; a hash with more than HOT intervals has its keys' dealt to months.
+HASHES, HOT = 1 << 20, 1000
+
 
 def attention(df: DataFrame, group: str, by: str, level: float, unusual: Column, k: int, tie: str) -> DataFrame:
     """The k unusual rows with the highest by among those whose percent rank within group is level or more.
@@ -29,19 +32,28 @@ def peak_concurrency(df: DataFrame, key: str, start: str, end: str) -> DataFrame
     return by_day.withColumn("open", running).groupBy(key).agg(F.max("open").alias("peak"))
 
 
-def overlaps(df: DataFrame, key: str, row_id: str, start: str, end: str, other: str) -> DataFrame:
+def dealt(df: DataFrame, key: str, row_id: str, start: str, end: str, other: str, hot: int = HOT) -> DataFrame:
+    """key, row_id, s, e, o and month: intervals of busy keys once for each month that they touch, others once without a month."""
+    rows = df.where(F.col(end) >= F.col(start)).select(key, row_id, F.col(start).alias("s"), F.col(end).alias("e"), F.col(other).alias("o"), F.pmod(F.xxhash64(key), F.lit(HASHES)).cast("int").alias("__bucket"))
+    # at most HASHES rows at any size of the table
+    busy = F.broadcast(rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot).select("__bucket", F.lit(True).alias("__busy")))
+    months = F.when(F.col("__busy"), F.sequence(F.trunc("s", "month"), F.trunc("e", "month"), F.expr("INTERVAL 1 MONTH"))).otherwise(F.array(F.lit(None).cast("date")))
+    return rows.join(busy, "__bucket", "left").select(key, row_id, "s", "e", "o", F.explode(months).alias("month"))
+
+
+def overlaps(df: DataFrame, key: str, row_id: str, start: str, end: str, other: str, hot: int = HOT) -> DataFrame:
     """Pairs of one key's intervals that overlap and differ in other: a_id, b_id, days.
 
-    Intervals are dealt to the months that they touch and pairs are looked for
-    within a month; a pair counts in the first month that both touch. So the
-    intervals of a busy key are split by time instead of meeting in one task.
+    Keys of few intervals meet as a whole, an interval a row. Those of more are
+    dealt to the months that they touch and pairs are looked for within a month;
+    a pair counts in the first month that both touch. So the intervals of a busy
+    key are split by time instead of meeting in one task.
     """
-    months = F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH"))
-    dealt = df.where(F.col(end) >= F.col(start)).select(key, row_id, F.col(start).alias("s"), F.col(end).alias("e"), F.col(other).alias("o"), F.explode(months).alias("month"))
-    a, b = dealt.alias("a"), dealt.alias("b")
+    rows = dealt(df, key, row_id, start, end, other, hot)
+    a, b = rows.alias("a"), rows.alias("b")
     first = F.trunc(F.greatest("a.s", "b.s"), "month")
-    on = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.month") == F.col("b.month")) & (F.col(f"a.{row_id}") < F.col(f"b.{row_id}")) & (F.col("a.s") <= F.col("b.e")) & (F.col("b.s") <= F.col("a.e"))
-    pairs = a.join(b, on).where((F.col("a.month") == first) & ~F.col("a.o").eqNullSafe(F.col("b.o")))
+    on = (F.col(f"a.{key}") == F.col(f"b.{key}")) & F.col("a.month").eqNullSafe(F.col("b.month")) & (F.col(f"a.{row_id}") < F.col(f"b.{row_id}")) & (F.col("a.s") <= F.col("b.e")) & (F.col("b.s") <= F.col("a.e"))
+    pairs = a.join(b, on).where((F.col("a.month").isNull() | (F.col("a.month") == first)) & ~F.col("a.o").eqNullSafe(F.col("b.o")))
     days = F.date_diff(F.least("a.e", "b.e"), F.greatest("a.s", "b.s")) + 1
     return pairs.select(F.col(f"a.{key}").alias(key), F.col(f"a.{row_id}").alias("a_id"), F.col(f"b.{row_id}").alias("b_id"), F.col("a.o").alias("a_other"), F.col("b.o").alias("b_other"), days.alias("days"))
 

@@ -92,3 +92,28 @@ def test_a_stores_buckets_grow_with_the_orders_and_a_task_has_one(spark, tmp_pat
         assert len(shares) == n and {x.n for x in shares} == {1}
     tx.commit()
     assert store.read("t").count() == 5000
+
+
+@pytest.mark.parametrize("hot", [1, 12, 1000])
+def test_overlaps_deal_only_busy_keys_to_months(spark, hot):
+    import random
+    from datetime import timedelta
+
+    from tenderlake.operators import windows
+
+    r = random.Random(5)
+    made = [(i, k, date(2000, 1, 1) + timedelta(r.randrange(2000)), r.choice([0, 3, 40, 900]), r.choice([1, 2, None])) for k, n in ((1, 40), (2, 10), (3, 12), (None, 5)) for i in range(1000 * (k or 9), 1000 * (k or 9) + n)]
+    made = [(i, k, s, s + timedelta(d), o) for i, k, s, d, o in made]
+    rows = spark.createDataFrame(made, "id int, k int, s date, e date, o int").repartition(3)
+    out = windows.overlaps(rows, "k", "id", "s", "e", "o", hot=hot)
+    want = [(x[1], x[0], y[0], (min(x[3], y[3]) - max(x[2], y[2])).days + 1) for x in made for y in made if x[1] == y[1] is not None and x[0] < y[0] and x[2] <= y[3] and y[2] <= x[3] and x[4] != y[4]]
+    assert sorted((x.k, x.a_id, x.b_id, x.days) for x in out.collect()) == sorted(want)
+
+
+def test_intervals_of_keys_of_few_are_a_row_each(spark):
+    """Each lasts fifty years; by months they were 601 rows."""
+    from tenderlake.operators import windows
+
+    rows = spark.range(2000).select("id", (F.col("id") % 500).alias("k"), F.lit(date(1970, 1, 1)).alias("s"), F.lit(date(2020, 1, 1)).alias("e"), (F.col("id") % 3).alias("o"))
+    assert windows.dealt(rows, "k", "id", "s", "e", "o").count() == 2000
+    assert windows.dealt(rows, "k", "id", "s", "e", "o", hot=1).count() == 2000 * 601

@@ -93,10 +93,23 @@ def supplier_number(kind: Column, number: Column, body: str = "[89][0-9]{8}") ->
     repeated. A tax id of a body (a pattern; by default nine digits from 8 or 9)
     and one more digit loses that if it is the check digit of the body's last nine.
     """
-    bare = F.regexp_replace(number, "[^0-9A-Za-z]", "")
-    real = F.when(bare.rlike("[0-9]") & ~one_character(bare), bare)
+    return without_check_digit(normalized(kind), real_number(bare_number(number)), body)
+
+
+def bare_number(number: Column) -> Column:
+    """The letters and digits of a document number."""
+    return F.regexp_replace(number, "[^0-9A-Za-z]", "")
+
+
+def real_number(bare: Column) -> Column:
+    """bare_number(), where it identifies anybody."""
+    return F.when(bare.rlike("[0-9]") & ~one_character(bare), bare)
+
+
+def without_check_digit(kind: Column, real: Column, body: str = "[89][0-9]{8}") -> Column:
+    """supplier_number() of a normalized() kind and a real_number(); where these are columns each is computed once."""
     own = F.left(real, F.length(real) - 1)
-    checked = normalized(kind).startswith("NIT") & real.rlike(f"^{body}[0-9]$") & (check_digit(F.right(own, F.lit(9))) == F.right(real, F.lit(1)).try_cast("int"))
+    checked = kind.startswith("NIT") & real.rlike(f"^{body}[0-9]$") & (check_digit(F.right(own, F.lit(9))) == F.right(real, F.lit(1)).try_cast("int"))
     return F.when(F.coalesce(checked, F.lit(False)), own).otherwise(real)
 
 

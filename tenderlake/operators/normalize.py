@@ -31,16 +31,21 @@ def contracts(raw: DataFrame, content: str = "content", ceiling=V.SCALE_CEILING)
     """The contract columns with supplier identity, territory and flags; rows without a contract id go."""
     c = F.col(content)
     f = lambda name: field(c, name)
-    out = raw.select(
-        f("id_contrato").alias("contract_id"), f("proceso_de_compra").alias("link_key"), f("referencia_del_contrato").alias("reference"),
-        f("nit_entidad").alias("entity_id"), f("nombre_entidad").alias("entity_name"), V.to_decimal(f("valor_del_contrato")).alias("value"),
-        V.to_date(f("fecha_de_firma")).alias("signed_on"), f("estado_contrato").alias("state"), F.coalesce(V.normalized(f("tipodocproveedor")), F.lit("SIN TIPO")).alias("__kind"),
-        V.supplier_number(f("tipodocproveedor"), f("documento_proveedor")).alias("__number"), f("proveedor_adjudicado").alias("supplier_name"),
-        F.coalesce(V.normalized(f("es_grupo")) == "SI", F.lit(False)).alias("is_group"), admin_level(f("orden")).alias("admin_level"),
-        V.normalized(f("departamento")).alias("__department"), V.normalized(f("ciudad")).alias("municipality"),
-        *[x for x in ("row_id", "hash", "seen_at") if x in raw.columns],
+    kept = [x for x in ("row_id", "hash", "seen_at") if x in raw.columns]
+    # a document's fields, and what its supplier follows from, are columns of their own: as one expression each was computed at every mention
+    said = raw.select(
+        f("id_contrato").alias("contract_id"), f("proceso_de_compra").alias("link_key"), f("referencia_del_contrato").alias("reference"), f("nit_entidad").alias("entity_id"), f("nombre_entidad").alias("entity_name"),
+        f("valor_del_contrato").alias("value"), f("fecha_de_firma").alias("signed_on"), f("estado_contrato").alias("state"), V.normalized(f("tipodocproveedor")).alias("__type"), V.bare_number(f("documento_proveedor")).alias("__bare"),
+        f("proveedor_adjudicado").alias("supplier_name"), f("es_grupo").alias("is_group"), f("orden").alias("admin_level"), f("departamento").alias("__department"), f("ciudad").alias("municipality"), *kept,
+    ).where("contract_id IS NOT NULL").withColumn("__real", V.real_number(F.col("__bare")))
+    out = said.select(
+        "contract_id", "link_key", "reference", "entity_id", "entity_name", V.to_decimal(F.col("value")).alias("value"),
+        V.to_date(F.col("signed_on")).alias("signed_on"), "state", F.coalesce("__type", F.lit("SIN TIPO")).alias("__kind"),
+        V.without_check_digit(F.col("__type"), F.col("__real")).alias("__number"), "supplier_name",
+        F.coalesce(V.normalized(F.col("is_group")) == "SI", F.lit(False)).alias("is_group"), admin_level(F.col("admin_level")).alias("admin_level"),
+        V.normalized(F.col("__department")).alias("__department"), V.normalized(F.col("municipality")).alias("municipality"), *kept,
     )
-    out = with_supplier(out.where("contract_id IS NOT NULL")).withColumn("out_of_scale", V.out_of_scale(F.col("value"), ceiling))
+    out = with_supplier(out).withColumn("out_of_scale", V.out_of_scale(F.col("value"), ceiling))
     return out.withColumnRenamed("__department", "department_name")
 
 

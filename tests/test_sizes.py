@@ -117,3 +117,9 @@ def test_intervals_of_keys_of_few_are_a_row_each(spark):
     rows = spark.range(2000).select("id", (F.col("id") % 500).alias("k"), F.lit(date(1970, 1, 1)).alias("s"), F.lit(date(2020, 1, 1)).alias("e"), (F.col("id") % 3).alias("o"))
     assert windows.dealt(rows, "k", "id", "s", "e", "o").count() == 2000
     assert windows.dealt(rows, "k", "id", "s", "e", "o", hot=1).count() == 2000 * 601
+
+
+def test_a_documents_fields_are_read_once(spark):
+    """Its supplier's number was read from the text at each of its mentions, over a hundred."""
+    plan = catalog.QUERIES["normalized_contracts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") <= 40

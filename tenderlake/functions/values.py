@@ -43,9 +43,16 @@ def _composed() -> tuple[str, str]:
 _ACCENTED, _PLAIN = _composed()
 
 
+def is_ascii(c: Column) -> Column:
+    """Whether all characters are ASCII; null for null."""
+    return F.octet_length(c) == F.length(c)
+
+
 def clean_text(c: Column) -> Column:
     """Trimmed; null where blank."""
-    return F.nullif(F.regexp_replace(c, r"^\s+|\s+$", ""), F.lit(""))
+    # trimming is quicker, and the same where no character but the pattern's own ends a line
+    trimmed = F.when(is_ascii(c), F.btrim(c, F.lit(" \t\n\x0b\x0c\r"))).otherwise(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    return F.nullif(trimmed, F.lit(""))
 
 
 def to_date(c: Column) -> Column:
@@ -64,7 +71,7 @@ def to_boolean(c: Column) -> Column:
 
 def plain_letters(c: Column) -> Column:
     """Letters without their marks, as canonical decomposition has them: composed and combining ones of any script."""
-    return F.translate(F.regexp_replace(c, r"\p{Mn}", ""), _ACCENTED, _PLAIN)
+    return F.when(is_ascii(c), c).otherwise(F.translate(F.regexp_replace(c, r"\p{Mn}", ""), _ACCENTED, _PLAIN))
 
 
 def normalized(c: Column) -> Column:

@@ -15,29 +15,42 @@ def field(content: Column, name: str) -> Column:
     return V.clean_text(F.get_json_object(content, f"$.{name}"))
 
 
+def fields(raw: DataFrame, content: str, names: dict[str, str], kept: list[str]) -> DataFrame:
+    """Fields of a JSON document as clean text, a column for each name, and the columns kept.
+
+    A document is read once for all of them. Of a field said twice the first that
+    is not null counts; such a document is written anew with each field once.
+    """
+    c, keys = F.col(content), F.json_object_keys(content)
+    once = F.to_json(F.struct(*(F.get_json_object(c, f"$.{said}").alias(said) for said in names.values())))
+    said = raw.select(*kept, F.when(F.size(keys) > F.size(F.array_distinct(keys)), once).otherwise(c).alias("__content"))
+    said = said.select(*kept, F.json_tuple("__content", *names.values()).alias(*names))
+    return said.select(*kept, *(V.clean_text(F.col(n)).alias(n) for n in names))
+
+
 def processes(raw: DataFrame, content: str = "content") -> DataFrame:
     """The process columns; rows without a process id go (count them with rejected())."""
-    c = F.col(content)
-    out = raw.select(
-        field(c, "id_del_proceso").alias("process_id"), field(c, "id_del_portafolio").alias("portfolio_id"), field(c, "referencia_del_proceso").alias("reference"),
-        field(c, "nit_entidad").alias("entity_id"), field(c, "entidad").alias("entity_name"), V.to_date(field(c, "fecha_de_publicacion_del")).alias("published_on"),
-        field(c, "modalidad_de_contratacion").alias("modality"), field(c, "estado_del_procedimiento").alias("state"), V.to_boolean(field(c, "adjudicado")).alias("awarded"),
-        *[x for x in ("row_id", "hash", "seen_at") if x in raw.columns],
+    kept = [x for x in ("row_id", "hash", "seen_at") if x in raw.columns]
+    said = fields(raw, content, {
+        "process_id": "id_del_proceso", "portfolio_id": "id_del_portafolio", "reference": "referencia_del_proceso", "entity_id": "nit_entidad", "entity_name": "entidad",
+        "published_on": "fecha_de_publicacion_del", "modality": "modalidad_de_contratacion", "state": "estado_del_procedimiento", "awarded": "adjudicado",
+    }, kept)
+    out = said.select(
+        "process_id", "portfolio_id", "reference", "entity_id", "entity_name", V.to_date(F.col("published_on")).alias("published_on"), "modality", "state", V.to_boolean(F.col("awarded")).alias("awarded"), *kept,
     )
     return out.where("process_id IS NOT NULL")
 
 
 def contracts(raw: DataFrame, content: str = "content", ceiling=V.SCALE_CEILING) -> DataFrame:
     """The contract columns with supplier identity, territory and flags; rows without a contract id go."""
-    c = F.col(content)
-    f = lambda name: field(c, name)
     kept = [x for x in ("row_id", "hash", "seen_at") if x in raw.columns]
     # a document's fields, and what its supplier follows from, are columns of their own: as one expression each was computed at every mention
-    said = raw.select(
-        f("id_contrato").alias("contract_id"), f("proceso_de_compra").alias("link_key"), f("referencia_del_contrato").alias("reference"), f("nit_entidad").alias("entity_id"), f("nombre_entidad").alias("entity_name"),
-        f("valor_del_contrato").alias("value"), f("fecha_de_firma").alias("signed_on"), f("estado_contrato").alias("state"), V.normalized(f("tipodocproveedor")).alias("__type"), V.bare_number(f("documento_proveedor")).alias("__bare"),
-        f("proveedor_adjudicado").alias("supplier_name"), f("es_grupo").alias("is_group"), f("orden").alias("admin_level"), f("departamento").alias("__department"), f("ciudad").alias("municipality"), *kept,
-    ).where("contract_id IS NOT NULL").withColumn("__real", V.real_number(F.col("__bare")))
+    said = fields(raw, content, {
+        "contract_id": "id_contrato", "link_key": "proceso_de_compra", "reference": "referencia_del_contrato", "entity_id": "nit_entidad", "entity_name": "nombre_entidad",
+        "value": "valor_del_contrato", "signed_on": "fecha_de_firma", "state": "estado_contrato", "__type": "tipodocproveedor", "__bare": "documento_proveedor",
+        "supplier_name": "proveedor_adjudicado", "is_group": "es_grupo", "admin_level": "orden", "__department": "departamento", "municipality": "ciudad",
+    }, kept)
+    said = said.where("contract_id IS NOT NULL").withColumns({"__type": V.normalized(F.col("__type")), "__bare": V.bare_number(F.col("__bare"))}).withColumn("__real", V.real_number(F.col("__bare")))
     out = said.select(
         "contract_id", "link_key", "reference", "entity_id", "entity_name", V.to_decimal(F.col("value")).alias("value"),
         V.to_date(F.col("signed_on")).alias("signed_on"), "state", F.coalesce("__type", F.lit("SIN TIPO")).alias("__kind"),

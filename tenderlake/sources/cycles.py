@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import incremental, normalize, raw
 from .derived import KEYS
-from .store import Conflict, Store, Transaction
+from .store import Conflict, Incoming, Store, Transaction
 
 #: The cycle log.
 LOG = ("dataset string, state string, first date, last date, watermark_before date, watermark_after date, derived boolean, seen long, inserted long, new long, changed long, duplicates long,"
@@ -86,27 +87,42 @@ def _log(store: Store, entry: dict) -> DataFrame:
     return store.spark.createDataFrame([tuple(entry.get(n) for n in names)], LOG).coalesce(1)
 
 
+def incoming_contracts(tx: Transaction, fresh: DataFrame, buckets: int = 64) -> Incoming:
+    """The contracts of new raw versions, each once: the documents are read here and nowhere else."""
+    newest = raw.latest(fresh, ROW, [F.desc("seen_at"), F.desc("content")])
+    return tx.incoming("contract", normalize.contracts(newest), KEYS["contract"], [F.desc("seen_at"), F.col("row_id").desc()], buckets)
+
+
 def derive_contracts(tx: Transaction, fresh: DataFrame, buckets: int = 64) -> None:
-    """Upsert contracts from new raw versions, and the suppliers and name variants that they touch.
+    """Upsert contracts from new raw versions, and the suppliers and name variants that they touch."""
+    upsert_contracts(tx, incoming_contracts(tx, fresh, buckets), buckets)
+
+
+def upsert_contracts(tx: Transaction, came: Incoming, buckets: int = 64) -> None:
+    """Merge contracts, and count the suppliers and name variants that they touch.
 
     Suppliers are counted again from their contracts, those they had before and
-    those they have now, so the tables equal a rewrite from all raw rows.
+    those they have now, so the tables equal a rewrite from all raw rows. A
+    supplier or a variant that nothing has any longer stays with 0 contracts:
+    tables are updated, never cut.
     """
-    newest = raw.latest(fresh, ROW, [F.desc("seen_at"), F.desc("content")])
-    came = normalize.contracts(newest).where("contract_id IS NOT NULL")
-    who = ["supplier_type", "supplier_number"]
-    touched = came.select(*who)
-    if "contract" in tx.record["tables"]:
-        touched = touched.unionByName(_of(tx.read("contract"), came, ["contract_id"]).select(*who))
-    touched = tx.kept(touched.where("supplier_number IS NOT NULL").distinct(), "touched-suppliers")
-    tx.upsert("contract", came, KEYS["contract"], [F.desc("seen_at"), F.col("row_id").desc()], buckets)
-    variants = normalize.supplier_variants(_of(tx.read("contract"), touched, who))
-    # a supplier or a variant that nothing has any longer stays with 0 contracts: tables are updated, never cut
-    for name, rows, keys in (("variant", variants, KEYS["variant"]), ("supplier", normalize.suppliers(variants), KEYS["supplier"])):
-        if name in tx.record["tables"]:
-            gone = _missing(_of(tx.read(name), touched, who), rows, keys).withColumn("contracts", F.lit(0).cast("long"))
-            rows = rows.unionByName(gone.withColumn("variants", F.lit(0).cast("long")) if name == "supplier" else gone)
-        tx.upsert(name, rows, keys, buckets=buckets)
+    who, known = KEYS["supplier"], tx.has_rows("contract")
+    if known:
+        touched = came.rows.select(*who).unionByName(_of(tx.read("contract"), came.rows, ["contract_id"]).select(*who))
+        touched = tx.kept(touched.where("supplier_number IS NOT NULL").distinct(), "touched-suppliers")
+    tx.merge(came)
+    # of the first contracts all suppliers are touched
+    theirs = _of(tx.read("contract"), touched, who) if known else tx.read("contract")
+    named = theirs.where("supplier_number IS NOT NULL").select(*who, F.col("supplier_name").alias("name"), F.lit(1).cast("long").alias("contracts"))
+    if known and tx.has_rows("variant"):
+        named = named.unionByName(_of(tx.read("variant"), touched, who).withColumn("contracts", F.lit(0).cast("long")))
+    variants = tx.incoming("variant", named.groupBy(*KEYS["variant"]).agg(F.sum("contracts").alias("contracts")), KEYS["variant"], buckets=buckets)
+    suppliers = normalize.suppliers(variants.rows.where("contracts > 0").select(*KEYS["variant"], "contracts"))
+    if known and tx.has_rows("supplier"):
+        none = variants.rows.groupBy(*who).agg(F.sum("contracts").alias("n")).where("n = 0")
+        suppliers = suppliers.unionByName(_of(tx.read("supplier"), none, who).withColumns({"contracts": F.lit(0).cast("long"), "variants": F.lit(0).cast("long")}))
+    tx.upsert("supplier", suppliers, KEYS["supplier"], buckets=buckets)
+    tx.merge(variants)
 
 
 def derive_processes(tx: Transaction, fresh: DataFrame, buckets: int = 64) -> None:
@@ -116,12 +132,6 @@ def derive_processes(tx: Transaction, fresh: DataFrame, buckets: int = 64) -> No
 
 
 def _of(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
-    from .store import _renamed, _same
-
-    return df.join(_renamed(keys.select(*columns).distinct(), columns), _same(columns), "left_semi")
-
-
-def _missing(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
-    from .store import _without
-
-    return _without(df, other, columns)
+    """The rows of df whose columns a row of keys has; nulls are alike."""
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in columns))
+    return df.join(keys.select(*(F.col(c).alias(f"__r_{c}") for c in columns)), same, "left_semi")

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import normalize, raw
-from .cycles import ROW, _missing, _of, derive_contracts
+from .cycles import _of, incoming_contracts, upsert_contracts
 from .store import Store, Transaction
 
 STATE = ["signed_on", "entity_id", "supplier_type", "supplier_number"]
@@ -24,23 +23,31 @@ STATE = ["signed_on", "entity_id", "supplier_type", "supplier_number"]
 
 def states(contracts: DataFrame) -> DataFrame:
     """The states of all days of contracts."""
-    return contracts.where("signed_on IS NOT NULL").groupBy(*STATE).agg(F.count(F.lit(1)).alias("contracts"), F.coalesce(F.sum("value"), F.lit(0)).cast("decimal(38,2)").alias("value"))
+    return _merged(_signed(contracts))
+
+
+def _signed(contracts: DataFrame) -> DataFrame:
+    return contracts.where("signed_on IS NOT NULL").select(*STATE, F.lit(1).cast("long").alias("contracts"), F.col("value"))
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*STATE).agg(F.sum("contracts").alias("contracts"), F.coalesce(F.sum("value"), F.lit(0)).cast("decimal(38,2)").alias("value"))
 
 
 def derive(tx: Transaction, fresh: DataFrame, buckets: int = 64) -> None:
     """derive_contracts() and then the states of the days that the new versions touch, in the same commit."""
-    came = normalize.contracts(raw.latest(fresh, ROW, [F.desc("seen_at"), F.desc("content")]))
-    days = came.select("signed_on")
-    if "contract" in tx.record["tables"]:
-        days = days.unionByName(_of(tx.read("contract"), came, ["contract_id"]).select("signed_on"))
-    days = tx.kept(days.where("signed_on IS NOT NULL").distinct(), "touched-days")
-    derive_contracts(tx, fresh, buckets)
-    made = states(_of(tx.read("contract"), days, ["signed_on"]))
-    if "day" in tx.record["tables"]:
+    came, known = incoming_contracts(tx, fresh, buckets), tx.has_rows("contract")
+    if known:
+        days = came.rows.select("signed_on").unionByName(_of(tx.read("contract"), came.rows, ["contract_id"]).select("signed_on"))
+        days = tx.kept(days.where("signed_on IS NOT NULL").distinct(), "touched-days")
+    upsert_contracts(tx, came, buckets)
+    # of the first contracts all days are touched
+    rows = _signed(_of(tx.read("contract"), days, ["signed_on"]) if known else tx.read("contract"))
+    if known and tx.has_rows("day"):
         # what a day no longer has merges as nothing
-        gone = _missing(_of(tx.read("day"), days, ["signed_on"]), made, STATE).withColumns({"contracts": F.lit(0).cast("long"), "value": F.lit(0).cast("decimal(38,2)")})
-        made = made.unionByName(gone)
-    tx.upsert("day", made, STATE, buckets=buckets, by=["signed_on"])
+        gone = _of(tx.read("day"), days, ["signed_on"]).select(*STATE, F.lit(0).cast("long").alias("contracts"), F.lit(None).cast(rows.schema["value"].dataType).alias("value"))
+        rows = rows.unionByName(gone)
+    tx.upsert("day", _merged(rows), STATE, buckets=buckets, by=["signed_on"])
 
 
 def window(store: Store, first: date, last: date) -> DataFrame:

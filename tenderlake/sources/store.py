@@ -22,10 +22,10 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,21 +138,15 @@ class Store:
         return gone
 
 
-def _renamed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.toDF(*(f"__r_{c}" if c in columns else c for c in df.columns))
+@dataclass(frozen=True)
+class Incoming:
+    """The rows of an upsert, written by bucket."""
 
-
-def _same(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in columns))
-
-
-def _without(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of df whose columns no row of other has; nulls are alike."""
-    return df.join(_renamed(other.select(*columns), columns), _same(columns), "left_anti")
-
-
-def _left(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.join(_renamed(other, columns), _same(columns), "left").drop(*(f"__r_{c}" for c in columns))
+    table: str
+    folder: str
+    rows: DataFrame
+    buckets: list[str]
+    bucket: Column
 
 
 class Transaction:
@@ -190,16 +184,32 @@ class Transaction:
         buckets is what one task of an upsert handles. by is some of the keys and
         sets the bucket, always the same ones for a table; by default all do.
         """
+        return self.merge(self.incoming(table, rows, keys, order, buckets, by))
+
+    def incoming(self, table: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), buckets: int = 64, by: Sequence[str] = ()) -> Incoming:
+        """The first half of an upsert: rows, each key once, written by bucket. They are made once, whatever else is made from them before merge()."""
         found = self._table(table, rows.schema, "keyed", keys, buckets)
-        n = found["buckets"]
-        bucket = F.pmod(F.xxhash64(*(by or keys)), F.lit(n)).cast("int")
-        new = (latest(rows, list(keys), list(order)) if order else rows.dropDuplicates(list(keys))).withColumn("__bucket", bucket)
-        new, touched = self._come(table, new, n)
+        bucket = F.pmod(F.xxhash64(*(by or keys)), F.lit(found["buckets"])).cast("int")
+        dealt = rows.withColumn("__bucket", bucket).repartitionById(found["buckets"], "__bucket")
+        # rows of a key are in one task already: neither form shuffles again
+        once = latest(dealt, ["__bucket", *keys], list(order)) if order else dealt.dropDuplicates(["__bucket", *keys])
+        folder = self._folder(f"{table}-incoming")
+        once.write.partitionBy("__bucket").parquet(f"{self.store.path}/{folder}")
+        return Incoming(table, folder, self.store.spark.read.schema(once.schema).parquet(f"{self.store.path}/{folder}"), self._buckets(folder), bucket)
+
+    def merge(self, come: Incoming) -> int:
+        """The second half of an upsert. Where a table has nothing yet the incoming rows are its buckets as they were written."""
+        found = self.record["tables"][come.table]
+        touched, made = come.buckets, come.folder
         if not touched:
-            return 0
-        old = self.store._rows(found, touched).withColumn("__bucket", bucket)
-        made = self._folder(table)
-        _without(old, new, ["__bucket", *keys]).unionByName(new).repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
+            self._passing.append(come.folder)
+        elif any(b in found["folders"] for b in touched):
+            made = self._folder(come.table)
+            self._passing.append(come.folder)
+            old = self.store._rows(found, touched).withColumn("__bucket", come.bucket).withColumn("__new", F.lit(False))
+            both = old.unionByName(come.rows.withColumn("__new", F.lit(True))).repartitionById(found["buckets"], "__bucket")
+            rows = latest(both, ["__bucket", *found["keys"]], [F.desc("__new")]).drop("__new")
+            rows.write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
         for b in touched:
             found["folders"][b] = [f"{made}/__bucket={b}"]
         return len(touched)
@@ -213,13 +223,22 @@ class Transaction:
         """
         found = self._table(table, rows.schema, "keyed", keys, buckets)
         n, bucket = found["buckets"], F.pmod(F.xxhash64(*id), F.lit(found["buckets"])).cast("int")
-        new, touched = self._come(table, rows.dropDuplicates(list(keys)).withColumn("__bucket", bucket), n)
-        made = self._folder(table)
-        old = self.store._rows(found, touched).select(*dict.fromkeys([*id, *keys])).withColumn("__bucket", bucket)
-        fresh = _without(new, old, ["__bucket", *keys])
-        known = old.select("__bucket", *id).distinct().withColumn("is_new", F.lit(False))
-        fresh = _left(fresh, known, ["__bucket", *id]).withColumn("is_new", F.coalesce("is_new", F.lit(True)))
-        fresh.repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
+        come, made = rows.withColumn("__bucket", bucket), self._folder(table)
+        if not found["folders"]:
+            fresh = come.repartitionById(n, "__bucket").dropDuplicates(["__bucket", *keys]).withColumn("is_new", F.lit(True))
+        else:
+            # written by bucket, as they are needed to know the buckets and then again
+            folder = self._folder(f"{table}-incoming")
+            self._passing.append(folder)
+            come.repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{folder}")
+            come = self.store.spark.read.schema(come.schema).parquet(f"{self.store.path}/{folder}")
+            old = self.store._rows(found, self._buckets(folder)).select(*dict.fromkeys([*id, *keys])).withColumn("__bucket", bucket)
+            both = come.withColumn("__old", F.lit(False)).unionByName(old.withColumn("__old", F.lit(True)), allowMissingColumns=True).repartitionById(n, "__bucket")
+            # by bucket, id and key in one order: one shuffle and one sort for what is known of keys and ids
+            one = latest(both, list(dict.fromkeys(["__bucket", *id, *keys])), [F.desc("__old")])
+            known = one.withColumn("__known", F.max("__old").over(Window.partitionBy("__bucket", *id)))
+            fresh = known.where("NOT __old").withColumn("is_new", ~F.col("__known")).drop("__old", "__known")
+        fresh.write.partitionBy("__bucket").parquet(f"{self.store.path}/{made}")
         for b in self._buckets(made):
             folders = found["folders"].setdefault(b, [])
             folders.append(f"{made}/__bucket={b}")
@@ -230,12 +249,9 @@ class Transaction:
         schema = T.StructType([*rows.schema.fields, T.StructField("is_new", T.BooleanType())])
         return self.store.spark.read.schema(schema).parquet(f"{self.store.path}/{made}")
 
-    def _come(self, table: str, rows: DataFrame, n: int) -> tuple[DataFrame, list[str]]:
-        """rows with __bucket, written by bucket as they are read more than once, and the buckets they have."""
-        folder = self._folder(f"{table}-incoming")
-        self._passing.append(folder)
-        rows.repartitionById(n, "__bucket").write.partitionBy("__bucket").parquet(f"{self.store.path}/{folder}")
-        return self.store.spark.read.schema(rows.schema).parquet(f"{self.store.path}/{folder}"), self._buckets(folder)
+    def has_rows(self, table: str) -> bool:
+        """Whether anything was ever put into a table."""
+        return bool(self.record["tables"].get(table, {}).get("folders"))
 
     def _buckets(self, folder: str) -> list[str]:
         return sorted((n.split("=")[1] for n in self.store._names(folder) if n.startswith("__bucket=")), key=int)

@@ -45,7 +45,7 @@ def test_a_cycle_reads_each_document_once(spark, store, monkeypatch, derive):
 
 
 def test_an_insert_and_an_upsert_shuffle_rows_by_bucket_only(spark, store, monkeypatch):
-    """Each write's plan has one shuffle, the one by bucket; before, they had up to five."""
+    """Each write's plan has one shuffle, the one by bucket; before, most had two and an insert six."""
     from pyspark.sql import DataFrameWriter
 
     plans, write = [], DataFrameWriter.parquet
